@@ -44,15 +44,17 @@ def ids_to_string(col) -> Column:
 
 def utf8_prefix(col, max_bytes) -> Column:
     """Longest prefix of ``col`` whose UTF-8 encoding fits in ``max_bytes``
-    bytes, cut at a character boundary (never inside a multi-byte character)."""
+    bytes, cut at a character boundary: the byte prefix is taken, then an
+    incomplete trailing sequence (a lead byte missing continuation bytes) is
+    removed. Only the tail is matched, so the regex cost does not grow with
+    the text."""
     hexed = F.hex(F.substring(F.encode(_c(col), "UTF-8"), 1, max_bytes))
-    whole = F.regexp_extract(hexed, COMPLETE_UTF8_HEX, 0)
+    whole = F.regexp_replace(hexed, INCOMPLETE_UTF8_TAIL_HEX, "")
     return F.decode(F.unhex(whole), "UTF-8")
 
 
-# Fixed value: a run of complete UTF-8 sequences at the start of an upper-case
-# hex string (1-byte, 2-byte, 3-byte and 4-byte forms).
-COMPLETE_UTF8_HEX = (
-    "^(?:[0-7][0-9A-F]|[C-D][0-9A-F][89AB][0-9A-F]"
-    "|E[0-9A-F](?:[89AB][0-9A-F]){2}|F[0-7](?:[89AB][0-9A-F]){3})*"
+# Fixed value: an incomplete UTF-8 sequence at the end of an upper-case hex
+# string (2-, 3- or 4-byte lead byte followed by too few continuation bytes).
+INCOMPLETE_UTF8_TAIL_HEX = (
+    "(?:[CD][0-9A-F]|E[0-9A-F](?:[89AB][0-9A-F])?|F[0-7](?:[89AB][0-9A-F]){0,2})$"
 )

@@ -79,3 +79,129 @@ def q_full_text(spark, sf_dir):
 @query("valid_records")
 def q_valid_records(spark, sf_dir):
     return blocks.record_counts(q_chat_pairs(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- sources, order, projections
+
+from ..functions.text import coalesce_key  # noqa: E402
+from ..operators import ordering, sampling  # noqa: E402
+from ..sources import stories  # noqa: E402
+from .inputs import doc_bucket, doc_split  # noqa: E402
+
+BYTE_BUDGET = 65536     # bytes read per source
+CAP_PER_SOURCE = 20     # stories kept per source
+FILL_TRAIN, FILL_VAL = 600, 200
+SAMPLE_N, SAMPLE_SEED = 100, 1337
+
+
+def _json_docs(spark, sf_dir):
+    """JSON of four shapes built from ``documents`` (by language)."""
+    docs = read(spark, sf_dir, "documents")
+    t = F.col("text")
+    js = (
+        F.when(F.col("lang") == "en", F.to_json(F.struct(t.alias("text"))))
+        .when(F.col("lang") == "fr", F.to_json(F.struct(t.alias("story"), F.lit(1).alias("other"))))
+        .when(F.col("lang") == "de", F.to_json(F.split(t, "\n")))
+        .otherwise(F.to_json(F.array(
+            F.struct(F.lit("").alias("text"), t.alias("story")),
+            F.struct(F.lit(None).cast("string").alias("text"), t.alias("story")),
+        )))
+    )
+    return docs.select("doc_id", js.alias("json"))
+
+
+@query("split_stories")
+def q_split_stories(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return stories.split_stories(docs, "text", sep="\n")
+
+
+@query("json_stories")
+def q_json_stories(spark, sf_dir):
+    return stories.json_stories(_json_docs(spark, sf_dir), "json")
+
+
+@query("format_fallback")
+def q_format_fallback(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    primary = stories.split_stories(
+        docs.select("doc_id", "text", stories.route_split("source").alias("split")).filter(F.col("split").isNotNull()),
+        "text", sep="\n",
+    ).select("split", "doc_id", F.col("pos").alias("item_pos"), "story")
+    secondary = stories.json_stories(_json_docs(spark, sf_dir), "json").select(
+        doc_split().alias("split"), "doc_id", "item_pos", "story"
+    )
+    return stories.read_with_fallback(primary, secondary)
+
+
+@query("route_split")
+def q_route_split(spark, sf_dir):
+    pages = read(spark, sf_dir, "pages")
+    return pages.select("page_id", stories.route_split("url").alias("split")).filter(F.col("split").isNotNull())
+
+
+@query("byte_budget")
+def q_byte_budget(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("source", "doc_id", "text")
+    return ordering.byte_budget(docs, "source", ["doc_id"], doc_bucket(), BYTE_BUDGET).select("source", "doc_id", "text")
+
+
+@query("per_source_cap")
+def q_per_source_cap(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("source", "doc_id")
+    return ordering.per_source_cap(docs, "source", ["doc_id"], CAP_PER_SOURCE).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("fill_order_split")
+def q_fill_order_split(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id")
+    return ordering.fill_order_split(docs, ["doc_id"], doc_bucket(), FILL_TRAIN, FILL_VAL)
+
+
+@query("ordered_index")
+def q_ordered_index(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents").select("doc_id", "lang")
+    return ordering.ordered_index(docs, ["lang", "doc_id"], F.struct("lang", doc_bucket())).select("doc_id", "lang", "idx")
+
+
+@query("strip_nonempty")
+def q_strip_nonempty(spark, sf_dir):
+    conv = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return stories.split_stories(conv, "text", sep="\n", out="line")
+
+
+@query("default_key")
+def q_default_key(spark, sf_dir):
+    ev = read(spark, sf_dir, "events").select("event_id", "props")
+    return ev.select(
+        "event_id",
+        coalesce_key(F.get_json_object("props", "$.k")).alias("k"),
+        coalesce_key(F.get_json_object("props", "$.text")).alias("text"),
+    )
+
+
+@query("min_length")
+def q_min_length(spark, sf_dir):
+    from ..operators.blocks import filter_min_length
+    return filter_min_length(q_split_stories(spark, sf_dir), "story", 40)
+
+
+@query("sample_n")
+def q_sample_n(spark, sf_dir):
+    pairs = q_chat_pairs(spark, sf_dir).select("conv_id", "turn")
+    return sampling.sample_n(pairs, ["conv_id", "turn"], SAMPLE_N, SAMPLE_SEED)
+
+
+@query("ratio_split")
+def q_ratio_split(spark, sf_dir):
+    recs = q_assemble_records(spark, sf_dir).select("block")
+    return ordering.ratio_split(recs, ["block"], ordering.bucket_of("block", 1024), 0.90, 0.05, 0.05)
+
+
+@query("round_robin")
+def q_round_robin(spark, sf_dir):
+    docs = ordering.ordered_index(read(spark, sf_dir, "documents").select("doc_id"), ["doc_id"], doc_bucket(), out="i")
+    prompts = ordering.ordered_index(
+        read(spark, sf_dir, "benchmark").select("item_id"), ["item_id"], ordering.bucket_of("item_id", 1024), out="p"
+    )
+    return sampling.round_robin(docs, "i", prompts, "p").select("doc_id", "item_id")

@@ -58,3 +58,128 @@ SELECT CAST(count(*) AS BIGINT) AS processed,
   CAST(count(*) FILTER (WHERE coalesce(length(prompt), 0) > 0 AND coalesce(length(response), 0) > 0) AS BIGINT) AS written,
   CAST(count(*) FILTER (WHERE NOT (coalesce(length(prompt), 0) > 0 AND coalesce(length(response), 0) > 0)) AS BIGINT) AS skipped
 FROM chat"""
+
+# ---------------------------------------------------------------- sources, order, projections
+from ..functions.text import INCOMPLETE_UTF8_TAIL_HEX  # noqa: E402
+from .sql_inputs import doc_split, strip  # noqa: E402
+
+_JSON_DOCS = """
+json_docs AS (
+  SELECT doc_id,
+    CASE lang WHEN 'en' THEN to_json({'text': text})::VARCHAR
+              WHEN 'fr' THEN to_json({'story': text, 'other': 1})::VARCHAR
+              WHEN 'de' THEN to_json(string_split(text, chr(10)))::VARCHAR
+              ELSE '[' || to_json({'text': '', 'story': text})::VARCHAR || ',' || to_json({'story': text})::VARCHAR || ']' END AS js
+  FROM documents
+),
+json_items AS (
+  SELECT doc_id, CAST(0 AS BIGINT) AS item_pos, js::JSON AS item FROM json_docs WHERE json_type(js::JSON) = 'OBJECT'
+  UNION ALL
+  SELECT doc_id, CAST(generate_subscripts(items, 1) - 1 AS BIGINT) AS item_pos, unnest(items) AS item
+  FROM (SELECT doc_id, json_extract(js::JSON, '$[*]') AS items FROM json_docs WHERE json_type(js::JSON) = 'ARRAY')
+),
+json_text AS (
+  SELECT doc_id, item_pos,
+    CASE WHEN json_type(item) = 'VARCHAR' THEN """ + strip("json_extract_string(item, '$')") + """
+         WHEN json_type(item) = 'OBJECT' THEN (
+           CASE WHEN json_type(t) = 'VARCHAR' AND length(json_extract_string(t, '$')) > 0
+                THEN json_extract_string(t, '$') END)
+    END AS story
+  FROM (SELECT *, CASE WHEN json_type(item) = 'OBJECT' THEN
+          coalesce(json_extract(item, '$.text'), json_extract(item, '$.story')) END AS t FROM json_items)
+),
+json_stories AS (SELECT doc_id, item_pos, story FROM json_text WHERE story IS NOT NULL AND length(story) > 0)"""
+
+_SPLIT_DOCS = """
+split_docs AS (
+  SELECT doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS pos, unnest(parts) AS piece
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents)
+),
+doc_stories AS (
+  SELECT doc_id, pos, """ + strip("piece") + """ AS story FROM split_docs
+)"""
+
+ORACLE["split_stories"] = "WITH " + _SPLIT_DOCS + "\nSELECT doc_id, pos, story FROM doc_stories WHERE length(story) > 0"
+
+ORACLE["min_length"] = "WITH " + _SPLIT_DOCS + "\nSELECT doc_id, pos, story FROM doc_stories WHERE length(story) >= 40"
+
+ORACLE["json_stories"] = "WITH " + _JSON_DOCS + "\nSELECT doc_id, item_pos, story FROM json_stories"
+
+ORACLE["format_fallback"] = "WITH " + _JSON_DOCS + """,
+routed AS (
+  SELECT doc_id, text, CASE WHEN contains(lower(source), 'train') THEN 'train'
+                            WHEN contains(lower(source), 'val') THEN 'val' END AS split FROM documents
+),
+primary_rows AS (
+  SELECT split, doc_id, item_pos, story FROM (
+    SELECT split, doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS item_pos,
+      """ + strip("unnest(parts)") + """ AS story
+    FROM (SELECT split, doc_id, string_split(text, chr(10)) AS parts FROM routed WHERE split IS NOT NULL))
+  WHERE length(story) > 0
+)
+SELECT * FROM primary_rows
+UNION ALL
+SELECT """ + doc_split("doc_id") + """ AS split, doc_id, item_pos, story FROM json_stories
+WHERE NOT EXISTS (SELECT 1 FROM primary_rows WHERE split = 'train')"""
+
+ORACLE["route_split"] = """
+SELECT page_id, split FROM (
+  SELECT page_id, CASE WHEN contains(lower(url), 'train') THEN 'train'
+                       WHEN contains(lower(url), 'val') THEN 'val' END AS split FROM pages)
+WHERE split IS NOT NULL"""
+
+ORACLE["byte_budget"] = """
+WITH s AS (
+  SELECT source, doc_id, text,
+    coalesce(sum(strlen(text) + 2) OVER (PARTITION BY source ORDER BY doc_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM documents
+),
+c AS (
+  SELECT source, doc_id, """ + strip(
+    "CASE WHEN strlen(text) <= 65536 - start THEN text ELSE decode(unhex(regexp_replace("
+    "hex(text)[1:CAST(2 * (65536 - start) AS BIGINT)], '" + INCOMPLETE_UTF8_TAIL_HEX + "', ''))) END") + """ AS text
+  FROM s WHERE start < 65536
+)
+SELECT source, doc_id, text FROM c WHERE length(text) > 0"""
+
+ORACLE["per_source_cap"] = """
+SELECT source, doc_id, rank FROM (
+  SELECT source, doc_id, CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id) AS BIGINT) AS rank FROM documents)
+WHERE rank <= 20"""
+
+ORACLE["fill_order_split"] = """
+SELECT doc_id, CASE WHEN i < 600 THEN 'train' ELSE 'val' END AS split FROM (
+  SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)
+WHERE i < 800"""
+
+ORACLE["ordered_index"] = """
+SELECT doc_id, lang, CAST(row_number() OVER (ORDER BY lang, doc_id) - 1 AS BIGINT) AS idx FROM documents"""
+
+ORACLE["strip_nonempty"] = """
+SELECT conv_id, turn, pos, line FROM (
+  SELECT conv_id, turn, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS pos, """ + strip("unnest(parts)") + """ AS line
+  FROM (SELECT conv_id, turn, string_split(text, chr(10)) AS parts FROM conversations))
+WHERE length(line) > 0"""
+
+ORACLE["default_key"] = """
+SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k,
+  coalesce(json_extract_string(props, '$.text'), '') AS text FROM events"""
+
+ORACLE["sample_n"] = _CHAT + """
+SELECT conv_id, turn, sample_rank FROM (
+  SELECT conv_id, turn, CAST(row_number() OVER (
+    ORDER BY md5('1337:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), conv_id, turn) - 1 AS BIGINT) AS sample_rank
+  FROM chat)
+WHERE sample_rank < 100"""
+
+ORACLE["ratio_split"] = _RECS + """
+SELECT block, CASE WHEN i < floor(n * 0.9) THEN 'train'
+                   WHEN i < floor(n * 0.9) + floor((n - floor(n * 0.9)) * (1 - 0.05 / (0.05 + 0.05))) THEN 'test'
+                   ELSE 'holdout_test' END AS split
+FROM (SELECT block, row_number() OVER (ORDER BY block) - 1 AS i, count(*) OVER () AS n FROM assembled)"""
+
+ORACLE["round_robin"] = """
+WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
+p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS p, count(*) OVER () AS n FROM benchmark)
+SELECT d.doc_id, p.item_id FROM d JOIN p ON p.p = d.i % p.n"""
