@@ -205,3 +205,115 @@ def q_round_robin(spark, sf_dir):
         read(spark, sf_dir, "benchmark").select("item_id"), ["item_id"], ordering.bucket_of("item_id", 1024), out="p"
     )
     return sampling.round_robin(docs, "i", prompts, "p").select("doc_id", "item_id")
+
+
+# ---------------------------------------------------------------- tokenizers
+
+from ..functions.text import ids_to_string  # noqa: E402
+from ..operators import tokenizer as tok  # noqa: E402
+
+BPE_MERGES = 8          # merges learned for the SQL-checked tokenizer
+_TOKENIZERS: dict = {}
+
+
+def split_docs(spark, sf_dir):
+    """Stories = lines of ``documents`` (stripped, non-empty), with the hashed
+    train/val split of their document. Order key (doc_id, pos)."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", doc_split().alias("split"))
+    return stories.split_stories(docs, "text", sep="\n")
+
+
+def train_words(spark, sf_dir):
+    """Pre-token counts of the train text (stories joined by a blank line:
+    each separator adds two "\\n" pre-tokens)."""
+    train = split_docs(spark, sf_dir).filter(F.col("split") == "train")
+    sep = train.agg((F.lit(2) * (F.count(F.lit(1)) - 1)).cast("bigint").alias("freq")).select(
+        F.lit("\n").alias("word"), "freq").filter(F.col("freq") > 0)
+    return tok.word_counts(tok.pretokenize(train, "story"), "words", extra=sep)
+
+
+def bpe_tokenizer(spark, sf_dir, num_merges=BPE_MERGES):
+    key = (id(spark), sf_dir, num_merges)
+    if key not in _TOKENIZERS:
+        _TOKENIZERS[key] = tok.bpe_train(train_words(spark, sf_dir), num_merges=num_merges, min_frequency=2)
+    return _TOKENIZERS[key]
+
+
+def char_tokenizer(spark, sf_dir):
+    train = split_docs(spark, sf_dir).filter(F.col("split") == "train")
+    return tok.char_vocab(train, "story")
+
+
+@query("char_vocab")
+def q_char_vocab(spark, sf_dir):
+    return char_tokenizer(spark, sf_dir)
+
+
+@query("char_encode")
+def q_char_encode(spark, sf_dir):
+    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
+    enc = tok.char_encode(val, char_tokenizer(spark, sf_dir), "story", on_oov="flag")
+    return enc.select("doc_id", "pos", ids_to_string("ids").alias("ids"), "n_oov")
+
+
+@query("char_decode")
+def q_char_decode(spark, sf_dir):
+    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
+    vocab = char_tokenizer(spark, sf_dir)
+    enc = tok.char_encode(val, vocab, "story", on_oov="drop")
+    return tok.char_decode(enc, vocab, "ids").select("doc_id", "pos", "text")
+
+
+@query("pretokenize")
+def q_pretokenize(spark, sf_dir):
+    s = tok.pretokenize(split_docs(spark, sf_dir), "story")
+    return s.select("doc_id", "pos", F.posexplode("words").alias("tpos", "word")).withColumn(
+        "tpos", F.col("tpos").cast("bigint"))
+
+
+@query("word_counts")
+def q_word_counts(spark, sf_dir):
+    return train_words(spark, sf_dir)
+
+
+@query("byte_symbols")
+def q_byte_symbols(spark, sf_dir):
+    return train_words(spark, sf_dir).select("word", tok.byte_symbols("word").alias("seg"))
+
+
+@query("pair_counts")
+def q_pair_counts(spark, sf_dir):
+    w = train_words(spark, sf_dir).select(tok.byte_symbols("word").alias("seg"), "freq")
+    return tok.pair_counts(w)
+
+
+@query("bpe_train")
+def q_bpe_train(spark, sf_dir):
+    return bpe_tokenizer(spark, sf_dir)[1].withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("special_tokens")
+def q_special_tokens(spark, sf_dir):
+    return bpe_tokenizer(spark, sf_dir)[0].withColumn("id", F.col("id").cast("bigint"))
+
+
+def bpe_encoded(spark, sf_dir, split=None):
+    vocab, merges = bpe_tokenizer(spark, sf_dir)
+    s = split_docs(spark, sf_dir)
+    if split:
+        s = s.filter(F.col("split") == split)
+    return tok.bpe_encode(s, vocab, merges, ["doc_id", "pos"], "story")
+
+
+@query("bpe_encode")
+def q_bpe_encode(spark, sf_dir):
+    return bpe_encoded(spark, sf_dir, "val").select("doc_id", "pos", ids_to_string("ids").alias("ids"))
+
+
+@query("token_stats")
+def q_token_stats(spark, sf_dir):
+    s = split_docs(spark, sf_dir)
+    chars = s.select(F.lit("char").alias("tokenizer"), tok.chars_of("story").alias("ids"))
+    bpe = bpe_encoded(spark, sf_dir).select(F.lit("bpe").alias("tokenizer"), "ids")
+    st = tok.token_stats(chars.unionByName(bpe.withColumn("ids", F.col("ids").cast("array<string>"))))
+    return st.withColumn("avg_tokens", F.round("avg_tokens", 6))

@@ -183,3 +183,60 @@ ORACLE["round_robin"] = """
 WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents),
 p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS p, count(*) OVER () AS n FROM benchmark)
 SELECT d.doc_id, p.item_id FROM d JOIN p ON p.p = d.i % p.n"""
+
+# ---------------------------------------------------------------- tokenizers
+from .sql_tokens import STORIES, TRAIN_WORDS, WORD_LISTS, bpe_rounds, encode_words, seg  # noqa: E402
+
+_TOK = "WITH " + STORIES + "," + WORD_LISTS
+_TRAIN = _TOK + "," + TRAIN_WORDS
+_BPE = _TRAIN + ",\n" + bpe_rounds(8)
+
+_CHARS = STORIES + """,
+char_vocab AS (
+  SELECT CAST(row_number() OVER (ORDER BY token) - 1 AS INTEGER) AS id, token FROM (
+    SELECT DISTINCT unnest(regexp_extract_all(story, '(?s).')) AS token FROM stories WHERE split = 'train'
+    UNION SELECT chr(10))
+),
+val_chars AS (
+  SELECT doc_id, pos, CAST(generate_subscripts(cs, 1) AS BIGINT) AS ci, unnest(cs) AS ch FROM (
+    SELECT doc_id, pos, regexp_extract_all(story, '(?s).') AS cs FROM stories WHERE split = 'val')
+)"""
+
+ORACLE["char_vocab"] = "WITH " + _CHARS + "\nSELECT id, token FROM char_vocab"
+
+ORACLE["char_encode"] = "WITH " + _CHARS + """
+SELECT doc_id, pos, coalesce(string_agg(CAST(v.id AS VARCHAR), ',' ORDER BY ci), '') AS ids,
+  CAST(count(*) FILTER (WHERE v.id IS NULL) AS BIGINT) AS n_oov
+FROM val_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
+
+ORACLE["char_decode"] = "WITH " + _CHARS + """
+SELECT doc_id, pos, coalesce(string_agg(v.token, '' ORDER BY ci), '') AS text
+FROM val_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
+
+ORACLE["pretokenize"] = _TOK + "\nSELECT doc_id, pos, tpos, word FROM tokens"
+
+ORACLE["word_counts"] = _TRAIN + "\nSELECT word, freq FROM train_words"
+
+ORACLE["byte_symbols"] = _TRAIN + f"\nSELECT word, {seg('word')} AS seg FROM train_words"
+
+ORACLE["pair_counts"] = _BPE + "\nSELECT l AS left_tok, r AS right_tok, CAST(c AS BIGINT) AS count FROM p1"
+
+ORACLE["bpe_train"] = _BPE + "\nSELECT CAST(rank AS BIGINT) AS rank, l AS left_tok, r AS right_tok, CAST(c AS BIGINT) AS count FROM merges"
+
+ORACLE["special_tokens"] = _BPE + "\nSELECT CAST(id AS BIGINT) AS id, token FROM bpe_vocab"
+
+_BPE_ENC = _BPE + ",\n" + encode_words(8, "tokens") + """,
+story_ids AS (
+  SELECT t.doc_id, t.pos, t.split,
+    '2,' || string_agg(CAST(w.id AS VARCHAR), ',' ORDER BY t.tpos, w.si) || ',3' AS ids,
+    count(*) + 2 AS n_ids
+  FROM tokens t JOIN word_ids2 w ON w.word = t.word GROUP BY t.doc_id, t.pos, t.split
+)"""
+
+ORACLE["bpe_encode"] = _BPE_ENC + "\nSELECT doc_id, pos, ids FROM story_ids WHERE split = 'val'"
+
+ORACLE["token_stats"] = _BPE_ENC + """
+SELECT 'char' AS tokenizer, CAST(count(*) AS BIGINT) AS n_texts, CAST(sum(length(story)) AS BIGINT) AS n_tokens,
+  round(avg(length(story)), 6) AS avg_tokens FROM stories
+UNION ALL
+SELECT 'bpe', CAST(count(*) AS BIGINT), CAST(sum(n_ids) AS BIGINT), round(avg(n_ids), 6) FROM story_ids"""
