@@ -12,7 +12,7 @@ TWO_POW_60 = float(2**60)
 
 def hash_key(seed, *keys) -> Column:
     """String ``"<seed>:<k1>:<k2>..."`` that all draws hash."""
-    parts = [F.lit(str(seed))]
+    parts = [seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))]
     for k in keys:
         parts.append(F.lit(":"))
         parts.append((F.col(k) if isinstance(k, str) else k).cast("string"))

@@ -45,7 +45,7 @@ def bucket_of(col, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def running_sum(
+def running_agg(
     df: DataFrame,
     value,
     order_cols: Sequence,
@@ -55,26 +55,27 @@ def running_sum(
     inclusive: bool = True,
     total_col: str | None = None,
     max_offset=None,
+    agg: str = "sum",
 ) -> DataFrame:
-    """Running ``sum(value)`` per partition group in ``order_cols`` order.
+    """Running ``sum`` / ``min`` / ``max`` of ``value`` per partition group in
+    ``order_cols`` order (two-level scan, see module doc).
 
-    ``bucket``: Column monotone in the order within a group (see module doc).
-    ``total_col``: also emit the group total.
-    ``max_offset``: drop whole buckets whose offset is ``>= max_offset`` before
-    the bucket-local window (early pruning for first-N style operators).
+    ``bucket``: Column monotone in the order within a group.
+    ``total_col``: also emit the group total (``agg`` over the whole group).
+    ``max_offset`` (sum only): drop whole buckets whose offset is
+    ``>= max_offset`` before the bucket-local window (early pruning).
     """
+    fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
     pk = _names(partition_cols)
     val = F.col(value) if isinstance(value, str) else value
     d = df.withColumn(BKT, bucket).withColumn("_val", val)
 
-    totals = d.groupBy(*pk, BKT).agg(F.sum("_val").alias("_btot"))
+    totals = d.groupBy(*pk, BKT).agg(fn("_val").alias("_btot"))
     w_small = Window.partitionBy(*pk).orderBy(BKT)
-    offsets = totals.withColumn(
-        "_boff",
-        F.coalesce(F.sum("_btot").over(w_small.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    )
+    prev = fn("_btot").over(w_small.rowsBetween(Window.unboundedPreceding, -1))
+    offsets = totals.withColumn("_boff", F.coalesce(prev, F.lit(0)) if agg == "sum" else prev)
     if total_col:
-        offsets = offsets.withColumn(total_col, F.sum("_btot").over(Window.partitionBy(*pk)))
+        offsets = offsets.withColumn(total_col, fn("_btot").over(Window.partitionBy(*pk)))
     if max_offset is not None:
         offsets = offsets.filter(F.col("_boff") < F.lit(max_offset))
     offsets = offsets.drop("_btot")
@@ -82,10 +83,22 @@ def running_sum(
     d = d.join(offsets, on=[*pk, BKT], how="inner")
     w = Window.partitionBy(*pk, BKT).orderBy(*_cols(order_cols))
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    d = d.withColumn(out, F.col("_boff") + F.coalesce(F.sum("_val").over(frame), F.lit(0)))
+    local = fn("_val").over(frame)
+    if agg == "sum":
+        res = F.col("_boff") + F.coalesce(local, F.lit(0))
+    elif agg == "min":
+        res = F.least(F.col("_boff"), local)
+    else:
+        res = F.greatest(F.col("_boff"), local)
+    d = d.withColumn(out, res)
     return d.drop(BKT, "_val", "_boff")
 
 
+def running_sum(df: DataFrame, value, order_cols: Sequence, bucket, partition_cols: Sequence = (), **kw) -> DataFrame:
+    """Running sum (two-level scan); see :func:`running_agg`."""
+    return running_agg(df, value, order_cols, bucket, partition_cols, agg="sum", **kw)
+
+
 def ordered_index(
     df: DataFrame,
     order_cols: Sequence,

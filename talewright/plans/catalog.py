@@ -317,3 +317,315 @@ def q_token_stats(spark, sf_dir):
     bpe = bpe_encoded(spark, sf_dir).select(F.lit("bpe").alias("tokenizer"), "ids")
     st = tok.token_stats(chars.unionByName(bpe.withColumn("ids", F.col("ids").cast("array<string>"))))
     return st.withColumn("avg_tokens", F.round("avg_tokens", 6))
+
+
+# ---------------------------------------------------------------- streams, SFT samples, n-gram model, metrics
+
+from ..operators import metrics, ngram, packing, scores, sweeps  # noqa: E402
+from ..operators.tokenizer import chars_of  # noqa: E402
+
+BLOCK = 4096            # tokens per stream block
+ALPHA = 1.0             # add-alpha smoothing of the count model
+SFT_CONTEXT = 256       # SFT context length (tokens)
+# benchmark sweep: comma lists as given on a command line, and the defaults
+SWEEP = {"seeds": "1337, 42,,7", "d_models": "", "contexts": ""}
+RUN_DEFAULTS = {"d_model": 96, "context_length": 128, "batch_size": 8, "eval_iters": 4}
+PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, PROMPT_SEED = 0.8, 20, 1.3, 1337
+
+
+def _scalar(df):
+    return df.collect()[0][0]
+
+
+def char_stream(spark, sf_dir):
+    """Char-level token stream blocks per split, separator "\\n\\n"."""
+    vocab = char_tokenizer(spark, sf_dir)
+    nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
+    enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop")
+    return packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK)
+
+
+def char_pairs(spark, sf_dir):
+    return packing.next_token_pairs(char_stream(spark, sf_dir), block_size=BLOCK)
+
+
+def char_vocab_size(spark, sf_dir):
+    return char_tokenizer(spark, sf_dir).count()
+
+
+def char_model(spark, sf_dir):
+    pairs = char_pairs(spark, sf_dir).filter(F.col("split") == "train")
+    return ngram.ngram_fit(pairs, char_vocab_size(spark, sf_dir), ALPHA)
+
+
+def char_scores(spark, sf_dir):
+    """Score table (ctx_id, token_id, logit): the count model's log-probabilities."""
+    m = char_model(spark, sf_dir)
+    return m.select(F.col("token").alias("ctx_id"), F.col("next_token").alias("token_id"), F.col("logprob").alias("logit"))
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+@query("pack_stream")
+def q_pack_stream(spark, sf_dir):
+    b = char_stream(spark, sf_dir)
+    return b.select("split", "block_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_to_string("ids").alias("ids"))
+
+
+@query("next_token_pairs")
+def q_next_token_pairs(spark, sf_dir):
+    return char_pairs(spark, sf_dir)
+
+
+@query("ngram_fit")
+def q_ngram_fit(spark, sf_dir):
+    m = char_model(spark, sf_dir)
+    return m.select("token", "next_token", F.col("count").cast("bigint").alias("count"), r6("logprob").alias("logprob"))
+
+
+@query("ngram_score")
+def q_ngram_score(spark, sf_dir):
+    pairs = char_pairs(spark, sf_dir).filter(F.col("split") == "val")
+    s = ngram.ngram_score(pairs, char_model(spark, sf_dir), char_vocab_size(spark, sf_dir), ALPHA)
+    return s.select("token", "next_token", F.col("n").cast("bigint").alias("n"), r6("nll").alias("nll"), "correct")
+
+
+@query("ngram_eval")
+def q_ngram_eval(spark, sf_dir):
+    pairs = char_pairs(spark, sf_dir)
+    rep = ngram.ngram_eval(pairs.filter(F.col("split") == "train"), pairs, char_vocab_size(spark, sf_dir), ALPHA)
+    return rep.select("split", "n_tokens", *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc", "top1_accuracy")])
+
+
+# -- window-sampled evaluation over a seed sweep (the benchmark suite)
+
+
+def sweep_runs(spark):
+    grid = sweeps.sweep_grid(spark, SWEEP["seeds"], SWEEP["d_models"], SWEEP["contexts"])
+    return sweeps.apply_overrides(grid, RUN_DEFAULTS)
+
+
+def eval_windows(spark, sf_dir, runs=None):
+    runs = runs if runs is not None else sweep_runs(spark)
+    blocks = char_stream(spark, sf_dir)
+    sizes = blocks.groupBy("split").agg(F.sum(F.size("ids")).cast("bigint").alias("n_tokens"))
+    draws = packing.draw_table(spark, runs.select("seed", "context_length", "batch_size", "eval_iters"), ["train", "val"])
+    return packing.window_batch(blocks, draws, sizes, BLOCK)
+
+
+def eval_positions(spark, sf_dir):
+    """Every (x_i, y_i) of every window, scored by the count model."""
+    w = eval_windows(spark, sf_dir)
+    z = w.select("seed", "split", "batch", "draw", F.posexplode(F.arrays_zip(F.col("x").alias("token"), F.col("y").alias("next_token"))).alias("i", "p"))
+    pairs = z.select("seed", "split", "batch", "draw", "i", "p.token", "p.next_token")
+    model = char_model(spark, sf_dir)
+    V = char_vocab_size(spark, sf_dir)
+    pc = model.select("token", "next_token", "count")
+    ctx = ngram.context_table(model)
+    d = pairs.join(pc, ["token", "next_token"], "left").join(ctx, "token", "left")
+    nll = -F.log((F.coalesce("count", F.lit(0)) + F.lit(ALPHA)) / (F.coalesce("ctx_total", F.lit(0)) + F.lit(ALPHA * V)))
+    return d.select("seed", "split", "batch", "draw", "i", "token", "next_token", nll.alias("nll"),
+                    (F.coalesce("pred", F.lit(0)) == F.col("next_token")).cast("int").alias("correct"))
+
+
+def eval_report_df(spark, sf_dir):
+    pos = eval_positions(spark, sf_dir)
+    mb = metrics.mean_of_batches(pos, ["seed", "split"], "batch", "nll")
+    acc = pos.groupBy("seed", "split").agg(F.avg("correct").alias("top1_accuracy"), F.count(F.lit(1)).cast("bigint").alias("n_tokens"))
+    return metrics.loss_metrics(mb.join(acc, ["seed", "split"]))
+
+
+@query("window_batch")
+def q_window_batch(spark, sf_dir):
+    runs = sweep_runs(spark).filter(F.col("seed") == 1337).withColumn("eval_iters", F.lit(4)).withColumn("batch_size", F.lit(8))
+    w = eval_windows(spark, sf_dir, runs).filter(F.col("split") == "val")
+    return w.select("draw", "start", ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
+
+
+@query("token_nll")
+def q_token_nll(spark, sf_dir):
+    pos = eval_positions(spark, sf_dir).filter((F.col("seed") == 1337) & (F.col("split") == "val") & (F.col("batch") == 0))
+    targets = pos.select("draw", "i", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
+    out = metrics.token_nll(char_scores(spark, sf_dir), targets)
+    return out.select("draw", F.col("i").cast("bigint").alias("i"), r6("nll").alias("nll"))
+
+
+@query("mean_batch_loss")
+def q_mean_batch_loss(spark, sf_dir):
+    mb = metrics.mean_of_batches(eval_positions(spark, sf_dir), ["seed", "split"], "batch", "nll")
+    return mb.select("seed", "split", F.col("n_batches").cast("bigint").alias("n_batches"), r6("loss").alias("loss"))
+
+
+@query("loss_metrics")
+def q_loss_metrics(spark, sf_dir):
+    mb = metrics.mean_of_batches(eval_positions(spark, sf_dir), ["seed", "split"], "batch", "nll")
+    lm = metrics.loss_metrics(mb)
+    return lm.select("seed", "split", *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc")])
+
+
+@query("top1_accuracy")
+def q_top1_accuracy(spark, sf_dir):
+    pos = eval_positions(spark, sf_dir)
+    targets = pos.select("seed", "split", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
+    acc = metrics.top1_accuracy(char_scores(spark, sf_dir), targets, ["seed", "split"])
+    return acc.select("seed", "split", F.col("total").cast("bigint").alias("total"), r6("top1_accuracy").alias("top1_accuracy"))
+
+
+@query("eval_report")
+def q_eval_report(spark, sf_dir):
+    rep = eval_report_df(spark, sf_dir)
+    return rep.select("seed", "split", F.col("n_batches").cast("bigint").alias("n_batches"), "n_tokens",
+                      *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc", "top1_accuracy")])
+
+
+@query("seed_stability")
+def q_seed_stability(spark, sf_dir):
+    val = eval_report_df(spark, sf_dir).filter(F.col("split") == "val").select(
+        F.col("loss").alias("val_loss"), F.col("perplexity").alias("val_perplexity"))
+    st = metrics.seed_stability(val)
+    return st.select(F.col("num_runs").cast("bigint").alias("num_runs"),
+                     *[r6(c).alias(c) for c in ("val_loss_mean", "val_loss_std", "val_ppl_mean", "val_ppl_std")])
+
+
+@query("sweep_grid")
+def q_sweep_grid(spark, sf_dir):
+    grid = sweeps.sweep_grid(spark, SWEEP["seeds"], SWEEP["d_models"], SWEEP["contexts"])
+    val = eval_report_df(spark, sf_dir).filter(F.col("split") == "val").select("seed", F.col("loss").alias("val_loss"))
+    return grid.join(val, "seed", "left").select("seed", "d_model", "context_length", r6("val_loss").alias("val_loss"))
+
+
+@query("config_override")
+def q_config_override(spark, sf_dir):
+    runs = sweep_runs(spark)
+    windows = eval_windows(spark, sf_dir).groupBy("seed").agg(F.count(F.lit(1)).cast("bigint").alias("windows"))
+    return runs.join(windows, "seed", "left").select(
+        "seed", *[F.col(c).cast("bigint").alias(c) for c in RUN_DEFAULTS], "windows")
+
+
+@query("bits_per_char")
+def q_bits_per_char(spark, sf_dir):
+    pairs = char_pairs(spark, sf_dir)
+    V = char_vocab_size(spark, sf_dir)
+    sc = ngram.ngram_score(pairs, char_model(spark, sf_dir), V, ALPHA, by=["split"])
+    chars = char_tokenizer(spark, sf_dir).select(F.col("id").alias("next_token"), F.length("token").alias("_len"))
+    d = sc.join(chars, "next_token").select("split", (F.col("n") * F.col("nll")).alias("nll"), (F.col("n") * F.col("_len")).alias("chars"))
+    return metrics.bits_per_char(d, ["split"]).select("split", r6("bits_per_char").alias("bits_per_char"), "chars")
+
+
+@query("throughput")
+def q_throughput(spark, sf_dir):
+    ev = read(spark, sf_dir, "events")
+    per = ev.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("tokens"),
+        (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))).alias("_us"))
+    per = per.withColumn("seconds", F.col("_us") / F.lit(1e6))
+    return metrics.throughput(per, ["event_type"]).select(
+        "event_type", "tokens", r6("seconds").alias("seconds"), r6("tokens_per_sec").alias("tokens_per_sec"))
+
+
+# -- log windows (events as a training log: run = event_type, step = event_id, loss = value)
+
+LOG_BUCKET = 4096
+
+
+def train_log(spark, sf_dir):
+    ev = read(spark, sf_dir, "events")
+    return ev.select(F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("val_loss"), "ts")
+
+
+@query("best_so_far")
+def q_best_so_far(spark, sf_dir):
+    d = metrics.best_so_far(train_log(spark, sf_dir), "run", "step", "val_loss", ordering.bucket_of("step", LOG_BUCKET))
+    return d.select("run", "step", "val_loss", "best_before", "is_best")
+
+
+@query("eval_points")
+def q_eval_points(spark, sf_dir):
+    return metrics.eval_points(train_log(spark, sf_dir), "run", "step", 500).select("run", "step")
+
+
+def daily_runs(spark, sf_dir):
+    log = train_log(spark, sf_dir)
+    return log.groupBy("run", F.to_date("ts").alias("day")).agg(F.avg("val_loss").alias("val_loss"), F.count(F.lit(1)).alias("steps"))
+
+
+@query("run_delta")
+def q_run_delta(spark, sf_dir):
+    d = metrics.run_delta(daily_runs(spark, sf_dir), "run", "day", ["val_loss"])
+    return d.select("run", F.col("day").cast("string").alias("day"), r6("val_loss").alias("val_loss"), r6("val_loss_delta").alias("val_loss_delta"))
+
+
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("compare_runs")
+def q_compare_runs(spark, sf_dir):
+    d = daily_runs(spark, sf_dir).withColumn("val_loss", F.round("val_loss", 6))
+    c = metrics.compare_runs(d, "day", "run", "val_loss", EVENT_TYPES)
+    return c.select(F.col("day").cast("string").alias("day"), "winner", *EVENT_TYPES)
+
+
+@query("best_checkpoint")
+def q_best_checkpoint(spark, sf_dir):
+    return metrics.pick_best(train_log(spark, sf_dir), "run", "step", "val_loss")
+
+
+# -- prompts as contexts: repetition penalty, top-k, one draw
+
+
+def prompt_contexts(spark, sf_dir):
+    """Benchmark items as generation prompts: char ids, last id = context token."""
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("story"))
+    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="drop").filter(F.size("ids") > 0)
+    return enc.select("ctx_id", "ids", F.element_at("ids", -1).alias("last"))
+
+
+def prompt_scores(spark, sf_dir):
+    ctx = prompt_contexts(spark, sf_dir)
+    sc = char_scores(spark, sf_dir).withColumnRenamed("ctx_id", "last")
+    return ctx.join(sc, "last").select("ctx_id", "token_id", "logit")
+
+
+def prompt_history(spark, sf_dir):
+    return prompt_contexts(spark, sf_dir).select("ctx_id", F.explode("ids").alias("token_id"))
+
+
+@query("seen_penalty")
+def q_seen_penalty(spark, sf_dir):
+    d = scores.repetition_penalty(prompt_scores(spark, sf_dir), prompt_history(spark, sf_dir), PROMPT_PENALTY)
+    return d.select("ctx_id", "token_id", r6("logit").alias("logit"))
+
+
+@query("top_k_filter")
+def q_top_k_filter(spark, sf_dir):
+    d = scores.top_k_filter(prompt_scores(spark, sf_dir), 5)
+    return d.select("ctx_id", "token_id", r6("logit").alias("logit"), "kept")
+
+
+@query("sample_next")
+def q_sample_next(spark, sf_dir):
+    return scores.sample_next(prompt_scores(spark, sf_dir), prompt_history(spark, sf_dir),
+                              PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, PROMPT_SEED)
+
+
+@query("oov_tokens")
+def q_oov_tokens(spark, sf_dir):
+    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
+    chars = val.select(F.explode(chars_of("story")).alias("token"))
+    miss = chars.join(char_tokenizer(spark, sf_dir), "token", "left_anti")
+    return miss.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+# -- corpus profile
+
+
+@query("corpus_profile")
+def q_corpus_profile(spark, sf_dir):
+    return metrics.corpus_profile(instruct_lines(spark, sf_dir), q_assemble_records(spark, sf_dir))
+
+
+@query("prompt_diversity")
+def q_prompt_diversity(spark, sf_dir):
+    return metrics.prompt_diversity(q_assemble_records(spark, sf_dir))

@@ -240,3 +240,234 @@ SELECT 'char' AS tokenizer, CAST(count(*) AS BIGINT) AS n_texts, CAST(sum(length
   round(avg(length(story)), 6) AS avg_tokens FROM stories
 UNION ALL
 SELECT 'bpe', CAST(count(*) AS BIGINT), CAST(sum(n_ids) AS BIGINT), round(avg(n_ids), 6) FROM story_ids"""
+
+# ---------------------------------------------------------------- streams, n-gram model, evaluation
+from .sql_tokens import pretoken_ctes, sql_uniform_cols  # noqa: E402
+
+_STREAM_CTES = _CHARS + """,
+all_chars AS (
+  SELECT split, doc_id, pos, CAST(generate_subscripts(cs, 1) AS BIGINT) AS ci, unnest(cs) AS ch FROM (
+    SELECT split, doc_id, pos, regexp_extract_all(story, '(?s).') AS cs FROM stories)
+),
+last_story AS (
+  SELECT split, doc_id, pos FROM (
+    SELECT split, doc_id, pos, row_number() OVER (PARTITION BY split ORDER BY doc_id DESC, pos DESC) AS rn FROM stories)
+  WHERE rn = 1
+),
+stream AS (
+  SELECT c.split, c.doc_id, c.pos, c.ci, v.id AS token FROM all_chars c JOIN char_vocab v ON v.token = c.ch
+  UNION ALL
+  SELECT s.split, s.doc_id, s.pos, 1000000000 + j.j, (SELECT id FROM char_vocab WHERE token = chr(10))
+  FROM stories s, (VALUES (1), (2)) j(j)
+  WHERE NOT EXISTS (SELECT 1 FROM last_story l WHERE l.split = s.split AND l.doc_id = s.doc_id AND l.pos = s.pos)
+),
+positions AS (
+  SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id, pos, ci) - 1 AS BIGINT) AS gpos, token FROM stream
+),
+pairs AS (
+  SELECT split, gpos, token, next_token FROM (
+    SELECT split, gpos, token, lead(token) OVER (PARTITION BY split ORDER BY gpos) AS next_token FROM positions)
+  WHERE next_token IS NOT NULL
+),
+vsize AS (SELECT count(*) AS v FROM char_vocab),
+counts AS (SELECT token, next_token, count(*) AS c FROM pairs WHERE split = 'train' GROUP BY ALL),
+ctx AS (
+  SELECT token, tot, next_token AS pred FROM (
+    SELECT token, next_token, sum(c) OVER (PARTITION BY token) AS tot,
+      row_number() OVER (PARTITION BY token ORDER BY c DESC, next_token) AS rn FROM counts)
+  WHERE rn = 1
+),
+model AS (
+  SELECT c.token, c.next_token, c.c, x.tot, x.pred, ln((c.c + 1.0) / (x.tot + 1.0 * (SELECT v FROM vsize))) AS logprob
+  FROM counts c JOIN ctx x USING (token)
+)"""
+
+_STREAM = "WITH " + _STREAM_CTES
+
+
+def _score(src: str) -> str:
+    return f"""SELECT w.*, -ln((coalesce(m.c, 0) + 1.0) / (coalesce(x.tot, 0) + 1.0 * (SELECT v FROM vsize))) AS nll,
+      CAST(coalesce(x.pred, 0) = w.next_token AS INTEGER) AS correct
+    FROM {src} w LEFT JOIN counts m ON m.token = w.token AND m.next_token = w.next_token
+    LEFT JOIN ctx x ON x.token = w.token"""
+
+
+ORACLE["pack_stream"] = _STREAM + """
+SELECT split, gpos // 4096 AS block_id, CAST(count(*) AS BIGINT) AS n_tokens,
+  string_agg(CAST(token AS VARCHAR), ',' ORDER BY gpos) AS ids
+FROM positions GROUP BY ALL"""
+
+ORACLE["next_token_pairs"] = _STREAM + "\nSELECT split, gpos, token, next_token FROM pairs"
+
+ORACLE["ngram_fit"] = _STREAM + "\nSELECT token, next_token, CAST(c AS BIGINT) AS count, round(logprob, 6) AS logprob FROM model"
+
+ORACLE["ngram_score"] = _STREAM + """,
+vm AS (SELECT token, next_token, count(*) AS n FROM pairs WHERE split = 'val' GROUP BY ALL),
+sc AS (""" + _score("vm") + """)
+SELECT token, next_token, CAST(n AS BIGINT) AS n, round(nll, 6) AS nll, correct FROM sc"""
+
+ORACLE["ngram_eval"] = _STREAM + """,
+sc AS (""" + _score("pairs") + """)
+SELECT split, CAST(count(*) AS BIGINT) AS n_tokens, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 6) AS perplexity,
+  round(avg(nll) / ln(2), 6) AS bpc, round(avg(correct), 6) AS top1_accuracy
+FROM sc GROUP BY split"""
+
+ORACLE["bits_per_char"] = _STREAM + """,
+sc AS (""" + _score("pairs") + """)
+SELECT split, round(sum(nll) / (ln(2) * sum(length(v.token))), 6) AS bits_per_char, CAST(sum(length(v.token)) AS BIGINT) AS chars
+FROM sc JOIN char_vocab v ON v.id = sc.next_token GROUP BY split"""
+
+_EVAL = _STREAM + """,
+runs AS (
+  SELECT unnest(list_transform(list_filter(list_transform(string_split('1337, 42,,7', ','), lambda x: trim(x)),
+                                           lambda x: x <> ''), lambda x: CAST(x AS INTEGER))) AS seed
+),
+draws AS (
+  SELECT r.seed, s.split, d.draw, d.draw // 8 AS batch
+  FROM runs r, (VALUES ('train'), ('val')) s(split), range(0, 32) d(draw)
+),
+sizes AS (SELECT split, count(*) AS n FROM positions GROUP BY split),
+starts AS (
+  SELECT d.*, CAST(floor(""" + sql_uniform_cols("d.seed", "d.draw") + """ * (z.n - 128)) AS BIGINT) AS start
+  FROM draws d JOIN sizes z USING (split)
+),
+win_pairs AS (
+  SELECT s.seed, s.split, s.batch, s.draw, s.start, p.gpos - s.start AS i, p.token, p.next_token
+  FROM starts s JOIN pairs p ON p.split = s.split AND p.gpos >= s.start AND p.gpos < s.start + 128
+),
+scored AS (""" + _score("win_pairs") + """),
+batches AS (SELECT seed, split, batch, avg(nll) AS bl FROM scored GROUP BY ALL),
+report AS (
+  SELECT b.seed, b.split, count(*) AS n_batches, avg(bl) AS loss,
+    (SELECT count(*) FROM scored s WHERE s.seed = b.seed AND s.split = b.split) AS n_tokens,
+    (SELECT avg(correct) FROM scored s WHERE s.seed = b.seed AND s.split = b.split) AS top1_accuracy
+  FROM batches b GROUP BY b.seed, b.split
+)"""
+
+ORACLE["window_batch"] = _EVAL + """
+SELECT draw, start, string_agg(CAST(token AS VARCHAR), ',' ORDER BY i) AS x,
+  string_agg(CAST(next_token AS VARCHAR), ',' ORDER BY i) AS y
+FROM win_pairs WHERE seed = 1337 AND split = 'val' GROUP BY draw, start"""
+
+ORACLE["token_nll"] = _EVAL + """,
+lse AS (
+  SELECT token, mx + ln(sum(exp(logprob - mx))) AS lse FROM (
+    SELECT token, logprob, max(logprob) OVER (PARTITION BY token) AS mx FROM model) GROUP BY token, mx
+)
+SELECT w.draw, CAST(w.i AS BIGINT) AS i, round(l.lse - m.logprob, 6) AS nll
+FROM win_pairs w LEFT JOIN lse l ON l.token = w.token
+LEFT JOIN model m ON m.token = w.token AND m.next_token = w.next_token
+WHERE w.seed = 1337 AND w.split = 'val' AND w.batch = 0"""
+
+ORACLE["mean_batch_loss"] = _EVAL + """
+SELECT seed, split, CAST(n_batches AS BIGINT) AS n_batches, round(loss, 6) AS loss FROM report"""
+
+ORACLE["loss_metrics"] = _EVAL + """
+SELECT seed, split, round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity, round(loss / ln(2), 6) AS bpc FROM report"""
+
+ORACLE["top1_accuracy"] = _EVAL + """
+SELECT w.seed, w.split, CAST(count(*) AS BIGINT) AS total,
+  round(sum(CASE WHEN x.pred = w.next_token THEN 1 ELSE 0 END) / count(*), 6) AS top1_accuracy
+FROM win_pairs w LEFT JOIN ctx x ON x.token = w.token GROUP BY w.seed, w.split"""
+
+ORACLE["eval_report"] = _EVAL + """
+SELECT seed, split, CAST(n_batches AS BIGINT) AS n_batches, CAST(n_tokens AS BIGINT) AS n_tokens,
+  round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity, round(loss / ln(2), 6) AS bpc,
+  round(top1_accuracy, 6) AS top1_accuracy
+FROM report"""
+
+ORACLE["seed_stability"] = _EVAL + """
+SELECT CAST(count(*) AS BIGINT) AS num_runs, round(avg(loss), 6) AS val_loss_mean, round(stddev_pop(loss), 6) AS val_loss_std,
+  round(avg(exp(loss)), 6) AS val_ppl_mean, round(stddev_pop(exp(loss)), 6) AS val_ppl_std
+FROM report WHERE split = 'val'"""
+
+ORACLE["sweep_grid"] = _EVAL + """
+SELECT r.seed, CAST(NULL AS INTEGER) AS d_model, CAST(NULL AS INTEGER) AS context_length, round(p.loss, 6) AS val_loss
+FROM runs r LEFT JOIN report p ON p.seed = r.seed AND p.split = 'val'"""
+
+ORACLE["config_override"] = _EVAL + """
+SELECT r.seed, CAST(96 AS BIGINT) AS d_model, CAST(128 AS BIGINT) AS context_length, CAST(8 AS BIGINT) AS batch_size,
+  CAST(4 AS BIGINT) AS eval_iters, (SELECT CAST(count(*) AS BIGINT) FROM starts s WHERE s.seed = r.seed) AS windows
+FROM runs r"""
+
+ORACLE["throughput"] = """
+SELECT event_type, CAST(count(*) AS BIGINT) AS tokens, round((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6, 6) AS seconds,
+  round(CASE WHEN epoch_us(max(ts)) - epoch_us(min(ts)) > 0
+             THEN count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6) ELSE 0.0 END, 6) AS tokens_per_sec
+FROM events GROUP BY event_type"""
+
+_LOG = "WITH log AS (SELECT event_type AS run, event_id AS step, value AS val_loss, ts FROM events)"
+
+ORACLE["best_so_far"] = _LOG + """
+SELECT run, step, val_loss, best_before, best_before IS NULL OR val_loss < best_before AS is_best FROM (
+  SELECT run, step, val_loss, min(val_loss) OVER (PARTITION BY run ORDER BY step
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS best_before FROM log)"""
+
+ORACLE["eval_points"] = _LOG + """
+SELECT run, step FROM (SELECT run, step, max(step) OVER (PARTITION BY run) AS last FROM log)
+WHERE step % 500 = 0 OR step = last"""
+
+_DAILY = _LOG + """,
+daily AS (SELECT run, CAST(ts AS DATE) AS day, avg(val_loss) AS val_loss FROM log GROUP BY ALL)"""
+
+ORACLE["run_delta"] = _DAILY + """
+SELECT run, CAST(day AS VARCHAR) AS day, round(val_loss, 6) AS val_loss,
+  round(val_loss - lag(val_loss) OVER (PARTITION BY run ORDER BY day), 6) AS val_loss_delta FROM daily"""
+
+ORACLE["compare_runs"] = _DAILY + """,
+r AS (SELECT run, day, round(val_loss, 6) AS v FROM daily)
+SELECT CAST(day AS VARCHAR) AS day,
+  (SELECT r2.run FROM r r2 WHERE r2.day = r.day ORDER BY r2.v, r2.run LIMIT 1) AS winner,
+  max(CASE WHEN run = 'click' THEN v END) AS click, max(CASE WHEN run = 'error' THEN v END) AS error,
+  max(CASE WHEN run = 'purchase' THEN v END) AS purchase, max(CASE WHEN run = 'signup' THEN v END) AS signup,
+  max(CASE WHEN run = 'view' THEN v END) AS view
+FROM r GROUP BY day"""
+
+ORACLE["best_checkpoint"] = _LOG + """
+SELECT run, step AS best_step, val_loss AS best_loss FROM (
+  SELECT run, step, val_loss, row_number() OVER (PARTITION BY run ORDER BY val_loss, step) AS rn FROM log)
+WHERE rn = 1"""
+
+_PROMPTS = _STREAM + """,
+item_chars AS (
+  SELECT ctx_id, CAST(generate_subscripts(cs, 1) AS BIGINT) AS ci, unnest(cs) AS ch FROM (
+    SELECT item_id AS ctx_id, regexp_extract_all(text, '(?s).') AS cs FROM benchmark)
+),
+item_ids AS (SELECT ic.ctx_id, ic.ci, v.id FROM item_chars ic JOIN char_vocab v ON v.token = ic.ch),
+ctx_last AS (SELECT ctx_id, arg_max(id, ci) AS last FROM item_ids GROUP BY ctx_id),
+pscores AS (SELECT l.ctx_id, m.next_token AS token_id, m.logprob AS logit FROM ctx_last l JOIN model m ON m.token = l.last),
+hist AS (SELECT DISTINCT ctx_id, id AS token_id FROM item_ids),
+penalized AS (
+  SELECT p.ctx_id, p.token_id, CASE WHEN h.token_id IS NOT NULL THEN p.logit / 1.3 ELSE p.logit END AS logit
+  FROM pscores p LEFT JOIN hist h ON h.ctx_id = p.ctx_id AND h.token_id = p.token_id
+)"""
+
+ORACLE["seen_penalty"] = _PROMPTS + "\nSELECT ctx_id, token_id, round(logit, 6) AS logit FROM penalized"
+
+ORACLE["top_k_filter"] = _PROMPTS + """
+SELECT ctx_id, token_id, round(logit, 6) AS logit, rank() OVER (PARTITION BY ctx_id ORDER BY logit DESC) <= 5 AS kept
+FROM pscores"""
+
+ORACLE["sample_next"] = _PROMPTS + """,
+t AS (
+  SELECT p.ctx_id, p.token_id, CASE WHEN h.token_id IS NOT NULL THEN (p.logit / 0.8) / 1.3 ELSE p.logit / 0.8 END AS logit
+  FROM pscores p LEFT JOIN hist h ON h.ctx_id = p.ctx_id AND h.token_id = p.token_id
+),
+k AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx_id ORDER BY logit DESC) AS rk FROM t) WHERE rk <= 20),
+pr AS (SELECT ctx_id, token_id, exp(logit - max(logit) OVER (PARTITION BY ctx_id)) AS e FROM k),
+cu AS (
+  SELECT ctx_id, token_id, sum(e / tot) OVER (PARTITION BY ctx_id ORDER BY token_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM (SELECT *, sum(e) OVER (PARTITION BY ctx_id) AS tot FROM pr)
+)
+SELECT ctx_id, coalesce(min(CASE WHEN cum > """ + sql_uniform_cols("1337", "ctx_id") + """ THEN token_id END), max(token_id)) AS token_id
+FROM cu GROUP BY ctx_id"""
+
+ORACLE["oov_tokens"] = _STREAM + """
+SELECT ch AS token, CAST(count(*) AS BIGINT) AS n FROM all_chars c
+WHERE split = 'val' AND NOT EXISTS (SELECT 1 FROM char_vocab v WHERE v.token = c.ch) GROUP BY ch"""
+
+ORACLE["corpus_profile"] = _RECS + """
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM instruct_lines) AS raw_rows,
+  (SELECT CAST(count(*) AS BIGINT) FROM assembled) AS records, CAST(3 AS BIGINT) AS n_columns"""
+
+ORACLE["prompt_diversity"] = _RECS + "\nSELECT CAST(count(DISTINCT prompt) AS BIGINT) AS unique_prompts FROM assembled"

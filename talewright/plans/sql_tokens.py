@@ -88,3 +88,23 @@ word_ids2 AS (
   SELECT w.word, w.si, coalesce(v.id, 1) AS id FROM word_ids w LEFT JOIN bpe_vocab v ON v.token = w.sym
 )""")
     return ",\n".join(out)
+
+
+def pretoken_ctes(name: str, src: str, keys: str, text: str) -> str:
+    """Pre-tokens of ``text`` for every row of ``src``: CTE ``{name}_tok``
+    (keys..., tpos, word)."""
+    return f"""
+{name}_wl AS (
+  SELECT {keys}, flatten(list_transform(
+      string_split(regexp_replace({text}, '(\\s)(\\s\\S)', '\\1' || chr(1) || '\\2', 'g'), chr(1)),
+      lambda p: regexp_extract_all(p, '{_SQL_PATTERN}'))) AS ws
+  FROM {src}
+),
+{name}_tok AS (
+  SELECT {keys}, CAST(generate_subscripts(ws, 1) - 1 AS BIGINT) AS tpos, unnest(ws) AS word FROM {name}_wl
+)"""
+
+
+def sql_uniform_cols(seed_sql: str, key_sql: str) -> str:
+    return (f"(('0x' || substr(md5(CAST({seed_sql} AS VARCHAR) || ':' || CAST({key_sql} AS VARCHAR)), 1, 15))"
+            f"::BIGINT::DOUBLE / {float(2**60)!r})")
