@@ -629,3 +629,92 @@ def q_corpus_profile(spark, sf_dir):
 @query("prompt_diversity")
 def q_prompt_diversity(spark, sf_dir):
     return metrics.prompt_diversity(q_assemble_records(spark, sf_dir))
+
+
+# -- SFT samples (chat pairs, byte-level BPE with BOS/EOS on every encode)
+
+
+def sft_records(spark, sf_dir):
+    pairs = q_chat_pairs(spark, sf_dir)
+    return ordering.ratio_split(pairs, ["conv_id", "turn"], ordering.bucket_of("conv_id", 1024), 0.90, 0.05, 0.05)
+
+
+def sft_encoded(spark, sf_dir):
+    vocab, merges = bpe_tokenizer(spark, sf_dir)
+    recs = blocks.full_text(sft_records(spark, sf_dir))
+    keys = ["conv_id", "turn"]
+    full = tok.bpe_encode(recs, vocab, merges, keys, "full_text", out="full_ids")
+    prompt = tok.bpe_encode(recs, vocab, merges, keys, "prompt_text", out="prompt_ids")
+    return recs.select(*keys, "split").join(full, keys).join(prompt, keys)
+
+
+def sft_trip(spark, sf_dir):
+    return packing.sft_triplets(sft_encoded(spark, sf_dir), SFT_CONTEXT)
+
+
+def _mask_str(c):
+    return ids_to_string(F.transform(c, lambda x: x.cast("int")))
+
+
+@query("sft_triplets")
+def q_sft_triplets(spark, sf_dir):
+    t = sft_trip(spark, sf_dir)
+    return t.select("conv_id", "turn", "split", F.size("full_ids").cast("bigint").alias("full_len"),
+                    F.size("prompt_ids").cast("bigint").alias("prompt_len"),
+                    ids_to_string("tokens").alias("tokens"), ids_to_string("targets").alias("targets"),
+                    _mask_str("mask").alias("mask"))
+
+
+@query("truncate_pad")
+def q_truncate_pad(spark, sf_dir):
+    e = sft_encoded(spark, sf_dir)
+    return e.select("conv_id", "turn", ids_to_string(packing.truncate_pad("full_ids", SFT_CONTEXT)).alias("tokens"))
+
+
+@query("shift_targets")
+def q_shift_targets(spark, sf_dir):
+    e = sft_encoded(spark, sf_dir)
+    return e.select("conv_id", "turn", ids_to_string(packing.shift_targets("full_ids", SFT_CONTEXT)).alias("targets"))
+
+
+@query("loss_mask")
+def q_loss_mask(spark, sf_dir):
+    e = sft_encoded(spark, sf_dir)
+    m = packing.loss_mask(F.size("full_ids"), F.size("prompt_ids"), SFT_CONTEXT, compat=True)
+    return e.select("conv_id", "turn", _mask_str(m).alias("mask"))
+
+
+@query("mask_coverage")
+def q_mask_coverage(spark, sf_dir):
+    c = packing.mask_coverage(sft_trip(spark, sf_dir), SFT_CONTEXT)
+    return c.select(*[F.col(x).cast("bigint").alias(x) for x in c.columns])
+
+
+@query("masked_loss")
+def q_masked_loss(spark, sf_dir):
+    """Per record ``sum(nll * mask) / max(sum(mask), 1)``; the nll of each
+    position comes from a count model fit on the train records' real
+    (token, target) pairs, smoothed over the BPE vocabulary."""
+    t = sft_trip(spark, sf_dir)
+    V = bpe_tokenizer(spark, sf_dir)[0].count()
+    L = F.least(F.size("full_ids"), F.lit(SFT_CONTEXT))
+    pos = t.select("conv_id", "turn", "split", L.alias("L"),
+                   F.posexplode(F.arrays_zip(F.col("tokens").alias("token"), F.col("targets").alias("next_token"),
+                                             F.col("mask").alias("m"))).alias("i", "p"))
+    pos = pos.select("conv_id", "turn", "split", "L", "i", "p.token", "p.next_token", "p.m")
+    train_pairs = pos.filter((F.col("split") == "train") & (F.col("i") < F.col("L") - 1))
+    model = ngram.ngram_fit(train_pairs, V, ALPHA)
+    scored = ngram.ngram_score(pos.filter(F.col("m") > 0), model, V, ALPHA, by=["conv_id", "turn"])
+    per = scored.groupBy("conv_id", "turn").agg(F.sum(F.col("n") * F.col("nll")).alias("_num"), F.sum("n").alias("_den"))
+    recs = t.select("conv_id", "turn")
+    out = recs.join(per, ["conv_id", "turn"], "left")
+    ml = F.coalesce(F.col("_num"), F.lit(0.0)) / F.greatest(F.coalesce(F.col("_den"), F.lit(0)).cast("double"), F.lit(1.0))
+    return out.select("conv_id", "turn", r6(ml).alias("masked_loss"))
+
+
+@query("record_batch")
+def q_record_batch(spark, sf_dir):
+    recs = sft_records(spark, sf_dir).withColumn("split", F.when(F.col("split") == "holdout_test", "holdout_test").otherwise(F.col("split")))
+    idx = ordering.ordered_index(recs, ["conv_id", "turn"], ordering.bucket_of("conv_id", 1024), ["split"])
+    b = sampling.record_batch(idx, "train", 16, 1337)
+    return b.select("draw", "conv_id", "turn")

@@ -471,3 +471,72 @@ SELECT (SELECT CAST(count(*) AS BIGINT) FROM instruct_lines) AS raw_rows,
   (SELECT CAST(count(*) AS BIGINT) FROM assembled) AS records, CAST(3 AS BIGINT) AS n_columns"""
 
 ORACLE["prompt_diversity"] = _RECS + "\nSELECT CAST(count(DISTINCT prompt) AS BIGINT) AS unique_prompts FROM assembled"
+
+# ---------------------------------------------------------------- SFT samples
+_SFT = _BPE + """,
+chat AS (
+  SELECT a.conv_id, a.turn, u.text AS prompt, a.text AS response
+  FROM conversations a JOIN conversations u ON a.conv_id = u.conv_id AND u.turn = a.turn - 1
+  WHERE a.role = 'assistant' AND u.role = 'user'
+),
+recs AS (
+  SELECT conv_id, turn, prompt || chr(10) || chr(10) AS prompt_text, prompt || chr(10) || chr(10) || response AS full_text,
+    CASE WHEN i < floor(n * 0.9) THEN 'train'
+         WHEN i < floor(n * 0.9) + floor((n - floor(n * 0.9)) * (1 - 0.05 / (0.05 + 0.05))) THEN 'test'
+         ELSE 'holdout_test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, count(*) OVER () AS n FROM chat)
+),""" + pretoken_ctes("sp", "recs", "conv_id, turn", "prompt_text") + "," + pretoken_ctes("sf", "recs", "conv_id, turn", "full_text") + ",\n" + encode_words(8, "(SELECT word FROM sp_tok UNION SELECT word FROM sf_tok)") + """,
+full_ids AS (
+  SELECT t.conv_id, t.turn, list_concat(list_concat([2], list(w.id ORDER BY t.tpos, w.si)), [3]) AS f
+  FROM sf_tok t JOIN word_ids2 w ON w.word = t.word GROUP BY t.conv_id, t.turn
+),
+prompt_len AS (
+  SELECT t.conv_id, t.turn, count(*) + 2 AS p FROM sp_tok t JOIN word_ids2 w ON w.word = t.word GROUP BY t.conv_id, t.turn
+),
+trip AS (
+  SELECT r.conv_id, r.turn, r.split, len(f.f) AS full_len, p.p AS prompt_len, least(len(f.f), 256) AS l,
+    list_resize(f.f[1:256], 256, 0) AS tokens,
+    list_resize(list_concat(f.f[1:256][2:], [0]), 256, 0) AS targets,
+    list_transform(range(256), lambda i: CASE WHEN i >= greatest(0, p.p - 1) AND i < least(len(f.f), 256) - 1 THEN 1 ELSE 0 END) AS mask
+  FROM recs r JOIN full_ids f USING (conv_id, turn) JOIN prompt_len p USING (conv_id, turn)
+)"""
+
+ORACLE["sft_triplets"] = _SFT + """
+SELECT conv_id, turn, split, CAST(full_len AS BIGINT) AS full_len, CAST(prompt_len AS BIGINT) AS prompt_len,
+  array_to_string(tokens, ',') AS tokens, array_to_string(targets, ',') AS targets, array_to_string(mask, ',') AS mask
+FROM trip"""
+
+ORACLE["truncate_pad"] = _SFT + "\nSELECT conv_id, turn, array_to_string(tokens, ',') AS tokens FROM trip"
+
+ORACLE["shift_targets"] = _SFT + "\nSELECT conv_id, turn, array_to_string(targets, ',') AS targets FROM trip"
+
+ORACLE["loss_mask"] = _SFT + "\nSELECT conv_id, turn, array_to_string(mask, ',') AS mask FROM trip"
+
+ORACLE["mask_coverage"] = _SFT + """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE full_len > 256) AS BIGINT) AS truncated,
+  CAST(count(*) FILTER (WHERE list_sum(mask) = 0) AS BIGINT) AS all_zero_mask,
+  CAST(sum(list_sum(mask)) AS BIGINT) AS response_tokens
+FROM trip"""
+
+ORACLE["masked_loss"] = _SFT + """,
+tpos AS (
+  SELECT conv_id, turn, split, l, CAST(generate_subscripts(tokens, 1) - 1 AS BIGINT) AS i,
+    unnest(tokens) AS token, unnest(targets) AS next_token, unnest(mask) AS m
+  FROM trip
+),
+sc AS (SELECT token, next_token, count(*) AS c FROM tpos WHERE split = 'train' AND i < l - 1 GROUP BY ALL),
+sx AS (SELECT token, sum(c) AS tot FROM sc GROUP BY token),
+nv AS (SELECT count(*) AS v FROM bpe_vocab),
+per AS (
+  SELECT p.conv_id, p.turn,
+    sum(-ln((coalesce(c.c, 0) + 1.0) / (coalesce(x.tot, 0) + 1.0 * (SELECT v FROM nv)))) AS num, count(*) AS den
+  FROM tpos p LEFT JOIN sc c ON c.token = p.token AND c.next_token = p.next_token LEFT JOIN sx x ON x.token = p.token
+  WHERE p.m > 0 GROUP BY p.conv_id, p.turn
+)
+SELECT t.conv_id, t.turn, round(coalesce(per.num, 0.0) / greatest(coalesce(per.den, 0), 1.0), 6) AS masked_loss
+FROM trip t LEFT JOIN per USING (conv_id, turn)"""
+
+ORACLE["record_batch"] = _SFT + """,
+tr AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx, count(*) OVER () AS n FROM recs WHERE split = 'train'),
+dr AS (SELECT d.draw, CAST(floor(""" + sql_uniform_cols("1337", "d.draw") + """ * (SELECT max(n) FROM tr)) AS BIGINT) AS idx FROM range(0, 16) d(draw))
+SELECT dr.draw, tr.conv_id, tr.turn FROM dr JOIN tr USING (idx)"""
