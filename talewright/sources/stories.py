@@ -22,7 +22,7 @@ def read_stories(spark: SparkSession, path: str, sep: str = STORY_SEP) -> DataFr
     """SRC1 (file form): read text files whose stories are separated by
     ``sep``. One row per story with the file it came from and its position in
     the file (Spark splits each file left to right, like ``str.split``)."""
-    raw = spark.read.option("lineSep", sep).option("wholetext", False).text(path)
+    raw = spark.read.text(path, lineSep=sep)
     d = raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
@@ -74,18 +74,42 @@ def json_stories(df: DataFrame, col: str = "json", out: str = "story", pos: str
     return d.filter(F.col(out).isNotNull() & (F.length(F.col(out)) > 0))
 
 
+def whole_json_ok(col: str = "value") -> Column:
+    """True when the whole text is exactly one JSON value.
+
+    ``try_parse_json`` reads the first value and ignores what follows, so a
+    text also needs (a) its last non-blank character to close the value's
+    kind and (b) if it has several non-blank lines, a first line that is not
+    a complete value by itself (else it is JSON Lines)."""
+    v = F.try_parse_json(F.col(col))
+    kind = F.schema_of_variant(v)
+    body = strip_ws(col)
+    tail = F.substring(body, -1, 1)
+    closes = (
+        F.when(kind.startswith("OBJECT"), tail == "}")
+        .when(kind.startswith("ARRAY"), tail == "]")
+        .when(kind == "STRING", tail == '"')
+        .otherwise(F.lit(True))
+    )
+    nonblank = F.filter(F.split(F.col(col), "\n"), lambda l: F.length(strip_ws(l)) > 0)
+    single = (F.size(nonblank) <= 1) | F.try_parse_json(F.element_at(nonblank, 1)).isNull()
+    return v.isNotNull() & closes & single
+
+
 def read_json_stories(spark: SparkSession, path: str) -> DataFrame:
-    """SRC2 (file form): each file is tried as one JSON value; if it does not
-    parse, each non-blank line is tried and bad lines are skipped."""
-    whole = spark.read.option("wholetext", True).text(path).select(
+    """SRC2 (file form): each file is tried as one JSON value; if it is not
+    one, each non-blank line is tried and bad lines are skipped."""
+    whole = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file"), F.col("value")
     )
-    ok = F.try_parse_json("value").isNotNull()
+    ok = whole_json_ok("value")
     as_doc = whole.filter(ok).select("file", F.lit(0).cast("bigint").alias("line_no"), F.col("value").alias("json"))
     bad = whole.filter(~ok)
     lines = bad.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "json")).withColumn(
         "json", strip_ws("json")
     ).filter(F.length("json") > 0).withColumn("line_no", F.col("line_no").cast("bigint"))
+    # a line counts only when it is one complete value
+    lines = lines.filter(whole_json_ok("json"))
     return json_stories(as_doc.unionByName(lines), "json")
 
 
