@@ -168,9 +168,11 @@ SELECT event_id, coalesce(json_extract_string(props, '$.k'), '') AS k,
 
 ORACLE["sample_n"] = _CHAT + """
 SELECT conv_id, turn, sample_rank FROM (
-  SELECT conv_id, turn, CAST(row_number() OVER (
-    ORDER BY md5('1337:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), conv_id, turn) - 1 AS BIGINT) AS sample_rank
-  FROM chat)
+  SELECT conv_id, turn, CAST(CASE WHEN n > 100 THEN hr ELSE orank END AS BIGINT) AS sample_rank FROM (
+    SELECT conv_id, turn, count(*) OVER () AS n,
+      row_number() OVER (ORDER BY md5('1337:' || CAST(conv_id AS VARCHAR) || ':' || CAST(turn AS VARCHAR)), conv_id, turn) - 1 AS hr,
+      row_number() OVER (ORDER BY conv_id, turn) - 1 AS orank
+    FROM chat))
 WHERE sample_rank < 100"""
 
 ORACLE["ratio_split"] = _RECS + """
