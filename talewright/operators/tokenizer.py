@@ -37,7 +37,8 @@ def char_vocab(train: DataFrame, col: str = "story", separator: str = "\n\n") ->
     """TOK1: distinct characters of the train text (stories joined by
     ``separator``) sorted by code point -> dense ids from 0. Per-partition
     distinct first, so only the alphabet is shuffled."""
-    chars = train.select(F.explode(chars_of(col)).alias("token"))
+    # distinct per text first: the exploded rows are the alphabet of each text, not every character
+    chars = train.select(F.explode(F.array_distinct(chars_of(col))).alias("token"))
     sep = train.sparkSession.createDataFrame([(c,) for c in sorted(set(separator))], "token string")
     alphabet = chars.unionByName(sep).distinct()
     # The alphabet is bounded by the number of code points: one small window.

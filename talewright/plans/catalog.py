@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import blocks
-from .inputs import instruct_lines, read
+from .inputs import instruct_lines, landed, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -235,13 +235,18 @@ def train_words(spark, sf_dir):
 def bpe_tokenizer(spark, sf_dir, num_merges=BPE_MERGES):
     key = (id(spark), sf_dir, num_merges)
     if key not in _TOKENIZERS:
-        _TOKENIZERS[key] = tok.bpe_train(train_words(spark, sf_dir), num_merges=num_merges, min_frequency=2)
+        words = landed(spark, sf_dir, "train_words", lambda: train_words(spark, sf_dir))
+        _TOKENIZERS[key] = tok.bpe_train(words, num_merges=num_merges, min_frequency=2)
     return _TOKENIZERS[key]
 
 
 def char_tokenizer(spark, sf_dir):
-    train = split_docs(spark, sf_dir).filter(F.col("split") == "train")
-    return tok.char_vocab(train, "story")
+    """Char vocabulary of the train text (bounded by the code-point range),
+    landed once per session."""
+    def build():
+        train = split_docs(spark, sf_dir).filter(F.col("split") == "train")
+        return tok.char_vocab(train, "story")
+    return landed(spark, sf_dir, "char_vocab", build)
 
 
 @query("char_vocab")
@@ -338,11 +343,14 @@ def _scalar(df):
 
 
 def char_stream(spark, sf_dir):
-    """Char-level token stream blocks per split, separator "\\n\\n"."""
-    vocab = char_tokenizer(spark, sf_dir)
-    nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
-    enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop")
-    return packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK)
+    """Char-level token stream blocks per split, separator "\\n\\n";
+    landed once per session (the tokenized corpus is an artifact)."""
+    def build():
+        vocab = char_tokenizer(spark, sf_dir)
+        nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
+        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop")
+        return packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK)
+    return landed(spark, sf_dir, "char_stream", build)
 
 
 def char_pairs(spark, sf_dir):
@@ -354,8 +362,10 @@ def char_vocab_size(spark, sf_dir):
 
 
 def char_model(spark, sf_dir):
-    pairs = char_pairs(spark, sf_dir).filter(F.col("split") == "train")
-    return ngram.ngram_fit(pairs, char_vocab_size(spark, sf_dir), ALPHA)
+    def build():
+        pairs = char_pairs(spark, sf_dir).filter(F.col("split") == "train")
+        return ngram.ngram_fit(pairs, char_vocab_size(spark, sf_dir), ALPHA)
+    return landed(spark, sf_dir, "char_model", build)
 
 
 def char_scores(spark, sf_dir):
@@ -652,6 +662,13 @@ def sft_trip(spark, sf_dir):
     return packing.sft_triplets(sft_encoded(spark, sf_dir), SFT_CONTEXT)
 
 
+_sft_encoded_build = sft_encoded
+
+
+def sft_encoded(spark, sf_dir):  # noqa: F811  (landed form)
+    return landed(spark, sf_dir, "sft_encoded", lambda: _sft_encoded_build(spark, sf_dir))
+
+
 def _mask_str(c):
     return ids_to_string(F.transform(c, lambda x: x.cast("int")))
 

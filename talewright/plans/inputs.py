@@ -18,7 +18,36 @@ VAL_FRACTION = 0.1
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    """Scan a table. A scan with fewer input splits than the cluster has
+    cores (a small table: a few row groups) is spread round-robin over the
+    cores; a large table already has enough splits and is left alone."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    cores = spark.sparkContext.defaultParallelism
+    if name in HEAVY_TEXT_TABLES and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
+
+
+# Tables whose rows carry long texts: per-row work dominates their scan.
+HEAVY_TEXT_TABLES = {"documents", "conversations", "pages"}
+
+_MEMO: dict = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """Build a derived table once per session and input directory and land
+    it with a reliable checkpoint in the shared checkpoint folder (lineage
+    cut, survives executor loss). Later queries read the landed copy."""
+    from ..session import cut_lineage
+
+    key = (id(spark), sf_dir, name)
+    if key not in _MEMO:
+        _MEMO[key] = cut_lineage(build())
+    return _MEMO[key]
+
+
+def forget_landed() -> None:
+    _MEMO.clear()
 
 
 def doc_bucket(col: str = "doc_id"):
