@@ -6,13 +6,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The characters Python's str.strip() treats as whitespace
-# (str.isspace), written as one regex character class. Works in Java regex
-# and in RE2 alike, so the DuckDB oracle can use the same text.
-PY_WHITESPACE_CLASS = (
-    r"[\t\n\x0B\f\r\x1C-\x1F \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-)
-STRIP_PATTERN = f"^{PY_WHITESPACE_CLASS}+|{PY_WHITESPACE_CLASS}+$"
+# (str.isspace), by code point.
+PY_WHITESPACE_CODEPOINTS = [
+    0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x1C, 0x1D, 0x1E, 0x1F, 0x20, 0x85, 0xA0, 0x1680,
+    0x2000, 0x2001, 0x2002, 0x2003, 0x2004, 0x2005, 0x2006, 0x2007, 0x2008, 0x2009, 0x200A,
+    0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
+PY_WHITESPACE = "".join(map(chr, PY_WHITESPACE_CODEPOINTS))
 
 # One character, any character (single-line mode): code points, not UTF-16 units.
 CHAR_PATTERN = r"(?s)."
@@ -23,8 +23,9 @@ def _c(col) -> Column:
 
 
 def strip_ws(col) -> Column:
-    """Strip leading and trailing whitespace the way Python's ``str.strip`` does."""
-    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
+    """Strip leading and trailing whitespace the way Python's ``str.strip``
+    does (``btrim`` with the whitespace set: generated code, no regex)."""
+    return F.btrim(_c(col), F.lit(PY_WHITESPACE))
 
 
 def coalesce_key(col, default: str = "") -> Column:

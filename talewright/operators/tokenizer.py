@@ -141,11 +141,17 @@ def merge_symbols(seg, merges: Sequence[tuple[str, str]]) -> Column:
 def _pick_batch(cands, vocab_tokens: set, budget: int, min_frequency: int, list_limit: int):
     """Batch of merges provably equal to one-merge-per-round training.
 
-    Read the ranked candidates from the top and stop at the first pair that
-    shares a symbol with an earlier one, is (a, a), or makes a token that
-    exists or that an earlier pair makes; its count is the bar. Keep the first
-    pair, then the earlier ones whose count is above the bar. If the list ends
-    first and was cut at ``list_limit``, the bar is the last listed count."""
+    Merging (a, b) changes only the counts of pairs (x, a) and (b, y) (and
+    creates pairs (x, ab), (ab, y) counting at most as much as those); pairs
+    such as (a, c) or (z, b) keep their counts, and their merges commute
+    with it. So read the ranked candidates from the top and stop at the
+    first pair q that (i) starts with a right symbol or ends with a left
+    symbol of an earlier pair, (ii) is (a, a), or (iii) makes a token that
+    exists or that an earlier pair makes; its count is the bar. Keep the
+    first pair, then the earlier ones whose count is above the bar (a pair
+    changed or created by a kept merge counts at most the bar). If the list
+    ends first and was cut at ``list_limit``, the bar is the last listed
+    count."""
     cands = [c for c in cands if c[2] >= min_frequency]
     if not cands or budget <= 0:
         return []
@@ -153,15 +159,16 @@ def _pick_batch(cands, vocab_tokens: set, budget: int, min_frequency: int, list_
     new_first = first[0] + first[1]
     if first[0] == first[1] or new_first in vocab_tokens:
         return [first]
-    used = {first[0], first[1]}
+    lefts, rights = {first[0]}, {first[1]}
     made = {new_first}
     stop, bar = len(cands), None
     for i, (a, b, cnt) in enumerate(cands[1:], start=1):
         tok = a + b
-        if a in used or b in used or a == b or tok in made or tok in vocab_tokens:
+        if b in lefts or a in rights or a == b or tok in made or tok in vocab_tokens:
             stop, bar = i, cnt
             break
-        used.update((a, b))
+        lefts.add(a)
+        rights.add(b)
         made.add(tok)
     if bar is None and len(cands) >= list_limit:
         bar = cands[-1][2]
@@ -177,6 +184,7 @@ def bpe_train(
     list_limit: int = 512,
     word_col: str = "word",
     freq_col: str = "freq",
+    checkpoint_every: int = 8,
 ) -> tuple[DataFrame, DataFrame]:
     """TOK8: learn byte-level BPE merges from a (word, freq) table.
 
@@ -185,8 +193,10 @@ def bpe_train(
     pair count is below ``min_frequency``. Pairs rank by (count desc, left,
     right). Each round is one distributed pair count; only a bounded candidate
     list reaches the driver; a batch of independent merges is applied with a
-    chain of ``replace``; the word table is checkpointed to the shared
-    checkpoint folder each round and words left with one symbol drop out.
+    chain of ``replace``; words left with one symbol drop out. The word table
+    is kept persisted between rounds and checkpointed to the shared
+    checkpoint folder every ``checkpoint_every`` rounds, so its lineage never
+    holds more than that many projections.
 
     Returns (vocab(id, token), merges(rank, left_tok, right_tok, count))."""
     spark = words.sparkSession
@@ -198,6 +208,8 @@ def bpe_train(
     state = cut_lineage(state.filter(F.size(symbols_of("seg")) > 1))
     merges: list[tuple[str, str, int]] = []
     new_tokens: list[str] = []
+    rounds = 0
+    prev = None
 
     def budget() -> int:
         b = []
@@ -224,9 +236,17 @@ def bpe_train(
                 vocab_tokens.add(tok)
                 new_tokens.append(tok)
                 n_vocab += 1
+        rounds += 1
+        if prev is not None:
+            prev.unpersist()        # the new state was materialized by this round's pair count
+        prev = state
         state = state.withColumn("seg", merge_symbols("seg", [(a, b) for a, b, _ in batch]))
-        state = cut_lineage(state.filter(F.size(symbols_of("seg")) > 1))
+        state = state.filter(F.size(symbols_of("seg")) > 1)
+        state = cut_lineage(state) if rounds % checkpoint_every == 0 else state.persist()
 
+    for st in (prev, state):
+        if st is not None:
+            st.unpersist()
     vocab_rows = [(i, t) for i, t in enumerate(SPECIALS + alphabet + new_tokens)]
     vocab = spark.createDataFrame(vocab_rows, "id int, token string")
     merge_df = spark.createDataFrame(

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 from ..functions.hashing import sql_uniform
-from ..functions.text import STRIP_PATTERN
+from ..functions.text import PY_WHITESPACE_CODEPOINTS
 from .inputs import SPLIT_SEED, VAL_FRACTION
 
 NL = "chr(10)"
 
 
+_WS_SQL = " || ".join(f"chr({c})" for c in PY_WHITESPACE_CODEPOINTS)
+
+
 def strip(expr: str) -> str:
-    return f"regexp_replace({expr}, '{STRIP_PATTERN}', '', 'g')"
+    return f"trim({expr}, {_WS_SQL})"
 
 
 def doc_split(col: str = "doc_id") -> str:
