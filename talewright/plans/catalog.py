@@ -735,3 +735,89 @@ def q_record_batch(spark, sf_dir):
     idx = ordering.ordered_index(recs, ["conv_id", "turn"], ordering.bucket_of("conv_id", 1024), ["split"])
     b = sampling.record_batch(idx, "train", 16, 1337)
     return b.select("draw", "conv_id", "turn")
+
+
+# -- file round trips: SFT JSON Lines, benchmark summary log, generated samples
+
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from ..session import ensure_checkpoint_dir  # noqa: E402
+from ..sources import logs as logsrc  # noqa: E402
+from ..sources import records  # noqa: E402
+
+
+def _landing_dir(spark, name):
+    return os.path.join(ensure_checkpoint_dir(spark), "landed", f"{name}-{uuid.uuid4().hex}")
+
+
+@query("sft_records")
+def q_sft_records(spark, sf_dir):
+    """SNK2 then SRC8: write the split chat records as JSON Lines (empty
+    prompt/response skipped), read them back with a fixed schema."""
+    out = _landing_dir(spark, "sft")
+    records.write_sft(sft_records(spark, sf_dir), out)
+    back = records.read_sft(spark, out)
+    return back.select("split", "prompt", "response")
+
+
+def sweep_seeds():
+    return [int(x) for x in SWEEP["seeds"].split(",") if x.strip()]
+
+
+def run_samples(spark, sf_dir):
+    """Per run (seed) and prompt: prompt text + one drawn next character."""
+    vocab = char_tokenizer(spark, sf_dir).select(F.col("id").alias("token_id"), F.col("token").alias("next_char"))
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("prompt"))
+    out = None
+    for seed in sweep_seeds():
+        drawn = scores.sample_next(prompt_scores(spark, sf_dir), prompt_history(spark, sf_dir),
+                                   PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, seed)
+        part = drawn.join(vocab, "token_id").join(items, "ctx_id").select(
+            F.lit(seed).alias("seed"), "ctx_id", "prompt", F.concat("prompt", "next_char").alias("text"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def benchmark_runs(spark, sf_dir):
+    rep = eval_report_df(spark, sf_dir)
+    wide = rep.groupBy("seed").pivot("split", ["train", "val"]).agg(
+        F.first("loss").alias("loss"), F.first("perplexity").alias("perplexity"), F.first("bpc").alias("bpc"),
+        F.first("top1_accuracy").alias("top1_accuracy"))
+    params = char_model(spark, sf_dir).count()
+    samples = run_samples(spark, sf_dir).groupBy("seed").agg(
+        F.array_sort(F.collect_list(F.struct("ctx_id", "prompt", "text"))).alias("_s"))
+    runs = sweep_runs(spark).join(wide, "seed").join(samples, "seed", "left")
+    return runs.select(
+        F.lit("count-model").alias("checkpoint"), "seed", F.lit(params).cast("bigint").alias("params"),
+        *[F.col(c) for c in ("d_model", "context_length", "eval_iters", "batch_size")],
+        *[F.col(f"{s}_{m}") for s in ("train", "val") for m in ("loss", "perplexity", "bpc", "top1_accuracy")],
+        F.lit(None).cast("double").alias("train_tokens_per_sec"), F.lit(None).cast("double").alias("val_tokens_per_sec"),
+        F.transform("_s", lambda x: F.struct(x["prompt"].alias("prompt"), x["text"].alias("text"))).alias("samples"),
+    )
+
+
+def landed_log(spark, sf_dir):
+    def build():
+        runs = benchmark_runs(spark, sf_dir)
+        summary = logsrc.summary_log(runs, "seed_sweep", "count-model")
+        path = logsrc.write_benchmark_log(summary, _landing_dir(spark, "benchmarks"), "seed_sweep")
+        return logsrc.read_benchmark_logs(spark, path)
+    return landed(spark, sf_dir, "benchmark_log", build)
+
+
+@query("benchmark_log")
+def q_benchmark_log(spark, sf_dir):
+    """SNK5 then SRC9: summary log of the seed sweep written as nested JSON,
+    read back as one row per run with flattened metrics."""
+    runs = landed_log(spark, sf_dir)
+    cols = [f"{s}_{m}" for s in ("train", "val") for m in ("loss", "perplexity", "bpc", "top1_accuracy")]
+    return runs.select("seed", "params", *[r6(c).alias(c) for c in cols])
+
+
+@query("sample_text")
+def q_sample_text(spark, sf_dir):
+    """SRC10: generated samples of the log, distinct texts per prompt across seeds."""
+    _, distinct = logsrc.explode_samples(landed_log(spark, sf_dir))
+    return distinct.select("prompt", F.col("samples").cast("bigint").alias("samples"),
+                           F.col("distinct_texts").cast("bigint").alias("distinct_texts"))

@@ -542,3 +542,47 @@ ORACLE["record_batch"] = _SFT + """,
 tr AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) - 1 AS idx, count(*) OVER () AS n FROM recs WHERE split = 'train'),
 dr AS (SELECT d.draw, CAST(floor(""" + sql_uniform_cols("1337", "d.draw") + """ * (SELECT max(n) FROM tr)) AS BIGINT) AS idx FROM range(0, 16) d(draw))
 SELECT dr.draw, tr.conv_id, tr.turn FROM dr JOIN tr USING (idx)"""
+
+# ---------------------------------------------------------------- file round trips
+ORACLE["sft_records"] = _CHAT + """,
+recs AS (
+  SELECT prompt, response,
+    CASE WHEN i < floor(n * 0.9) THEN 'train'
+         WHEN i < floor(n * 0.9) + floor((n - floor(n * 0.9)) * (1 - 0.05 / (0.05 + 0.05))) THEN 'test'
+         ELSE 'holdout_test' END AS split
+  FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, count(*) OVER () AS n FROM chat)
+)
+SELECT split, prompt, response FROM recs WHERE coalesce(length(prompt), 0) > 0 AND coalesce(length(response), 0) > 0"""
+
+ORACLE["benchmark_log"] = _EVAL + """
+SELECT t.seed, (SELECT CAST(count(*) AS BIGINT) FROM model) AS params,
+  round(t.loss, 6) AS train_loss, round(exp(t.loss), 6) AS train_perplexity, round(t.loss / ln(2), 6) AS train_bpc,
+  round(t.top1_accuracy, 6) AS train_top1_accuracy,
+  round(v.loss, 6) AS val_loss, round(exp(v.loss), 6) AS val_perplexity, round(v.loss / ln(2), 6) AS val_bpc,
+  round(v.top1_accuracy, 6) AS val_top1_accuracy
+FROM report t JOIN report v ON t.seed = v.seed AND t.split = 'train' AND v.split = 'val'"""
+
+_PROMPT_CTES = _PROMPTS[len(_STREAM):]
+
+ORACLE["sample_text"] = _EVAL + _PROMPT_CTES + """,
+t AS (
+  SELECT p.ctx_id, p.token_id, CASE WHEN h.token_id IS NOT NULL THEN (p.logit / 0.8) / 1.3 ELSE p.logit / 0.8 END AS logit
+  FROM pscores p LEFT JOIN hist h ON h.ctx_id = p.ctx_id AND h.token_id = p.token_id
+),
+k AS (SELECT * FROM (SELECT *, rank() OVER (PARTITION BY ctx_id ORDER BY logit DESC) AS rk FROM t) WHERE rk <= 20),
+pr AS (SELECT ctx_id, token_id, exp(logit - max(logit) OVER (PARTITION BY ctx_id)) AS e FROM k),
+cu AS (
+  SELECT ctx_id, token_id, sum(e / tot) OVER (PARTITION BY ctx_id ORDER BY token_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+  FROM (SELECT *, sum(e) OVER (PARTITION BY ctx_id) AS tot FROM pr)
+),
+drawn AS (
+  SELECT r.seed, cu.ctx_id,
+    coalesce(min(CASE WHEN cum > """ + sql_uniform_cols("r.seed", "cu.ctx_id") + """ THEN token_id END), max(token_id)) AS token_id
+  FROM cu, runs r GROUP BY r.seed, cu.ctx_id
+),
+texts AS (
+  SELECT d.seed, b.text AS prompt, b.text || v.token AS text
+  FROM drawn d JOIN char_vocab v ON v.id = d.token_id JOIN benchmark b ON b.item_id = d.ctx_id
+)
+SELECT prompt, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT text) AS BIGINT) AS distinct_texts
+FROM texts GROUP BY prompt"""

@@ -47,6 +47,7 @@ def summary_log(runs: DataFrame, tag: str, checkpoint_name: str) -> DataFrame:
         *[F.col(c) for c in ("checkpoint", "seed", "params", "d_model", "context_length", "eval_iters", "batch_size")
           if c in runs.columns],
         nest("train").alias("train"), nest("val").alias("val"),
+        *([F.col("samples")] if "samples" in runs.columns else []),
     )
     return runs.agg(
         F.count(F.lit(1)).cast("int").alias("num_runs"),
