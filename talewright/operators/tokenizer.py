@@ -265,18 +265,68 @@ def add_specials_pair(a, b) -> Column:
     return F.concat(F.array(F.lit(BOS_ID)), _c(a), F.array(F.lit(EOS_ID)), _c(b), F.array(F.lit(EOS_ID)))
 
 
-def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame, word_col: str = "word", out: str = "ids") -> DataFrame:
-    """TOK10 core: encode distinct words. Merges are applied in rank order as
-    one fold over the (parameter-bounded) merge list; symbols map to ids,
-    an unknown byte to ``[UNK]``."""
-    ms = [(r[0], r[1]) for r in merges.orderBy("rank").select("left_tok", "right_tok").collect()]
+FOLD_LIMIT = 8192  # merge lists up to this length are folded per word (measured faster); longer ones run in rounds
+
+
+def _merge_segments_fold(seg, ms):
+    pats = F.array(*[F.struct(F.lit(f"<{a}><{b}>").alias("p"), F.lit(f"<{a}{b}>").alias("r")) for a, b in ms])
+    return F.aggregate(pats, seg, lambda acc, x: F.replace(acc, x["p"], x["r"]))
+
+
+def merge_segments_rounds(segs: DataFrame, merges: DataFrame, key: str, checkpoint_every: int = 8) -> DataFrame:
+    """Encode segments by rounds: in each round every unfinished segment
+    merges its lowest-rank applicable pair (all occurrences, left to right);
+    a segment with no applicable pair is finished. Pairs are joined to the
+    merge table (bounded by the vocabulary size: broadcast). Rounds are
+    bounded by the longest segment, not by the number of merges."""
+    ranks = F.broadcast(merges.select(F.col("left_tok").alias("_l"), F.col("right_tok").alias("_r"), "rank"))
+    state = segs.select(key, "seg", F.lit(False).alias("_done"))
+    rounds = 0
+    prev = None
+    while True:
+        active = state.filter(~F.col("_done"))
+        p = active.select(key, "seg", F.explode_outer(pairs_of("seg")).alias("p")).select(
+            key, "seg", F.col("p.left_tok").alias("_l"), F.col("p.right_tok").alias("_r"))
+        best = p.join(ranks, ["_l", "_r"], "left").groupBy(key, "seg").agg(
+            F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "_l", "_r"))).alias("_b"))
+        pat = F.concat(F.lit("<"), F.col("_b._l"), F.lit("><"), F.col("_b._r"), F.lit(">"))
+        rep = F.concat(F.lit("<"), F.col("_b._l"), F.col("_b._r"), F.lit(">"))
+        stepped = best.select(
+            key,
+            F.when(F.col("_b").isNull(), F.col("seg")).otherwise(F.replace(F.col("seg"), pat, rep)).alias("seg"),
+            F.col("_b").isNull().alias("_done"),
+        )
+        state = state.filter("_done").unionByName(stepped)
+        rounds += 1
+        state = state.checkpoint() if rounds % checkpoint_every == 0 else state.persist()
+        if prev is not None:
+            prev.unpersist()
+        prev = state
+        if state.filter(~F.col("_done")).limit(1).count() == 0:
+            break
+    return state.drop("_done")
+
+
+def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame, word_col: str = "word", out: str = "ids",
+                 fold_limit: int = FOLD_LIMIT) -> DataFrame:
+    """TOK10 core: encode distinct words. Merges apply in rank order: up to
+    ``fold_limit`` merges as one fold over the (parameter-bounded) merge
+    list, longer lists in rounds of "lowest-rank pair per word" joined to the
+    merge table. Symbols map to ids, an unknown byte to ``[UNK]``."""
+    n_merges = merges.count()
     m = _vocab_map(vocab, "token", "id")
-    seg = byte_symbols(word_col)
-    if ms:
-        pats = F.array(*[F.struct(F.lit(f"<{a}><{b}>").alias("p"), F.lit(f"<{a}{b}>").alias("r")) for a, b in ms])
-        seg = F.aggregate(pats, seg, lambda acc, x: F.replace(acc, x["p"], x["r"]))
-    ids = F.transform(symbols_of(seg), lambda s: F.coalesce(F.element_at(m, s), F.lit(UNK_ID)))
-    return words.withColumn(out, ids)
+    if n_merges <= fold_limit:
+        ms = [(r[0], r[1]) for r in merges.orderBy("rank").select("left_tok", "right_tok").collect()]
+        seg = byte_symbols(word_col)
+        if ms:
+            seg = _merge_segments_fold(seg, ms)
+        segs = words.withColumn("_seg", seg)
+    else:
+        distinct = words.select(word_col).distinct().withColumn("seg", byte_symbols(word_col))
+        merged = merge_segments_rounds(distinct, merges, word_col).withColumnRenamed("seg", "_seg")
+        segs = words.join(merged, word_col)
+    ids = F.transform(symbols_of("_seg"), lambda s: F.coalesce(F.element_at(m, s), F.lit(UNK_ID)))
+    return segs.withColumn(out, ids).drop("_seg")
 
 
 def bpe_encode(

@@ -222,3 +222,11 @@ def test_triplets_and_log_round_trip(spark, tmp_path):
     assert abs(r.val_loss_mean - 0.773092) < 1e-6 and abs(r.val_loss_std - 0.002133) < 1e-6
     s, distinct = logs.explode_samples(back.withColumn("samples", F.array(F.struct(F.lit("Once").alias("prompt"), F.lit("same").alias("text")))))
     assert distinct.collect()[0].distinct_texts == 1
+
+
+def test_bpe_encode_rounds_equal_fold(spark, sf001):
+    vocab, merges = catalog.bpe_tokenizer(spark, sf001, num_merges=60)
+    words = catalog.train_words(spark, sf001).select("word")
+    fold = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=1000).collect()}
+    rounds = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=0).collect()}
+    assert fold == rounds and len(fold) > 100
