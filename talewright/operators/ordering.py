@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from ..functions.text import strip_ws, utf8_prefix
 
@@ -45,6 +46,9 @@ def bucket_of(col, width: int) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
+FANOUT = 1024   # buckets per super-bucket when the bucket offsets are scanned again
+
+
 def running_agg(
     df: DataFrame,
     value,
@@ -56,6 +60,8 @@ def running_agg(
     total_col: str | None = None,
     max_offset=None,
     agg: str = "sum",
+    levels: int = 2,
+    _level: int = 0,
 ) -> DataFrame:
     """Running ``sum`` / ``min`` / ``max`` of ``value`` per partition group in
     ``order_cols`` order (two-level scan, see module doc).
@@ -64,34 +70,47 @@ def running_agg(
     ``total_col``: also emit the group total (``agg`` over the whole group).
     ``max_offset`` (sum only): drop whole buckets whose offset is
     ``>= max_offset`` before the bucket-local window (early pruning).
+    ``levels``: with an integral bucket the per-bucket table is scanned the
+    same way again (super-buckets of ``FANOUT`` buckets), so the only window
+    without a bounded partition sees ``rows / (width * FANOUT)`` rows.
     """
     fn = {"sum": F.sum, "min": F.min, "max": F.max}[agg]
     pk = _names(partition_cols)
+    bkt, v, tot, off = f"{BKT}{_level}", f"_val{_level}", f"_btot{_level}", f"_boff{_level}"
     val = F.col(value) if isinstance(value, str) else value
-    d = df.withColumn(BKT, bucket).withColumn("_val", val)
-
-    totals = d.groupBy(*pk, BKT).agg(fn("_val").alias("_btot"))
-    w_small = Window.partitionBy(*pk).orderBy(BKT)
-    prev = fn("_btot").over(w_small.rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.withColumn("_boff", F.coalesce(prev, F.lit(0)) if agg == "sum" else prev)
-    if total_col:
-        offsets = offsets.withColumn(total_col, fn("_btot").over(Window.partitionBy(*pk)))
+    d = df.withColumn(bkt, bucket).withColumn(v, val)
+
+    totals = d.groupBy(*pk, bkt).agg(fn(v).alias(tot))
+    integral = isinstance(totals.schema[bkt].dataType, (LongType, IntegerType))
+    if levels > 1 and integral:
+        offsets = running_agg(
+            totals, tot, [bkt], bucket_of(bkt, FANOUT), pk, out=off, inclusive=False,
+            total_col=total_col, agg=agg, levels=levels - 1, _level=_level + 1,
+        )
+        if agg == "sum":
+            offsets = offsets.withColumn(off, F.coalesce(F.col(off), F.lit(0)))
+    else:
+        w_small = Window.partitionBy(*pk).orderBy(bkt)
+        prev = fn(tot).over(w_small.rowsBetween(Window.unboundedPreceding, -1))
+        offsets = totals.withColumn(off, F.coalesce(prev, F.lit(0)) if agg == "sum" else prev)
+        if total_col:
+            offsets = offsets.withColumn(total_col, fn(tot).over(Window.partitionBy(*pk)))
     if max_offset is not None:
-        offsets = offsets.filter(F.col("_boff") < F.lit(max_offset))
-    offsets = offsets.drop("_btot")
+        offsets = offsets.filter(F.col(off) < F.lit(max_offset))
+    offsets = offsets.drop(tot)
 
-    d = d.join(offsets, on=[*pk, BKT], how="inner")
-    w = Window.partitionBy(*pk, BKT).orderBy(*_cols(order_cols))
+    d = d.join(offsets, on=[*pk, bkt], how="inner")
+    w = Window.partitionBy(*pk, bkt).orderBy(*_cols(order_cols))
     frame = w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = fn("_val").over(frame)
+    local = fn(v).over(frame)
     if agg == "sum":
-        res = F.col("_boff") + F.coalesce(local, F.lit(0))
+        res = F.col(off) + F.coalesce(local, F.lit(0))
     elif agg == "min":
-        res = F.least(F.col("_boff"), local)
+        res = F.least(F.col(off), local)
     else:
-        res = F.greatest(F.col("_boff"), local)
+        res = F.greatest(F.col(off), local)
     d = d.withColumn(out, res)
-    return d.drop(BKT, "_val", "_boff")
+    return d.drop(bkt, v, off)
 
 
 def running_sum(df: DataFrame, value, order_cols: Sequence, bucket, partition_cols: Sequence = (), **kw) -> DataFrame:

@@ -765,16 +765,26 @@ def sweep_seeds():
     return [int(x) for x in SWEEP["seeds"].split(",") if x.strip()]
 
 
+SAMPLE_COUNT = 3   # generated samples per run; sample i uses prompt i % len(prompts)
+
+
 def run_samples(spark, sf_dir):
-    """Per run (seed) and prompt: prompt text + one drawn next character."""
+    """Per run (seed): ``SAMPLE_COUNT`` samples, sample ``i`` on prompt
+    ``i % len(prompts)`` (round robin over ``benchmark`` in item order); a
+    sample is the prompt plus one drawn next character. Parameter-sized."""
     vocab = char_tokenizer(spark, sf_dir).select(F.col("id").alias("token_id"), F.col("token").alias("next_char"))
-    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("prompt"))
+    prompts = ordering.ordered_index(
+        read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("prompt")),
+        ["ctx_id"], ordering.bucket_of("ctx_id", 1024), out="p")
+    picks = sampling.round_robin(spark.range(SAMPLE_COUNT).withColumnRenamed("id", "i"), "i", prompts, "p")
+    chosen = picks.select("ctx_id").distinct()
+    sc = prompt_scores(spark, sf_dir).join(chosen, "ctx_id")
+    hist = prompt_history(spark, sf_dir).join(chosen, "ctx_id")
     out = None
     for seed in sweep_seeds():
-        drawn = scores.sample_next(prompt_scores(spark, sf_dir), prompt_history(spark, sf_dir),
-                                   PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, seed)
-        part = drawn.join(vocab, "token_id").join(items, "ctx_id").select(
-            F.lit(seed).alias("seed"), "ctx_id", "prompt", F.concat("prompt", "next_char").alias("text"))
+        drawn = scores.sample_next(sc, hist, PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, seed)
+        part = picks.join(drawn, "ctx_id").join(vocab, "token_id").select(
+            F.lit(seed).alias("seed"), "i", "ctx_id", "prompt", F.concat("prompt", "next_char").alias("text"))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -786,7 +796,7 @@ def benchmark_runs(spark, sf_dir):
         F.first("top1_accuracy").alias("top1_accuracy"))
     params = char_model(spark, sf_dir).count()
     samples = run_samples(spark, sf_dir).groupBy("seed").agg(
-        F.array_sort(F.collect_list(F.struct("ctx_id", "prompt", "text"))).alias("_s"))
+        F.array_sort(F.collect_list(F.struct("i", "prompt", "text"))).alias("_s"))
     runs = sweep_runs(spark).join(wide, "seed").join(samples, "seed", "left")
     return runs.select(
         F.lit("count-model").alias("checkpoint"), "seed", F.lit(params).cast("bigint").alias("params"),

@@ -580,9 +580,11 @@ drawn AS (
     coalesce(min(CASE WHEN cum > """ + sql_uniform_cols("r.seed", "cu.ctx_id") + """ THEN token_id END), max(token_id)) AS token_id
   FROM cu, runs r GROUP BY r.seed, cu.ctx_id
 ),
+bp AS (SELECT item_id, text, row_number() OVER (ORDER BY item_id) - 1 AS p, count(*) OVER () AS n FROM benchmark),
+picks AS (SELECT i.i, bp.item_id, bp.text FROM range(0, 3) i(i) JOIN bp ON bp.p = i.i % bp.n),
 texts AS (
-  SELECT d.seed, b.text AS prompt, b.text || v.token AS text
-  FROM drawn d JOIN char_vocab v ON v.id = d.token_id JOIN benchmark b ON b.item_id = d.ctx_id
+  SELECT d.seed, k.text AS prompt, k.text || v.token AS text
+  FROM picks k JOIN drawn d ON d.ctx_id = k.item_id JOIN char_vocab v ON v.id = d.token_id
 )
 SELECT prompt, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT text) AS BIGINT) AS distinct_texts
 FROM texts GROUP BY prompt"""

@@ -230,3 +230,26 @@ def test_bpe_encode_rounds_equal_fold(spark, sf001):
     fold = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=1000).collect()}
     rounds = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=0).collect()}
     assert fold == rounds and len(fold) > 100
+
+
+@pytest.mark.parametrize("agg", ["sum", "min", "max"])
+def test_running_agg_levels_brute(spark, agg):
+    import random
+    rng = random.Random(3)
+    rows = [(g, k, rng.randint(-50, 50)) for g in ("a", "b") for k in rng.sample(range(5000), 700)]
+    df = spark.createDataFrame(rows, "g string, k long, v long")
+    from talewright.operators import ordering as o
+    old = o.FANOUT
+    o.FANOUT = 4
+    try:
+        got = {(r.g, r.k): r.running for r in o.running_agg(
+            df, "v", ["k"], o.bucket_of("k", 16), ["g"], inclusive=False, agg=agg, levels=3, total_col="tot").collect()}
+    finally:
+        o.FANOUT = old
+    fn = {"sum": sum, "min": min, "max": max}[agg]
+    for g in ("a", "b"):
+        seq = sorted((k, v) for gg, k, v in rows if gg == g)
+        for i, (k, _) in enumerate(seq):
+            prev = [v for _, v in seq[:i]]
+            want = (fn(prev) if prev else (0 if agg == "sum" else None))
+            assert got[(g, k)] == want
