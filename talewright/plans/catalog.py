@@ -62,7 +62,7 @@ def q_build_prompt(spark, sf_dir):
         ),
         on=["src", "block"], how="left",
     )
-    cs = F.coalesce(F.col("cs"), F.array().cast("array<struct<ord:struct<doc_id:bigint,k:int>,ctype:string,cval:string>>"))
+    cs = F.coalesce(F.col("cs"), F.array().cast("array<struct<ord:struct<doc_id:bigint,k:bigint>,ctype:string,cval:string>>"))
     return per_block.select("block", blocks.build_prompt(cs).alias("prompt"))
 
 
@@ -233,7 +233,7 @@ def train_words(spark, sf_dir):
 
 
 def bpe_tokenizer(spark, sf_dir, num_merges=BPE_MERGES):
-    key = (id(spark), sf_dir, num_merges)
+    key = (spark.sparkContext.applicationId, sf_dir, num_merges)
     if key not in _TOKENIZERS:
         words = landed(spark, sf_dir, "train_words", lambda: train_words(spark, sf_dir))
         _TOKENIZERS[key] = tok.bpe_train(words, num_merges=num_merges, min_frequency=2)

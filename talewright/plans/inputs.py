@@ -40,7 +40,7 @@ def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     cut, survives executor loss). Later queries read the landed copy."""
     from ..session import cut_lineage
 
-    key = (id(spark), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
         _MEMO[key] = cut_lineage(build())
     return _MEMO[key]
@@ -70,7 +70,7 @@ def instruct_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_lines = F.concat(header, text_lines, F.array(F.lit(END_OF_TEXT)))
     return docs.select(
         F.lit("instruct").alias("src"), "doc_id", F.posexplode(all_lines).alias("k", "text")
-    ).withColumn("ord", F.struct("doc_id", "k"))
+    ).withColumn("k", F.col("k").cast("bigint")).withColumn("ord", F.struct("doc_id", "k"))
 
 
 def doc_split(col: str = "doc_id"):

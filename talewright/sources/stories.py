@@ -14,7 +14,7 @@ def split_stories(df: DataFrame, col: str = "text", sep: str = STORY_SEP, out: s
     """SRC1 (column form): split ``col`` on ``sep`` left to right, strip every
     piece, drop empty ones. ``pos`` is the piece position before dropping."""
     pieces = F.split(F.col(col), "\\Q" + sep + "\\E")
-    d = df.select("*", F.posexplode(pieces).alias(pos, "_piece")).drop(col)
+    d = df.select("*", F.posexplode(pieces).alias(pos, "_piece")).drop(col).withColumn(pos, F.col(pos).cast("bigint"))
     return d.withColumn(out, strip_ws("_piece")).drop("_piece").filter(F.length(F.col(out)) > 0)
 
 
@@ -63,7 +63,7 @@ def json_stories(df: DataFrame, col: str = "json", out: str = "story", pos: str
     kind = F.schema_of_variant(v)
     as_list = F.try_variant_get(v, "$", "array<variant>")
     items = F.when(kind.startswith("ARRAY"), as_list).when(kind.startswith("OBJECT"), F.array(v))
-    d = df.select("*", F.posexplode(items).alias(pos, "_item")).drop(col)
+    d = df.select("*", F.posexplode(items).alias(pos, "_item")).drop(col).withColumn(pos, F.col(pos).cast("bigint"))
     ikind = F.schema_of_variant(F.col("_item"))
     text = (
         F.when(ikind == "STRING", strip_ws(F.variant_get(F.col("_item"), "$", "string")))

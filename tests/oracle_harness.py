@@ -52,14 +52,27 @@ def digest(cols, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+SPARK_TO_DUCK = {
+    "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "FloatType": "FLOAT",
+    "StringType": "VARCHAR", "BooleanType": "BOOLEAN", "DateType": "DATE", "ShortType": "SMALLINT",
+    "TimestampNTZType": "TIMESTAMP", "TimestampType": "TIMESTAMP WITH TIME ZONE",
+}
+
+
+def spark_types(df):
+    return {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, type(f.dataType).__name__) for f in df.schema.fields}
+
+
 def compare(spark, con, key, sf_dir, qfn, sql):
     t0 = time.time()
     sdf = qfn(spark, sf_dir)
     scols = sdf.columns
+    stypes = spark_types(sdf)
     srows = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]) for d in res.description}
     drows = res.fetchall()
     t2 = time.time()
     sh, sl = digest(scols, srows)
@@ -67,8 +80,11 @@ def compare(spark, con, key, sf_dir, qfn, sql):
     out = {
         "key": key, "spark_rows": len(srows), "oracle_rows": len(drows),
         "cols_match": sorted(scols) == sorted(dcols), "hash_match": sh == dh,
+        "types_match": stypes == dtypes,
         "spark_sec": round(t1 - t0, 2), "oracle_sec": round(t2 - t1, 2),
     }
+    if stypes != dtypes:
+        out["type_diff"] = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes) if stypes.get(c) != dtypes.get(c)}
     if sh != dh:
         sset, dset = set(sl), set(dl)
         out["only_spark"] = [x[:300] for x in sorted(sset - dset)[:3]]
@@ -97,7 +113,7 @@ def main(argv):
             r = compare(spark, con, k, sf_dir, qs[k], sqls[k])
         except Exception as e:  # report and go on
             r = {"key": k, "error": repr(e)[:800]}
-        ok = r.get("hash_match") and r.get("cols_match")
+        ok = r.get("hash_match") and r.get("cols_match") and r.get("types_match")
         bad += 0 if ok else 1
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{len(keys) - bad}/{len(keys)} match")

@@ -30,5 +30,6 @@ def test_entry(spark):
 def test_oracle(spark, con, key):
     r = compare(spark, con, key, SF, queries()[key], oracle_sql()[key])
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["hash_match"], r
