@@ -44,3 +44,63 @@ def test_filter_pushdown(spark, sf001):
 def test_window_group_limit(spark, sf001):
     plan = _plan(QUERIES["per_source_cap"](spark, sf001))
     assert "WindowGroupLimit" in plan
+
+
+AGG_NODES = ("HashAggregate", "ObjectHashAggregate", "SortAggregate", "LocalTableScan", "Range (")
+
+
+def _first_arg(text: str) -> str:
+    depth = 0
+    for i, ch in enumerate(text):
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            if depth == 0:
+                return text[:i]
+            depth -= 1
+        elif ch == "," and depth == 0:
+            return text[:i]
+    return text
+
+
+def _unpartitioned(line: str) -> bool:
+    """A window spec whose first argument is an ordering or the frame has no
+    partition key."""
+    k = line.find("windowspecdefinition(")
+    if k < 0:
+        return False
+    first = _first_arg(line[k + len("windowspecdefinition("):]).strip()
+    return first.startswith("specifiedwindowframe") or first.endswith(("FIRST", "LAST"))
+
+
+def _unpartitioned_windows_over_raw_rows(plan: str) -> list[str]:
+    """Window nodes with an empty partition spec whose subtree has no
+    aggregate (i.e. would run over raw rows in one task)."""
+    lines = plan.splitlines()
+    bad = []
+    for i, line in enumerate(lines):
+        if "Window [" not in line or not _unpartitioned(line):
+            continue
+        indent = len(line) - len(line.lstrip(" :+-"))
+        sub = []
+        for nxt in lines[i + 1:]:
+            if len(nxt) - len(nxt.lstrip(" :+-")) <= indent:
+                break
+            sub.append(nxt)
+        if not any(a in s for s in sub for a in AGG_NODES):
+            bad.append(line.strip()[:160])
+    return bad
+
+
+@pytest.mark.parametrize("key", sorted(QUERIES))
+def test_no_global_window_over_raw_rows(spark, sf001, key):
+    plan = _plan(QUERIES[key](spark, sf001))
+    assert _unpartitioned_windows_over_raw_rows(plan) == []
+
+
+def test_detector_flags_a_global_window(spark, sf001):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    from talewright.plans.inputs import read
+    df = read(spark, sf001, "documents").withColumn("rn", F.row_number().over(Window.orderBy("doc_id")))
+    assert _unpartitioned_windows_over_raw_rows(_plan(df))
