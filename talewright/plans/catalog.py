@@ -405,7 +405,8 @@ def q_ngram_score(spark, sf_dir):
 @query("ngram_eval")
 def q_ngram_eval(spark, sf_dir):
     pairs = char_pairs(spark, sf_dir)
-    rep = ngram.ngram_eval(pairs.filter(F.col("split") == "train"), pairs, char_vocab_size(spark, sf_dir), ALPHA)
+    V = char_vocab_size(spark, sf_dir)
+    rep = ngram.score_report(ngram.ngram_score(pairs, char_model(spark, sf_dir), V, ALPHA, by=["split"]), ["split"])
     return rep.select("split", "n_tokens", *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc", "top1_accuracy")])
 
 
