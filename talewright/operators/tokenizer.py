@@ -47,12 +47,17 @@ def char_vocab(train: DataFrame, col: str = "story", separator: str = "\n\n") ->
     )
 
 
-def _vocab_map(vocab: DataFrame, key: str, value: str) -> Column:
-    """Vocabulary as a map literal. Size checked: a vocabulary is bounded by
-    its parameter (BPE) or by the code-point range (chars)."""
+def _vocab_rows(vocab: DataFrame, key: str, value: str):
+    """Vocabulary rows if it fits a map literal (size checked), else None."""
     rows = vocab.select(key, value).limit(MAX_MAP_LITERAL + 1).collect()
-    if len(rows) > MAX_MAP_LITERAL:
-        raise ValueError("vocabulary too large to inline; use the join form")
+    return rows if len(rows) <= MAX_MAP_LITERAL else None
+
+
+def _vocab_map(vocab: DataFrame, key: str, value: str, rows=None) -> Column:
+    """Vocabulary as a map literal (only after the size check)."""
+    rows = rows if rows is not None else _vocab_rows(vocab, key, value)
+    if rows is None:
+        raise ValueError("vocabulary too large to inline; use lookup_array")
     if not rows:
         return F.create_map().cast(f"map<{'string' if key == 'token' else 'int'},{'int' if value == 'id' else 'string'}>")
     keys = F.array(*[F.lit(r[0]) for r in rows])
@@ -60,13 +65,41 @@ def _vocab_map(vocab: DataFrame, key: str, value: str) -> Column:
     return F.map_from_arrays(keys, vals)
 
 
-def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str = "ids", on_oov: str = "error") -> DataFrame:
+def lookup_array(df: DataFrame, array_col: Column, vocab: DataFrame, key: str, value: str, out: str,
+                 key_cols=None, default=None) -> DataFrame:
+    """``out = [vocab[x] for x in array_col]`` (NULL, or ``default``, for a
+    missing entry). A vocabulary up to ``MAX_MAP_LITERAL`` entries is inlined
+    as a map literal (no shuffle); a larger one (still bounded: the code-point
+    range, or the vocabulary-size parameter) is broadcast-joined to the
+    exploded elements, which are regrouped in order by ``key_cols``."""
+    rows = _vocab_rows(vocab, key, value)
+    if rows is not None:
+        m = _vocab_map(vocab, key, value, rows)
+        look = F.transform(array_col, lambda x: F.element_at(m, x))
+        if default is not None:
+            look = F.transform(look, lambda x: F.coalesce(x, F.lit(default)))
+        return df.withColumn(out, look)
+    if not key_cols:
+        raise ValueError("a vocabulary above the inline limit needs key_cols to regroup by")
+    keys = list(key_cols)
+    ex = df.select(*keys, F.posexplode(array_col).alias("_i", "_k"))
+    v = F.broadcast(vocab.select(F.col(key).alias("_k"), F.col(value).alias("_v")))
+    j = ex.join(v, "_k", "left")
+    if default is not None:
+        j = j.withColumn("_v", F.coalesce("_v", F.lit(default)))
+    back = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_p")).select(
+        *keys, F.transform("_p", lambda p: p["_v"]).alias(out))
+    return df.join(back, keys, "left").withColumn(
+        out, F.coalesce(F.col(out), F.array().cast(back.schema[out].dataType)))
+
+
+def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str = "ids", on_oov: str = "error",
+                key_cols=None) -> DataFrame:
     """TOK2: characters -> ids. ``on_oov``: ``error`` (the reference raises),
     ``drop`` (skip unknown characters) or ``flag`` (skip them and count them
-    in ``n_oov``)."""
-    m = _vocab_map(vocab, "token", "id")
-    looked = F.transform(chars_of(col), lambda ch: F.element_at(m, ch))
-    d = df.withColumn("_ids", looked)
+    in ``n_oov``). ``key_cols`` identify a text when the vocabulary is too
+    large to inline (see :func:`lookup_array`)."""
+    d = lookup_array(df, chars_of(col), vocab, "token", "id", "_ids", key_cols)
     n_oov = F.size(F.filter("_ids", lambda x: x.isNull()))
     if on_oov == "error":
         d = d.withColumn("_ids", F.when(n_oov == 0, F.col("_ids")).otherwise(
@@ -78,10 +111,10 @@ def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str =
     return d.withColumn(out, F.filter("_ids", lambda x: x.isNotNull())).drop("_ids")
 
 
-def char_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text") -> DataFrame:
+def char_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", key_cols=None) -> DataFrame:
     """TOK3: ids -> text."""
-    m = _vocab_map(vocab, "id", "token")
-    return df.withColumn(out, F.array_join(F.transform(col, lambda i: F.element_at(m, i)), ""))
+    d = lookup_array(df, F.col(col), vocab, "id", "token", "_toks", key_cols)
+    return d.withColumn(out, F.array_join("_toks", "")).drop("_toks")
 
 
 # ---------------------------------------------------------------- byte-level BPE
@@ -314,7 +347,6 @@ def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame, word_col
     list, longer lists in rounds of "lowest-rank pair per word" joined to the
     merge table. Symbols map to ids, an unknown byte to ``[UNK]``."""
     n_merges = merges.count()
-    m = _vocab_map(vocab, "token", "id")
     if n_merges <= fold_limit:
         ms = [(r[0], r[1]) for r in merges.orderBy("rank").select("left_tok", "right_tok").collect()]
         seg = byte_symbols(word_col)
@@ -325,8 +357,7 @@ def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame, word_col
         distinct = words.select(word_col).distinct().withColumn("seg", byte_symbols(word_col))
         merged = merge_segments_rounds(distinct, merges, word_col).withColumnRenamed("seg", "_seg")
         segs = words.join(merged, word_col)
-    ids = F.transform(symbols_of("_seg"), lambda s: F.coalesce(F.element_at(m, s), F.lit(UNK_ID)))
-    return segs.withColumn(out, ids).drop("_seg")
+    return lookup_array(segs, symbols_of("_seg"), vocab, "token", "id", out, [word_col], default=UNK_ID).drop("_seg")
 
 
 def bpe_encode(
@@ -352,12 +383,12 @@ def bpe_encode(
     return d
 
 
-def bpe_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", skip_specials: bool = True) -> DataFrame:
+def bpe_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", skip_specials: bool = True,
+               key_cols=None) -> DataFrame:
     """TOK3 for BPE: ids -> hex bytes -> UTF-8 text."""
-    m = _vocab_map(vocab, "id", "token")
     ids = F.filter(col, lambda i: i > F.lit(3)) if skip_specials else F.col(col)
-    hexed = F.array_join(F.transform(ids, lambda i: F.element_at(m, i)), "")
-    return df.withColumn(out, F.decode(F.unhex(hexed), "UTF-8"))
+    d = lookup_array(df, ids, vocab, "id", "token", "_hex", key_cols)
+    return d.withColumn(out, F.decode(F.unhex(F.array_join("_hex", "")), "UTF-8")).drop("_hex")
 
 
 def token_stats(encoded: DataFrame, tokenizer_col: str = "tokenizer", ids_col: str = "ids") -> DataFrame:

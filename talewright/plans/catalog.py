@@ -257,7 +257,7 @@ def q_char_vocab(spark, sf_dir):
 @query("char_encode")
 def q_char_encode(spark, sf_dir):
     val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
-    enc = tok.char_encode(val, char_tokenizer(spark, sf_dir), "story", on_oov="flag")
+    enc = tok.char_encode(val, char_tokenizer(spark, sf_dir), "story", on_oov="flag", key_cols=["doc_id", "pos"])
     return enc.select("doc_id", "pos", ids_to_string("ids").alias("ids"), "n_oov")
 
 
@@ -265,8 +265,8 @@ def q_char_encode(spark, sf_dir):
 def q_char_decode(spark, sf_dir):
     val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
     vocab = char_tokenizer(spark, sf_dir)
-    enc = tok.char_encode(val, vocab, "story", on_oov="drop")
-    return tok.char_decode(enc, vocab, "ids").select("doc_id", "pos", "text")
+    enc = tok.char_encode(val, vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"])
+    return tok.char_decode(enc, vocab, "ids", key_cols=["doc_id", "pos"]).select("doc_id", "pos", "text")
 
 
 @query("pretokenize")
@@ -348,7 +348,7 @@ def char_stream(spark, sf_dir):
     def build():
         vocab = char_tokenizer(spark, sf_dir)
         nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
-        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop")
+        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"])
         return packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK)
     return landed(spark, sf_dir, "char_stream", build)
 
@@ -589,7 +589,8 @@ def q_best_checkpoint(spark, sf_dir):
 def prompt_contexts(spark, sf_dir):
     """Benchmark items as generation prompts: char ids, last id = context token."""
     items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("story"))
-    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="drop").filter(F.size("ids") > 0)
+    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="drop", key_cols=["ctx_id"]).filter(
+        F.size("ids") > 0)
     return enc.select("ctx_id", "ids", F.element_at("ids", -1).alias("last"))
 
 

@@ -253,3 +253,24 @@ def test_running_agg_levels_brute(spark, agg):
             prev = [v for _, v in seq[:i]]
             want = (fn(prev) if prev else (0 if agg == "sum" else None))
             assert got[(g, k)] == want
+
+
+def test_large_vocabulary_join_path(spark, sf001, monkeypatch):
+    """Above the inline limit the lookup is a broadcast join + ordered
+    regroup; results equal the map-literal path."""
+    val = catalog.split_docs(spark, sf001).filter(F.col("split") == "val")
+    vocab = catalog.char_tokenizer(spark, sf001)
+    small = {(r.doc_id, r.pos): (r.ids, r.n_oov) for r in
+             tok.char_encode(val, vocab, "story", on_oov="flag", key_cols=["doc_id", "pos"]).collect()}
+    bv, bm = catalog.bpe_tokenizer(spark, sf001)
+    words = catalog.train_words(spark, sf001).select("word")
+    wsmall = {r.word: r.ids for r in tok.encode_words(words, bv, bm).collect()}
+    monkeypatch.setattr(tok, "MAX_MAP_LITERAL", 10)
+    big = {(r.doc_id, r.pos): (r.ids, r.n_oov) for r in
+           tok.char_encode(val, vocab, "story", on_oov="flag", key_cols=["doc_id", "pos"]).collect()}
+    wbig = {r.word: r.ids for r in tok.encode_words(words, bv, bm).collect()}
+    assert small == big and len(small) > 10
+    assert wsmall == wbig
+    dec = tok.char_decode(tok.char_encode(val, vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"]), vocab, "ids",
+                          key_cols=["doc_id", "pos"])
+    assert dec.filter(F.length("text") > F.length("story")).count() == 0
