@@ -651,7 +651,7 @@ def sft_records(spark, sf_dir):
     return ordering.ratio_split(pairs, ["conv_id", "turn"], ordering.bucket_of("conv_id", 1024), 0.90, 0.05, 0.05)
 
 
-def sft_encoded(spark, sf_dir):
+def _encode_sft(spark, sf_dir):
     vocab, merges = bpe_tokenizer(spark, sf_dir)
     recs = blocks.full_text(sft_records(spark, sf_dir))
     keys = ["conv_id", "turn"]
@@ -660,15 +660,13 @@ def sft_encoded(spark, sf_dir):
     return recs.select(*keys, "split").join(full, keys).join(prompt, keys)
 
 
-def sft_trip(spark, sf_dir):
-    return packing.sft_triplets(sft_encoded(spark, sf_dir), SFT_CONTEXT)
-
-
-_sft_encoded_build = sft_encoded
+def sft_encoded(spark, sf_dir):
+    """BPE-encoded chat records (full text and prompt text), landed once."""
+    return landed(spark, sf_dir, "sft_encoded", lambda: _encode_sft(spark, sf_dir))
 
 
-def sft_encoded(spark, sf_dir):  # noqa: F811  (landed form)
-    return landed(spark, sf_dir, "sft_encoded", lambda: _sft_encoded_build(spark, sf_dir))
+def sft_trip(spark, sf_dir):
+    return packing.sft_triplets(sft_encoded(spark, sf_dir), SFT_CONTEXT)
 
 
 def _mask_str(c):
