@@ -209,6 +209,17 @@ def _pick_batch(cands, vocab_tokens: set, budget: int, min_frequency: int, list_
     return keep[:budget]
 
 
+INCREMENTAL_MIN_WORDS = 1_000_000   # above this many distinct words, pair counts are updated, not recounted
+
+
+def _any_contains(col: str, pairs) -> Column:
+    cond = None
+    for a, b in pairs:
+        c = F.col(col).contains(f"<{a}><{b}>")
+        cond = c if cond is None else (cond | c)
+    return cond
+
+
 def bpe_train(
     words: DataFrame,
     vocab_size: int | None = None,
@@ -218,18 +229,25 @@ def bpe_train(
     word_col: str = "word",
     freq_col: str = "freq",
     checkpoint_every: int = 8,
+    incremental: bool | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """TOK8: learn byte-level BPE merges from a (word, freq) table.
 
     Stops when the vocabulary (4 specials + byte alphabet + new tokens)
     reaches ``vocab_size`` (or after ``num_merges`` merges) or when the best
     pair count is below ``min_frequency``. Pairs rank by (count desc, left,
-    right). Each round is one distributed pair count; only a bounded candidate
-    list reaches the driver; a batch of independent merges is applied with a
-    chain of ``replace``; words left with one symbol drop out. The word table
-    is kept persisted between rounds and checkpointed to the shared
-    checkpoint folder every ``checkpoint_every`` rounds, so its lineage never
-    holds more than that many projections.
+    right). Only a bounded candidate list reaches the driver per round; a
+    batch of independent merges (see :func:`_pick_batch`) is applied with a
+    chain of ``replace``; words left with one symbol drop out.
+
+    Pair counts are either recounted over the whole word table each round,
+    or (``incremental``, the default above ``INCREMENTAL_MIN_WORDS`` distinct
+    words) kept as a table and updated: only the words containing a merged
+    pair are recounted (their old pairs subtracted, new pairs added), so a
+    late round costs the touched words plus one aggregation of the pair
+    table instead of a pass over every word. State is persisted between
+    rounds and checkpointed to the shared checkpoint folder every
+    ``checkpoint_every`` rounds.
 
     Returns (vocab(id, token), merges(rank, left_tok, right_tok, count))."""
     spark = words.sparkSession
@@ -239,10 +257,13 @@ def bpe_train(
     vocab_tokens = set(alphabet)
     n_vocab = len(SPECIALS) + len(alphabet)
     state = cut_lineage(state.filter(F.size(symbols_of("seg")) > 1))
+    if incremental is None:
+        incremental = state.count() > INCREMENTAL_MIN_WORDS
+    counts = cut_lineage(pair_counts(state)) if incremental else None
     merges: list[tuple[str, str, int]] = []
     new_tokens: list[str] = []
     rounds = 0
-    prev = None
+    held: list[DataFrame] = []
 
     def budget() -> int:
         b = []
@@ -253,12 +274,12 @@ def bpe_train(
         return min(b) if b else 1 << 30
 
     while budget() > 0:
-        cands = (
-            pair_counts(state)
-            .orderBy(F.col("count").desc(), "left_tok", "right_tok")
-            .limit(list_limit)
-            .collect()
-        )
+        src = counts if incremental else pair_counts(state)
+        cands = src.orderBy(F.col("count").desc(), "left_tok", "right_tok").limit(list_limit).collect()
+        # only the current generation is read from here on
+        keep = 2 if incremental else 1
+        while len(held) > keep:
+            held.pop(0).unpersist()
         batch = _pick_batch([(r[0], r[1], int(r[2])) for r in cands], vocab_tokens, budget(), min_frequency, list_limit)
         if not batch:
             break
@@ -270,16 +291,33 @@ def bpe_train(
                 new_tokens.append(tok)
                 n_vocab += 1
         rounds += 1
-        if prev is not None:
-            prev.unpersist()        # the new state was materialized by this round's pair count
-        prev = state
-        state = state.withColumn("seg", merge_symbols("seg", [(a, b) for a, b, _ in batch]))
-        state = state.filter(F.size(symbols_of("seg")) > 1)
-        state = cut_lineage(state) if rounds % checkpoint_every == 0 else state.persist()
-
-    for st in (prev, state):
-        if st is not None:
-            st.unpersist()
+        pairs = [(a, b) for a, b, _ in batch]
+        cut = rounds % checkpoint_every == 0
+        if incremental:
+            hit = _any_contains("seg", pairs)
+            touched = state.filter(hit)
+            after = touched.withColumn("seg", merge_symbols("seg", pairs))
+            delta = pair_counts(after).unionByName(pair_counts(touched).withColumn("count", -F.col("count")))
+            counts = (counts.unionByName(delta).groupBy("left_tok", "right_tok")
+                      .agg(F.sum("count").alias("count")).filter(F.col("count") > 0))
+            # narrow update (no union: the partition count stays put)
+            state = state.withColumn("seg", F.when(hit, merge_symbols("seg", pairs)).otherwise(F.col("seg")))
+            state = state.filter(F.size(symbols_of("seg")) > 1)
+            if cut:
+                state, counts = cut_lineage(state), cut_lineage(counts)
+            else:
+                # materialize while the previous generation is still cached
+                state, counts = state.persist(), counts.persist()
+                state.count()
+                counts.count()
+            held += [state, counts]
+        else:
+            state = state.withColumn("seg", merge_symbols("seg", pairs)).filter(F.size(symbols_of("seg")) > 1)
+            state = cut_lineage(state) if cut else state.persist()
+            held.append(state)
+
+    for st in held:
+        st.unpersist()
     vocab_rows = [(i, t) for i, t in enumerate(SPECIALS + alphabet + new_tokens)]
     vocab = spark.createDataFrame(vocab_rows, "id int, token string")
     merge_df = spark.createDataFrame(

@@ -95,12 +95,12 @@ def _bpe_brute(words, n_merges, min_freq=2):
     return merges
 
 
-@pytest.mark.parametrize("list_limit", [4, 64])
-def test_bpe_batched_equals_sequential(spark, sf001, list_limit):
+@pytest.mark.parametrize("list_limit,incremental", [(4, False), (64, False), (16, True), (64, True)])
+def test_bpe_batched_equals_sequential(spark, sf001, list_limit, incremental):
     words = catalog.train_words(spark, sf001)
     rows = [(r.word, r.freq) for r in words.collect()]
     want = _bpe_brute(rows, 40)
-    _, merges = tok.bpe_train(words, num_merges=40, list_limit=list_limit)
+    _, merges = tok.bpe_train(words, num_merges=40, list_limit=list_limit, checkpoint_every=3, incremental=incremental)
     got = [(r.left_tok, r.right_tok, r["count"]) for r in merges.orderBy("rank").collect()]
     assert got == want
 
