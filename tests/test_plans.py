@@ -91,3 +91,23 @@ def test_detector_flags_a_global_window(spark, sf001):
     from talewright.plans.inputs import read
     df = read(spark, sf001, "documents").withColumn("rn", F.row_number().over(Window.orderBy("doc_id")))
     assert _unpartitioned_windows_over_raw_rows(_plan(df))
+
+
+def test_hot_source_is_split_by_bucket(spark):
+    """All lines in one source: the line-level window is partitioned by the
+    prefix-scan bucket, not by the source alone (no one-task window)."""
+    from pyspark.sql import functions as F
+    from talewright.operators import blocks, ordering
+    lines = spark.range(100000).select(F.lit("one-file").alias("src"), F.col("id").alias("line_no"),
+                                       F.when(F.col("id") % 7 == 6, F.lit("<|endoftext|>")).otherwise(F.lit("Story: x")).alias("text"))
+    b = blocks.assign_blocks(lines, "src", ["line_no"], ordering.bucket_of("line_no", 1024))
+    plan = _plan(b)
+    line_windows = [l for l in plan.splitlines() if "Window [" in l and "line_no" in l]
+    assert line_windows, plan
+    for l in line_windows:
+        spec = l[l.index("windowspecdefinition(") + len("windowspecdefinition("):]
+        assert _first_arg(spec).startswith("_bkt0"), l      # partitioned by the bucket
+    assert _unpartitioned_windows_over_raw_rows(plan) == []
+    # and the result is exact: block = number of delimiters before the line
+    got = {r.line_no: r.block for r in b.filter(F.col("line_no") < 50).collect()}
+    assert got == {i: i // 7 for i in range(50) if i % 7 != 6}
