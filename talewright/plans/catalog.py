@@ -4,13 +4,21 @@ built from the given tables. Keys match SURVEY §2 and the DuckDB twins in
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import blocks
-from .inputs import instruct_lines, landed, read
+from ..functions.text import coalesce_key, ids_to_string
+from ..operators import blocks, metrics, ngram, ordering, packing, sampling, scores, sweeps
+from ..operators import tokenizer as tok
+from ..operators.tokenizer import chars_of
+from ..session import ensure_checkpoint_dir
+from ..sources import logs as logsrc
+from ..sources import records, stories
+from .inputs import doc_bucket, doc_split, instruct_lines, landed, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -83,10 +91,6 @@ def q_valid_records(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources, order, projections
 
-from ..functions.text import coalesce_key  # noqa: E402
-from ..operators import ordering, sampling  # noqa: E402
-from ..sources import stories  # noqa: E402
-from .inputs import doc_bucket, doc_split  # noqa: E402
 
 BYTE_BUDGET = 65536     # bytes read per source
 CAP_PER_SOURCE = 20     # stories kept per source
@@ -209,8 +213,6 @@ def q_round_robin(spark, sf_dir):
 
 # ---------------------------------------------------------------- tokenizers
 
-from ..functions.text import ids_to_string  # noqa: E402
-from ..operators import tokenizer as tok  # noqa: E402
 
 BPE_MERGES = 8          # merges learned for the SQL-checked tokenizer
 _TOKENIZERS: dict = {}
@@ -326,8 +328,6 @@ def q_token_stats(spark, sf_dir):
 
 # ---------------------------------------------------------------- streams, SFT samples, n-gram model, metrics
 
-from ..operators import metrics, ngram, packing, scores, sweeps  # noqa: E402
-from ..operators.tokenizer import chars_of  # noqa: E402
 
 BLOCK = 4096            # tokens per stream block
 ALPHA = 1.0             # add-alpha smoothing of the count model
@@ -739,13 +739,6 @@ def q_record_batch(spark, sf_dir):
 
 # -- file round trips: SFT JSON Lines, benchmark summary log, generated samples
 
-import os  # noqa: E402
-import uuid  # noqa: E402
-
-from ..session import ensure_checkpoint_dir  # noqa: E402
-from ..sources import logs as logsrc  # noqa: E402
-from ..sources import records  # noqa: E402
-
 
 def _landing_dir(spark, name):
     return os.path.join(ensure_checkpoint_dir(spark), "landed", f"{name}-{uuid.uuid4().hex}")

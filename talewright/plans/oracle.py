@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from .sql_inputs import BLOCKED_LINES, CLASSIFIED, INSTRUCT_LINES, RECORDS
+from ..functions.text import INCOMPLETE_UTF8_TAIL_HEX
+from .sql_inputs import BLOCKED_LINES, CLASSIFIED, INSTRUCT_LINES, RECORDS, doc_split, strip
+from .sql_tokens import (STORIES, TRAIN_WORDS, WORD_LISTS, bpe_rounds, encode_words, pretoken_ctes, seg,
+                         sql_uniform_cols)
 
 ORACLE: dict[str, str] = {}
 
@@ -60,8 +63,6 @@ SELECT CAST(count(*) AS BIGINT) AS processed,
 FROM chat"""
 
 # ---------------------------------------------------------------- sources, order, projections
-from ..functions.text import INCOMPLETE_UTF8_TAIL_HEX  # noqa: E402
-from .sql_inputs import doc_split, strip  # noqa: E402
 
 _JSON_DOCS = """
 json_docs AS (
@@ -187,7 +188,6 @@ p AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS p, count(*) OV
 SELECT d.doc_id, p.item_id FROM d JOIN p ON p.p = d.i % p.n"""
 
 # ---------------------------------------------------------------- tokenizers
-from .sql_tokens import STORIES, TRAIN_WORDS, WORD_LISTS, bpe_rounds, encode_words, seg  # noqa: E402
 
 _TOK = "WITH " + STORIES + "," + WORD_LISTS
 _TRAIN = _TOK + "," + TRAIN_WORDS
@@ -244,7 +244,6 @@ UNION ALL
 SELECT 'bpe', CAST(count(*) AS BIGINT), CAST(sum(n_ids) AS BIGINT), round(avg(n_ids), 6) FROM story_ids"""
 
 # ---------------------------------------------------------------- streams, n-gram model, evaluation
-from .sql_tokens import pretoken_ctes, sql_uniform_cols  # noqa: E402
 
 _STREAM_CTES = _CHARS + """,
 all_chars AS (
