@@ -18,6 +18,7 @@ from ..operators.tokenizer import chars_of
 from ..session import ensure_checkpoint_dir
 from ..sources import logs as logsrc
 from ..sources import records, stories
+from ..streaming import incremental as inc
 from .inputs import doc_bucket, doc_split, instruct_lines, landed, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -824,3 +825,47 @@ def q_sample_text(spark, sf_dir):
     _, distinct = logsrc.explode_samples(landed_log(spark, sf_dir))
     return distinct.select("prompt", F.col("samples").cast("bigint").alias("samples"),
                            F.col("distinct_texts").cast("bigint").alias("distinct_texts"))
+
+
+# -- streaming forms over the given tables (each run to completion, result read back)
+
+
+
+def _run_to_table(df_stream, name: str, mode: str = "complete"):
+    """Run a streaming aggregate to completion; every micro-batch overwrites a
+    Parquet table in the shared folder with the current result (distributed
+    write, nothing held on the driver); the table is read back."""
+    spark = df_stream.sparkSession
+    table = f"{name}-{uuid.uuid4().hex[:12]}"
+    path = _landing_dir(spark, table)
+
+    def sink(batch_df, _batch_id):
+        batch_df.write.mode("overwrite").parquet(path)
+
+    q = (df_stream.writeStream.outputMode(mode).foreachBatch(sink)
+         .option("checkpointLocation", inc.checkpoint_location(spark, table)).start())
+    q.processAllAvailable()
+    q.stop()
+    return spark.read.parquet(path)
+
+
+def _stream_of(spark, sf_dir, name, max_files=1):
+    return (spark.readStream.schema(read(spark, sf_dir, name).schema).option("maxFilesPerTrigger", max_files)
+            .option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir))
+
+
+@query("stream_best")
+def q_stream_best(spark, sf_dir):
+    """STR3: live best validation loss per run from the log read as a stream
+    (state: one row per run); equals the batch best of WIN1/TOP3."""
+    ev = _stream_of(spark, sf_dir, "events").select(
+        F.col("event_type").alias("run"), F.col("event_id").alias("step"), F.col("value").alias("val_loss"))
+    return _run_to_table(inc.live_best(ev), "stream_best")
+
+
+@query("stream_word_counts")
+def q_stream_word_counts(spark, sf_dir):
+    """STR4: running pre-token counts of the corpus read as a stream."""
+    docs = _stream_of(spark, sf_dir, "documents").select("doc_id", "text")
+    s = stories.split_stories(docs, "text", sep="\n")
+    return _run_to_table(inc.word_count_stream(s, "story"), "stream_word_counts")

@@ -587,3 +587,11 @@ texts AS (
 )
 SELECT prompt, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT text) AS BIGINT) AS distinct_texts
 FROM texts GROUP BY prompt"""
+
+# ---------------------------------------------------------------- streaming forms
+ORACLE["stream_best"] = _LOG + """
+SELECT run, val_loss AS best_loss, step AS best_step FROM (
+  SELECT run, step, val_loss, row_number() OVER (PARTITION BY run ORDER BY val_loss, step) AS rn FROM log)
+WHERE rn = 1"""
+
+ORACLE["stream_word_counts"] = _TOK + "\nSELECT word, CAST(count(*) AS BIGINT) AS freq FROM tokens GROUP BY word"
