@@ -869,3 +869,22 @@ def q_stream_word_counts(spark, sf_dir):
     docs = _stream_of(spark, sf_dir, "documents").select("doc_id", "text")
     s = stories.split_stories(docs, "text", sep="\n")
     return _run_to_table(inc.word_count_stream(s, "story"), "stream_word_counts")
+
+
+@query("stream_records")
+def q_stream_records(spark, sf_dir):
+    """STR1 (+STR2 counters): the instruction stream landed as text files
+    that hold whole blocks (one document's block per row, so no block
+    straddles files), built incrementally by a file stream into Parquet
+    (``availableNow``, checkpointed); equals the batch records."""
+    docs = read(spark, sf_dir, "documents")
+    lines = F.concat(
+        F.array(F.concat(F.lit("Features: "), F.col("source")), F.concat(F.lit("Words: "), F.col("lang")),
+                F.concat(F.lit("Summary: "), F.element_at(F.split("text", "\n"), 1)), F.lit("Story:")),
+        F.split("text", "\n"), F.array(F.lit(blocks.END_OF_TEXT)))
+    src = _landing_dir(spark, "instruct-files")
+    docs.select(F.array_join(lines, "\n").alias("value")).write.text(src)
+    out = _landing_dir(spark, "stream-records")
+    name = f"stream_records-{uuid.uuid4().hex[:12]}"
+    inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name))
+    return spark.read.parquet(out).select("prompt", "response")

@@ -595,3 +595,5 @@ SELECT run, val_loss AS best_loss, step AS best_step FROM (
 WHERE rn = 1"""
 
 ORACLE["stream_word_counts"] = _TOK + "\nSELECT word, CAST(count(*) AS BIGINT) AS freq FROM tokens GROUP BY word"
+
+ORACLE["stream_records"] = _RECS + "\nSELECT prompt, response FROM assembled"
