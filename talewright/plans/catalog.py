@@ -15,7 +15,7 @@ from ..functions.text import coalesce_key, ids_to_string
 from ..operators import blocks, metrics, ngram, ordering, packing, sampling, scores, sweeps
 from ..operators import tokenizer as tok
 from ..operators.tokenizer import chars_of
-from ..session import ensure_checkpoint_dir
+from ..session import cut_lineage, ensure_checkpoint_dir
 from ..sources import logs as logsrc
 from ..sources import records, stories
 from ..streaming import incremental as inc
@@ -350,8 +350,14 @@ def char_stream(spark, sf_dir):
         vocab = char_tokenizer(spark, sf_dir)
         nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
         enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"])
-        return packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK)
-    return landed(spark, sf_dir, "char_stream", build)
+        # the offsets pass and the data pass both read the encoded texts:
+        # keep them for the one landing job only
+        enc = enc.persist()
+        try:
+            return cut_lineage(packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK))
+        finally:
+            enc.unpersist()
+    return landed(spark, sf_dir, "char_stream", build, cut=False)
 
 
 def char_pairs(spark, sf_dir):

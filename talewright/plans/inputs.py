@@ -34,15 +34,16 @@ HEAVY_TEXT_TABLES = {"documents", "conversations", "pages"}
 _MEMO: dict = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, name: str, build, cut: bool = True) -> DataFrame:
     """Build a derived table once per session and input directory and land
     it with a reliable checkpoint in the shared checkpoint folder (lineage
-    cut, survives executor loss). Later queries read the landed copy."""
+    cut, survives executor loss). Later queries read the landed copy.
+    ``cut=False``: ``build`` lands the table itself."""
     from ..session import cut_lineage
 
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _MEMO:
-        _MEMO[key] = cut_lineage(build())
+        _MEMO[key] = cut_lineage(build()) if cut else build()
     return _MEMO[key]
 
 
