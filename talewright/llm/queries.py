@@ -7,15 +7,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import token_digests
 from .minhash import near_duplicates
 from .shared import table
 
 
+def vocabulary(name: str) -> str:
+    """Place of a public tokenizer file (installed on every executor)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bpe": op3_bpe,
     "op6_minhash": op6_minhash,
 }
 
