@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import token_digests
+from . import license_scan as licenses
 from .minhash import near_duplicates
 from .shared import table
 
@@ -19,6 +20,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -28,8 +33,11 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_license_scan": op2_license_scan,
     "op3_bpe": op3_bpe,
     "op6_minhash": op6_minhash,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_license_scan": licenses.oracle(),
+}

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +15,29 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir, table_path
 
 
+_shipped: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that their
+    Python workers can import it wherever the driver was started."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="talewright-code-"), "talewright_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(top):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(top)))
+    sc.addPyFile(path)  # Spark serves the driver's copy to every executor
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(table_path(sf_dir, name))
 
 
@@ -73,6 +97,3 @@ def components(links: DataFrame, a: str, b: str) -> DataFrame:
         if not depth and not multi:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
 
-
-def one_per_row(column: list | np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.array(column, kind)
