@@ -6,10 +6,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from . import license_scan as licenses
-from . import toxicity
+from . import quality, toxicity
+from .collision_ann import nearest
 from .minhash import near_duplicates
 from .shared import table
 
@@ -34,15 +36,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, quality.graded(table(spark, sf_dir, "labels")), grades=3))
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op9_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
+    "op5_quality": op5_quality,
     "op6_minhash": op6_minhash,
+    "op9_collision_ann": op9_collision_ann,
 }
 
 ORACLE: dict[str, str] = {
