@@ -13,7 +13,9 @@ from . import license_scan as licenses
 from . import quality, toxicity
 from .collision_ann import nearest
 from .minhash import near_duplicates
+from .qgram_decontam import leaks
 from .shared import table
+from .url_rules import judge
 
 
 def vocabulary(name: str) -> str:
@@ -45,17 +47,27 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "pages"))
+
+
 def op9_collision_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
+def op10_qgram_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_license_scan": op2_license_scan,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op6_minhash": op6_minhash,
+    "op8_url_rules": op8_url_rules,
     "op9_collision_ann": op9_collision_ann,
+    "op10_qgram_decontam": op10_qgram_decontam,
 }
 
 ORACLE: dict[str, str] = {
