@@ -15,6 +15,7 @@ from .collision_ann import nearest
 from .minhash import near_duplicates
 from .qgram_decontam import leaks
 from .shared import table
+from .suffix_dedup import repeated_passages
 from .url_rules import judge
 
 
@@ -25,6 +26,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents")).drop("v")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -60,6 +65,7 @@ def op10_qgram_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_license_scan": op2_license_scan,
     "op3_bpe": op3_bpe,
     "op4_toxicity": op4_toxicity,
