@@ -12,6 +12,7 @@ from .bpe import token_digests
 from . import license_scan as licenses
 from . import quality, toxicity
 from .collision_ann import nearest
+from .grammar_output import token_files
 from .minhash import near_duplicates
 from .qgram_decontam import leaks
 from .shared import table
@@ -52,6 +53,10 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op7_grammar_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), 2)
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"))
 
@@ -71,6 +76,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_toxicity": op4_toxicity,
     "op5_quality": op5_quality,
     "op6_minhash": op6_minhash,
+    "op7_grammar_output": op7_grammar_output,
     "op8_url_rules": op8_url_rules,
     "op9_collision_ann": op9_collision_ann,
     "op10_qgram_decontam": op10_qgram_decontam,
