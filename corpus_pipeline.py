@@ -1,4 +1,9 @@
-"""Corpus preparation in stages; each stage reads what the one before kept."""
+"""Corpus preparation in five stages; each stage reads what the one before kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame. All but the
+last return the columns of the documents; ``run`` writes each stage's rows as
+Parquet into the shared folder and reads them back as the next stage's input.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +12,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talewright.llm import quality
+from talewright.llm.bpe import token_digests
 from talewright.llm.minhash import near_duplicates
-from talewright.llm.shared import land, table
+from talewright.llm.qgram_decontam import leaks
+from talewright.llm.queries import vocabulary
+from talewright.llm.shared import land, ship_code, table
+from talewright.llm.suffix_dedup import cut_repeats
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; null and empty texts are rejected. The model is
+    fitted on the labelled documents of the stage's own input."""
+    ship_code(spark)
+    model = quality.train(docs, quality.graded(table(spark, sf_dir, "labels")), grades=3)
+    return quality.select_documents(docs, model)
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every near-duplicate group stays (the smallest id).
     Rows without an id stay; of repeated rows of one id one stays."""
+    ship_code(spark)
     found = near_duplicates(docs, words=5, percent=80).where("doc_id is not null and kept")
     ids = land(found.groupBy("doc_id").agg(F.count("*").alias("rows")))
     once = docs.join(ids.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
@@ -22,8 +41,36 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return out.select(*docs.columns)
 
 
+def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that an earlier document has are cut out;
+    a document of which nothing is left goes."""
+    ship_code(spark)
+    return cut_repeats(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go, row by row."""
+    ship_code(spark)
+    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    found = leaks(keyed, table(spark, sf_dir, "benchmark"), row_id=F.col("__key"))
+    hit = found.select(F.col("row").alias("__key"), "doc_id").distinct()
+    # equal text and id: the same verdict for repeated rows and null ids alike
+    same = (keyed["__key"] == hit["__key"]) & keyed["doc_id"].eqNullSafe(hit["doc_id"])
+    return keyed.join(hit, same, "left_anti").select(*docs.columns)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and of the decoded text."""
+    ship_code(spark)
+    return token_digests(docs, vocabulary("byte_bpe_50k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_classifier", quality_classifier),
     ("minhash_near_dedup", minhash_near_dedup),
+    ("suffix_array_dedup", suffix_array_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("bpe_encoding", bpe_encoding),
 ]
 
 
@@ -36,4 +83,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
+#: A fitted classifier and hashed signatures are beyond SQL; tests/llm holds
+#: the pipeline against brute-force versions of its stages.
 ORACLE_SQL: str | None = None

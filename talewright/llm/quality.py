@@ -200,3 +200,13 @@ def graded(labels: DataFrame) -> DataFrame:
     2 for good and not toxic."""
     good = F.col("quality").cast("int")
     return labels.select("doc_id", (good * (2 - F.coalesce(F.col("toxic").cast("int"), F.lit(0)))).alias("grade"))
+
+
+def select_documents(docs: DataFrame, model: list[tuple[int, float]], wanted: int = 1, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the model selects, all columns as they are.
+    One pass: the rows are judged where they are read, without a join."""
+    columns = [c for c in docs.columns if c != text_col]
+    d = docs.select(F.struct(*[F.col(c) for c in columns], F.col(text_col).alias("__raw")).alias("id"), F.col(text_col).cast("string").alias("text"))
+    out = d.mapInArrow(_score_rows(model, wanted), f"id {d.schema['id'].dataType.simpleString()}, expected_grade double, tail double")
+    out = out.where(F.col("tail") >= least)
+    return out.select(*[F.col("id.__raw").alias(c) if c == text_col else F.col(f"id.`{c}`").alias(c) for c in docs.columns])
