@@ -164,11 +164,17 @@ def _fit_group(prior: float) -> Callable[[pd.DataFrame], pd.DataFrame]:
 def bounded_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(doc_id, label): at most ``per_class`` ids of each label, those with the
     smallest hash. One row per id (its largest label); null ids or labels do
-    not count. Every task forwards at most that many rows per label."""
+    not count. A share of the ids, set by the count of their label so that
+    about twice ``per_class`` are left, is ranked; so the ranking of a label
+    holds as many rows for any number of labelled documents."""
     one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     one = one.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return one.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).drop("rank")
+    one = one.withColumn("hash", F.xxhash64("doc_id"))
+    counts = one.groupBy("label").agg(F.count("*").alias("n"))
+    share = (2.0 * per_class + 200.0) / F.col("n")
+    some = one.join(counts, "label").where(F.pmod("hash", F.lit(1 << 20)) < share * (1 << 20))
+    order = Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 20)), "hash", "doc_id")
+    return some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).select("doc_id", "label")
 
 
 def held_out(id_col: str):
