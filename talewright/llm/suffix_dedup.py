@@ -103,7 +103,7 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     row by row; only rows of its first document wait, until another is met."""
     names = ["hash", "id", "v", "start", "copied"]
     held = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.int32), np.zeros(0, bool)]
-    last, known = None, False          # the open run, and whether its rows are known to repeat
+    last, known, head = None, False, None   # the open run, whether its rows are known to repeat, its first row
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -113,16 +113,18 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         run = np.zeros(len(h), np.int64)
         run[cut[1:]] = 1
         run = np.cumsum(run)
-        lead = np.zeros(len(h), bool)
-        lead[cut] = True
+        heads = np.stack([ident[cut], v[cut], start[cut]])
+        if known and h[0] == last:     # the run began in an earlier batch
+            heads[:, 0] = head
+        lead = (np.stack([ident, v, start]) == heads[:, run]).all(axis=0)   # repeated rows are one
         many = np.maximum.reduceat((ident != ident[cut][run]) | copied, cut)
-        if known and h[0] == last:     # its first row was given out before
-            many[0], lead[0] = True, False
+        if known and h[0] == last:
+            many[0] = True
         give = many[run]
         yield pa.RecordBatch.from_arrays(
             [pa.array(ident[give], pa.int64()), pa.array(v[give].astype(np.int32), pa.int32()), pa.array(start[give], pa.int32()), pa.array(lead[give])],
             ["id", "v", "start", "first"])
-        last, known = h[-1], bool(many[-1])
+        last, known, head = h[-1], bool(many[-1]), heads[:, -1]
         wait = (run == run[-1]) & ~give
         held = [x[wait] for x in (h, ident, v, start, copied)]
 
