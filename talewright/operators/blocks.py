@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import strip_ws
@@ -125,20 +125,25 @@ def filter_min_length(df: DataFrame, col: str = "response", n: int = MIN_STORY_C
     return df.filter(F.length(F.col(col)) >= F.lit(n))
 
 
+TURN_BUCKET = 1024      # turns of a conversation that one window sees
+
+
 def chat_pairs(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
-    """BLK4: each assistant turn with the user turn just before it ->
-    (prompt, response).
-
-    Turns are numbered densely from 0 inside a conversation, so "the turn just
-    before" is an equi-join on (conv, turn - 1): unique keys, no window over a
-    conversation, so a huge conversation does not land in one task."""
-    a = conversations.filter(F.col("role") == "assistant").select(
-        F.col(conv_col), F.col(turn_col), F.col("text").alias("response")
-    )
-    u = conversations.filter(F.col("role") == "user").select(
-        F.col(conv_col), (F.col(turn_col) + 1).alias(turn_col), F.col("text").alias("prompt")
-    )
-    return a.join(u, on=[conv_col, turn_col], how="inner").select(conv_col, turn_col, "prompt", "response")
+    """BLK4: each assistant turn with the turn just before it, if that is a
+    user turn -> (prompt, response). Turn numbers may have gaps.
+
+    A conversation is looked through in buckets of ``TURN_BUCKET`` turns; the
+    first turn of a bucket takes the last one of the bucket before it, found
+    over one row per bucket. So a huge conversation does not land in one task."""
+    d = conversations.select(conv_col, turn_col, "role", "text", F.floor(F.col(turn_col) / TURN_BUCKET).alias("_b"))
+    said = F.struct("role", "text")
+    inside = Window.partitionBy(conv_col, "_b").orderBy(turn_col)
+    d = d.withColumn("_prev", F.lag(said).over(inside))
+    lasts = d.groupBy(conv_col, "_b").agg(F.max_by(said, turn_col).alias("_last"))
+    before = lasts.select(conv_col, "_b", F.lag("_last").over(Window.partitionBy(conv_col).orderBy("_b")).alias("_carried"))
+    a = d.filter(F.col("role") == "assistant").join(before.filter("_carried is not null"), [conv_col, "_b"], "left")
+    prev = F.coalesce("_prev", "_carried")
+    return a.filter(prev["role"] == "user").select(conv_col, turn_col, prev["text"].alias("prompt"), F.col("text").alias("response"))
 
 
 def valid_records(df: DataFrame) -> DataFrame:

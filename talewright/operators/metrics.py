@@ -130,14 +130,13 @@ def run_delta(runs: DataFrame, model: str, order: str, metrics: Sequence[str]) -
     return d
 
 
-def compare_runs(runs: DataFrame, group: str, family: str, metric: str, families: Sequence[str]) -> DataFrame:
-    """WIN4: families side by side per group (pivot), best (lowest metric,
-    ties -> name) named first as ``winner``."""
+def compare_runs(runs: DataFrame, group: str, family: str, metric: str) -> DataFrame:
+    """WIN4: all families of each group side by side, best first (lowest
+    metric, ties -> name): the rank of each and the group's ``winner``."""
     w = Window.partitionBy(group).orderBy(F.col(metric), F.col(family))
-    ranked = runs.withColumn("_rank", F.rank().over(w))
-    winner = ranked.filter(F.col("_rank") == 1).groupBy(group).agg(F.min(family).alias("winner"))
-    wide = runs.groupBy(group).pivot(family, list(families)).agg(F.first(metric))
-    return winner.join(wide, group)
+    ranked = runs.select(group, family, metric, F.row_number().over(w).alias("rank"))
+    winner = ranked.filter(F.col("rank") == 1).select(group, F.col(family).alias("winner"))
+    return ranked.join(winner, group)
 
 
 def pick_best(log: DataFrame, run: str, step: str, loss: str) -> DataFrame:

@@ -179,7 +179,8 @@ def byte_budget(
     crosses the budget is cut (at a character boundary), then stripped;
     empty pieces are dropped."""
     nbytes = F.octet_length(F.col(text_col)) + F.lit(sep_bytes)
-    d = running_sum(df, nbytes, order_cols, bucket, [src_col], out="_start", inclusive=False)
+    # buckets that begin past the budget are dropped before their texts are shuffled
+    d = running_sum(df, nbytes, order_cols, bucket, [src_col], out="_start", inclusive=False, max_offset=budget_bytes)
     d = d.filter(F.col("_start") < F.lit(budget_bytes))
     room = F.lit(budget_bytes) - F.col("_start")
     cut = F.when(F.octet_length(F.col(text_col)) <= room, F.col(text_col)).otherwise(

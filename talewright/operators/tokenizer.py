@@ -19,10 +19,12 @@ from ..session import cut_lineage
 
 # The public GPT-2 byte-level pre-tokenization pattern, and the
 # special tokens in id order 0..3.
-GPT2_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# (?U): white space and letters are those of Unicode, as in the public library.
+GPT2_PATTERN = r"""(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 SPECIALS = ["[PAD]", "[UNK]", "[BOS]", "[EOS]"]
 PAD_ID, UNK_ID, BOS_ID, EOS_ID = 0, 1, 2, 3
 
+REPLACEMENT = "\ufffd"      # what an unknown id decodes to
 MAX_MAP_LITERAL = 1 << 16   # vocabularies up to this size are inlined as a map literal
 
 
@@ -96,24 +98,25 @@ def lookup_array(df: DataFrame, array_col: Column, vocab: DataFrame, key: str, v
 def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str = "ids", on_oov: str = "error",
                 key_cols=None) -> DataFrame:
     """TOK2: characters -> ids. ``on_oov``: ``error`` (the reference raises),
-    ``drop`` (skip unknown characters) or ``flag`` (skip them and count them
-    in ``n_oov``). ``key_cols`` identify a text when the vocabulary is too
+    ``unk`` (one id past the vocabulary), ``drop`` (skip unknown characters) or
+    ``flag`` (skip them and count them in ``n_oov``). ``key_cols`` identify a text when the vocabulary is too
     large to inline (see :func:`lookup_array`)."""
-    d = lookup_array(df, chars_of(col), vocab, "token", "id", "_ids", key_cols)
+    unknown = vocab.count() if on_oov == "unk" else None
+    d = lookup_array(df, chars_of(col), vocab, "token", "id", "_ids", key_cols, default=unknown)
     n_oov = F.size(F.filter("_ids", lambda x: x.isNull()))
     if on_oov == "error":
         d = d.withColumn("_ids", F.when(n_oov == 0, F.col("_ids")).otherwise(
             F.raise_error(F.lit("character not in vocabulary")).cast("array<int>")))
     elif on_oov == "flag":
         d = d.withColumn("n_oov", n_oov.cast("bigint"))
-    elif on_oov != "drop":
+    elif on_oov not in ("drop", "unk"):
         raise ValueError(on_oov)
     return d.withColumn(out, F.filter("_ids", lambda x: x.isNotNull())).drop("_ids")
 
 
 def char_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", key_cols=None) -> DataFrame:
-    """TOK3: ids -> text."""
-    d = lookup_array(df, F.col(col), vocab, "id", "token", "_toks", key_cols)
+    """TOK3: ids -> text; an id outside the vocabulary becomes U+FFFD."""
+    d = lookup_array(df, F.col(col), vocab, "id", "token", "_toks", key_cols, default=REPLACEMENT)
     return d.withColumn(out, F.array_join("_toks", "")).drop("_toks")
 
 
@@ -414,8 +417,8 @@ def bpe_encode(
     )
     ids = F.flatten(F.transform("_parts", lambda p: p["wids"]))
     ids = F.coalesce(ids, F.array().cast("array<int>"))
-    d = regrouped.select(*keys, ids.alias(out))
-    # Texts without any pre-token (cannot happen for non-empty stories) keep no row here.
+    # a text without a pre-token has no group: it keeps its row with no ids
+    d = df.select(*keys).join(regrouped, keys, "left").select(*keys, ids.alias(out))
     if specials:
         d = d.withColumn(out, add_specials(out))
     return d

@@ -215,7 +215,7 @@ def q_round_robin(spark, sf_dir):
 # ---------------------------------------------------------------- tokenizers
 
 
-BPE_MERGES = 8          # merges learned for the SQL-checked tokenizer
+BPE_VOCAB = 256         # vocabulary size of the SQL-checked tokenizer (the smallest published size)
 _TOKENIZERS: dict = {}
 
 
@@ -235,11 +235,11 @@ def train_words(spark, sf_dir):
     return tok.word_counts(tok.pretokenize(train, "story"), "words", extra=sep)
 
 
-def bpe_tokenizer(spark, sf_dir, num_merges=BPE_MERGES):
-    key = (spark.sparkContext.applicationId, sf_dir, num_merges)
+def bpe_tokenizer(spark, sf_dir, vocab_size=BPE_VOCAB):
+    key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
     if key not in _TOKENIZERS:
         words = landed(spark, sf_dir, "train_words", lambda: train_words(spark, sf_dir))
-        _TOKENIZERS[key] = tok.bpe_train(words, num_merges=num_merges, min_frequency=2)
+        _TOKENIZERS[key] = tok.bpe_train(words, vocab_size=vocab_size, min_frequency=2)
     return _TOKENIZERS[key]
 
 
@@ -259,16 +259,14 @@ def q_char_vocab(spark, sf_dir):
 
 @query("char_encode")
 def q_char_encode(spark, sf_dir):
-    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
-    enc = tok.char_encode(val, char_tokenizer(spark, sf_dir), "story", on_oov="flag", key_cols=["doc_id", "pos"])
+    enc = tok.char_encode(split_docs(spark, sf_dir), char_tokenizer(spark, sf_dir), "story", on_oov="flag", key_cols=["doc_id", "pos"])
     return enc.select("doc_id", "pos", ids_to_string("ids").alias("ids"), "n_oov")
 
 
 @query("char_decode")
 def q_char_decode(spark, sf_dir):
-    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
     vocab = char_tokenizer(spark, sf_dir)
-    enc = tok.char_encode(val, vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"])
+    enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk", key_cols=["doc_id", "pos"])
     return tok.char_decode(enc, vocab, "ids", key_cols=["doc_id", "pos"]).select("doc_id", "pos", "text")
 
 
@@ -315,7 +313,7 @@ def bpe_encoded(spark, sf_dir, split=None):
 
 @query("bpe_encode")
 def q_bpe_encode(spark, sf_dir):
-    return bpe_encoded(spark, sf_dir, "val").select("doc_id", "pos", ids_to_string("ids").alias("ids"))
+    return bpe_encoded(spark, sf_dir).select("doc_id", "pos", ids_to_string("ids").alias("ids"))
 
 
 @query("token_stats")
@@ -335,7 +333,7 @@ ALPHA = 1.0             # add-alpha smoothing of the count model
 SFT_CONTEXT = 256       # SFT context length (tokens)
 # benchmark sweep: comma lists as given on a command line, and the defaults
 SWEEP = {"seeds": "1337, 42,,7", "d_models": "", "contexts": ""}
-RUN_DEFAULTS = {"d_model": 96, "context_length": 128, "batch_size": 8, "eval_iters": 4}
+RUN_DEFAULTS = {"d_model": 96, "context_length": 128, "batch_size": 32, "eval_iters": 200}
 PROMPT_TEMPERATURE, PROMPT_TOP_K, PROMPT_PENALTY, PROMPT_SEED = 0.8, 20, 1.3, 1337
 
 
@@ -349,7 +347,7 @@ def char_stream(spark, sf_dir):
     def build():
         vocab = char_tokenizer(spark, sf_dir)
         nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
-        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"])
+        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk", key_cols=["doc_id", "pos"])
         # the offsets pass and the data pass both read the encoded texts:
         # keep them for the one landing job only
         enc = enc.persist()
@@ -365,7 +363,8 @@ def char_pairs(spark, sf_dir):
 
 
 def char_vocab_size(spark, sf_dir):
-    return char_tokenizer(spark, sf_dir).count()
+    """The characters of the train text and one id for all others."""
+    return char_tokenizer(spark, sf_dir).count() + 1
 
 
 def char_model(spark, sf_dir):
@@ -377,8 +376,7 @@ def char_model(spark, sf_dir):
 
 def char_scores(spark, sf_dir):
     """Score table (ctx_id, token_id, logit): the count model's log-probabilities."""
-    m = char_model(spark, sf_dir)
-    return m.select(F.col("token").alias("ctx_id"), F.col("next_token").alias("token_id"), F.col("logprob").alias("logit"))
+    return ngram.score_table(char_model(spark, sf_dir), char_vocab_size(spark, sf_dir), ALPHA)
 
 
 def r6(c):
@@ -457,17 +455,18 @@ def eval_report_df(spark, sf_dir):
 
 @query("window_batch")
 def q_window_batch(spark, sf_dir):
-    runs = sweep_runs(spark).filter(F.col("seed") == 1337).withColumn("eval_iters", F.lit(4)).withColumn("batch_size", F.lit(8))
-    w = eval_windows(spark, sf_dir, runs).filter(F.col("split") == "val")
-    return w.select("draw", "start", ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
+    w = eval_windows(spark, sf_dir)
+    return w.select("seed", "split", F.col("batch").cast("bigint").alias("batch"), "draw", "start", ids_to_string("x").alias("x"), ids_to_string("y").alias("y"))
 
 
 @query("token_nll")
 def q_token_nll(spark, sf_dir):
-    pos = eval_positions(spark, sf_dir).filter((F.col("seed") == 1337) & (F.col("split") == "val") & (F.col("batch") == 0))
-    targets = pos.select("draw", "i", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
+    """Loss of every position of every window, summed up per window."""
+    pos = eval_positions(spark, sf_dir)
+    targets = pos.select("seed", "split", "draw", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
     out = metrics.token_nll(char_scores(spark, sf_dir), targets)
-    return out.select("draw", F.col("i").cast("bigint").alias("i"), r6("nll").alias("nll"))
+    return out.groupBy("seed", "split", "draw").agg(
+        F.count("nll").alias("n_tokens"), r6(F.sum("nll")).alias("nll_sum"), r6(F.min("nll")).alias("nll_min"), r6(F.max("nll")).alias("nll_max"))
 
 
 @query("mean_batch_loss")
@@ -528,7 +527,8 @@ def q_bits_per_char(spark, sf_dir):
     V = char_vocab_size(spark, sf_dir)
     sc = ngram.ngram_score(pairs, char_model(spark, sf_dir), V, ALPHA, by=["split"])
     chars = char_tokenizer(spark, sf_dir).select(F.col("id").alias("next_token"), F.length("token").alias("_len"))
-    d = sc.join(chars, "next_token").select("split", (F.col("n") * F.col("nll")).alias("nll"), (F.col("n") * F.col("_len")).alias("chars"))
+    d = sc.join(chars, "next_token", "left").select(
+        "split", (F.col("n") * F.col("nll")).alias("nll"), (F.col("n") * F.coalesce("_len", F.lit(1))).alias("chars"))
     return metrics.bits_per_char(d, ["split"]).select("split", r6("bits_per_char").alias("bits_per_char"), "chars")
 
 
@@ -575,14 +575,11 @@ def q_run_delta(spark, sf_dir):
     return d.select("run", F.col("day").cast("string").alias("day"), r6("val_loss").alias("val_loss"), r6("val_loss_delta").alias("val_loss_delta"))
 
 
-EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-
-
 @query("compare_runs")
 def q_compare_runs(spark, sf_dir):
     d = daily_runs(spark, sf_dir).withColumn("val_loss", F.round("val_loss", 6))
-    c = metrics.compare_runs(d, "day", "run", "val_loss", EVENT_TYPES)
-    return c.select(F.col("day").cast("string").alias("day"), "winner", *EVENT_TYPES)
+    c = metrics.compare_runs(d, "day", "run", "val_loss")
+    return c.select(F.col("day").cast("string").alias("day"), "run", "val_loss", F.col("rank").cast("bigint").alias("rank"), "winner")
 
 
 @query("best_checkpoint")
@@ -596,7 +593,7 @@ def q_best_checkpoint(spark, sf_dir):
 def prompt_contexts(spark, sf_dir):
     """Benchmark items as generation prompts: char ids, last id = context token."""
     items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("story"))
-    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="drop", key_cols=["ctx_id"]).filter(
+    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="unk", key_cols=["ctx_id"]).filter(
         F.size("ids") > 0)
     return enc.select("ctx_id", "ids", F.element_at("ids", -1).alias("last"))
 
@@ -632,9 +629,9 @@ def q_sample_next(spark, sf_dir):
 @query("oov_tokens")
 def q_oov_tokens(spark, sf_dir):
     val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
-    chars = val.select(F.explode(chars_of("story")).alias("token"))
-    miss = chars.join(char_tokenizer(spark, sf_dir), "token", "left_anti")
-    return miss.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    # counted per character first: one row per distinct character is joined
+    chars = val.select(F.explode(chars_of("story")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    return chars.join(char_tokenizer(spark, sf_dir).select("token"), "token", "left_anti")
 
 
 # -- corpus profile

@@ -44,10 +44,10 @@ FROM (
 
 _CHAT = """
 WITH chat AS (
-  SELECT a.conv_id, a.turn, u.text AS prompt, a.text AS response
-  FROM conversations a JOIN conversations u
-    ON a.conv_id = u.conv_id AND u.turn = a.turn - 1
-  WHERE a.role = 'assistant' AND u.role = 'user'
+  SELECT conv_id, turn, prompt, response FROM (
+    SELECT conv_id, turn, role, text AS response, lag(text) OVER w AS prompt, lag(role) OVER w AS before
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'assistant' AND before = 'user'
 )"""
 
 ORACLE["chat_pairs"] = _CHAT + "\nSELECT conv_id, turn, prompt, response FROM chat"
@@ -189,9 +189,9 @@ SELECT d.doc_id, p.item_id FROM d JOIN p ON p.p = d.i % p.n"""
 
 # ---------------------------------------------------------------- tokenizers
 
-_TOK = "WITH " + STORIES + "," + WORD_LISTS
+_TOK = "WITH RECURSIVE " + STORIES + "," + WORD_LISTS
 _TRAIN = _TOK + "," + TRAIN_WORDS
-_BPE = _TRAIN + ",\n" + bpe_rounds(8)
+_BPE = _TRAIN + ",\n" + bpe_rounds(256)
 
 _CHARS = STORIES + """,
 char_vocab AS (
@@ -199,9 +199,9 @@ char_vocab AS (
     SELECT DISTINCT unnest(regexp_extract_all(story, '(?s).')) AS token FROM stories WHERE split = 'train'
     UNION SELECT chr(10))
 ),
-val_chars AS (
+all_story_chars AS (
   SELECT doc_id, pos, CAST(generate_subscripts(cs, 1) AS BIGINT) AS ci, unnest(cs) AS ch FROM (
-    SELECT doc_id, pos, regexp_extract_all(story, '(?s).') AS cs FROM stories WHERE split = 'val')
+    SELECT doc_id, pos, regexp_extract_all(story, '(?s).') AS cs FROM stories)
 )"""
 
 ORACLE["char_vocab"] = "WITH " + _CHARS + "\nSELECT id, token FROM char_vocab"
@@ -209,11 +209,11 @@ ORACLE["char_vocab"] = "WITH " + _CHARS + "\nSELECT id, token FROM char_vocab"
 ORACLE["char_encode"] = "WITH " + _CHARS + """
 SELECT doc_id, pos, coalesce(string_agg(CAST(v.id AS VARCHAR), ',' ORDER BY ci), '') AS ids,
   CAST(count(*) FILTER (WHERE v.id IS NULL) AS BIGINT) AS n_oov
-FROM val_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
+FROM all_story_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
 
 ORACLE["char_decode"] = "WITH " + _CHARS + """
-SELECT doc_id, pos, coalesce(string_agg(v.token, '' ORDER BY ci), '') AS text
-FROM val_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
+SELECT doc_id, pos, coalesce(string_agg(coalesce(v.token, chr(65533)), '' ORDER BY ci), '') AS text
+FROM all_story_chars c LEFT JOIN char_vocab v ON v.token = c.ch GROUP BY doc_id, pos"""
 
 ORACLE["pretokenize"] = _TOK + "\nSELECT doc_id, pos, tpos, word FROM tokens"
 
@@ -227,7 +227,7 @@ ORACLE["bpe_train"] = _BPE + "\nSELECT CAST(rank AS BIGINT) AS rank, l AS left_t
 
 ORACLE["special_tokens"] = _BPE + "\nSELECT CAST(id AS BIGINT) AS id, token FROM bpe_vocab"
 
-_BPE_ENC = _BPE + ",\n" + encode_words(8, "tokens") + """,
+_BPE_ENC = _BPE + ",\n" + encode_words("tokens") + """,
 story_ids AS (
   SELECT t.doc_id, t.pos, t.split,
     '2,' || string_agg(CAST(w.id AS VARCHAR), ',' ORDER BY t.tpos, w.si) || ',3' AS ids,
@@ -235,7 +235,7 @@ story_ids AS (
   FROM tokens t JOIN word_ids2 w ON w.word = t.word GROUP BY t.doc_id, t.pos, t.split
 )"""
 
-ORACLE["bpe_encode"] = _BPE_ENC + "\nSELECT doc_id, pos, ids FROM story_ids WHERE split = 'val'"
+ORACLE["bpe_encode"] = _BPE_ENC + "\nSELECT doc_id, pos, ids FROM story_ids"
 
 ORACLE["token_stats"] = _BPE_ENC + """
 SELECT 'char' AS tokenizer, CAST(count(*) AS BIGINT) AS n_texts, CAST(sum(length(story)) AS BIGINT) AS n_tokens,
@@ -256,7 +256,8 @@ last_story AS (
   WHERE rn = 1
 ),
 stream AS (
-  SELECT c.split, c.doc_id, c.pos, c.ci, v.id AS token FROM all_chars c JOIN char_vocab v ON v.token = c.ch
+  SELECT c.split, c.doc_id, c.pos, c.ci, coalesce(v.id, CAST((SELECT count(*) FROM char_vocab) AS INTEGER)) AS token
+  FROM all_chars c LEFT JOIN char_vocab v ON v.token = c.ch
   UNION ALL
   SELECT s.split, s.doc_id, s.pos, 1000000000 + j.j, (SELECT id FROM char_vocab WHERE token = chr(10))
   FROM stories s, (VALUES (1), (2)) j(j)
@@ -270,7 +271,7 @@ pairs AS (
     SELECT split, gpos, token, lead(token) OVER (PARTITION BY split ORDER BY gpos) AS next_token FROM positions)
   WHERE next_token IS NOT NULL
 ),
-vsize AS (SELECT count(*) AS v FROM char_vocab),
+vsize AS (SELECT count(*) + 1 AS v FROM char_vocab),
 counts AS (SELECT token, next_token, count(*) AS c FROM pairs WHERE split = 'train' GROUP BY ALL),
 ctx AS (
   SELECT token, tot, next_token AS pred FROM (
@@ -315,8 +316,8 @@ FROM sc GROUP BY split"""
 
 ORACLE["bits_per_char"] = _STREAM + """,
 sc AS (""" + _score("pairs") + """)
-SELECT split, round(sum(nll) / (ln(2) * sum(length(v.token))), 6) AS bits_per_char, CAST(sum(length(v.token)) AS BIGINT) AS chars
-FROM sc JOIN char_vocab v ON v.id = sc.next_token GROUP BY split"""
+SELECT split, round(sum(nll) / (ln(2) * sum(coalesce(length(v.token), 1))), 6) AS bits_per_char, CAST(sum(coalesce(length(v.token), 1)) AS BIGINT) AS chars
+FROM sc LEFT JOIN char_vocab v ON v.id = sc.next_token GROUP BY split"""
 
 _EVAL = _STREAM + """,
 runs AS (
@@ -324,8 +325,8 @@ runs AS (
                                            lambda x: x <> ''), lambda x: CAST(x AS INTEGER))) AS seed
 ),
 draws AS (
-  SELECT r.seed, s.split, d.draw, d.draw // 8 AS batch
-  FROM runs r, (VALUES ('train'), ('val')) s(split), range(0, 32) d(draw)
+  SELECT r.seed, s.split, d.draw, d.draw // 32 AS batch
+  FROM runs r, (VALUES ('train'), ('val')) s(split), range(0, 6400) d(draw)
 ),
 sizes AS (SELECT split, count(*) AS n FROM positions GROUP BY split),
 starts AS (
@@ -333,8 +334,8 @@ starts AS (
   FROM draws d JOIN sizes z USING (split)
 ),
 win_pairs AS (
-  SELECT s.seed, s.split, s.batch, s.draw, s.start, p.gpos - s.start AS i, p.token, p.next_token
-  FROM starts s JOIN pairs p ON p.split = s.split AND p.gpos >= s.start AND p.gpos < s.start + 128
+  SELECT s.seed, s.split, s.batch, s.draw, s.start, s.i, p.token, p.next_token
+  FROM (SELECT *, unnest(range(128)) AS i FROM starts) s JOIN pairs p ON p.split = s.split AND p.gpos = s.start + s.i
 ),
 scored AS (""" + _score("win_pairs") + """),
 batches AS (SELECT seed, split, batch, avg(nll) AS bl FROM scored GROUP BY ALL),
@@ -346,19 +347,29 @@ report AS (
 )"""
 
 ORACLE["window_batch"] = _EVAL + """
-SELECT draw, start, string_agg(CAST(token AS VARCHAR), ',' ORDER BY i) AS x,
+SELECT seed, split, CAST(batch AS BIGINT) AS batch, draw, start, string_agg(CAST(token AS VARCHAR), ',' ORDER BY i) AS x,
   string_agg(CAST(next_token AS VARCHAR), ',' ORDER BY i) AS y
-FROM win_pairs WHERE seed = 1337 AND split = 'val' GROUP BY draw, start"""
+FROM win_pairs GROUP BY ALL"""
+
+# the score table holds every token after every context
+_SCORES = """,
+ids AS (SELECT CAST(unnest(range(0, (SELECT v FROM vsize))) AS INTEGER) AS id),
+score_table AS (
+  SELECT a.id AS token, b.id AS next_token, ln((coalesce(c.c, 0) + 1.0) / (coalesce(x.tot, 0) + 1.0 * (SELECT v FROM vsize))) AS logprob
+  FROM ids a CROSS JOIN ids b LEFT JOIN counts c ON c.token = a.id AND c.next_token = b.id LEFT JOIN ctx x ON x.token = a.id
+)"""
 
-ORACLE["token_nll"] = _EVAL + """,
+ORACLE["token_nll"] = _EVAL + _SCORES + """,
 lse AS (
   SELECT token, mx + ln(sum(exp(logprob - mx))) AS lse FROM (
-    SELECT token, logprob, max(logprob) OVER (PARTITION BY token) AS mx FROM model) GROUP BY token, mx
+    SELECT token, logprob, max(logprob) OVER (PARTITION BY token) AS mx FROM score_table) GROUP BY token, mx
+),
+each_nll AS (
+  SELECT w.seed, w.split, w.draw, l.lse - m.logprob AS nll FROM win_pairs w LEFT JOIN lse l ON l.token = w.token
+  LEFT JOIN score_table m ON m.token = w.token AND m.next_token = w.next_token
 )
-SELECT w.draw, CAST(w.i AS BIGINT) AS i, round(l.lse - m.logprob, 6) AS nll
-FROM win_pairs w LEFT JOIN lse l ON l.token = w.token
-LEFT JOIN model m ON m.token = w.token AND m.next_token = w.next_token
-WHERE w.seed = 1337 AND w.split = 'val' AND w.batch = 0"""
+SELECT seed, split, draw, count(nll) AS n_tokens, round(sum(nll), 6) AS nll_sum, round(min(nll), 6) AS nll_min, round(max(nll), 6) AS nll_max
+FROM each_nll GROUP BY ALL"""
 
 ORACLE["mean_batch_loss"] = _EVAL + """
 SELECT seed, split, CAST(n_batches AS BIGINT) AS n_batches, round(loss, 6) AS loss FROM report"""
@@ -368,7 +379,7 @@ SELECT seed, split, round(loss, 6) AS loss, round(exp(loss), 6) AS perplexity, r
 
 ORACLE["top1_accuracy"] = _EVAL + """
 SELECT w.seed, w.split, CAST(count(*) AS BIGINT) AS total,
-  round(sum(CASE WHEN x.pred = w.next_token THEN 1 ELSE 0 END) / count(*), 6) AS top1_accuracy
+  round(sum(CASE WHEN coalesce(x.pred, 0) = w.next_token THEN 1 ELSE 0 END) / count(*), 6) AS top1_accuracy
 FROM win_pairs w LEFT JOIN ctx x ON x.token = w.token GROUP BY w.seed, w.split"""
 
 ORACLE["eval_report"] = _EVAL + """
@@ -387,8 +398,8 @@ SELECT r.seed, CAST(NULL AS INTEGER) AS d_model, CAST(NULL AS INTEGER) AS contex
 FROM runs r LEFT JOIN report p ON p.seed = r.seed AND p.split = 'val'"""
 
 ORACLE["config_override"] = _EVAL + """
-SELECT r.seed, CAST(96 AS BIGINT) AS d_model, CAST(128 AS BIGINT) AS context_length, CAST(8 AS BIGINT) AS batch_size,
-  CAST(4 AS BIGINT) AS eval_iters, (SELECT CAST(count(*) AS BIGINT) FROM starts s WHERE s.seed = r.seed) AS windows
+SELECT r.seed, CAST(96 AS BIGINT) AS d_model, CAST(128 AS BIGINT) AS context_length, CAST(32 AS BIGINT) AS batch_size,
+  CAST(200 AS BIGINT) AS eval_iters, (SELECT CAST(count(*) AS BIGINT) FROM starts s WHERE s.seed = r.seed) AS windows
 FROM runs r"""
 
 ORACLE["throughput"] = """
@@ -415,28 +426,24 @@ ORACLE["run_delta"] = _DAILY + """
 SELECT run, CAST(day AS VARCHAR) AS day, round(val_loss, 6) AS val_loss,
   round(val_loss - lag(val_loss) OVER (PARTITION BY run ORDER BY day), 6) AS val_loss_delta FROM daily"""
 
-ORACLE["compare_runs"] = _DAILY + """,
-r AS (SELECT run, day, round(val_loss, 6) AS v FROM daily)
-SELECT CAST(day AS VARCHAR) AS day,
-  (SELECT r2.run FROM r r2 WHERE r2.day = r.day ORDER BY r2.v, r2.run LIMIT 1) AS winner,
-  max(CASE WHEN run = 'click' THEN v END) AS click, max(CASE WHEN run = 'error' THEN v END) AS error,
-  max(CASE WHEN run = 'purchase' THEN v END) AS purchase, max(CASE WHEN run = 'signup' THEN v END) AS signup,
-  max(CASE WHEN run = 'view' THEN v END) AS view
-FROM r GROUP BY day"""
+ORACLE["compare_runs"] = _DAILY + """
+SELECT CAST(day AS VARCHAR) AS day, run, v AS val_loss, row_number() OVER w AS rank, first_value(run) OVER w AS winner
+FROM (SELECT run, day, round(val_loss, 6) AS v FROM daily) WINDOW w AS (PARTITION BY day ORDER BY v, run)"""
 
 ORACLE["best_checkpoint"] = _LOG + """
 SELECT run, step AS best_step, val_loss AS best_loss FROM (
   SELECT run, step, val_loss, row_number() OVER (PARTITION BY run ORDER BY val_loss, step) AS rn FROM log)
 WHERE rn = 1"""
 
-_PROMPTS = _STREAM + """,
+_PROMPTS = _STREAM + _SCORES + """,
 item_chars AS (
   SELECT ctx_id, CAST(generate_subscripts(cs, 1) AS BIGINT) AS ci, unnest(cs) AS ch FROM (
     SELECT item_id AS ctx_id, regexp_extract_all(text, '(?s).') AS cs FROM benchmark)
 ),
-item_ids AS (SELECT ic.ctx_id, ic.ci, v.id FROM item_chars ic JOIN char_vocab v ON v.token = ic.ch),
+item_ids AS (SELECT ic.ctx_id, ic.ci, coalesce(v.id, CAST((SELECT count(*) FROM char_vocab) AS INTEGER)) AS id
+  FROM item_chars ic LEFT JOIN char_vocab v ON v.token = ic.ch),
 ctx_last AS (SELECT ctx_id, arg_max(id, ci) AS last FROM item_ids GROUP BY ctx_id),
-pscores AS (SELECT l.ctx_id, m.next_token AS token_id, m.logprob AS logit FROM ctx_last l JOIN model m ON m.token = l.last),
+pscores AS (SELECT l.ctx_id, m.next_token AS token_id, m.logprob AS logit FROM ctx_last l JOIN score_table m ON m.token = l.last),
 hist AS (SELECT DISTINCT ctx_id, id AS token_id FROM item_ids),
 penalized AS (
   SELECT p.ctx_id, p.token_id, CASE WHEN h.token_id IS NOT NULL THEN p.logit / 1.3 ELSE p.logit END AS logit
@@ -476,9 +483,10 @@ ORACLE["prompt_diversity"] = _RECS + "\nSELECT CAST(count(DISTINCT prompt) AS BI
 # ---------------------------------------------------------------- SFT samples
 _SFT = _BPE + """,
 chat AS (
-  SELECT a.conv_id, a.turn, u.text AS prompt, a.text AS response
-  FROM conversations a JOIN conversations u ON a.conv_id = u.conv_id AND u.turn = a.turn - 1
-  WHERE a.role = 'assistant' AND u.role = 'user'
+  SELECT conv_id, turn, prompt, response FROM (
+    SELECT conv_id, turn, role, text AS response, lag(text) OVER w AS prompt, lag(role) OVER w AS before
+    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'assistant' AND before = 'user'
 ),
 recs AS (
   SELECT conv_id, turn, prompt || chr(10) || chr(10) AS prompt_text, prompt || chr(10) || chr(10) || response AS full_text,
@@ -486,7 +494,7 @@ recs AS (
          WHEN i < floor(n * 0.9) + floor((n - floor(n * 0.9)) * (1 - 0.05 / (0.05 + 0.05))) THEN 'test'
          ELSE 'holdout_test' END AS split
   FROM (SELECT *, row_number() OVER (ORDER BY conv_id, turn) - 1 AS i, count(*) OVER () AS n FROM chat)
-),""" + pretoken_ctes("sp", "recs", "conv_id, turn", "prompt_text") + "," + pretoken_ctes("sf", "recs", "conv_id, turn", "full_text") + ",\n" + encode_words(8, "(SELECT word FROM sp_tok UNION SELECT word FROM sf_tok)") + """,
+),""" + pretoken_ctes("sp", "recs", "conv_id, turn", "prompt_text") + "," + pretoken_ctes("sf", "recs", "conv_id, turn", "full_text") + ",\n" + encode_words("(SELECT word FROM sp_tok UNION SELECT word FROM sf_tok)") + """,
 full_ids AS (
   SELECT t.conv_id, t.turn, list_concat(list_concat([2], list(w.id ORDER BY t.tpos, w.si)), [3]) AS f
   FROM sf_tok t JOIN word_ids2 w ON w.word = t.word GROUP BY t.conv_id, t.turn

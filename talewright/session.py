@@ -33,9 +33,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Only when the session names none (local tests) a scratch folder is set.
-    On a cluster the setting must point at shared storage so checkpoints
-    survive the loss of an executor.
+    Only in local mode (tests, benches), where driver and executors are one
+    process, a scratch folder is made when the session names none. On a cluster
+    the setting must point at shared storage so that landed tables survive the
+    loss of an executor; without one this raises.
     """
     sc = spark.sparkContext
     current = sc._jsc.sc().getCheckpointDir()
@@ -43,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="talewright-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
