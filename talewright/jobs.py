@@ -22,14 +22,14 @@ JSON_LINE_BUCKET = 4096
 
 
 def _text_stories(spark: SparkSession, path: str) -> DataFrame:
-    """Stories of text files, routed by file name, cut to the byte budget and
-    capped per file. Order key inside a file: (block_start, pos); a file
+    """Stories of ``.txt`` files, routed by file name, cut to the first
+    ``BYTE_BUDGET`` raw bytes of each file and capped per file. Order key inside a file: (block_start, pos); a file
     split (``block_start``) is the prefix-scan bucket (bounded by the split size)."""
     name = F.regexp_extract(F.col("file"), "[^/]*$", 0)      # route on the file name, not its folders
-    t = stories.read_stories(spark, path).withColumn("split", stories.route_split(name)).filter(
-        F.col("split").isNotNull())
+    t = stories.read_pieces(spark, path).withColumn("split", stories.route_split(name)).filter(
+        F.col("split").isNotNull() & (F.col("block_start") < BYTE_BUDGET))
     t = ordering.byte_budget(t, "file", ["block_start", "pos"], F.col("block_start"), BYTE_BUDGET,
-                             text_col="story", out="story")
+                             text_col="value", out="story").drop("value")
     capped = None
     for split, cap in (("train", MAX_TRAIN_STORIES), ("val", MAX_VAL_STORIES)):
         part = ordering.per_source_cap(t.filter(F.col("split") == split), "file", ["block_start", "pos"], cap).drop("rank")
@@ -55,7 +55,9 @@ def prepare_stories(spark: SparkSession, text_path: str | None, json_path: str |
     if text_path:
         parts.append(_text_stories(spark, text_path))
     if json_path:
-        parts.append(_json_stories(spark, json_path, MAX_TRAIN_STORIES, MAX_VAL_STORIES))
+        # what the text files gave to val counts against its cap
+        given = parts[0].filter(F.col("split") == "val").count() if parts else 0
+        parts.append(_json_stories(spark, json_path, MAX_TRAIN_STORIES, max(0, MAX_VAL_STORIES - given)))
     if not parts:
         raise ValueError("no input")
     out = parts[0] if len(parts) == 1 else stories.read_with_fallback(parts[0], parts[1])
@@ -80,7 +82,8 @@ def prepare_sft(spark: SparkSession, lines_path: str, out_dir: str, seed: int =
     profile = metrics.corpus_profile(raw, recs).collect()[0].asDict()
     profile["unique_prompts"] = metrics.prompt_diversity(recs).collect()[0][0]
     if max_samples is not None and max_samples < profile["records"]:
-        ranked = sampling.sample_n(recs, ["file", "block"], max_samples, seed)
+        ranked = sampling.sample_n(recs, ["file", "block"], max_samples, seed,
+                                   order_bucket=F.struct("file", ordering.bucket_of("block", 1 << 16)))
         order, bucket = ["sample_rank"], ordering.bucket_of("sample_rank", 1 << 16)
     else:
         ranked, order = recs, ["file", "block"]

@@ -179,33 +179,18 @@ def _classified_struct(line):
     return F.struct(ctype.alias("ctype"), cval.alias("cval"))
 
 
-def records_in_text(text_col: str = "value", delim: str = END_OF_TEXT, min_chars: int = MIN_STORY_CHARS) -> F.Column:
-    """BLK1-BLK3 in one row: all records of a text that holds whole blocks
-    (a file of the incremental build). Array functions only, linear in the
-    text: lines are stripped, delimiter lines cut the array into blocks,
-    each block is classified and assembled. Returns
-    array<struct<block:int, prompt:string, response:string>>."""
-    ls = F.transform(F.split(F.col(text_col), "\n"), lambda x: strip_ws(x))
-    idx = F.sequence(F.lit(1), F.greatest(F.size(ls), F.lit(1)))
-    dpos = F.filter(idx, lambda i: F.element_at(ls, i) == F.lit(delim))
-    starts = F.concat(F.array(F.lit(1)), F.transform(dpos, lambda p: p + 1))
-    ends = F.concat(F.transform(dpos, lambda p: p - 1), F.array(F.size(ls)))
-    bounds = F.arrays_zip(starts.alias("s"), ends.alias("e"))
-    blocks = F.transform(bounds, lambda b: F.slice(ls, b["s"], F.greatest(b["e"] - b["s"] + 1, F.lit(0))))
-
-    def assemble(block, bi):
-        lines = F.transform(F.filter(block, lambda x: x != ""), _classified_struct)
-        s_at = F.array_position(F.transform(lines, lambda x: x["ctype"] == "story"), True)
-        body = F.filter(
-            lines,
-            lambda x, i: ((x["ctype"] == "story") & (x["cval"] != ""))
-            | ((x["ctype"] == "text") & (s_at > 0) & (i + 1 > s_at)),
-        )
-        cons = F.filter(lines, lambda x: x["ctype"].isin("features", "words", "summary"))
-        response = F.array_join(F.transform(body, lambda x: x["cval"]), " ")
-        return F.struct(bi.alias("block"), build_prompt(cons).alias("prompt"), response.alias("response"),
-                        F.size(body).alias("_n"))
-
-    recs = F.transform(blocks, assemble)
-    recs = F.filter(recs, lambda r: (r["_n"] > 0) & (F.length(r["response"]) >= F.lit(min_chars)))
-    return F.transform(recs, lambda r: F.struct(r["block"].alias("block"), r["prompt"].alias("prompt"), r["response"].alias("response")))
+def block_records(df: DataFrame, text_col: str = "value", delim: str = END_OF_TEXT, min_chars: int = MIN_STORY_CHARS) -> DataFrame:
+    """BLK1-BLK3 for rows that each hold one block (the text between two
+    delimiter lines): adds prompt and response, drops blocks without a record.
+    Lines, their kinds and the story's place are computed once per row, each
+    in a step of its own, so the work is linear in the text."""
+    d = df.withColumn("_ls", F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x: strip_ws(x)), lambda x: x != ""))
+    d = d.withColumn("_lines", F.transform("_ls", _classified_struct)).drop("_ls")
+    d = d.withColumn("_at", F.array_position(F.transform("_lines", lambda x: x["ctype"] == "story"), True))
+    at = F.col("_at")
+    d = d.withColumn("_body", F.filter("_lines", lambda x, i: ((x["ctype"] == "story") & (x["cval"] != ""))
+                                       | ((x["ctype"] == "text") & (at > 0) & (i + 1 > at))))
+    d = d.withColumn("_cons", F.filter("_lines", lambda x: x["ctype"].isin("features", "words", "summary")))
+    d = d.withColumn("response", F.array_join(F.transform("_body", lambda x: x["cval"]), " "))
+    d = d.filter((F.size("_body") > 0) & (F.length("response") >= F.lit(min_chars)))
+    return d.withColumn("prompt", build_prompt(F.col("_cons"))).drop("_lines", "_at", "_body", "_cons")

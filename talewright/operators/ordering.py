@@ -21,7 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType
+from pyspark.sql.types import IntegerType, LongType, StructType
 
 from ..functions.text import strip_ws, utf8_prefix
 
@@ -81,10 +81,10 @@ def running_agg(
     d = df.withColumn(bkt, bucket).withColumn(v, val)
 
     totals = d.groupBy(*pk, bkt).agg(fn(v).alias(tot))
-    integral = isinstance(totals.schema[bkt].dataType, (LongType, IntegerType))
-    if levels > 1 and integral:
+    wider = _super_bucket(totals.schema[bkt].dataType, bkt)
+    if levels > 1 and wider is not None:
         offsets = running_agg(
-            totals, tot, [bkt], bucket_of(bkt, FANOUT), pk, out=off, inclusive=False,
+            totals, tot, [bkt], wider, pk, out=off, inclusive=False,
             total_col=total_col, agg=agg, levels=levels - 1, _level=_level + 1,
         )
         if agg == "sum":
@@ -113,6 +113,17 @@ def running_agg(
     return d.drop(bkt, v, off)
 
 
+def _super_bucket(kind, bkt: str):
+    """``FANOUT`` neighbouring buckets as one: an integer bucket, or a struct
+    such as (file, integer bucket) whose leading fields stay as they are."""
+    if isinstance(kind, (LongType, IntegerType)):
+        return bucket_of(bkt, FANOUT)
+    if isinstance(kind, StructType) and isinstance(kind.fields[-1].dataType, (LongType, IntegerType)):
+        *lead, last = [F.col(bkt)[f.name].alias(f"f{i}") for i, f in enumerate(kind.fields)]
+        return F.struct(*lead, bucket_of(last, FANOUT).alias("b"))
+    return None
+
+
 def running_sum(df: DataFrame, value, order_cols: Sequence, bucket, partition_cols: Sequence = (), **kw) -> DataFrame:
     """Running sum (two-level scan); see :func:`running_agg`."""
     return running_agg(df, value, order_cols, bucket, partition_cols, agg="sum", **kw)

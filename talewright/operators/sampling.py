@@ -8,9 +8,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType
 
 from ..functions.hashing import hash_key, uniform
-from .ordering import ordered_index
+from .ordering import bucket_of, ordered_index
 
 HASH_BUCKET_CHARS = 3  # 16^3 = 4096 buckets on the md5 prefix: uniform, never skewed
 
@@ -30,7 +31,7 @@ def sample_n(
     total = df.count()
     if n >= total:
         oc = list(order_cols or key_cols)
-        bucket = order_bucket if order_bucket is not None else F.lit(0)
+        bucket = order_bucket if order_bucket is not None else _default_bucket(df, oc[0])
         return ordered_index(df, oc, bucket, out=out)
     h = F.md5(hash_key(seed, *key_cols))
     d = df.withColumn("_h", h)
@@ -38,6 +39,15 @@ def sample_n(
     return d.drop("_h")
 
 
+KEEP_BUCKET = 1024      # key values of a bucket when every row is kept
+
+
+def _default_bucket(df: DataFrame, first: str):
+    if not isinstance(df.schema[first].dataType, (LongType, IntegerType)):
+        raise ValueError("order_bucket is needed when the first order column is no integer")
+    return bucket_of(first, KEEP_BUCKET)
+
+
 def draw_indices(spark: SparkSession, batch: int, n: int, seed: int, out: str = "row_idx") -> DataFrame:
     """``batch`` draws with replacement from ``[0, n)``: (draw, row_idx)."""
     d = spark.range(batch).withColumnRenamed("id", "draw")

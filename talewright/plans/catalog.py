@@ -15,11 +15,11 @@ from ..functions.text import coalesce_key, ids_to_string
 from ..operators import blocks, metrics, ngram, ordering, packing, sampling, scores, sweeps
 from ..operators import tokenizer as tok
 from ..operators.tokenizer import chars_of
-from ..session import cut_lineage, ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, land_table
 from ..sources import logs as logsrc
 from ..sources import records, stories
 from ..streaming import incremental as inc
-from .inputs import doc_bucket, doc_split, instruct_lines, landed, read
+from .inputs import doc_bucket, doc_split, input_stamp, instruct_lines, landed, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -236,7 +236,7 @@ def train_words(spark, sf_dir):
 
 
 def bpe_tokenizer(spark, sf_dir, vocab_size=BPE_VOCAB):
-    key = (spark.sparkContext.applicationId, sf_dir, vocab_size)
+    key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir), vocab_size)
     if key not in _TOKENIZERS:
         words = landed(spark, sf_dir, "train_words", lambda: train_words(spark, sf_dir))
         _TOKENIZERS[key] = tok.bpe_train(words, vocab_size=vocab_size, min_frequency=2)
@@ -352,7 +352,7 @@ def char_stream(spark, sf_dir):
         # keep them for the one landing job only
         enc = enc.persist()
         try:
-            return cut_lineage(packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK))
+            return land_table(packing.pack_stream(enc, ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK), "split")
         finally:
             enc.unpersist()
     return landed(spark, sf_dir, "char_stream", build, cut=False)
@@ -868,26 +868,45 @@ def q_stream_best(spark, sf_dir):
 
 @query("stream_word_counts")
 def q_stream_word_counts(spark, sf_dir):
-    """STR4: running pre-token counts of the corpus read as a stream."""
-    docs = _stream_of(spark, sf_dir, "documents").select("doc_id", "text")
-    s = stories.split_stories(docs, "text", sep="\n")
-    return _run_to_table(inc.word_count_stream(s, "story"), "stream_word_counts")
+    """STR4: pre-token counts of the corpus, landed as several files and read
+    one file per micro-batch; every batch appends its own counts."""
+    src, name = _landing_dir(spark, f"documents-{uuid.uuid4().hex[:12]}"), f"stream_word_counts-{uuid.uuid4().hex[:12]}"
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    docs.repartition(STREAM_FILES, "doc_id").write.parquet(src)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    path = _landing_dir(spark, name)
+    inc.append_word_counts(stories.split_stories(stream, "text", sep="\n"), path, inc.checkpoint_location(spark, name))
+    return inc.summed_word_counts(spark, path)
 
 
-@query("stream_records")
-def q_stream_records(spark, sf_dir):
-    """STR1 (+STR2 counters): the instruction stream landed as text files
-    that hold whole blocks (one document's block per row, so no block
-    straddles files), built incrementally by a file stream into Parquet
-    (``availableNow``, checkpointed); equals the batch records."""
+STREAM_FILES = 4         # files that the streaming queries land their input in
+
+
+def _streamed_records(spark, sf_dir):
+    """The instruction stream landed as several files, built into records by a
+    file stream of two files per micro-batch (``availableNow``, checkpointed)."""
     docs = read(spark, sf_dir, "documents")
     lines = F.concat(
         F.array(F.concat(F.lit("Features: "), F.col("source")), F.concat(F.lit("Words: "), F.col("lang")),
                 F.concat(F.lit("Summary: "), F.element_at(F.split("text", "\n"), 1)), F.lit("Story:")),
         F.split("text", "\n"), F.array(F.lit(blocks.END_OF_TEXT)))
-    src = _landing_dir(spark, "instruct-files")
-    docs.select(F.array_join(lines, "\n").alias("value")).write.text(src)
-    out = _landing_dir(spark, "stream-records")
     name = f"stream_records-{uuid.uuid4().hex[:12]}"
-    inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name))
-    return spark.read.parquet(out).select("prompt", "response")
+    src, out = _landing_dir(spark, f"{name}-in"), _landing_dir(spark, f"{name}-out")
+    docs.repartition(STREAM_FILES, "doc_id").select(F.array_join(lines, "\n").alias("value")).write.text(src)
+    q = inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name), max_files=2)
+    return spark.read.parquet(out).select("prompt", "response"), inc.observed_totals(q)
+
+
+@query("stream_records")
+def q_stream_records(spark, sf_dir):
+    """STR1: the records of the stream equal the batch records."""
+    return _streamed_records(spark, sf_dir)[0]
+
+
+@query("stream_progress")
+def q_stream_progress(spark, sf_dir):
+    """STR2: the counters observed over all micro-batches, beside the rows the
+    sink holds."""
+    records_out, totals = _streamed_records(spark, sf_dir)
+    seen = [F.lit(totals[k]).cast("bigint").alias(k) for k in ("processed", "written", "skipped")]
+    return records_out.agg(F.count(F.lit(1)).alias("stored")).select(*seen, "stored")

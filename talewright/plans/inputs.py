@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import uniform
 from ..operators.blocks import END_OF_TEXT
 from ..operators.ordering import bucket_of
-from ..session import table_path
+from ..session import land_table, table_path
 
 # Parameters of the stand-ins (fixed so that Spark and the oracle agree).
 DOC_BUCKET = 1024          # documents per prefix-sum bucket
@@ -36,17 +36,23 @@ _MEMO: dict = {}
 
 def landed(spark: SparkSession, sf_dir: str, name: str, build, cut: bool = True) -> DataFrame:
     """Build a derived table once per session and input directory and land
-    it with a reliable checkpoint in the shared checkpoint folder (lineage
-    cut, survives executor loss). Later queries read the landed copy.
-    ``cut=False``: ``build`` lands the table itself."""
-    from ..session import cut_lineage
-
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    as Parquet in the shared checkpoint folder (lineage cut, survives
+    executor loss). Later queries read the landed copy, until the input
+    directory changes. ``cut=False``: ``build`` lands the table itself."""
+    key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir), name)
     if key not in _MEMO:
-        _MEMO[key] = cut_lineage(build()) if cut else build()
+        _MEMO[key] = land_table(build()) if cut else build()
     return _MEMO[key]
 
 
+def input_stamp(spark: SparkSession, sf_dir: str) -> int:
+    """Changes when a table under ``sf_dir`` is written again."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return hash(tuple(sorted((f.getPath().getName(), f.getModificationTime(), f.getLen()) for f in found)))
+
+
 def forget_landed() -> None:
     _MEMO.clear()
 

@@ -605,3 +605,8 @@ WHERE rn = 1"""
 ORACLE["stream_word_counts"] = _TOK + "\nSELECT word, CAST(count(*) AS BIGINT) AS freq FROM tokens GROUP BY word"
 
 ORACLE["stream_records"] = _RECS + "\nSELECT prompt, response FROM assembled"
+
+ORACLE["stream_progress"] = _RECS + """
+SELECT CAST(count(*) AS BIGINT) AS processed, CAST(count(*) FILTER (length(prompt) > 0 AND length(response) > 0) AS BIGINT) AS written,
+  CAST(count(*) FILTER (NOT (length(prompt) > 0 AND length(response) > 0)) AS BIGINT) AS skipped, CAST(count(*) AS BIGINT) AS stored
+FROM assembled"""

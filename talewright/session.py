@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,5 +60,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def land_table(df: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet into the shared checkpoint folder and read it
+    back: the lineage is cut, and later scans prune columns and push filters."""
+    spark = df.sparkSession
+    path = os.path.join(ensure_checkpoint_dir(spark), "landed", uuid.uuid4().hex)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

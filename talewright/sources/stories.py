@@ -18,17 +18,23 @@ def split_stories(df: DataFrame, col: str = "text", sep: str = STORY_SEP, out: s
     return d.withColumn(out, strip_ws("_piece")).drop("_piece").filter(F.length(F.col(out)) > 0)
 
 
-def read_stories(spark: SparkSession, path: str, sep: str = STORY_SEP) -> DataFrame:
-    """SRC1 (file form): read text files whose stories are separated by
-    ``sep``. One row per story with the file it came from and its position in
-    the file (Spark splits each file left to right, like ``str.split``)."""
-    raw = spark.read.text(path, lineSep=sep)
-    d = raw.select(
+def read_pieces(spark: SparkSession, path: str, sep: str = STORY_SEP, suffix: str = ".txt") -> DataFrame:
+    """The raw pieces of the text files under ``path`` (names ending in
+    ``suffix``): file, split start, position and unstripped ``value``."""
+    raw = spark.read.text(path, lineSep=sep, pathGlobFilter=f"*{suffix}")
+    return raw.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
-        strip_ws("value").alias("story"),
+        "value",
     )
+
+
+def read_stories(spark: SparkSession, path: str, sep: str = STORY_SEP, suffix: str = ".txt") -> DataFrame:
+    """SRC1 (file form): read text files whose stories are separated by
+    ``sep``. One row per story with the file it came from and its position in
+    the file (Spark splits each file left to right, like ``str.split``)."""
+    d = read_pieces(spark, path, sep, suffix).withColumn("story", strip_ws("value")).drop("value")
     return d.filter(F.length("story") > 0)
 
 
@@ -77,29 +83,19 @@ def json_stories(df: DataFrame, col: str = "json", out: str = "story", pos: str
 def whole_json_ok(col: str = "value") -> Column:
     """True when the whole text is exactly one JSON value.
 
-    ``try_parse_json`` reads the first value and ignores what follows, so a
-    text also needs (a) its last non-blank character to close the value's
-    kind and (b) if it has several non-blank lines, a first line that is not
-    a complete value by itself (else it is JSON Lines)."""
-    v = F.try_parse_json(F.col(col))
-    kind = F.schema_of_variant(v)
-    body = strip_ws(col)
-    tail = F.substring(body, -1, 1)
-    closes = (
-        F.when(kind.startswith("OBJECT"), tail == "}")
-        .when(kind.startswith("ARRAY"), tail == "]")
-        .when(kind == "STRING", tail == '"')
-        .otherwise(F.lit(True))
-    )
-    nonblank = F.filter(F.split(F.col(col), "\n"), lambda l: F.length(strip_ws(l)) > 0)
-    single = (F.size(nonblank) <= 1) | F.try_parse_json(F.element_at(nonblank, 1)).isNull()
-    return v.isNotNull() & closes & single
+    ``try_parse_json`` reads the first value and ignores what follows, so the
+    text must also be the only item of a list and the only value of an object
+    written around it: no text that goes on after its first value is both."""
+    listed = F.try_parse_json(F.concat(F.lit("["), F.col(col), F.lit("]")))
+    valued = F.try_parse_json(F.concat(F.lit('{"k":'), F.col(col), F.lit("}")))
+    alone = F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1
+    return F.coalesce(F.try_parse_json(F.col(col)).isNotNull() & alone & valued.isNotNull(), F.lit(False))
 
 
 def read_json_stories(spark: SparkSession, path: str) -> DataFrame:
     """SRC2 (file form): each file is tried as one JSON value; if it is not
     one, each non-blank line is tried and bad lines are skipped."""
-    whole = spark.read.text(path, wholetext=True).select(
+    whole = spark.read.text(path, wholetext=True, pathGlobFilter="*.{json,jsonl}").select(
         F.col("_metadata.file_path").alias("file"), F.col("value")
     )
     ok = whole_json_ok("value")

@@ -12,7 +12,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.blocks import records_in_text
+from ..operators.blocks import END_OF_TEXT, block_records
 from ..operators.tokenizer import pretokenize
 from ..session import ensure_checkpoint_dir
 
@@ -22,12 +22,14 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
 
 
-def record_stream(spark: SparkSession, in_dir: str) -> DataFrame:
-    """STR1 source side: every new file (whole blocks of instruction lines)
-    becomes its records; stateless, one row per file in, one per record out."""
-    raw = spark.readStream.format("text").option("wholetext", True).load(in_dir)
-    d = raw.select(F.col("_metadata.file_path").alias("file"), F.explode(records_in_text("value")).alias("r"))
-    return d.select("file", F.col("r.block").alias("block"), "r.prompt", "r.response")
+def record_stream(spark: SparkSession, in_dir: str, max_files: int | None = None) -> DataFrame:
+    """STR1 source side: new files of instruction lines, one block per row (the
+    delimiter is the record separator), stateless: a file of any size is read
+    split by split. The delimiter must not stand inside a line of text."""
+    reader = spark.readStream.format("text").option("lineSep", END_OF_TEXT)
+    raw = (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(in_dir)
+    d = raw.select(F.col("_metadata.file_path").alias("file"), "value")
+    return block_records(d).select("file", "prompt", "response")
 
 
 def with_progress(df: DataFrame, name: str = "progress") -> DataFrame:
@@ -39,10 +41,11 @@ def with_progress(df: DataFrame, name: str = "progress") -> DataFrame:
 
 
 def build_records_incrementally(spark: SparkSession, in_dir: str, out_dir: str, name: str = "sft_records",
-                                checkpoint: str | None = None):
-    """STR1: append the records of new files to Parquet; ``availableNow``
-    processes what is there and stops; a second run adds nothing."""
-    df = with_progress(record_stream(spark, in_dir))
+                                checkpoint: str | None = None, max_files: int | None = None):
+    """STR1: append the records of new files to Parquet (``max_files`` per
+    micro-batch); ``availableNow`` processes what is there and stops; a second
+    run adds nothing."""
+    df = with_progress(record_stream(spark, in_dir, max_files))
     q = (df.writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
          .trigger(availableNow=True).start(out_dir))
@@ -71,6 +74,23 @@ def live_best(log_stream: DataFrame, run: str = "run", step: str = "step", loss:
         run, F.col("_b")[loss].alias("best_loss"), F.col("_b")[step].alias("best_step"))
 
 
+def append_word_counts(story_stream: DataFrame, path: str, checkpoint: str, col: str = "story") -> None:
+    """STR4, incremental: each micro-batch adds its own counts as one part of
+    the table (written again under the same number if the batch is retried),
+    so a batch costs its own words and not the whole vocabulary."""
+    words = pretokenize(story_stream, col).select(F.explode("words").alias("word"))
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.groupBy("word").agg(F.count(F.lit(1)).alias("freq")).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    words.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def summed_word_counts(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of all micro-batches so far."""
+    return spark.read.parquet(path).groupBy("word").agg(F.sum("freq").alias("freq"))
+
+
 def word_count_stream(story_stream: DataFrame, col: str = "story") -> DataFrame:
     """STR4: running pre-token counts of a growing corpus."""
     return pretokenize(story_stream, col).select(F.explode("words").alias("word")).groupBy("word").agg(

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from talewright.operators import tokenizer as tok
 from talewright.operators import blocks, metrics, ordering, packing, scores, sweeps
 from talewright.sources import stories
 
@@ -104,11 +105,11 @@ def test_block_rules(spark):
     ]
 
 
-def test_records_in_text_matches_batch(spark):
+def test_block_records_match_batch(spark):
     lines = ["stray", "Story: first " + LONG, "<|endoftext|>", "WORDS: a", "story:", LONG, "<|endoftext|>",
              "Words: a", "<|endoftext|>", "Story:", "y" * 40]
-    df = spark.createDataFrame([("\n".join(lines),)], "value string")
-    got = [(r.prompt, r.response) for r in df.select(F.explode(blocks.records_in_text("value")).alias("r")).select("r.*").collect()]
+    df = spark.createDataFrame([(b,) for b in "\n".join(lines).split("<|endoftext|>")], "value string")
+    got = [(r.prompt, r.response) for r in blocks.block_records(df).select("prompt", "response").collect()]
     assert got == _records(spark, lines)
 
 
@@ -207,3 +208,83 @@ def test_json_trailing_content(spark, tmp_path):
     p = tmp_path / "bad.json"
     p.write_text('{"a": {"text":\n"q"}} trailing\n')
     assert stories.read_json_stories(spark, str(p)).count() == 0
+
+
+def test_chat_pairs_with_gaps(spark):
+    """The turn just before counts, whatever its number; also across buckets."""
+    rows = [(1, 1, "user", "q1"), (1, 3, "assistant", "a1"), (1, 4, "assistant", "a2"), (1, 1023, "user", "q2"), (1, 5000, "assistant", "a3"),
+            (2, 0, "assistant", "first"), (3, 2047, "user", "q3"), (3, 2048, "system", "s"), (3, 2049, "assistant", "a4")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    assert sorted(map(tuple, blocks.chat_pairs(df).collect())) == [(1, 3, "q1", "a1"), (1, 5000, "q2", "a3")]
+
+
+def test_bpe_encode_keeps_empty_texts(spark):
+    df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "k long, story string")
+    vocab, merges = tok.bpe_train(spark.createDataFrame([("a", 5)], "word string, freq long"), vocab_size=8)
+    got = {r.k: r.ids for r in tok.bpe_encode(df, vocab, merges, ["k"]).collect()}
+    assert got == {1: [tok.BOS_ID, 4, tok.EOS_ID], 2: [tok.BOS_ID, tok.EOS_ID], 3: [tok.BOS_ID, tok.EOS_ID]}
+
+
+def test_pretokenize_unicode_white_space(spark):
+    df = spark.createDataFrame([("a\u00a0b\u3000\u3000c \u0085d",)], "story string")
+    assert tok.pretokenize(df, "story").first().words == ["a", "\u00a0", "b", "\u3000", "\u3000", "c", " ", "\u0085", "d"]
+
+
+def test_unknown_characters_keep_an_id(spark):
+    vocab = spark.createDataFrame([(0, "a"), (1, "b")], "id int, token string")
+    df = spark.createDataFrame([(1, "axb")], "k long, story string")
+    enc = tok.char_encode(df, vocab, "story", on_oov="unk", key_cols=["k"])
+    assert enc.first().ids == [0, 2, 1]
+    assert tok.char_decode(enc, vocab, "ids", key_cols=["k"]).first().text == "a\ufffdb"
+
+
+def test_score_table_is_complete(spark):
+    from talewright.operators import ngram
+
+    pairs = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (2, 0)], "token int, next_token int")
+    table = ngram.score_table(ngram.ngram_fit(pairs, 4, 1.0), 4, 1.0)
+    sums = {r.ctx_id: r.p for r in table.groupBy("ctx_id").agg(F.sum(F.exp("logit")).alias("p")).collect()}
+    assert table.count() == 16 and all(abs(p - 1) < 1e-12 for p in sums.values()) and len(sums) == 4
+
+
+def test_json_line_with_more_than_one_value(spark, tmp_path):
+    from talewright.sources import stories
+
+    (tmp_path / "x.jsonl").write_text('{"text":"a"} {"text":"b"}\n{"text":"c"}\n1] [2\n["d", "e"] \n{"text":"f"},')
+    got = [r.story for r in stories.read_json_stories(spark, str(tmp_path)).orderBy("line_no", "item_pos").collect()]
+    assert got == ["c", "d", "e"]
+
+
+def test_sample_keeps_all_in_buckets(spark):
+    df = spark.range(5000).withColumnRenamed("id", "k")
+    from talewright.operators import sampling
+
+    out = sampling.sample_n(df, ["k"], 9999, 1)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert [r.sample_rank for r in out.orderBy("k").collect()] == list(range(5000))
+    assert "windowspecdefinition(k" not in plan          # no window over raw rows without a partition
+
+
+def test_struct_buckets_are_scanned_in_levels(spark):
+    from talewright.operators import ordering
+
+    df = spark.range(3000).select((F.col("id") % 3).cast("string").alias("file"), F.col("id").alias("line"))
+    bucket = F.struct("file", ordering.bucket_of("line", 2))
+    got = ordering.ordered_index(df, ["file", "line"], bucket, out="i").orderBy("file", "line").collect()
+    assert [r.i for r in got] == list(range(3000))
+
+
+def test_block_records_are_linear(spark):
+    import time
+
+    def seconds(lines):
+        text = "Story:\n" + "\n".join(f"line {i} of the story" for i in range(lines))
+        df = spark.createDataFrame([(text,)] * 4, "value string")
+        t = time.time()
+        df = blocks.block_records(df)
+        df.write.format("noop").mode("overwrite").save()
+        return time.time() - t
+
+    seconds(500)
+    small, large = min(seconds(20_000) for _ in range(3)), min(seconds(80_000) for _ in range(3))
+    assert large < 8 * small + 1

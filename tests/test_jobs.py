@@ -42,7 +42,7 @@ def test_prepare_stories_json_fallback(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "MAX_VAL_STORIES", 1)
     out = str(tmp_path / "out")
     got = jobs.prepare_stories(spark, str(d), str(j), out)
-    assert sorted((r.split, r.story) for r in got.collect()) == [("train", "s1"), ("train", "s2"), ("val", "only val"), ("val", "s3")]
+    assert sorted((r.split, r.story) for r in got.collect()) == [("train", "s1"), ("train", "s2"), ("val", "only val")]
 
 
 def test_prepare_sft(spark, tmp_path):
@@ -71,3 +71,14 @@ def test_train_tokenizer(spark, tmp_path):
     v2 = spark.read.parquet(str(tmp_path / "tok" / "vocab"))
     assert v2.filter(F.col("id") < 4).orderBy("id").select("token").rdd.flatMap(lambda r: r).collect() == \
         ["[PAD]", "[UNK]", "[BOS]", "[EOS]"]
+
+
+def test_mixed_folder_and_raw_bytes(spark, tmp_path, monkeypatch):
+    """JSON members are no text members; the budget counts raw bytes."""
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "train.json").write_text(json.dumps(["j1", "j2"]))
+    (d / "valid.txt").write_text("v1\n\n   \n\nv2\n\nv3")
+    monkeypatch.setattr(jobs, "BYTE_BUDGET", 11)
+    got = jobs.prepare_stories(spark, str(d), str(d), str(tmp_path / "out"))
+    assert sorted((r.split, r.story) for r in got.collect()) == [("train", "j1"), ("train", "j2"), ("val", "v1"), ("val", "v2")]
