@@ -432,7 +432,12 @@ def eval_windows(spark, sf_dir, runs=None):
 
 
 def eval_positions(spark, sf_dir):
-    """Every (x_i, y_i) of every window, scored by the count model."""
+    """Every (x_i, y_i) of every window, scored by the count model; landed once
+    for all reports of the sweep."""
+    return landed(spark, sf_dir, "eval_positions", lambda: _eval_positions(spark, sf_dir))
+
+
+def _eval_positions(spark, sf_dir):
     w = eval_windows(spark, sf_dir)
     z = w.select("seed", "split", "batch", "draw", F.posexplode(F.arrays_zip(F.col("x").alias("token"), F.col("y").alias("next_token"))).alias("i", "p"))
     pairs = z.select("seed", "split", "batch", "draw", "i", "p.token", "p.next_token")
