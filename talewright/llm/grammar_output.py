@@ -15,6 +15,7 @@ the end (u32), ids of each document (u32), symbols (u32).
 
 from __future__ import annotations
 
+import gc
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -180,9 +181,15 @@ class Shard:
 class ChunkEncoder:
     """The library's ids of texts cut at single spaces and line ends. The
     vocabulary's tokens hold no white space and its split drops it, so the ids
-    of a text are those of its cuts; equal cuts are encoded once."""
+    of a text are those of its cuts; equal cuts are encoded once.
 
-    LIMIT = 400_000
+    A new cut of letters with punctuation after them is those two in its split
+    as well. Unknown letter runs are given to the library many at once, joined
+    by spaces: each is one word, so its ids end at the first word-end token."""
+
+    CUTS, WORDS = 400_000, 600_000      # entries kept per worker
+    JOIN = 512
+    TAIL = ".,;:!?|%&*$#-_=+/()[]{}"
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -192,22 +199,89 @@ class ChunkEncoder:
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         self.size = self.tokenizer.get_vocab_size(with_added_tokens=True)
+        self.ends = np.zeros(self.size, bool)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.ends[i] = token.endswith("</w>")
         self.known: dict[str, bytes] = {"": b""}
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _each(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters only."""
+        groups = [words[i:i + self.JOIN] for i in range(0, len(words), self.JOIN)]
+        out: list[bytes] = []
+        for group, joined in zip(groups, self._each([" ".join(g) for g in groups]), strict=True):
+            ids = np.frombuffer(joined, "<u4")
+            cut = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(cut) == len(group) and cut[-1] == len(joined):
+                out += [joined[a:b] for a, b in zip([0, *cut.tolist()], cut.tolist(), strict=False)]
+            else:
+                out += self._each(group)
+        return out
+
+    def _new(self, lost: list[str]) -> dict[str, bytes]:
+        words, tail_bytes = self.words, self.TAIL
+        letters, other, parts = set(), set(), []
+        for w in lost:
+            core = w.rstrip(tail_bytes)
+            if core.isascii():
+                plain, key = core.isalpha(), core.lower()
+            else:
+                plain, key = core.isalpha() and core.lower().isalpha(), core
+            if plain:
+                if key not in words:
+                    letters.add(key)
+                tail = w[len(core):]
+                if tail and tail not in words:
+                    other.add(tail)
+                parts.append((w, key, tail))
+            else:
+                other.add(w)
+        fresh = list(letters)
+        new = dict(zip(fresh, self._letters(fresh), strict=True))
+        rest = list(other)
+        new.update(zip(rest, self._each(rest), strict=True))
+        if len(words) < self.WORDS and max(map(len, new), default=0) <= 64:
+            words.update(new)
+            found = {w: words[key] + words[tail] for w, key, tail in parts}
+        else:
+            found = {}
+            for w, key, tail in parts:
+                b = words.get(key)
+                t = words.get(tail)
+                found[w] = (new[key] if b is None else b) + (new[tail] if t is None else t)
+        if len(parts) < len(lost):
+            done = found.keys()
+            found.update((w, new[w] if w in new else words[w]) for w in lost if w not in done)
+        return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids (little-endian 32 bit) of each text. No cycles are made here, so
+        the collector, which would walk the long lists again and again, waits."""
+        waiting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._encode(texts)
+        finally:
+            if waiting:
+                gc.enable()
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
         cuts = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         known = self.known
         found = [list(map(known.get, c)) for c in cuts]
         lost = list({w for c, f in zip(cuts, found, strict=True) if None in f for w, g in zip(c, f, strict=True) if g is None})
         if lost:
-            new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(lost, self.tokenizer.encode_batch_fast(lost, add_special_tokens=False), strict=True)}
+            new = self._new(lost)
             for c, f in zip(cuts, found, strict=True):
                 if None in f:
                     for i, g in enumerate(f):
                         if g is None:
                             f[i] = new[c[i]]
-            if len(known) < self.LIMIT:
-                known.update((w, b) for w, b in new.items() if len(w) <= 64)
+            if len(known) < self.CUTS:
+                known.update(new if max(map(len, lost)) <= 64 else {w: b for w, b in new.items() if len(w) <= 64})
         return [b"".join(f) for f in found]
 
 
