@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from . import textbytes as tb
 
-CACHE_ENTRIES = 400_000     # encoded pieces and compatibility answers kept per worker
+CACHE_ENTRIES = 200_000     # encoded cuts, encoded pieces and compatibility answers kept per worker, each
 
 # Fixed values of byte-level BPE: the split pattern and the printable stand-ins of bytes.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -84,7 +84,7 @@ class BytePairCoder:
         length = np.array([len(t) for t in self.token], np.int64)
         self.offset = np.r_[0, np.cumsum(length)]
         self.bytes = np.frombuffer(b"".join(self.token), np.uint8)
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
         self._pieces: dict[str, bytes] = {}
         self._chunks: dict[str, bytes] = {}
         self._split = regex.compile(SPLIT)
@@ -93,12 +93,11 @@ class BytePairCoder:
 
     def fits(self, a: int, b: int) -> bool:
         """Whether merging the bytes of ``a`` then ``b`` gives just a, b."""
-        known = self._fits.get((a, b))
+        known = self._fits.get(key := a << 20 | b)
         if known is None:
             known = self._undo(a, b)
-            if len(self._fits) >= 2 * CACHE_ENTRIES:
-                self._fits.clear()
-            self._fits[a, b] = known
+            if len(self._fits) < 2 * CACHE_ENTRIES:
+                self._fits[key] = known
         return known
 
     def _undo(self, a: int, b: int) -> bool:
@@ -166,9 +165,7 @@ class BytePairCoder:
             got = pieces.get(p)
             if got is None:
                 got = np.array(self.encode_piece(p.encode()), "<u4").tobytes()
-                if len(p) <= 64:
-                    if len(pieces) >= CACHE_ENTRIES:
-                        pieces.clear()
+                if len(p) <= 64 and len(pieces) < CACHE_ENTRIES:
                     pieces[p] = got
             out.append(got)
         return b"".join(out)
@@ -195,9 +192,7 @@ class BytePairCoder:
                 if got is None:
                     c = rest[i]
                     got = self._encode_plain(" " + c)
-                    if len(c) <= 64:
-                        if len(chunks) >= CACHE_ENTRIES:
-                            chunks.clear()
+                    if len(c) <= 64 and len(chunks) < CACHE_ENTRIES:
                         chunks[c] = got
                     found[i] = got
         return b"".join(out + found)

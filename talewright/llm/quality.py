@@ -101,8 +101,8 @@ def fit(grade: np.ndarray, slots: list[np.ndarray], values: list[np.ndarray], gr
     """(weights, thresholds) of the cumulative-link model. Thresholds are the
     first one plus positive gaps, so they are ordered at every step."""
     n = len(grade)
-    row = np.repeat(np.arange(n), [len(s) for s in slots])
-    slot, value = np.concatenate(slots), np.concatenate(values).astype(np.float64)
+    row = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in slots])
+    slot, value = np.concatenate(slots).astype(np.int32), np.concatenate(values).astype(np.float32)
     count = np.bincount(grade, minlength=grades)
     weight = 1.0 / (np.maximum(count, 1)[grade] * max((count > 0).sum(), 1))   # grades count alike
     size = 1 << BITS
