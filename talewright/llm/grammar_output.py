@@ -258,17 +258,7 @@ class ChunkEncoder:
         return found
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids (little-endian 32 bit) of each text. No cycles are made here, so
-        the collector, which would walk the long lists again and again, waits."""
-        waiting = gc.isenabled()
-        gc.disable()
-        try:
-            return self._encode(texts)
-        finally:
-            if waiting:
-                gc.enable()
-
-    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids (little-endian 32 bit) of each text."""
         cuts = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         known = self.known
         found = [list(map(known.get, c)) for c in cuts]
@@ -311,17 +301,22 @@ def _write_shards(path: str, end_id: int, shard_ids: int) -> Callable:
             return pa.RecordBatch.from_arrays(
                 [pa.array([v], k) for v, k in zip(row, (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names)
 
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 128):
-                rows = batch.slice(lo, 128)
-                for d, b in zip(rows.column(0).to_pylist(), enc.encode(rows.column(1).to_pylist()), strict=True):
-                    docs.append(d)
-                    ids.append(b + end)
-                    held += len(b) // 4 + 1
-                    if held >= shard_ids:
-                        yield flush()
-        if docs:
-            yield flush()
+        # no cycles are made here: the collector would only walk the long lists
+        gc.disable()
+        try:
+            for batch in batches:
+                for lo in range(0, batch.num_rows, 128):
+                    rows = batch.slice(lo, 128)
+                    for d, b in zip(rows.column(0).to_pylist(), enc.encode(rows.column(1).to_pylist()), strict=True):
+                        docs.append(d)
+                        ids.append(b + end)
+                        held += len(b) // 4 + 1
+                        if held >= shard_ids:
+                            yield flush()
+            if docs:
+                yield flush()
+        finally:
+            gc.enable()
     return run
 
 
