@@ -1,13 +1,17 @@
 """Benchmark decontamination by q-gram lemma filtering.
 
 Texts and benchmark items are reduced to lower-case words joined by one space.
-An item is cut into overlapping segments. A text region that matches a segment
+Segments of an item are its 13-word passages from every word on (a shorter item
+is one segment) and, for passages with more edits in one place, pieces of 120
+bytes every 30 bytes. A text region that matches a segment
 of n characters with at most k edits shares at least n + 1 - q (k + 1) of its
-q-grams, and these lie on diagonals (text position minus segment position) that
+q-grams, and these lie on diagonals (text position minus item position) that
 differ by at most k. So the q-grams of a text that any item holds are looked up,
-counted in diagonal bands of width 2 k + 1 that overlap by half, and a band is a
-candidate only if it reaches that bound; the candidate region is verified by a
-banded alignment. The filter loses no match.
+sorted by item position in diagonal bands that overlap by half, and a segment is
+a candidate of a band only if enough of the band's hits lie in it; the candidate
+region is verified by a banded alignment. The filter loses no match of a segment,
+so every verbatim passage of 13 words is found wherever it begins; with edits, a
+passage is found if one segment in it has at most ``EDIT_RATE`` of them.
 """
 
 from __future__ import annotations
@@ -23,11 +27,14 @@ from pyspark.sql import functions as F
 from . import textbytes as tb
 
 Q = 10                     # bytes of a q-gram
-SEGMENT = 120              # bytes of a segment; a shorter item is one segment
-STRIDE = 30                # between segments: a passage of SEGMENT + STRIDE bytes holds a whole one
+PASSAGE = 13               # words of the shortest part of an item that is looked for
+SEGMENT = 120              # bytes of a segment at most; a shorter item is one segment as well
+STRIDE = 30                # between the long segments
+LONG_WORD, PIECE = 30, 6   # a longer run of letters (scripts without spaces) counts as words of PIECE bytes
 EDIT_RATE = 0.06           # edits allowed per byte of a segment
 CHUNK_BYTES = 4 << 20      # item bytes matched in one pass over the texts
 _BITS = 22
+_WIDE = 1 << 33            # more than the bytes of a chunk
 
 
 def normal(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,44 +91,99 @@ def edit_distance(pattern: bytes, text: bytes, most: int, shift: int) -> tuple[i
     return int(row[end]), end
 
 
+def passages(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of ``PASSAGE`` words, or their first ``SEGMENT`` bytes,
+    from every word of every row on."""
+    s, e, _ = tb.word_spans(buf, offs, tb.ALNUM)
+    n = np.where(e - s > LONG_WORD, -(-(e - s) // PIECE), 1)
+    piece = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    end = np.repeat(e, n)
+    start = np.repeat(s, n) + piece * PIECE
+    end = np.where(np.repeat(n, n) > 1, np.minimum(start + PIECE, end), end)
+    row = np.searchsorted(offs, start, side="right") - 1
+    first = np.arange(max(len(start) - PASSAGE + 1, 0))
+    first = first[row[first] == row[first + PASSAGE - 1]]
+    return start[first], np.minimum(end[first + PASSAGE - 1] - start[first], SEGMENT)
+
+
 class ItemIndex:
-    """Segments of the items of one chunk and their q-grams."""
+    """Segments of the items of one chunk, and the q-grams of the items.
+    Positions are those in all items of the chunk, one after the other."""
 
     def __init__(self, items: list[tuple[int, str]], edit_rate: float):
-        self.segments: list[tuple[int, bytes, int, int]] = []     # item, bytes, start in the item, edits
+        self.items: list[int] = []
+        self.short: dict[int, list[tuple[int, int, bytes]]] = {}  # words: (hash, item, body) of the items under 2 q bytes
+        bodies: list[bytes] = []
         for item, text in items:
             raw = np.frombuffer(lowered(text), np.uint8)
             body = normal(raw, np.array([0, len(raw)]))[0].tobytes().rstrip(b" ")
-            if len(body) < 2 * Q:
-                continue
-            last = max(len(body) - SEGMENT, 0)
-            for s in sorted({*range(0, last, STRIDE), last}):
-                part = body[s:s + SEGMENT]
-                edits = min(int(edit_rate * len(part)), (len(part) - Q) // Q)
-                self.segments.append((item, part, s, edits))
-        grams = [qgrams(np.frombuffer(b, np.uint8)) for _, b, _, _ in self.segments]
-        size = np.array([len(g) for g in grams], np.int64)
-        h = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        order = np.argsort(h, kind="stable")
-        self.h = h[order]
-        self.segment = np.repeat(np.arange(len(size)), size)[order]
-        self.at = (np.arange(len(h)) - np.repeat(np.cumsum(size) - size, size))[order]
-        self.edits = np.array([e for *_, e in self.segments], np.int64)
-        length = np.array([len(b) for _, b, _, _ in self.segments], np.int64)
-        self.length = length
-        self.bound = length + 1 - Q * (self.edits + 1)
+            if len(body) >= 2 * Q:
+                self.items.append(item)
+                bodies.append(body)
+            elif body:
+                words = tb.word_hash_of(body.decode())
+                self.short.setdefault(len(words), []).append((int(tb.kgram_hashes(words, len(words))[0]), item, body))
+        self.offs = np.r_[0, np.cumsum([len(b) for b in bodies])].astype(np.int64)
+        self.buf = np.frombuffer(b"".join(bodies), np.uint8)
+        start, length = passages(self.buf, self.offs)
+        some = [(start, length)]
+        for a, n in zip(self.offs[:-1].tolist(), np.diff(self.offs).tolist(), strict=True):
+            last = max(n - SEGMENT, 0)
+            at = np.array(sorted({*range(0, last, STRIDE), last}))
+            some.append((a + at, np.full(len(at), min(n, SEGMENT))))
+        both = np.unique(np.concatenate([a * (SEGMENT + 1) + n for a, n in some]))
+        self.start, self.length = both // (SEGMENT + 1), both % (SEGMENT + 1)
+        self.item = np.searchsorted(self.offs, self.start, side="right") - 1
+        self.edits = np.minimum((edit_rate * self.length).astype(np.int64), (self.length - Q) // Q)
+        self.bound = self.length + 1 - Q * (self.edits + 1)
+        h = qgrams(self.buf)
+        at = np.arange(len(h))
+        at = at[at + Q <= self.offs[np.searchsorted(self.offs, at, side="right")]]   # within one item
+        order = np.argsort(h[at], kind="stable")
+        self.at = at[order]
+        self.h = h[self.at]
         self.map = np.zeros(1 << _BITS, bool)
         self.map[(self.h >> np.uint64(64 - _BITS)).astype(np.int64)] = True
-        self.least = int(self.bound.min()) if len(size) else 0
-        self.span = int((length + self.edits).max()) if len(size) else 0
+        self.least = int(self.bound.min()) if len(both) else 0
+        self.reach = int(self.length.max()) if len(both) else 0
+        self.span = int((self.length + self.edits).max()) if len(both) else 0
+        self.half = int(self.edits.max()) + 1 if len(both) else 1
         self._seen: dict[tuple[int, bytes], tuple[int, int]] = {}
 
+    def segment(self, s: int) -> tuple[int, bytes, int, int]:
+        """(item, bytes, start in the item, edits)."""
+        a, i = int(self.start[s]), int(self.item[s])
+        return self.items[i], self.buf[a:a + int(self.length[s])].tobytes(), a - int(self.offs[i]), int(self.edits[s])
+
+    @property
+    def segments(self) -> list[tuple[int, bytes, int, int]]:
+        return [self.segment(s) for s in range(len(self.start))]
+
+    def find_short(self, buf: np.ndarray, offs: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """(row, item, start, end) of the short items that stand in the normal
+        text as whole words."""
+        out = []
+        if not self.short:
+            return out
+        s, e, first = tb.word_spans(buf, offs, tb.ALNUM)
+        words = tb.span_hashes(buf, s, e)
+        for n, items in self.short.items():
+            h = tb.kgram_hashes(words, n)
+            at = np.flatnonzero(tb.in_row(first, len(words), n) & np.isin(h, np.array([x for x, _, _ in items], np.uint64))) if len(h) else []
+            for i in at:
+                a, b = int(s[i]), int(e[i + n - 1])
+                row, part = int(np.searchsorted(offs, a, side="right")) - 1, buf[a:b].tobytes()
+                out += [(row, item, a, b) for x, item, body in items if x == int(h[i]) and body == part]
+        return out
+
     def verify(self, segment: int, region: bytes) -> tuple[int, int]:
         """(edits, end in the region) of the segment in the region."""
-        _, part, _, most = self.segments[segment]
+        _, part, _, most = self.segment(segment)
         at = region.find(part)
         if at >= 0:
             return 0, at + len(part)
+        if len(region) < len(part) - most:                 # cut off by the end of the text
+            return most + 1, 0
         known = self._seen.get((segment, region))
         if known is None:
             known = edit_distance(part, region, most, 4 * most + 2)
@@ -156,32 +218,44 @@ class ItemIndex:
         row = np.searchsorted(offs, text_at, side="right") - 1
         inside = text_at + Q <= offs[row + 1]
         e, text_at, row = e[inside], text_at[inside], row[inside]
-        seg = self.segment[e]
-        diagonal = text_at - self.at[e] + 4 * SEGMENT
-        half = self.edits[seg] + 1
+        at = self.at[e]
+        diagonal = text_at - at + len(self.buf)
         out = []
         for side in (0, 1):                                  # bands of 2 (k + 1) diagonals, the second set half a band on
-            band = (diagonal + side * half) // (2 * half)
-            key = seg * (1 << 40) + band
-            order = np.argsort(key, kind="stable")
-            k = key[order]
-            cut = np.r_[0, np.flatnonzero(k[1:] != k[:-1]) + 1, len(k)]
-            enough = np.flatnonzero(np.diff(cut) >= self.bound[seg[order[cut[:-1]]]])
-            for g in enough.tolist():
-                own = order[cut[g]:cut[g + 1]]
-                # distinct q-gram places of the segment, within one row
-                s, r = int(seg[own[0]]), row[own]
-                for one in np.unique(r).tolist():
-                    mine = own[r == one]
-                    if len(np.unique(self.at[e[mine]])) < self.bound[s]:
-                        continue
-                    d = diagonal[mine] - 4 * SEGMENT
-                    most = int(self.edits[s])
-                    a = max(int(d.min()) - most, int(offs[one]))
-                    b = min(int(d.max()) + int(self.length[s]) + most, int(offs[one + 1]))
-                    edits, end = self.verify(s, buf[a:b].tobytes())
-                    if edits <= most:
-                        out.append((one, s, edits, max(a + end - int(self.length[s]), a), a + end))
+            band = (diagonal + side * self.half) // (2 * self.half)
+            order = np.lexsort((at, band, row))
+            r, d, x = row[order], band[order], at[order]
+            group = np.cumsum(np.r_[False, (r[1:] != r[:-1]) | (d[1:] != d[:-1])])
+            place, one = np.unique(group * _WIDE + x, return_index=True)   # distinct q-gram places of a row's band
+            r, d = r[one], d[one]
+            if len(place) < self.least:
+                continue
+            # hits of a segment are neighbours: `least` of them within its reach
+            near = np.flatnonzero(place[self.least - 1:] - place[:len(place) - self.least + 1] <= self.reach - Q)
+            mark = np.zeros(len(place) + 1, np.int64)
+            np.add.at(mark, near, 1)
+            np.add.at(mark, near + self.least, -1)
+            live = np.cumsum(mark[:-1]) > 0
+            place, r, d = place[live], r[live], d[live]
+            if not len(place):
+                continue
+            cut = np.r_[0, np.flatnonzero(place[1:] - place[:-1] > self.reach) + 1, len(place)]
+            base, x = place // _WIDE * _WIDE, place % _WIDE
+            lo = np.searchsorted(self.start, x[cut[:-1]] - self.reach)
+            n = np.searchsorted(self.start, x[cut[1:] - 1], side="right") - lo
+            seg = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
+            head = np.repeat(cut[:-1], n)
+            begin = base[head] + self.start[seg]
+            held = np.searchsorted(place, begin + self.length[seg] - Q, side="right") - np.searchsorted(place, begin)
+            for g in np.flatnonzero(held >= self.bound[seg]).tolist():
+                s, i = int(seg[g]), int(head[g])
+                one, most, size = int(r[i]), int(self.edits[s]), int(self.length[s])
+                low = int(d[i]) * 2 * self.half - side * self.half - len(self.buf) + int(self.start[s])
+                a = max(low - most, int(offs[one]))
+                b = min(low + 2 * self.half - 1 + size + most, int(offs[one + 1]))
+                edits, end = self.verify(s, buf[a:b].tobytes())
+                if edits <= most:
+                    out.append((one, s, edits, max(a + end - size, a), a + end))
         return out
 
 
@@ -202,10 +276,14 @@ def _match_rows(items: tuple[tuple[int, str], ...], edit_rate: float) -> Callabl
             buf, rows, place = normal(raw, offs)
             best: dict[tuple[int, int], list] = {}
             for row, s, edits, a, b in index.find(buf, rows):
-                item, part, at, _ = index.segments[s]
+                item, part, at, _ = index.segment(s)
                 got = best.setdefault((row, item), [edits, a, b, set()])
                 got[0], got[1], got[2] = min(got[0], edits), min(got[1], a), max(got[2], b)
                 got[3].update(range(at, at + len(part)))
+            for row, item, a, b in index.find_short(buf, rows):
+                got = best.setdefault((row, item), [0, a, b, set()])
+                got[0], got[1], got[2] = 0, min(got[1], a), max(got[2], b)
+                got[3].update(range(b - a))
             if not best:
                 continue
             keys = sorted(best)
@@ -234,8 +312,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     ``edits`` is the least over the item's segments, ``matched`` the bytes of
     the normal item that found segments cover, ``start``/``end`` enclose all
-    its found segments, in characters of the lower-cased text. Null and empty texts and items, and items of
-    fewer than 2 q bytes, match nothing; rows of one id are searched row for
+    its found segments, in characters of the lower-cased text. Null and empty texts and items match nothing; items of
+    fewer than 2 q bytes match verbatim and as whole words. Rows of one id are searched row for
     row, null ids stay; rows of one item id are segments of one item. An empty
     benchmark gives an empty result.
 

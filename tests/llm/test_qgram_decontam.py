@@ -6,7 +6,7 @@ import re
 import numpy as np
 import pytest
 
-from talewright.llm.qgram_decontam import EDIT_RATE, ItemIndex, edit_distance, leaks
+from talewright.llm.qgram_decontam import EDIT_RATE, PASSAGE, ItemIndex, edit_distance, leaks
 
 
 def plain_distance(pattern, text):
@@ -110,3 +110,45 @@ def test_index_bound_is_positive():
     index = ItemIndex([(1, "word " * 60), (2, "x" * 20), (3, "tiny")], 0.5)
     assert (index.bound >= 1).all() and len({s[0] for s in index.segments}) == 2
     assert index.find(np.zeros(0, np.uint8), np.array([0, 0])) == []
+
+
+def test_partial_quotes_at_every_word(spark, make_docs):
+    items = [(i, t) for i, t in corpus(3)[1] if len(t.split()) >= PASSAGE]
+    quotes = [(item, " ".join(words[a:a + PASSAGE])) for item, t in items for words in [t.split()] for a in range(len(words) - PASSAGE + 1)]
+    docs = [(i, f"some clean words stand before {q}, and others behind it") for i, (_, q) in enumerate(quotes)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in leaks(make_docs(docs), bench).collect()}
+    assert len(docs) > 300 and all(got[i, item].edits == 0 for i, (item, _) in enumerate(quotes))
+    assert all(text[r.start:r.end].lower().strip(" ,.") in text.lower() and r.start >= 20 for (i, _), r in got.items() for text in [docs[i][1]])
+    # three edits in the middle of every passage
+    edited = [(q[:20] + "z" + q[21:40] + "zz" + q[40:]) for _, q in quotes]
+    docs = [(i, f"some clean words stand before {q}, and others behind it") for i, q in enumerate(edited)]
+    found = {(r.doc_id, r.item_id) for r in leaks(make_docs(docs), bench).collect()}
+    assert all((i, item) in found for i, (item, q) in enumerate(quotes) if len(q) >= 60)
+
+
+def test_passage_of_a_script_without_spaces(spark, make_docs):
+    rnd = random.Random(4)
+    item = "".join(chr(rnd.randrange(0x4E00, 0x9000)) for _ in range(300))
+    docs = [(a, "一二三" + item[a:a + 28] + "四五六") for a in range(0, 272)]
+    got = leaks(make_docs(docs), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in got} == set(range(272))
+
+
+def test_short_items_are_whole_words(spark, make_docs):
+    bench = spark.createDataFrame([(1, "Paris"), (2, "the big house"), (3, "ü"), (4, "house: 7")], "item_id long, text string")
+    docs = [(1, "In PARIS."), (2, "parish"), (3, "comparis"), (4, "The big\nhouse 7"), (5, "the big"), (6, "house"), (7, "see the big houses"), (8, "x Ü y")]
+    got = {(r.doc_id, r.item_id): r for r in leaks(make_docs(docs), bench).collect()}
+    assert set(got) == {(1, 1), (4, 2), (4, 4), (8, 3)}
+    assert (got[4, 4].start, got[4, 4].end, got[4, 4].edits, got[4, 4].matched) == (8, 15, 0, 7)
+
+
+def test_passage_cut_off_by_the_end_of_a_row():
+    item = " ".join(f"some{i}thing els{i}e" for i in range(12))
+    index = ItemIndex([(1, item)], EDIT_RATE)
+    for n in range(1, len(item)):
+        for part in (item[:n], item[-n:]):
+            buf = np.frombuffer((part + "another row of words").encode(), np.uint8)
+            found = index.find(buf, np.array([0, n, len(buf)]))
+            assert all(r == 0 and b <= n for r, _, _, _, b in found)
+            assert bool(found) or n < index.length.max() + 20
