@@ -44,7 +44,7 @@ FROM d JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
 
 def url_verdicts() -> str:
     rules = ", ".join(f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for v, r in url_rules.RULES)
-    cut = url_rules.MAX_TOKENS
+    cut = 16        # of this SQL only: the query takes all path parts and query names
     return f"""
 WITH r AS (SELECT * FROM (VALUES {rules}) t(rule, rule_host, rule_path, base)),
 u AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),

@@ -7,6 +7,12 @@ FP-growth; rules ``tokens -> verdict`` are kept by support and confidence, and
 a rule goes if a rule with fewer tokens says the same as surely. A URL
 without a fixed verdict meets the mined rules through an inverted index: each
 rule is listed under its rarest token only and checked in full there.
+
+No token is left out: those below the support are in no rule, and tokens that
+stand in exactly the same judged URLs (the parameters of one tracking template)
+are one class to FP-growth. A rule with two tokens of a class goes for the one
+with either of them, so a rule of classes is the rules of one token of each, and a
+URL has a class if it has any token of it.
 """
 
 from __future__ import annotations
@@ -19,7 +25,6 @@ from .shared import land
 
 MIN_SUPPORT = 0.01
 MIN_CONFIDENCE = 0.9
-MAX_TOKENS = 16          # path parts and query names beyond the first 16 tokens of a kind are not mined
 DEFAULT = "allow"
 
 #: (verdict, rule); a rule is host/path and holds for the host and its subdomains.
@@ -49,9 +54,9 @@ def tokens(url_col: str = "url"):
     hosts = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
                         lambda i: F.concat(F.lit("h"), i.cast("string"), F.lit(":"), F.coalesce(F.try_element_at(labels, -i), F.lit(""))))
     parts = F.filter(F.split("path", "/"), lambda x: x != "")
-    parts = F.transform(F.slice(parts, 1, MAX_TOKENS), lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), x))
+    parts = F.transform(parts, lambda x, i: F.concat(F.lit("p"), i.cast("string"), F.lit(":"), x))
     query = F.regexp_extract(url, r"(?s)\?([^#]*)", 1)
-    names = F.transform(F.slice(F.split(query, "&"), 1, MAX_TOKENS), lambda x: F.concat(F.lit("q:"), F.substring_index(x, "=", 1)))
+    names = F.transform(F.split(query, "&"), lambda x: F.concat(F.lit("q:"), F.substring_index(x, "=", 1)))
     scheme = F.array(F.concat(F.lit("s:"), F.substring_index(url, "://", 1)))
     found = F.concat(F.when(F.col("host") != "", F.concat(scheme, hosts)).otherwise(F.array().cast("array<string>")), parts,
                      F.filter(names, lambda x: x != "q:"))
@@ -63,6 +68,17 @@ def base_rules(spark: SparkSession, rules: list[tuple[str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, "rule string, rule_host string, rule_path string, base string")
 
 
+def token_classes(judged: DataFrame, min_support: float) -> DataFrame:
+    """(token, class, n) of the tokens in at least ``min_support`` of the judged
+    URLs; tokens of exactly the same URLs share a class, named by the smallest."""
+    total = judged.count()
+    seen = judged.select(F.explode("tokens").alias("token"), F.xxhash64("row").alias("x"), F.xxhash64(F.lit("y"), "row").alias("y"))
+    seen = seen.groupBy("token").agg(F.count("*").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("y").alias("y"))
+    # bounded by the support: min_support of the URLs hold each of them
+    seen = land(seen.where(F.col("n") >= min_support * total))
+    return seen.join(seen.groupBy("n", "x", "y").agg(F.min("token").alias("class")), ["n", "x", "y"]).select("token", "class", "n")
+
+
 def mine(judged: DataFrame, min_support: float, min_confidence: float) -> DataFrame:
     """(tokens, verdict, confidence, support) of the mined rules. ``judged`` has
     tokens and verdict; the verdict is one more item of the transaction."""
@@ -102,11 +118,15 @@ def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", *, ru
     known = near.groupBy("row", "id", "url", "host", "path").agg(best)
     known = land(known.select("row", "id", "host", "path", tokens().alias("tokens"), F.col("best.rule").alias("rule"), F.col("best.base").alias("verdict")))
     judged = known.where("verdict is not null")
-    open_urls = known.where("verdict is null")
     if judged.limit(1).count():
-        mined = mine(judged, min_support, min_confidence)
-        items = mined.select(F.explode("tokens").alias("token")).distinct()
-        count = judged.select(F.explode("tokens").alias("token")).join(items, "token", "left_semi").groupBy("token").agg(F.count("*").alias("n"))
+        classes = land(token_classes(judged, min_support))
+        own = known.select("row", F.explode("tokens").alias("token")).join(F.broadcast(classes), "token")
+        own = own.groupBy("row").agg(F.sort_array(F.collect_set("class")).alias("tokens"))
+        shared = known.select("row", "verdict").join(own, "row", "left")
+        shared = land(shared.select("row", "verdict", F.coalesce("tokens", F.array().cast("array<string>")).alias("tokens")))
+        open_urls = shared.where("verdict is null")
+        mined = mine(shared.where("verdict is not null"), min_support, min_confidence)
+        count = classes.select(F.col("class").alias("token"), "n").distinct()
         ids = mined.withColumn("r", F.xxhash64("tokens", "verdict"))
         rare = ids.select("r", F.explode("tokens").alias("token")).join(count, "token").groupBy("r").agg(F.min(F.struct("n", "token")).alias("m"))
         index = ids.join(rare.select("r", F.col("m.token").alias("token")), "r").select(

@@ -63,3 +63,27 @@ def test_mined_rules_equal_brute_force(spark, sf001):
             assert rows[i].verdict == url_rules.DEFAULT
         elif len({v2 for c, s, v2 in fits if c == max(f[0] for f in fits)}) == 1:
             assert rows[i].verdict == max(fits)[2]
+
+
+def test_tokens_far_behind_count(spark):
+    pad = lambda i, n: "&".join(f"u{i}x{j}={j}" for j in range(n))
+    urls = []
+    for i in range(40):
+        urls += [f"https://s{i}.com/de/{i}?{pad(i, 20)}&bad=1", f"https://t{i}.org/a/{i}?{pad(i, 18)}&good"]
+        urls += [f"https://v{i}.com/de/" + f"{i}/" * 20 + "deep"]
+        # a template of 30 parameters that always come together: 2 ** 30 sets of them
+        urls += [f"https://w{i}.com/de/{i}?" + "&".join(f"t{j}={i}" for j in range(30))]
+    path = "/".join(f"y{j}" for j in range(21))
+    open_urls = {f"https://z.net/?{pad(99, 25)}&bad=7": "block", f"https://z.net/?{pad(99, 25)}&good=7": "allow", f"https://z.net/{path}/deep": "block",
+                 f"https://z.net/{path}/x/deep": "allow", f"https://z.net/?{pad(99, 3)}": "allow", "https://z.net/?t25=x": "block", "https://z.net/?t0&t29": "block"}
+    rows = spark.createDataFrame(list(enumerate([*urls, *open_urls])), "page_id long, url string")
+    got = {r.page_id: r for r in judge(rows).collect()}
+    assert len(got) == len(rows.collect())
+    for i, (url, verdict) in enumerate(open_urls.items(), len(urls)):
+        assert (got[i].rule, got[i].verdict) == (None, verdict), url
+
+
+def test_tokens_are_not_cut(spark):
+    url = "https://a.b.net/" + "/".join(f"d{j}" for j in range(40)) + "?" + "&".join(f"k{j}=1" for j in range(40))
+    got = parse(spark.createDataFrame([(url,)], "url string")).select(tokens().alias("t")).first().t
+    assert sorted(got) == sorted(["s:https", "h1:net", "h2:b", "h3:a", *[f"p{j}:d{j}" for j in range(40)], *[f"q:k{j}" for j in range(40)]])
