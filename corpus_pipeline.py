@@ -30,15 +30,20 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every near-duplicate group stays (the smallest id).
-    Rows without an id stay; of repeated rows of one id one stays."""
+    """One document of every near-duplicate group stays (the smallest id; of
+    near-duplicate texts of one id the one of the smallest hash). Unlike texts
+    of one id are documents of their own. Rows without an id stay; of rows with
+    equal id and text one stays (the smallest in the other columns)."""
     ship_code(spark)
-    found = near_duplicates(docs, words=5, percent=80).where("doc_id is not null and kept")
-    ids = land(found.groupBy("doc_id").agg(F.count("*").alias("rows")))
-    once = docs.join(ids.where("rows = 1").select("doc_id"), "doc_id", "left_semi")
-    more = docs.join(ids.where("rows > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    out = once.unionByName(more).unionByName(docs.where("doc_id is null"))
-    return out.select(*docs.columns)
+    keyed = docs.where("doc_id is not null").withColumn("__key", F.xxhash64("doc_id", "text"))
+    near = near_duplicates(keyed, "__key", words=5, percent=80).groupBy("__key").agg(F.min("component_id").alias("__group"))
+    ids = keyed.groupBy("__key", "doc_id").agg(F.count("*").alias("__rows")).join(near, "__key")
+    ids = land(ids.groupBy("__group").agg(F.min(F.struct("doc_id", "__key", "__rows")).alias("best")).select("best.*"))
+    key = ["doc_id", "__key"]
+    once = keyed.join(ids.where("__rows = 1").select(*key), key, "left_semi").select(*docs.columns)
+    more = keyed.join(ids.where("__rows > 1").select(*key), key, "left_semi")
+    more = more.groupBy(*key).agg(F.min(F.struct(*[more[c] for c in docs.columns])).alias("row")).select("row.*")
+    return once.unionByName(more).unionByName(docs.where("doc_id is null"))
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from test_minhash import brute as near_brute
 from test_suffix_dedup import brute as repeats
 
@@ -79,6 +80,21 @@ def test_odd_rows_pass_every_stage(spark, make_docs, sf001):
     assert sorted(str(r.doc_id) for r in near.collect()) == sorted(["1", "2", "3", "None", "4"])
 
 
+def test_unlike_texts_of_one_id_stay(spark, make_docs, sf001):
+    words = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c = words("a"), words("b"), words("c")
+    docs = [(1, a), (1, b), (1, a), (1, a + " more"), (2, b + " tail"), (2, c), (3, c), (3, None), (3, None), (3, ""), (None, a), (None, a)]
+    docs = make_docs(docs).withColumn("label", F.concat(F.lit("l"), F.monotonically_increasing_id().cast("string")))
+    near = dict(corpus_pipeline.STAGES)["minhash_near_dedup"]
+    kept = [tuple(r) for r in near(spark, docs, sf001).collect()]
+    texts = sorted(str((r[0], r[1])) for r in kept)
+    one = [t for t in texts if t in (str((1, a)), str((1, a + " more")))]
+    assert len(one) == 1
+    assert sorted(set(texts) - set(one)) == sorted(map(str, [(1, b), (2, c), (3, None), (3, ""), (None, a)])) and len(texts) == 7
+    again = [tuple(r) for r in near(spark, docs.repartition(7, "label"), sf001).collect()]
+    assert sorted(map(str, again)) == sorted(map(str, kept))
+
+
 def test_every_operator_is_registered():
     names = queries()
     assert {n.split("_")[0] for n in names if n.startswith("op") and n[2].isdigit()} == {f"op{i}" for i in range(1, 11)}
