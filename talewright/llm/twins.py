@@ -79,9 +79,53 @@ FROM known LEFT JOIN said USING (page_id)
 """
 
 
+def periodic_runs(min_length: int = 6, exponent: int = 4) -> str:
+    """All pairs of equal words of a document, as islands per distance."""
+    crc = ("xor(4294967295, list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+           "lambda acc, x: list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, xor(acc, x)), "
+           "CAST(4294967295 AS BIGINT)))")
+    return f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {crc} AS h FROM documents),
+a AS (SELECT doc_id, w, len(w) AS n, h, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM a),
+ws AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+t AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS w FROM ws),
+eq AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM t x JOIN t y ON x.doc_id = y.doc_id AND x.w = y.w AND y.i > x.i AND {exponent} * (y.i - x.i) <= x.n),
+isle AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM eq),
+stretch AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM isle GROUP BY doc_id, q, g HAVING count(*) + q >= greatest({min_length}, {exponent} * q)),
+run AS (SELECT doc_id, s, l, min(q) AS q FROM stretch GROUP BY doc_id, s, l),
+best AS (SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l / q DESC, s, q) = 1),
+said AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM run GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS collapsed FROM t
+         WHERE NOT EXISTS (SELECT 1 FROM run WHERE run.doc_id = t.doc_id AND t.i >= s + q AND t.i < s + l) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, best.s AS start, l AS length, best.q AS period, 1000 * l // best.q AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(collapsed, '')) AS collapsed_sha256
+FROM d LEFT JOIN said USING (doc_id) LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
+def hard_negatives() -> str:
+    return """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+           FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0
+           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id,
+      CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER w <= 10
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_suffix_dedup": repeated_passages(),
     "op2_license_scan": license_scan(),
     "op6_minhash": near_duplicates(),
     "op8_url_rules": url_verdicts(),
+    "op11_periodic_runs": periodic_runs(),
+    "op12_hard_negatives": hard_negatives(),
 }
