@@ -15,6 +15,7 @@ from .collision_ann import nearest
 from .grammar_output import token_files
 from .hard_negatives import hard_negatives
 from .minhash import near_duplicates
+from .ngram_join import jaccard_components
 from .periodic_runs import periodic_runs, strongest
 from .qgram_decontam import leaks
 from .shared import table
@@ -109,6 +110,10 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_license_scan": op2_license_scan,
@@ -122,4 +127,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_qgram_decontam": op10_qgram_decontam,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_ngram_join": op13_ngram_join,
 }

@@ -128,4 +128,5 @@ ORACLE: dict[str, str] = {
     "op8_url_rules": url_verdicts(),
     "op11_periodic_runs": periodic_runs(),
     "op12_hard_negatives": hard_negatives(),
+    "op13_ngram_join": "SELECT * EXCLUDE (kept) FROM (" + near_duplicates(words=4) + ")",
 }

@@ -58,8 +58,7 @@ def random_texts(seed, count):
 
 
 @pytest.mark.parametrize("min_length,exponent", [(6, 4), (4, 2), (9, 3)])
-def test_runs_equal_plain_search(spark, make_docs, min_length, exponent, monkeypatch):
-    monkeypatch.setattr(pr, "RUN_CHUNK", 8)
+def test_runs_equal_plain_search(spark, make_docs, min_length, exponent):
     texts = random_texts(min_length, 150)
     rows = periodic_runs(make_docs(list(enumerate(texts))), min_length=min_length, exponent=exponent).collect()
     assert len(rows) == len(texts)
@@ -70,7 +69,8 @@ def test_runs_equal_plain_search(spark, make_docs, min_length, exponent, monkeyp
         assert r.n_words == len(words) and r.collapsed == collapsed(words, expected)
 
 
-def test_small_chunks_keep_the_order():
+def test_small_chunks_keep_the_order(monkeypatch):
+    monkeypatch.setattr(pr, "RUN_CHUNK", 8)
     rnd = random.Random(3)
     values = rnd.sample(range(10_000), 2000)
     p, known = pr.Positions(values[0]), [values[0]]
