@@ -182,15 +182,24 @@ def _classified_struct(line):
 def block_records(df: DataFrame, text_col: str = "value", delim: str = END_OF_TEXT, min_chars: int = MIN_STORY_CHARS) -> DataFrame:
     """BLK1-BLK3 for rows that each hold one block (the text between two
     delimiter lines): adds prompt and response, drops blocks without a record.
-    Lines, their kinds and the story's place are computed once per row, each
-    in a step of its own, so the work is linear in the text."""
-    d = df.withColumn("_ls", F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x: strip_ws(x)), lambda x: x != ""))
-    d = d.withColumn("_lines", F.transform("_ls", _classified_struct)).drop("_ls")
-    d = d.withColumn("_at", F.array_position(F.transform("_lines", lambda x: x["ctype"] == "story"), True))
-    at = F.col("_at")
-    d = d.withColumn("_body", F.filter("_lines", lambda x, i: ((x["ctype"] == "story") & (x["cval"] != ""))
-                                       | ((x["ctype"] == "text") & (at > 0) & (i + 1 > at))))
-    d = d.withColumn("_cons", F.filter("_lines", lambda x: x["ctype"].isin("features", "words", "summary")))
-    d = d.withColumn("response", F.array_join(F.transform("_body", lambda x: x["cval"]), " "))
-    d = d.filter((F.size("_body") > 0) & (F.length("response") >= F.lit(min_chars)))
-    return d.withColumn("prompt", build_prompt(F.col("_cons"))).drop("_lines", "_at", "_body", "_cons")
+
+    A block's lines are split and classified once: the classified lines and the
+    place of the first story line are bound as lambda variables, the lines of the
+    story are a slice from that place on (no lambda over lines looks outside its
+    own line), and the record leaves through a generator, which no filter can be
+    pushed through. So the work is linear in the text."""
+    lines = F.filter(F.transform(F.split(F.col(text_col), "\n"), lambda x: strip_ws(x)), lambda x: x != "")
+
+    def record(ls, at):
+        story = F.slice(ls, F.greatest(at, F.lit(1)), F.when(at > 0, F.size(ls)).otherwise(F.lit(0)))
+        body = F.filter(story, lambda x: (x["ctype"] == "text") | ((x["ctype"] == "story") & (x["cval"] != "")))
+        constraints = F.filter(ls, lambda x: x["ctype"].isin("features", "words", "summary"))
+        return F.struct(build_prompt(constraints).alias("prompt"), F.transform(body, lambda x: x["cval"]).alias("body"))
+
+    def bound(ls):
+        at = F.array_position(F.transform(ls, lambda x: x["ctype"]), F.lit("story")).cast("int")
+        return F.transform(F.array(at), lambda a: record(ls, a))[0]
+
+    found = F.filter(F.transform(F.array(F.transform(lines, _classified_struct)), bound), lambda r: F.size(r["body"]) > 0)
+    joined = F.transform(found, lambda r: F.struct(r["prompt"].alias("prompt"), F.array_join(r["body"], " ").alias("response")))
+    return df.select("*", F.inline(F.filter(joined, lambda r: F.length(r["response"]) >= F.lit(min_chars))))

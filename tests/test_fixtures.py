@@ -286,5 +286,6 @@ def test_block_records_are_linear(spark):
         return time.time() - t
 
     seconds(500)
+    assert seconds(2_000) < 20 and seconds(8_000) < 20        # fails fast if the work grows with the square
     small, large = min(seconds(20_000) for _ in range(3)), min(seconds(80_000) for _ in range(3))
     assert large < 8 * small + 1
