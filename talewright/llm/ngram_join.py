@@ -12,12 +12,12 @@ size, set digest and the prefixes; equal sets collapse to one class; (3) the
 classes meet in the buckets of their first order's prefix tokens. In a bucket
 the smallest class is paired with each other one, pairs that miss each other
 under another order are dropped, the rest is confirmed on the full sets and
-joined to components. Buckets that hold several components still are split by
-the prefix tokens of the next order (the filters are intersected by the key
-itself), and handled alike; buckets of the same members are one. (4) What is
-torn after the last order is compared pair by pair across components, in blocks
-of bounded size. No link between different texts is lost; how well the counts
-separate rare from frequent tokens only changes the number of candidates.
+joined to components. (4) Buckets whose other members are of several components
+still (buckets of the same members count once) are compared across components
+in blocks of bounded size: size, then every other order's prefixes, then the
+full sets of what is left. No link between different texts is lost; how well
+the counts separate rare from frequent tokens only changes the number of
+candidates.
 """
 
 from __future__ import annotations
@@ -173,12 +173,52 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 _BLOCK = ["key", "i", "j"]
 
 
+def _partners(run: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, members of the other block, of another component and of a size
+    that allows a link)."""
+    rep, comp, n, blk = (run[c].to_numpy() for c in ("rep", "component", "n", "blk"))
+    i, j = run["i"][0].as_py(), run["j"][0].as_py()
+    right = np.flatnonzero(blk == j)
+    for u in np.flatnonzero(blk == i).tolist():
+        v = right[(comp[right] != comp[u]) & ((rep[right] > rep[u]) | (i != j))]
+        yield u, v[100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])]
+
+
+def _block_members(percent: int, orders: int) -> Callable:
+    """The rows of each run that have a partner under every order."""
+    def survivors(run: pa.Table) -> np.ndarray:
+        lists = []
+        for o in range(1, orders):
+            column = run[f"p{o}"].combine_chunks()
+            lists.append((column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()))
+        used = np.zeros(run.num_rows, bool)
+        for u, v in _partners(run, percent):
+            for flat, ends in lists:
+                if not len(v):
+                    break
+                own = np.sort(flat[ends[u]:ends[u + 1]])
+                size = ends[v + 1] - ends[v]
+                at = np.arange(size.sum()) + np.repeat(ends[v] - np.r_[0, np.cumsum(size)[:-1]], size)
+                hit = own[np.minimum(np.searchsorted(own, flat[at]), len(own) - 1)] == flat[at]
+                v = v[np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v)) > 0]
+            if len(v):
+                used[u] = True
+                used[v] = True
+        return used
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, _BLOCK):
+            used = survivors(table)
+            if used.any():
+                yield from table.filter(pa.array(used)).drop_columns([f"p{o}" for o in range(1, orders)]).to_batches()
+    return run
+
+
 def _block_links(percent: int) -> Callable:
-    """Links between two blocks of a bucket, over members of different
-    components; pairs that the links found so far join are not looked at."""
+    """Links of each run, confirmed on the full sets; pairs that the links found
+    so far join are not looked at."""
     def links(run: pa.Table) -> list[tuple[int, int]]:
-        rep, comp, n, blk = (run[c].to_numpy() for c in ("rep", "component", "n", "blk"))
-        i, j = run["i"][0].as_py(), run["j"][0].as_py()
+        rep, comp = run["rep"].to_pylist(), run["component"].to_pylist()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in run["elements"]]
         parent: dict[int, int] = {}
 
@@ -188,14 +228,12 @@ def _block_links(percent: int) -> Callable:
             return x
 
         found = []
-        right = np.flatnonzero(blk == j)
-        for u in np.flatnonzero(blk == i).tolist():
-            v = right[(comp[right] != comp[u]) & ((rep[right] > rep[u]) | (i != j))]
-            for w in v[100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])].tolist():
-                a, b = find(int(comp[u])), find(int(comp[w]))
-                if a != b and _linked(sets[u], sets[w], percent):
+        for u, partners in _partners(run, percent):
+            for v in partners.tolist():
+                a, b = find(comp[u]), find(comp[v])
+                if a != b and _linked(sets[u], sets[v], percent):
                     parent[max(a, b)] = min(a, b)
-                    found.append((min(int(rep[u]), int(rep[w])), max(int(rep[u]), int(rep[w]))))
+                    found.append((min(rep[u], rep[v]), max(rep[u], rep[v])))
         return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,16 +272,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     join = _Join(docs, reps, words, percent, word, orders)
     rows = reps.select(F.explode("p0").alias("key"), "rep", "n")
     torn = join.torn(join.star(rows))
-    for o in range(1, orders):
-        split = torn.join(reps.select("rep", F.explode(f"p{o}").alias("t")), "rep")
-        torn = join.torn(join.star(split.select(F.xxhash64("key", "t").alias("key"), "rep", "n")))
     # what no star has joined: the other pairs of each bucket
     blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
     torn = torn.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     torn = torn.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
+    columns = [*_BLOCK, "blk", "rep", "n", "component"]
+    torn = torn.join(reps.drop("n", "p0"), "rep").select(*columns, *[f"p{o}" for o in range(1, orders)])
+    torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+    kind = "key long, i int, j int, blk int, rep long, n long, component long"
+    torn = land(torn.mapInArrow(_block_members(percent, orders), kind))
     sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
-    torn = torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*_BLOCK, "blk", "rep", "n", "component", "elements")
+    torn = torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*columns, "elements")
     torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
     last = land(torn.mapInArrow(_block_links(percent), "a long, b long"))
     # one id over several texts joins the classes of those texts
