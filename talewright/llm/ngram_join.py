@@ -30,11 +30,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .minhash import _confirmed, _linked, _sets_of, shingle_sets
+from .minhash import _linked, _sets_of, shingle_sets
 from .shared import components, land
 
 ORDERS = 3
-CELLS = 1 << 20            # cells of the count table; a class of counts is one byte
+CELLS = 1 << 18            # cells of the count table; a class of counts is one byte
 BLOCK_MEMBERS = 256        # members of a torn bucket compared at once with those of another block
 
 _SALT = [0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89]
@@ -76,22 +76,22 @@ def prefix_size(n: np.ndarray, percent: int) -> np.ndarray:
     return n - (percent * n + 99) // 100 + 1
 
 
-def prefixes(sets: np.ndarray, first: np.ndarray, classes: np.ndarray, percent: int, orders: int = ORDERS) -> list[np.ndarray]:
-    """Prefix tokens of every row under each order, as 64-bit places of the
-    order, row after row."""
+def prefixes(sets: np.ndarray, first: np.ndarray, classes: np.ndarray, percent: int, orders: range) -> list[np.ndarray]:
+    """Prefix tokens of every row under each of the orders, as 64-bit places of
+    the order, row after row."""
     size = np.diff(first)
     row = np.repeat(np.arange(len(size)), size)
     at = np.arange(len(sets)) - first[:-1][row]
     inside = at < prefix_size(size, percent)[row]
     rank = classes[_cell(sets, len(classes))].astype(np.uint64) << np.uint64(56)
     out = []
-    for salt in _SALT[:orders]:
-        place = rank | (tb.mix(sets ^ np.uint64(salt)) >> np.uint64(8))
+    for o in orders:
+        place = rank | (tb.mix(sets ^ np.uint64(_SALT[o])) >> np.uint64(8))
         out.append(place[np.lexsort((place, row))][inside])
     return out
 
 
-def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray, orders: int) -> Callable:
+def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, buf, offs in tb.blocks(batches):
             sets, first = shingle_sets(buf, offs, k, word)
@@ -99,56 +99,59 @@ def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray, o
             some = size > 0
             digests = [np.add.reduceat(np.r_[tb.mix(sets ^ np.uint64(s)), np.uint64(0)], first[:-1]) for s in (0, _SALT[3])]
             ends = np.r_[0, np.cumsum(np.where(some, prefix_size(size, percent), 0))]
-            lists = prefixes(sets, first, classes, percent, orders)
-            # the first order's places are bucket keys; of the others 32 bits tell tokens apart
-            columns = [tb.list_column(tb.signed(lists[0]), ends, pa.int64())]
-            columns += [tb.list_column(p.astype(np.uint32).view(np.int32), ends, pa.int32()) for p in lists[1:]]
+            place, = prefixes(sets, first, classes, percent, range(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()),
-                 *[pa.array(tb.signed(d), pa.int64(), mask=~some) for d in digests], *columns],
-                ["id", "n", "d1", "d2", *[f"p{o}" for o in range(orders)]])
+                 *[pa.array(tb.signed(d), pa.int64(), mask=~some) for d in digests],
+                 tb.list_column(tb.signed(place), ends, pa.int64())], ["id", "n", "d1", "d2", "prefix"])
     return run
 
 
-def _fits(percent: int) -> str:
-    return f"100 * least(n, m) >= {int(percent)} * greatest(n, m)"
+def _prefix_rows(percent: int, classes: np.ndarray, orders: int) -> Callable:
+    """Prefixes of full sets under the other orders, 32 bits of each token."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
+            first = np.r_[0, np.cumsum([len(r) for r in rows])].astype(np.int64)
+            size = np.diff(first)
+            ends = np.r_[0, np.cumsum(np.where(size > 0, prefix_size(size, percent), 0))]
+            sets = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
+            lists = [tb.list_column(p.astype(np.uint32).view(np.int32), ends, pa.int32())
+                     for p in prefixes(sets, first, classes, percent, range(1, orders))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["rep", *[f"p{o}" for o in range(1, orders)]])
+    return run
 
 
-class _Join:
-    """State of one join: the classes, their prefixes and the links so far."""
+def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(key, rep, pivot) of rows (key, rep) in order: every row but the first of
+    its key, with that first row's class."""
+    last, held = None, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, rep = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        fresh = np.r_[key[0] != last, key[1:] != key[:-1]]
+        at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
+        pivot = np.where(at < 0, held, rep[at])
+        last, held = key[-1], pivot[-1]
+        more = ~fresh
+        yield pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (key, rep, pivot)], ["key", "rep", "pivot"])
 
-    def __init__(self, docs: DataFrame, reps: DataFrame, k: int, percent: int, word: np.ndarray, orders: int) -> None:
-        self.docs, self.reps, self.k, self.percent, self.word = docs, reps, k, percent, word
-        self.orders = orders
-        self.links: DataFrame | None = None
 
-    def star(self, rows: DataFrame) -> DataFrame:
-        """Confirm the smallest class of each bucket (key, rep, n) against the
-        others; the bucket rows that are not alone, with their bucket's pivot."""
-        pivots = rows.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("rep", "n")).alias("p")).where("size > 1")
-        shared = land(rows.join(pivots, "key").select("key", "rep", "n", F.col("p.rep").alias("pivot"), F.col("p.n").alias("m"), "size"))
-        pairs = shared.where("pivot <> rep").where(_fits(self.percent)).select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-        for end in ("a", "b"):     # the other orders' prefixes
-            pairs = pairs.join(self.reps.select(F.col("rep").alias(end), *[F.col(f"p{o}").alias(f"{end}{o}") for o in range(1, self.orders)]), end)
-        for o in range(1, self.orders):
-            pairs = pairs.where(F.arrays_overlap(f"a{o}", f"b{o}"))
-        self.add(_confirmed(land(pairs.select("a", "b")), self.docs, self.k, self.percent, self.word))
-        return shared
+def _confirm(percent: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
+                  for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+    return run
 
-    def add(self, links: DataFrame) -> None:
-        self.links = links if self.links is None else self.links.union(links)
-        self.label = land(components(self.links, "a", "b"))
-        self.links = self.label.select(F.col("component").alias("a"), F.col("node").alias("b"))
 
-    def torn(self, shared: DataFrame) -> DataFrame:
-        """(key, rep, n, component) of the buckets whose members, the pivot left
-        out, are of several components; one bucket of those with equal members."""
-        named = shared.where("size > 2 and rep <> pivot").join(self.label.withColumnRenamed("node", "rep"), "rep", "left")
-        named = named.select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
-        kept = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
-                                        F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"))
-        kept = kept.where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
-        return land(named.join(kept.select("key", "size"), "key"))
+def _on_ends(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Pairs (a, b) with the columns of both classes' rows, as a_<name>, b_<name>."""
+    for end in ("a", "b"):
+        pairs = pairs.join(rows.select(F.col("rep").alias(end), *[F.col(c).alias(f"{end}_{c}") for c in columns]), end)
+    return pairs
 
 
 def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -261,34 +264,61 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         raise ValueError("percent is 1 to 100, there are 1 to 4 orders, cells is a power of two")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     classes = count_classes(docs, words, word, cells)
-    lists = ", ".join(["p0 array<long>", *[f"p{o} array<int>" for o in range(1, orders)]])
-    sig = land(docs.mapInArrow(_profile_rows(words, percent, word, classes, orders), f"id long, n long, d1 long, d2 long, {lists}"))
+    sig = land(docs.mapInArrow(_profile_rows(words, percent, word, classes), "id long, n long, d1 long, d2 long, prefix array<long>"))
     known = sig.where("id is not null and n > 0")
     same = land(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     members = known.select("id", "d1", "d2").join(same, ["d1", "d2"])
     own = same.select("d1", "d2", F.col("rep").alias("id"))
-    reps = land(known.join(own, ["id", "d1", "d2"]).dropDuplicates(["d1", "d2"]).withColumnRenamed("id", "rep").drop("d1", "d2"))
-
-    join = _Join(docs, reps, words, percent, word, orders)
-    rows = reps.select(F.explode("p0").alias("key"), "rep", "n")
-    torn = join.torn(join.star(rows))
-    # what no star has joined: the other pairs of each bucket
+    reps = known.join(own, ["id", "d1", "d2"]).dropDuplicates(["d1", "d2"]).select(F.col("id").alias("rep"), "n", "prefix")
+    others = [f"p{o}" for o in range(1, orders)]
+
+    def other_prefixes(sets: DataFrame) -> DataFrame:
+        kind = ", ".join(["rep long", *[f"{p} array<int>" for p in others]])
+        return sets.mapInArrow(_prefix_rows(percent, classes, orders), kind)
+
+    # the smallest class of each bucket against the others
+    rows = reps.select(F.explode("prefix").alias("key"), "rep").repartition("key").sortWithinPartitions("key", "rep")
+    shared = land(rows.mapInArrow(_with_pivots, "key long, rep long, pivot long"))
+    pairs = shared.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    sizes = known.select(F.col("id").alias("rep"), "n", "d1", "d2").join(own.withColumnRenamed("id", "rep"), ["rep", "d1", "d2"])
+    sizes = land(sizes.select("rep", "n").distinct())
+    fits = f"100 * least(a_n, b_n) >= {int(percent)} * greatest(a_n, b_n)"
+    pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, words, word)
+    if others:
+        pairs = _on_ends(pairs, other_prefixes(sets), others)
+        for p in others:
+            pairs = pairs.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
+    full = _on_ends(pairs.select("a", "b"), sets.withColumnRenamed("id", "rep"), ["elements"])
+    links = land(full.select("a", "b", "a_elements", "b_elements").mapInArrow(_confirm(percent), "a long, b long"))
+    label = land(components(links, "a", "b"))
+
+    # the other pairs of each bucket, where the links found so far leave several
+    # components; buckets of the same members count once
+    named = shared.join(label.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    torn = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
+                                    F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"))
+    torn = torn.where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
+    torn = land(named.join(torn.select("key", "size"), "key").join(sizes, "rep"))
+    sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
     blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
     torn = torn.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     torn = torn.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
     columns = [*_BLOCK, "blk", "rep", "n", "component"]
-    torn = torn.join(reps.drop("n", "p0"), "rep").select(*columns, *[f"p{o}" for o in range(1, orders)])
-    torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
-    kind = "key long, i int, j int, blk int, rep long, n long, component long"
-    torn = land(torn.mapInArrow(_block_members(percent, orders), kind))
-    sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
+    if others:
+        torn = torn.join(other_prefixes(sets), "rep").select(*columns, *others)
+        torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+        kind = "key long, i int, j int, blk int, rep long, n long, component long"
+        torn = land(torn.mapInArrow(_block_members(percent, orders), kind))
     torn = torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*columns, "elements")
     torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
     last = land(torn.mapInArrow(_block_links(percent), "a long, b long"))
     # one id over several texts joins the classes of those texts
     apart = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
-    join.add(last.union(apart))
-    out = sig.join(join.label.withColumnRenamed("node", "id"), "id", "left")
+    forest = label.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    label = land(components(forest.union(last).union(apart), "a", "b"))
+    out = sig.join(label.withColumnRenamed("node", "id"), "id", "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
                       F.coalesce("component", "id").alias("component_id"))

@@ -41,7 +41,7 @@ def test_linked_pairs_meet_under_every_order():
         if 100 * both < 85 * (both + rest):
             continue
         first = np.array([0, len(x), len(x) + len(y)])
-        for place in nj.prefixes(np.r_[x, y], first, classes, 85):
+        for place in nj.prefixes(np.r_[x, y], first, classes, 85, range(nj.ORDERS)):
             a = nj.prefix_size(np.array([len(x)]), 85)[0]
             assert np.intersect1d(place[:a], place[a:]).size
 
@@ -51,7 +51,7 @@ def test_orders_put_frequent_tokens_last(spark, make_docs):
     classes = nj.count_classes(docs, 4, nj.tb.NOT_SPACE)
     text = b"alpha beta gamma delta only1 a1 b1 c1"
     sets, first = nj.shingle_sets(np.frombuffer(text, np.uint8), np.array([0, len(text)]), 4, nj.tb.NOT_SPACE)
-    for place in nj.prefixes(sets, first, classes, 50):
+    for place in nj.prefixes(sets, first, classes, 50, range(nj.ORDERS)):
         assert (place >> np.uint64(56)).max() <= 2 * np.log2(50) and len(place) == nj.prefix_size(np.array([5]), 50)[0]
         assert (place >> np.uint64(56)).tolist() == sorted((place >> np.uint64(56)).tolist())
     assert sorted(set(classes.tolist()))[-1] == int(2 * np.log2(51))
