@@ -268,8 +268,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     known = sig.where("id is not null and n > 0")
     same = land(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     members = known.select("id", "d1", "d2").join(same, ["d1", "d2"])
-    own = same.select("d1", "d2", F.col("rep").alias("id"))
-    reps = known.join(own, ["id", "d1", "d2"]).dropDuplicates(["d1", "d2"]).select(F.col("id").alias("rep"), "n", "prefix")
+    reps = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "prefix")).alias("r")).select(F.col("r.id").alias("rep"), "r.prefix")
     others = [f"p{o}" for o in range(1, orders)]
 
     def other_prefixes(sets: DataFrame) -> DataFrame:
@@ -280,8 +279,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = reps.select(F.explode("prefix").alias("key"), "rep").repartition("key").sortWithinPartitions("key", "rep")
     shared = land(rows.mapInArrow(_with_pivots, "key long, rep long, pivot long"))
     pairs = shared.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    sizes = known.select(F.col("id").alias("rep"), "n", "d1", "d2").join(own.withColumnRenamed("id", "rep"), ["rep", "d1", "d2"])
-    sizes = land(sizes.select("rep", "n").distinct())
+    sizes = land(known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n")).alias("r")).select(F.col("r.id").alias("rep"), "r.n").distinct())
     fits = f"100 * least(a_n, b_n) >= {int(percent)} * greatest(a_n, b_n)"
     pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
     sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, words, word)
