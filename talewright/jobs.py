@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import blocks, metrics, ordering, sampling
+from .operators import blocks, bpe, metrics, ordering, sampling
 from .operators import tokenizer as tok
 from .session import cut_lineage
 from .sources import records, stories
@@ -46,11 +46,11 @@ def _json_stories(spark: SparkSession, path: str, n_train: int, n_val: int) -> D
 
 
 def prepare_stories(spark: SparkSession, text_path: str | None, json_path: str | None, out_dir: str,
-                    mode: str = "ignore") -> DataFrame:
+                    mode: str = "once") -> DataFrame:
     """Extract train / val stories (SRC1-SRC7, SNK1, SNK3): text files first;
     JSON members only if the text files gave no train story. Written as one
     text output per split with a blank line after every story; an existing
-    output is left as it is (``mode="ignore"``). Returns the stories."""
+    output is left as it is (``mode="once"``). Returns the stories."""
     parts = []
     if text_path:
         parts.append(_text_stories(spark, text_path))
@@ -100,6 +100,6 @@ def train_tokenizer(spark: SparkSession, train_path: str, out_dir: str, vocab_si
     until ``vocab_size``; saved as vocab and merges tables."""
     lines = spark.read.text(train_path).select(F.col("value").alias("line"))
     words = tok.word_counts(tok.pretokenize(lines, "line"))
-    vocab, merges = tok.bpe_train(words, vocab_size=vocab_size, min_frequency=min_frequency)
+    vocab, merges = bpe.bpe_train(words, vocab_size=vocab_size, min_frequency=min_frequency)
     records.save_tokenizer(vocab, merges, out_dir, mode=mode)
     return vocab, merges

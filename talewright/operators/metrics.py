@@ -30,18 +30,6 @@ def prompt_diversity(df: DataFrame, col: str = "prompt", approx: bool = False) -
     return df.agg(f.cast("bigint").alias("unique_prompts"))
 
 
-def token_nll(scores: DataFrame, targets: DataFrame, ctx: str = "ctx_id", token: str = "token_id", target: str = "target") -> DataFrame:
-    """AGG3: cross entropy per target row, no reduction:
-    ``logsumexp(logits of the context) - logit[target]``, computed stably
-    (max, then sum of exp of differences). Targets without a logit get NULL."""
-    lse = scores.groupBy(ctx).agg(F.max("logit").alias("_mx"))
-    lse = scores.join(lse, ctx).groupBy(ctx).agg(
-        (F.first("_mx") + F.log(F.sum(F.exp(F.col("logit") - F.col("_mx"))))).alias("_lse"))
-    tl = scores.select(ctx, F.col(token).alias(target), F.col("logit").alias("_tl"))
-    d = targets.join(lse, ctx, "left").join(tl, [ctx, target], "left")
-    return d.withColumn("nll", F.col("_lse") - F.col("_tl")).drop("_lse", "_tl")
-
-
 def masked_mean(loss, mask) -> F.Column:
     """AGG4: ``sum(loss * mask) / max(sum(mask), 1)`` (an aggregate)."""
     return F.sum(F.col(loss) * F.col(mask)) / F.greatest(F.sum(F.col(mask)), F.lit(1.0))
@@ -66,15 +54,10 @@ def bits_per_char(df: DataFrame, by: Sequence[str], nats_col: str = "nll", chars
     )
 
 
-def argmax_token(scores: DataFrame, ctx: str = "ctx_id", token: str = "token_id") -> DataFrame:
-    """Arg max per context; ties go to the lowest token id."""
-    return scores.groupBy(ctx).agg(F.max_by(token, F.struct(F.col("logit"), -F.col(token))).alias("pred"))
-
-
-def top1_accuracy(scores: DataFrame, targets: DataFrame, by: Sequence[str], ctx: str = "ctx_id", target: str = "target") -> DataFrame:
-    """AGG8: share of targets equal to the arg max of their context; 0 when
-    there are no targets."""
-    d = targets.join(argmax_token(scores, ctx), ctx, "left")
+def top1_accuracy(preds: DataFrame, targets: DataFrame, by: Sequence[str], ctx: str = "ctx_id", target: str = "target") -> DataFrame:
+    """AGG8: share of targets equal to the arg max (``pred``) of their context;
+    0 when there are no targets."""
+    d = targets.join(preds, ctx, "left")
     hit = F.coalesce((F.col("pred") == F.col(target)).cast("int"), F.lit(0))
     return d.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total"),

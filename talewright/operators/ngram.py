@@ -38,20 +38,6 @@ def context_table(model: DataFrame, ctx: str = "token") -> DataFrame:
     return model.select(ctx, "ctx_total", "pred").dropDuplicates([ctx])
 
 
-def score_table(model: DataFrame, vocab_size: int, alpha: float = 1.0, ctx: str = "token", nxt: str = "next_token") -> DataFrame:
-    """(ctx_id, token_id, logit): the log-probability of every token of the
-    vocabulary after every context, unseen pairs and contexts included; each
-    context's probabilities sum to 1. ``vocab_size`` squared rows."""
-    spark = model.sparkSession
-    grid = spark.range(vocab_size).select(
-        F.col("id").cast("int").alias("ctx_id"), F.explode(F.sequence(F.lit(0), F.lit(vocab_size - 1))).alias("token_id"))
-    counts = model.select(F.col(ctx).alias("ctx_id"), F.col(nxt).alias("token_id"), "count")
-    totals = context_table(model, ctx).select(F.col(ctx).alias("ctx_id"), "ctx_total")
-    d = grid.join(counts, ["ctx_id", "token_id"], "left").join(totals, "ctx_id", "left")
-    c, tot = F.coalesce("count", F.lit(0)), F.coalesce("ctx_total", F.lit(0))
-    return d.select("ctx_id", "token_id", F.log((c + F.lit(alpha)) / (tot + F.lit(alpha * vocab_size))).alias("logit"))
-
-
 def ngram_score(
     pairs: DataFrame, model: DataFrame, vocab_size: int, alpha: float = 1.0,
     ctx: str = "token", nxt: str = "next_token", by: list[str] | None = None,

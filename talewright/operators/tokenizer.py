@@ -1,21 +1,17 @@
-"""Tokenizers as DataFrame jobs (TOK1-TOK11).
+"""Tokenizers as DataFrame jobs (TOK1-TOK7, TOK9, TOK11).
 
 Char level: vocabulary = distinct characters of the train text by code point.
-Byte-level BPE: pre-tokenize with the GPT-2 pattern, count words, start from
-UTF-8 byte symbols and learn merges; a word's state is a delimited symbol
-string such as ``<48><65><6C>`` so a merge (a, b) is one
-``replace('<a><b>', '<ab>')`` (left to right, non-overlapping, as BPE needs).
+Byte-level BPE: pre-tokenization with the GPT-2 pattern, word and pair counts,
+special tokens; training and encoding are in :mod:`talewright.operators.bpe`.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import chars_of  # noqa: F401  (re-exported)
-from ..session import cut_lineage
+from .lookup import by_id, char_id, char_pages
 
 # The public GPT-2 byte-level pre-tokenization pattern, and the
 # special tokens in id order 0..3.
@@ -25,7 +21,6 @@ SPECIALS = ["[PAD]", "[UNK]", "[BOS]", "[EOS]"]
 PAD_ID, UNK_ID, BOS_ID, EOS_ID = 0, 1, 2, 3
 
 REPLACEMENT = "\ufffd"      # what an unknown id decodes to
-MAX_MAP_LITERAL = 1 << 16   # vocabularies up to this size are inlined as a map literal
 
 
 def _c(col) -> Column:
@@ -49,75 +44,30 @@ def char_vocab(train: DataFrame, col: str = "story", separator: str = "\n\n") ->
     )
 
 
-def _vocab_rows(vocab: DataFrame, key: str, value: str):
-    """Vocabulary rows if it fits a map literal (size checked), else None."""
-    rows = vocab.select(key, value).limit(MAX_MAP_LITERAL + 1).collect()
-    return rows if len(rows) <= MAX_MAP_LITERAL else None
-
-
-def _vocab_map(vocab: DataFrame, key: str, value: str, rows=None) -> Column:
-    """Vocabulary as a map literal (only after the size check)."""
-    rows = rows if rows is not None else _vocab_rows(vocab, key, value)
-    if rows is None:
-        raise ValueError("vocabulary too large to inline; use lookup_array")
-    if not rows:
-        return F.create_map().cast(f"map<{'string' if key == 'token' else 'int'},{'int' if value == 'id' else 'string'}>")
-    keys = F.array(*[F.lit(r[0]) for r in rows])
-    vals = F.array(*[F.lit(r[1]) for r in rows])
-    return F.map_from_arrays(keys, vals)
-
-
-def lookup_array(df: DataFrame, array_col: Column, vocab: DataFrame, key: str, value: str, out: str,
-                 key_cols=None, default=None) -> DataFrame:
-    """``out = [vocab[x] for x in array_col]`` (NULL, or ``default``, for a
-    missing entry). A vocabulary up to ``MAX_MAP_LITERAL`` entries is inlined
-    as a map literal (no shuffle); a larger one (still bounded: the code-point
-    range, or the vocabulary-size parameter) is broadcast-joined to the
-    exploded elements, which are regrouped in order by ``key_cols``."""
-    rows = _vocab_rows(vocab, key, value)
-    if rows is not None:
-        m = _vocab_map(vocab, key, value, rows)
-        look = F.transform(array_col, lambda x: F.element_at(m, x))
-        if default is not None:
-            look = F.transform(look, lambda x: F.coalesce(x, F.lit(default)))
-        return df.withColumn(out, look)
-    if not key_cols:
-        raise ValueError("a vocabulary above the inline limit needs key_cols to regroup by")
-    keys = list(key_cols)
-    ex = df.select(*keys, F.posexplode(array_col).alias("_i", "_k"))
-    v = F.broadcast(vocab.select(F.col(key).alias("_k"), F.col(value).alias("_v")))
-    j = ex.join(v, "_k", "left")
-    if default is not None:
-        j = j.withColumn("_v", F.coalesce("_v", F.lit(default)))
-    back = j.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_v"))).alias("_p")).select(
-        *keys, F.transform("_p", lambda p: p["_v"]).alias(out))
-    return df.join(back, keys, "left").withColumn(
-        out, F.coalesce(F.col(out), F.array().cast(back.schema[out].dataType)))
-
-
-def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str = "ids", on_oov: str = "error",
-                key_cols=None) -> DataFrame:
-    """TOK2: characters -> ids. ``on_oov``: ``error`` (the reference raises),
-    ``unk`` (one id past the vocabulary), ``drop`` (skip unknown characters) or
-    ``flag`` (skip them and count them in ``n_oov``). ``key_cols`` identify a text when the vocabulary is too
-    large to inline (see :func:`lookup_array`)."""
-    unknown = vocab.count() if on_oov == "unk" else None
-    d = lookup_array(df, chars_of(col), vocab, "token", "id", "_ids", key_cols, default=unknown)
-    n_oov = F.size(F.filter("_ids", lambda x: x.isNull()))
-    if on_oov == "error":
-        d = d.withColumn("_ids", F.when(n_oov == 0, F.col("_ids")).otherwise(
-            F.raise_error(F.lit("character not in vocabulary")).cast("array<int>")))
-    elif on_oov == "flag":
-        d = d.withColumn("n_oov", n_oov.cast("bigint"))
-    elif on_oov not in ("drop", "unk"):
+def char_encode(df: DataFrame, vocab: DataFrame, col: str = "story", out: str = "ids", on_oov: str = "error") -> DataFrame:
+    """TOK2: characters -> ids, each by one read of a table of code points.
+    ``on_oov``: ``error`` (the reference raises), ``unk`` (one id past the
+    vocabulary), ``drop`` (skip unknown characters) or ``flag`` (skip them and
+    count them in ``n_oov``)."""
+    if on_oov not in ("error", "unk", "drop", "flag"):
         raise ValueError(on_oov)
+    rows = vocab.select("token", "id").collect()      # bounded by the code points
+    pages = char_pages(rows)
+    if on_oov == "unk":
+        return df.withColumn(out, F.transform(chars_of(col), lambda c: F.coalesce(char_id(pages, c), F.lit(len(rows)))))
+    if on_oov == "error":
+        unknown = F.raise_error(F.lit("character not in vocabulary")).cast("int")
+        return df.withColumn(out, F.transform(chars_of(col), lambda c: F.coalesce(char_id(pages, c), unknown)))
+    d = df.withColumn("_ids", F.transform(chars_of(col), lambda c: char_id(pages, c)))
+    if on_oov == "flag":
+        d = d.withColumn("n_oov", F.size(F.filter("_ids", lambda x: x.isNull())).cast("bigint"))
     return d.withColumn(out, F.filter("_ids", lambda x: x.isNotNull())).drop("_ids")
 
 
-def char_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", key_cols=None) -> DataFrame:
+def char_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text") -> DataFrame:
     """TOK3: ids -> text; an id outside the vocabulary becomes U+FFFD."""
-    d = lookup_array(df, F.col(col), vocab, "id", "token", "_toks", key_cols, default=REPLACEMENT)
-    return d.withColumn(out, F.array_join("_toks", "")).drop("_toks")
+    names = by_id(((r["id"], r["token"]) for r in vocab.select("id", "token").collect()), "string")
+    return df.withColumn(out, F.array_join(F.transform(col, lambda i: F.coalesce(F.get(names, i), F.lit(REPLACEMENT))), ""))
 
 
 # ---------------------------------------------------------------- byte-level BPE
@@ -166,169 +116,6 @@ def pair_counts(words: DataFrame, seg: str = "seg", freq: str = "freq") -> DataF
     )
 
 
-def merge_symbols(seg, merges: Sequence[tuple[str, str]]) -> Column:
-    """Apply merges (pairwise independent, or in rank order) to a segment."""
-    s = _c(seg)
-    for a, b in merges:
-        s = F.replace(s, F.lit(f"<{a}><{b}>"), F.lit(f"<{a}{b}>"))
-    return s
-
-
-def _pick_batch(cands, vocab_tokens: set, budget: int, min_frequency: int, list_limit: int):
-    """Batch of merges provably equal to one-merge-per-round training.
-
-    Merging (a, b) changes only the counts of pairs (x, a) and (b, y) (and
-    creates pairs (x, ab), (ab, y) counting at most as much as those); pairs
-    such as (a, c) or (z, b) keep their counts, and their merges commute
-    with it. So read the ranked candidates from the top and stop at the
-    first pair q that (i) starts with a right symbol or ends with a left
-    symbol of an earlier pair, (ii) is (a, a), or (iii) makes a token that
-    exists or that an earlier pair makes; its count is the bar. Keep the
-    first pair, then the earlier ones whose count is above the bar (a pair
-    changed or created by a kept merge counts at most the bar). If the list
-    ends first and was cut at ``list_limit``, the bar is the last listed
-    count."""
-    cands = [c for c in cands if c[2] >= min_frequency]
-    if not cands or budget <= 0:
-        return []
-    first = cands[0]
-    new_first = first[0] + first[1]
-    if first[0] == first[1] or new_first in vocab_tokens:
-        return [first]
-    lefts, rights = {first[0]}, {first[1]}
-    made = {new_first}
-    stop, bar = len(cands), None
-    for i, (a, b, cnt) in enumerate(cands[1:], start=1):
-        tok = a + b
-        if b in lefts or a in rights or a == b or tok in made or tok in vocab_tokens:
-            stop, bar = i, cnt
-            break
-        lefts.add(a)
-        rights.add(b)
-        made.add(tok)
-    if bar is None and len(cands) >= list_limit:
-        bar = cands[-1][2]
-    keep = [first] + [c for c in cands[1:stop] if bar is None or c[2] > bar]
-    return keep[:budget]
-
-
-INCREMENTAL_MIN_WORDS = 1_000_000   # above this many distinct words, pair counts are updated, not recounted
-
-
-def _any_contains(col: str, pairs) -> Column:
-    cond = None
-    for a, b in pairs:
-        c = F.col(col).contains(f"<{a}><{b}>")
-        cond = c if cond is None else (cond | c)
-    return cond
-
-
-def bpe_train(
-    words: DataFrame,
-    vocab_size: int | None = None,
-    num_merges: int | None = None,
-    min_frequency: int = 2,
-    list_limit: int = 512,
-    word_col: str = "word",
-    freq_col: str = "freq",
-    checkpoint_every: int = 8,
-    incremental: bool | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """TOK8: learn byte-level BPE merges from a (word, freq) table.
-
-    Stops when the vocabulary (4 specials + byte alphabet + new tokens)
-    reaches ``vocab_size`` (or after ``num_merges`` merges) or when the best
-    pair count is below ``min_frequency``. Pairs rank by (count desc, left,
-    right). Only a bounded candidate list reaches the driver per round; a
-    batch of independent merges (see :func:`_pick_batch`) is applied with a
-    chain of ``replace``; words left with one symbol drop out.
-
-    Pair counts are either recounted over the whole word table each round,
-    or (``incremental``, the default above ``INCREMENTAL_MIN_WORDS`` distinct
-    words) kept as a table and updated: only the words containing a merged
-    pair are recounted (their old pairs subtracted, new pairs added), so a
-    late round costs the touched words plus one aggregation of the pair
-    table instead of a pass over every word. State is persisted between
-    rounds and checkpointed to the shared checkpoint folder every
-    ``checkpoint_every`` rounds.
-
-    Returns (vocab(id, token), merges(rank, left_tok, right_tok, count))."""
-    spark = words.sparkSession
-    state = words.select(byte_symbols(word_col).alias("seg"), F.col(freq_col).cast("bigint").alias("freq"))
-    state = state.groupBy("seg").agg(F.sum("freq").alias("freq"))
-    alphabet = sorted(r[0] for r in state.select(F.explode(symbols_of("seg")).alias("s")).distinct().collect())
-    vocab_tokens = set(alphabet)
-    n_vocab = len(SPECIALS) + len(alphabet)
-    state = cut_lineage(state.filter(F.size(symbols_of("seg")) > 1))
-    if incremental is None:
-        incremental = state.count() > INCREMENTAL_MIN_WORDS
-    counts = cut_lineage(pair_counts(state)) if incremental else None
-    merges: list[tuple[str, str, int]] = []
-    new_tokens: list[str] = []
-    rounds = 0
-    held: list[DataFrame] = []
-
-    def budget() -> int:
-        b = []
-        if vocab_size is not None:
-            b.append(vocab_size - n_vocab)
-        if num_merges is not None:
-            b.append(num_merges - len(merges))
-        return min(b) if b else 1 << 30
-
-    while budget() > 0:
-        src = counts if incremental else pair_counts(state)
-        cands = src.orderBy(F.col("count").desc(), "left_tok", "right_tok").limit(list_limit).collect()
-        # only the current generation is read from here on
-        keep = 2 if incremental else 1
-        while len(held) > keep:
-            held.pop(0).unpersist()
-        batch = _pick_batch([(r[0], r[1], int(r[2])) for r in cands], vocab_tokens, budget(), min_frequency, list_limit)
-        if not batch:
-            break
-        for a, b, c in batch:
-            merges.append((a, b, c))
-            tok = a + b
-            if tok not in vocab_tokens:
-                vocab_tokens.add(tok)
-                new_tokens.append(tok)
-                n_vocab += 1
-        rounds += 1
-        pairs = [(a, b) for a, b, _ in batch]
-        cut = rounds % checkpoint_every == 0
-        if incremental:
-            hit = _any_contains("seg", pairs)
-            touched = state.filter(hit)
-            after = touched.withColumn("seg", merge_symbols("seg", pairs))
-            delta = pair_counts(after).unionByName(pair_counts(touched).withColumn("count", -F.col("count")))
-            counts = (counts.unionByName(delta).groupBy("left_tok", "right_tok")
-                      .agg(F.sum("count").alias("count")).filter(F.col("count") > 0))
-            # narrow update (no union: the partition count stays put)
-            state = state.withColumn("seg", F.when(hit, merge_symbols("seg", pairs)).otherwise(F.col("seg")))
-            state = state.filter(F.size(symbols_of("seg")) > 1)
-            if cut:
-                state, counts = cut_lineage(state), cut_lineage(counts)
-            else:
-                # materialize while the previous generation is still cached
-                state, counts = state.persist(), counts.persist()
-                state.count()
-                counts.count()
-            held += [state, counts]
-        else:
-            state = state.withColumn("seg", merge_symbols("seg", pairs)).filter(F.size(symbols_of("seg")) > 1)
-            state = cut_lineage(state) if cut else state.persist()
-            held.append(state)
-
-    for st in held:
-        st.unpersist()
-    vocab_rows = [(i, t) for i, t in enumerate(SPECIALS + alphabet + new_tokens)]
-    vocab = spark.createDataFrame(vocab_rows, "id int, token string")
-    merge_df = spark.createDataFrame(
-        [(i, a, b, c) for i, (a, b, c) in enumerate(merges)], "rank int, left_tok string, right_tok string, count bigint"
-    )
-    return vocab, merge_df
-
-
 def add_specials(ids) -> Column:
     """TOK9: the single-sequence template ``[BOS] $A [EOS]``."""
     return F.concat(F.array(F.lit(BOS_ID)), _c(ids), F.array(F.lit(EOS_ID)))
@@ -339,99 +126,6 @@ def add_specials_pair(a, b) -> Column:
     return F.concat(F.array(F.lit(BOS_ID)), _c(a), F.array(F.lit(EOS_ID)), _c(b), F.array(F.lit(EOS_ID)))
 
 
-FOLD_LIMIT = 8192  # merge lists up to this length are folded per word (measured faster); longer ones run in rounds
-
-
-def _merge_segments_fold(seg, ms):
-    pats = F.array(*[F.struct(F.lit(f"<{a}><{b}>").alias("p"), F.lit(f"<{a}{b}>").alias("r")) for a, b in ms])
-    return F.aggregate(pats, seg, lambda acc, x: F.replace(acc, x["p"], x["r"]))
-
-
-def merge_segments_rounds(segs: DataFrame, merges: DataFrame, key: str, checkpoint_every: int = 8) -> DataFrame:
-    """Encode segments by rounds: in each round every unfinished segment
-    merges its lowest-rank applicable pair (all occurrences, left to right);
-    a segment with no applicable pair is finished. Pairs are joined to the
-    merge table (bounded by the vocabulary size: broadcast). Rounds are
-    bounded by the longest segment, not by the number of merges."""
-    ranks = F.broadcast(merges.select(F.col("left_tok").alias("_l"), F.col("right_tok").alias("_r"), "rank"))
-    state = segs.select(key, "seg", F.lit(False).alias("_done"))
-    rounds = 0
-    prev = None
-    while True:
-        active = state.filter(~F.col("_done"))
-        p = active.select(key, "seg", F.explode_outer(pairs_of("seg")).alias("p")).select(
-            key, "seg", F.col("p.left_tok").alias("_l"), F.col("p.right_tok").alias("_r"))
-        best = p.join(ranks, ["_l", "_r"], "left").groupBy(key, "seg").agg(
-            F.min(F.when(F.col("rank").isNotNull(), F.struct("rank", "_l", "_r"))).alias("_b"))
-        pat = F.concat(F.lit("<"), F.col("_b._l"), F.lit("><"), F.col("_b._r"), F.lit(">"))
-        rep = F.concat(F.lit("<"), F.col("_b._l"), F.col("_b._r"), F.lit(">"))
-        stepped = best.select(
-            key,
-            F.when(F.col("_b").isNull(), F.col("seg")).otherwise(F.replace(F.col("seg"), pat, rep)).alias("seg"),
-            F.col("_b").isNull().alias("_done"),
-        )
-        state = state.filter("_done").unionByName(stepped)
-        rounds += 1
-        state = state.checkpoint() if rounds % checkpoint_every == 0 else state.persist()
-        if prev is not None:
-            prev.unpersist()
-        prev = state
-        if state.filter(~F.col("_done")).limit(1).count() == 0:
-            break
-    return state.drop("_done")
-
-
-def encode_words(words: DataFrame, vocab: DataFrame, merges: DataFrame, word_col: str = "word", out: str = "ids",
-                 fold_limit: int = FOLD_LIMIT) -> DataFrame:
-    """TOK10 core: encode distinct words. Merges apply in rank order: up to
-    ``fold_limit`` merges as one fold over the (parameter-bounded) merge
-    list, longer lists in rounds of "lowest-rank pair per word" joined to the
-    merge table. Symbols map to ids, an unknown byte to ``[UNK]``."""
-    n_merges = merges.count()
-    if n_merges <= fold_limit:
-        ms = [(r[0], r[1]) for r in merges.orderBy("rank").select("left_tok", "right_tok").collect()]
-        seg = byte_symbols(word_col)
-        if ms:
-            seg = _merge_segments_fold(seg, ms)
-        segs = words.withColumn("_seg", seg)
-    else:
-        distinct = words.select(word_col).distinct().withColumn("seg", byte_symbols(word_col))
-        merged = merge_segments_rounds(distinct, merges, word_col).withColumnRenamed("seg", "_seg")
-        segs = words.join(merged, word_col)
-    return lookup_array(segs, symbols_of("_seg"), vocab, "token", "id", out, [word_col], default=UNK_ID).drop("_seg")
-
-
-def bpe_encode(
-    df: DataFrame, vocab: DataFrame, merges: DataFrame, key_cols: Sequence[str], col: str = "story",
-    out: str = "ids", specials: bool = True,
-) -> DataFrame:
-    """TOK10: text -> ids. Pre-tokenize, encode each *distinct* word once,
-    join back by word (AQE broadcasts the encoded words when small and splits
-    hot words otherwise), regroup per text in token order, add BOS/EOS."""
-    keys = list(key_cols)
-    toks = pretokenize(df.select(*keys, col), col).select(*keys, F.posexplode("words").alias("tpos", "word"))
-    enc = encode_words(toks.select("word").distinct(), vocab, merges, "word", "wids")
-    joined = toks.join(enc, on="word", how="inner")
-    regrouped = joined.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("tpos", "wids"))).alias("_parts")
-    )
-    ids = F.flatten(F.transform("_parts", lambda p: p["wids"]))
-    ids = F.coalesce(ids, F.array().cast("array<int>"))
-    # a text without a pre-token has no group: it keeps its row with no ids
-    d = df.select(*keys).join(regrouped, keys, "left").select(*keys, ids.alias(out))
-    if specials:
-        d = d.withColumn(out, add_specials(out))
-    return d
-
-
-def bpe_decode(df: DataFrame, vocab: DataFrame, col: str = "ids", out: str = "text", skip_specials: bool = True,
-               key_cols=None) -> DataFrame:
-    """TOK3 for BPE: ids -> hex bytes -> UTF-8 text."""
-    ids = F.filter(col, lambda i: i > F.lit(3)) if skip_specials else F.col(col)
-    d = lookup_array(df, ids, vocab, "id", "token", "_hex", key_cols)
-    return d.withColumn(out, F.decode(F.unhex(F.array_join("_hex", "")), "UTF-8")).drop("_hex")
-
-
 def token_stats(encoded: DataFrame, tokenizer_col: str = "tokenizer", ids_col: str = "ids") -> DataFrame:
     """TOK11: texts and average tokens per text by tokenizer."""
     return encoded.groupBy(tokenizer_col).agg(

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import coalesce_key, ids_to_string
-from ..operators import blocks, metrics, ngram, ordering, packing, sampling, scores, sweeps
+from ..operators import blocks, bpe, metrics, ngram, ordering, packing, sampling, scores, sweeps
 from ..operators import tokenizer as tok
+from ..operators.sparse_scores import SparseScores
 from ..operators.tokenizer import chars_of
 from ..session import ensure_checkpoint_dir, land_table
 from ..sources import logs as logsrc
@@ -126,13 +127,20 @@ def q_json_stories(spark, sf_dir):
     return stories.json_stories(_json_docs(spark, sf_dir), "json")
 
 
+def file_name(key: str):
+    """A file name by hashed id, as an archive of stories has them: some of
+    train, some of val, some of both words (train wins), some of neither."""
+    kind = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 1), 16, 10).cast("int")
+    return F.concat(F.when(kind < 6, F.lit("Stories-TRAIN-")).when(kind < 10, F.lit("stories_valid_"))
+                    .when(kind < 12, F.lit("val-of-train-")).otherwise(F.lit("readme-")), F.col(key).cast("string"), F.lit(".txt"))
+
+
 @query("format_fallback")
 def q_format_fallback(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    primary = stories.split_stories(
-        docs.select("doc_id", "text", stories.route_split("source").alias("split")).filter(F.col("split").isNotNull()),
-        "text", sep="\n",
-    ).select("split", "doc_id", F.col("pos").alias("item_pos"), "story")
+    # the text files of val alone leave the train side to the JSON files
+    named = docs.select("doc_id", "text", stories.route_split(file_name("doc_id")).alias("split"))
+    primary = stories.split_stories(named.filter(F.col("split") == "val"), "text", sep="\n").select("split", "doc_id", F.col("pos").alias("item_pos"), "story")
     secondary = stories.json_stories(_json_docs(spark, sf_dir), "json").select(
         doc_split().alias("split"), "doc_id", "item_pos", "story"
     )
@@ -142,7 +150,7 @@ def q_format_fallback(spark, sf_dir):
 @query("route_split")
 def q_route_split(spark, sf_dir):
     pages = read(spark, sf_dir, "pages")
-    return pages.select("page_id", stories.route_split("url").alias("split")).filter(F.col("split").isNotNull())
+    return pages.select("page_id", stories.route_split(file_name("page_id")).alias("split")).filter(F.col("split").isNotNull())
 
 
 @query("byte_budget")
@@ -239,7 +247,7 @@ def bpe_tokenizer(spark, sf_dir, vocab_size=BPE_VOCAB):
     key = (spark.sparkContext.applicationId, sf_dir, input_stamp(spark, sf_dir), vocab_size)
     if key not in _TOKENIZERS:
         words = landed(spark, sf_dir, "train_words", lambda: train_words(spark, sf_dir))
-        _TOKENIZERS[key] = tok.bpe_train(words, vocab_size=vocab_size, min_frequency=2)
+        _TOKENIZERS[key] = bpe.bpe_train(words, vocab_size=vocab_size, min_frequency=2)
     return _TOKENIZERS[key]
 
 
@@ -259,15 +267,15 @@ def q_char_vocab(spark, sf_dir):
 
 @query("char_encode")
 def q_char_encode(spark, sf_dir):
-    enc = tok.char_encode(split_docs(spark, sf_dir), char_tokenizer(spark, sf_dir), "story", on_oov="flag", key_cols=["doc_id", "pos"])
+    enc = tok.char_encode(split_docs(spark, sf_dir), char_tokenizer(spark, sf_dir), "story", on_oov="flag")
     return enc.select("doc_id", "pos", ids_to_string("ids").alias("ids"), "n_oov")
 
 
 @query("char_decode")
 def q_char_decode(spark, sf_dir):
     vocab = char_tokenizer(spark, sf_dir)
-    enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk", key_cols=["doc_id", "pos"])
-    return tok.char_decode(enc, vocab, "ids", key_cols=["doc_id", "pos"]).select("doc_id", "pos", "text")
+    enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk")
+    return tok.char_decode(enc, vocab, "ids").select("doc_id", "pos", "text")
 
 
 @query("pretokenize")
@@ -308,7 +316,7 @@ def bpe_encoded(spark, sf_dir, split=None):
     s = split_docs(spark, sf_dir)
     if split:
         s = s.filter(F.col("split") == split)
-    return tok.bpe_encode(s, vocab, merges, ["doc_id", "pos"], "story")
+    return bpe.bpe_encode(s, vocab, merges, ["doc_id", "pos"], "story")
 
 
 @query("bpe_encode")
@@ -320,8 +328,8 @@ def q_bpe_encode(spark, sf_dir):
 def q_token_stats(spark, sf_dir):
     s = split_docs(spark, sf_dir)
     chars = s.select(F.lit("char").alias("tokenizer"), tok.chars_of("story").alias("ids"))
-    bpe = bpe_encoded(spark, sf_dir).select(F.lit("bpe").alias("tokenizer"), "ids")
-    st = tok.token_stats(chars.unionByName(bpe.withColumn("ids", F.col("ids").cast("array<string>"))))
+    pieces = bpe_encoded(spark, sf_dir).select(F.lit("bpe").alias("tokenizer"), "ids")
+    st = tok.token_stats(chars.unionByName(pieces.withColumn("ids", F.col("ids").cast("array<string>"))))
     return st.withColumn("avg_tokens", F.round("avg_tokens", 6))
 
 
@@ -347,7 +355,7 @@ def char_stream(spark, sf_dir):
     def build():
         vocab = char_tokenizer(spark, sf_dir)
         nl = _scalar(vocab.filter(F.col("token") == "\n").select("id"))
-        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk", key_cols=["doc_id", "pos"])
+        enc = tok.char_encode(split_docs(spark, sf_dir), vocab, "story", on_oov="unk")
         # the offsets pass and the data pass both read the encoded texts:
         # keep them for the one landing job only
         enc = enc.persist()
@@ -375,8 +383,8 @@ def char_model(spark, sf_dir):
 
 
 def char_scores(spark, sf_dir):
-    """Score table (ctx_id, token_id, logit): the count model's log-probabilities."""
-    return ngram.score_table(char_model(spark, sf_dir), char_vocab_size(spark, sf_dir), ALPHA)
+    """The count model's log-probabilities: seen pairs and one floor per context."""
+    return SparseScores.of_counts(char_model(spark, sf_dir), char_vocab_size(spark, sf_dir), ALPHA)
 
 
 def r6(c):
@@ -469,7 +477,7 @@ def q_token_nll(spark, sf_dir):
     """Loss of every position of every window, summed up per window."""
     pos = eval_positions(spark, sf_dir)
     targets = pos.select("seed", "split", "draw", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
-    out = metrics.token_nll(char_scores(spark, sf_dir), targets)
+    out = char_scores(spark, sf_dir).token_nll(targets)
     return out.groupBy("seed", "split", "draw").agg(
         F.count("nll").alias("n_tokens"), r6(F.sum("nll")).alias("nll_sum"), r6(F.min("nll")).alias("nll_min"), r6(F.max("nll")).alias("nll_max"))
 
@@ -491,7 +499,7 @@ def q_loss_metrics(spark, sf_dir):
 def q_top1_accuracy(spark, sf_dir):
     pos = eval_positions(spark, sf_dir)
     targets = pos.select("seed", "split", F.col("token").alias("ctx_id"), F.col("next_token").alias("target"))
-    acc = metrics.top1_accuracy(char_scores(spark, sf_dir), targets, ["seed", "split"])
+    acc = metrics.top1_accuracy(char_scores(spark, sf_dir).argmax(), targets, ["seed", "split"])
     return acc.select("seed", "split", F.col("total").cast("bigint").alias("total"), r6("top1_accuracy").alias("top1_accuracy"))
 
 
@@ -598,15 +606,15 @@ def q_best_checkpoint(spark, sf_dir):
 def prompt_contexts(spark, sf_dir):
     """Benchmark items as generation prompts: char ids, last id = context token."""
     items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ctx_id"), F.col("text").alias("story"))
-    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="unk", key_cols=["ctx_id"]).filter(
+    enc = tok.char_encode(items, char_tokenizer(spark, sf_dir), "story", on_oov="unk").filter(
         F.size("ids") > 0)
     return enc.select("ctx_id", "ids", F.element_at("ids", -1).alias("last"))
 
 
 def prompt_scores(spark, sf_dir):
-    ctx = prompt_contexts(spark, sf_dir)
-    sc = char_scores(spark, sf_dir).withColumnRenamed("ctx_id", "last")
-    return ctx.join(sc, "last").select("ctx_id", "token_id", "logit")
+    """All scores after each prompt, a row per prompt and token."""
+    ctx = prompt_contexts(spark, sf_dir).select(F.col("ctx_id").alias("prompt"), "last")
+    return char_scores(spark, sf_dir).of_contexts(ctx, "prompt", "last").withColumnRenamed("prompt", "ctx_id")
 
 
 def prompt_history(spark, sf_dir):
@@ -621,8 +629,11 @@ def q_seen_penalty(spark, sf_dir):
 
 @query("top_k_filter")
 def q_top_k_filter(spark, sf_dir):
-    d = scores.top_k_filter(prompt_scores(spark, sf_dir), 5)
-    return d.select("ctx_id", "token_id", r6("logit").alias("logit"), "kept")
+    """The k-th score comes from the sparse table; the rows are only marked."""
+    ctx = prompt_contexts(spark, sf_dir).select("ctx_id", F.col("last"))
+    cuts = ctx.join(char_scores(spark, sf_dir).cuts(5).withColumnRenamed("ctx_id", "last"), "last").select("ctx_id", "cut")
+    d = prompt_scores(spark, sf_dir).join(cuts, "ctx_id")
+    return d.select("ctx_id", "token_id", r6("logit").alias("logit"), (F.col("logit") >= F.col("cut")).alias("kept"))
 
 
 @query("sample_next")
@@ -633,10 +644,15 @@ def q_sample_next(spark, sf_dir):
 
 @query("oov_tokens")
 def q_oov_tokens(spark, sf_dir):
-    val = split_docs(spark, sf_dir).filter(F.col("split") == "val")
+    """Characters of the val text that the alphabet of the English train text
+    does not have."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang", doc_split().alias("split"))
+    d = stories.split_stories(docs, "text", sep="\n")
+    alphabet = tok.char_vocab(d.filter((F.col("split") == "train") & (F.col("lang") == "en")), "story").select("token")
     # counted per character first: one row per distinct character is joined
+    val = d.filter(F.col("split") == "val")
     chars = val.select(F.explode(chars_of("story")).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    return chars.join(char_tokenizer(spark, sf_dir).select("token"), "token", "left_anti")
+    return chars.join(alphabet, "token", "left_anti")
 
 
 # -- corpus profile
@@ -664,8 +680,8 @@ def _encode_sft(spark, sf_dir):
     vocab, merges = bpe_tokenizer(spark, sf_dir)
     recs = blocks.full_text(sft_records(spark, sf_dir))
     keys = ["conv_id", "turn"]
-    full = tok.bpe_encode(recs, vocab, merges, keys, "full_text", out="full_ids")
-    prompt = tok.bpe_encode(recs, vocab, merges, keys, "prompt_text", out="prompt_ids")
+    full = bpe.bpe_encode(recs, vocab, merges, keys, "full_text", out="full_ids")
+    prompt = bpe.bpe_encode(recs, vocab, merges, keys, "prompt_text", out="prompt_ids")
     return recs.select(*keys, "split").join(full, keys).join(prompt, keys)
 
 
@@ -740,7 +756,7 @@ def q_masked_loss(spark, sf_dir):
 
 @query("record_batch")
 def q_record_batch(spark, sf_dir):
-    recs = sft_records(spark, sf_dir).withColumn("split", F.when(F.col("split") == "holdout_test", "holdout_test").otherwise(F.col("split")))
+    recs = sft_records(spark, sf_dir)
     idx = ordering.ordered_index(recs, ["conv_id", "turn"], ordering.bucket_of("conv_id", 1024), ["split"])
     b = sampling.record_batch(idx, "train", 16, 1337)
     return b.select("draw", "conv_id", "turn")
@@ -835,6 +851,45 @@ def q_sample_text(spark, sf_dir):
                            F.col("distinct_texts").cast("bigint").alias("distinct_texts"))
 
 
+@query("story_files")
+def q_story_files(spark, sf_dir):
+    """SNK1, SNK3: the stories of each split written as ordered text files, a
+    second write left out because the first is complete, and read back in file
+    order with their place in the split."""
+    out = _landing_dir(spark, "stories")
+    d = split_docs(spark, sf_dir)
+    for part in (d, d.limit(0)):
+        records.write_stories(part, out, ["doc_id", "pos"], mode="once")
+    back = records.read_story_files(spark, out)
+    # a file split (its start) is a bucket of the scan: the session's split size bounds it
+    order = ["file", "block_start", "pos"]
+    placed = ordering.ordered_index(back, order, F.struct("file", "block_start"), ["split"], out="idx")
+    return placed.select("split", "idx", "story")
+
+
+@query("tokenizer_files")
+def q_tokenizer_files(spark, sf_dir):
+    """SNK4, TOK10, TOK3: the tokenizer written as a version and loaded by a
+    fresh plan encodes and decodes all stories; those without an unknown byte
+    come back as they were."""
+    out = _landing_dir(spark, "tokenizer")
+    records.save_tokenizer(*bpe_tokenizer(spark, sf_dir), out)
+    vocab, merges = records.load_tokenizer(spark, out)
+    ids = bpe.bpe_encode(split_docs(spark, sf_dir), vocab, merges, ["doc_id", "pos"], "story")
+    whole = ids.filter(~F.array_contains("ids", tok.UNK_ID))
+    return bpe.bpe_decode(whole, vocab, "ids").select("doc_id", "pos", "text")
+
+
+@query("triplet_files")
+def q_triplet_files(spark, sf_dir):
+    """SNK6: padded triplets written per split and read back."""
+    out = _landing_dir(spark, "triplets")
+    records.write_triplets(sft_trip(spark, sf_dir), out)
+    back = spark.read.parquet(out)
+    return back.select("conv_id", "turn", "split", ids_to_string("tokens").alias("tokens"),
+                       ids_to_string("targets").alias("targets"), _mask_str("mask").alias("mask"))
+
+
 # -- streaming forms over the given tables (each run to completion, result read back)
 
 
@@ -898,8 +953,8 @@ def _streamed_records(spark, sf_dir):
     name = f"stream_records-{uuid.uuid4().hex[:12]}"
     src, out = _landing_dir(spark, f"{name}-in"), _landing_dir(spark, f"{name}-out")
     docs.repartition(STREAM_FILES, "doc_id").select(F.array_join(lines, "\n").alias("value")).write.text(src)
-    q = inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name), max_files=2)
-    return spark.read.parquet(out).select("prompt", "response"), inc.observed_totals(q)
+    inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name), max_files=2)
+    return spark.read.parquet(out).select("prompt", "response"), inc.progress_totals(spark, out)
 
 
 @query("stream_records")
@@ -910,8 +965,8 @@ def q_stream_records(spark, sf_dir):
 
 @query("stream_progress")
 def q_stream_progress(spark, sf_dir):
-    """STR2: the counters observed over all micro-batches, beside the rows the
-    sink holds."""
+    """STR2: the counters written with every micro-batch, beside the rows the
+    sink holds (one row each)."""
     records_out, totals = _streamed_records(spark, sf_dir)
-    seen = [F.lit(totals[k]).cast("bigint").alias(k) for k in ("processed", "written", "skipped")]
-    return records_out.agg(F.count(F.lit(1)).alias("stored")).select(*seen, "stored")
+    stored = records_out.agg(F.count(F.lit(1)).alias("stored"))
+    return totals.join(stored)

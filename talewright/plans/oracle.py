@@ -106,16 +106,22 @@ ORACLE["min_length"] = "WITH " + _SPLIT_DOCS + "\nSELECT doc_id, pos, story FROM
 
 ORACLE["json_stories"] = "WITH " + _JSON_DOCS + "\nSELECT doc_id, item_pos, story FROM json_stories"
 
+def _routed(key: str) -> str:
+    """Split by the hashed file name: its first hex digit below 6 or from 10 to
+    11 names train, 6 to 9 val alone."""
+    digit = f"substr(md5(CAST({key} AS VARCHAR)), 1, 1)"
+    return f"CASE WHEN {digit} IN ('0', '1', '2', '3', '4', '5', 'a', 'b') THEN 'train' WHEN {digit} IN ('6', '7', '8', '9') THEN 'val' END"
+
+
 ORACLE["format_fallback"] = "WITH " + _JSON_DOCS + """,
 routed AS (
-  SELECT doc_id, text, CASE WHEN contains(lower(source), 'train') THEN 'train'
-                            WHEN contains(lower(source), 'val') THEN 'val' END AS split FROM documents
+  SELECT doc_id, text, """ + _routed("doc_id") + """ AS split FROM documents
 ),
 primary_rows AS (
   SELECT split, doc_id, item_pos, story FROM (
     SELECT split, doc_id, CAST(generate_subscripts(parts, 1) - 1 AS BIGINT) AS item_pos,
       """ + strip("unnest(parts)") + """ AS story
-    FROM (SELECT split, doc_id, string_split(text, chr(10)) AS parts FROM routed WHERE split IS NOT NULL))
+    FROM (SELECT split, doc_id, string_split(text, chr(10)) AS parts FROM routed WHERE split = 'val'))
   WHERE length(story) > 0
 )
 SELECT * FROM primary_rows
@@ -124,10 +130,7 @@ SELECT """ + doc_split("doc_id") + """ AS split, doc_id, item_pos, story FROM js
 WHERE NOT EXISTS (SELECT 1 FROM primary_rows WHERE split = 'train')"""
 
 ORACLE["route_split"] = """
-SELECT page_id, split FROM (
-  SELECT page_id, CASE WHEN contains(lower(url), 'train') THEN 'train'
-                       WHEN contains(lower(url), 'val') THEN 'val' END AS split FROM pages)
-WHERE split IS NOT NULL"""
+SELECT page_id, split FROM (SELECT page_id, """ + _routed("page_id") + """ AS split FROM pages) WHERE split IS NOT NULL"""
 
 ORACLE["byte_budget"] = """
 WITH s AS (
@@ -470,9 +473,12 @@ cu AS (
 SELECT ctx_id, coalesce(min(CASE WHEN cum > """ + sql_uniform_cols("1337", "ctx_id") + """ THEN token_id END), max(token_id)) AS token_id
 FROM cu GROUP BY ctx_id"""
 
-ORACLE["oov_tokens"] = _STREAM + """
-SELECT ch AS token, CAST(count(*) AS BIGINT) AS n FROM all_chars c
-WHERE split = 'val' AND NOT EXISTS (SELECT 1 FROM char_vocab v WHERE v.token = c.ch) GROUP BY ch"""
+ORACLE["oov_tokens"] = _STREAM + """,
+english AS (
+  SELECT DISTINCT ch FROM all_chars JOIN documents USING (doc_id) WHERE split = 'train' AND lang = 'en' UNION SELECT chr(10)
+)
+SELECT ch AS token, CAST(count(*) AS BIGINT) AS n FROM all_chars
+WHERE split = 'val' AND ch NOT IN (SELECT ch FROM english) GROUP BY ch"""
 
 ORACLE["corpus_profile"] = _RECS + """
 SELECT (SELECT CAST(count(*) AS BIGINT) FROM instruct_lines) AS raw_rows,
@@ -596,6 +602,18 @@ texts AS (
 SELECT prompt, CAST(count(*) AS BIGINT) AS samples, CAST(count(DISTINCT text) AS BIGINT) AS distinct_texts
 FROM texts GROUP BY prompt"""
 
+ORACLE["story_files"] = "WITH " + STORIES + """
+SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id, pos) - 1 AS BIGINT) AS idx, story FROM stories"""
+
+ORACLE["tokenizer_files"] = _BPE_ENC + """
+SELECT s.doc_id, s.pos, s.story AS text FROM stories s JOIN story_ids i USING (doc_id, pos)
+WHERE NOT list_contains(string_split(i.ids, ','), '1')"""
+
+ORACLE["triplet_files"] = _SFT + """
+SELECT conv_id, turn, split, array_to_string(tokens, ',') AS tokens, array_to_string(targets, ',') AS targets,
+  array_to_string(mask, ',') AS mask
+FROM trip"""
+
 # ---------------------------------------------------------------- streaming forms
 ORACLE["stream_best"] = _LOG + """
 SELECT run, val_loss AS best_loss, step AS best_step FROM (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.blocks import END_OF_TEXT, block_records
@@ -17,6 +17,9 @@ from ..operators.tokenizer import pretokenize
 from ..session import ensure_checkpoint_dir
 
 
+COUNTERS = ["processed", "written", "skipped"]
+
+
 def checkpoint_location(spark: SparkSession, name: str) -> str:
     """A named checkpoint folder under the shared checkpoint directory."""
     return os.path.join(ensure_checkpoint_dir(spark), "streams", name)
@@ -32,38 +35,46 @@ def record_stream(spark: SparkSession, in_dir: str, max_files: int | None = None
     return block_records(d).select("file", "prompt", "response")
 
 
-def with_progress(df: DataFrame, name: str = "progress") -> DataFrame:
-    """STR2: processed / written / skipped counters per micro-batch
-    (``query.lastProgress['observedMetrics']``, or a StreamingQueryListener)."""
+def _observed(batch: DataFrame) -> tuple[DataFrame, Observation]:
+    """STR2: processed / written / skipped, counted by the job that writes the batch."""
+    seen = Observation()
     ok = (F.length("prompt") > 0) & (F.length("response") > 0)
-    return df.observe(name, F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("written"),
-                      F.count_if(~ok).alias("skipped"))
+    return batch.observe(seen, F.count(F.lit(1)).alias("processed"), F.count_if(ok).alias("written"),
+                         F.count_if(~ok).alias("skipped")), seen
+
+
+def progress_dir(out_dir: str) -> str:
+    """Where the counters of a record build stand: beside its records."""
+    return out_dir.rstrip("/") + "-progress"
 
 
 def build_records_incrementally(spark: SparkSession, in_dir: str, out_dir: str, name: str = "sft_records",
                                 checkpoint: str | None = None, max_files: int | None = None):
     """STR1: append the records of new files to Parquet (``max_files`` per
     micro-batch); ``availableNow`` processes what is there and stops; a second
-    run adds nothing."""
-    df = with_progress(record_stream(spark, in_dir, max_files))
-    q = (df.writeStream.format("parquet").outputMode("append")
+    run adds nothing.
+
+    STR2: each micro-batch writes its records and then one row of counters, both
+    under its number, so a batch that is tried again replaces its own part, and
+    the totals are exact however many batches there were."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows, seen = _observed(batch)
+        rows.write.mode("overwrite").parquet(f"{out_dir}/batch={batch_id}")
+        counts = [seen.get[k] for k in COUNTERS]
+        (spark.createDataFrame([counts], ", ".join(f"{k} bigint" for k in COUNTERS)).coalesce(1)
+         .write.mode("overwrite").parquet(f"{progress_dir(out_dir)}/batch={batch_id}"))
+
+    q = (record_stream(spark, in_dir, max_files).writeStream.foreachBatch(write)
          .option("checkpointLocation", checkpoint or checkpoint_location(spark, name))
-         .trigger(availableNow=True).start(out_dir))
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return q
 
 
-def observed_totals(query) -> dict:
-    """Sum the observed counters over a query's progress reports."""
-    tot = {"processed": 0, "written": 0, "skipped": 0}
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get("progress") if isinstance(p, dict) else None
-        if m is None and hasattr(p, "observedMetrics"):
-            m = p.observedMetrics.get("progress")
-        if m:
-            for k in tot:
-                tot[k] += int(m[k] if isinstance(m, dict) else getattr(m, k, 0) or 0)
-    return tot
+def progress_totals(spark: SparkSession, out_dir: str) -> DataFrame:
+    """STR2: one row, the counters of all micro-batches so far."""
+    rows = spark.read.parquet(progress_dir(out_dir))
+    return rows.agg(*[F.sum(k).alias(k) for k in COUNTERS])
 
 
 def live_best(log_stream: DataFrame, run: str = "run", step: str = "step", loss: str = "val_loss") -> DataFrame:

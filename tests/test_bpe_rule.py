@@ -1,12 +1,12 @@
-"""The merge-batch rule, checked in pure Python against one-merge-per-round
-training on many random corpora (no Spark: the rule itself)."""
+"""The look-ahead of BPE training, checked in pure Python against one merge at
+a time on many random corpora (no Spark: the rule itself)."""
 
 import random
 
-from talewright.operators.tokenizer import _pick_batch
+from talewright.operators.bpe import merge_chains
 
 
-def _pairs(state):
+def pair_table(state):
     counts = {}
     for syms, f in state.items():
         for a, b in zip(syms, syms[1:]):
@@ -14,63 +14,82 @@ def _pairs(state):
     return counts
 
 
-def _apply(state, a, b):
-    new = {}
-    for syms, f in state.items():
-        out, i = [], 0
-        while i < len(syms):
-            if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                out.append(a + b)
-                i += 2
-            else:
-                out.append(syms[i])
-                i += 1
-        new[tuple(out)] = new.get(tuple(out), 0) + f
-    return new
-
-
-def _rank(counts):
-    return sorted(((a, b, c) for (a, b), c in counts.items()), key=lambda t: (-t[2], t[0], t[1]))
+def merged(syms, a, b, new):
+    out, i = [], 0
+    while i < len(syms):
+        if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
+            out.append(new)
+            i += 2
+        else:
+            out.append(syms[i])
+            i += 1
+    return out
 
 
-def sequential(state, n, min_freq):
-    vocab = {s for syms in state for s in syms}
-    merges = []
-    while len(merges) < n:
-        r = [t for t in _rank(_pairs(state)) if t[2] >= min_freq]
-        if not r:
+def one_by_one(words, n, min_freq):
+    state = dict(words)
+    out = []
+    while len(out) < n:
+        ranked = sorted(((-c, a, b) for (a, b), c in pair_table(state).items() if c >= min_freq))
+        if not ranked:
             break
-        a, b, c = r[0]
-        merges.append((a, b, c))
-        vocab.add(a + b)
-        state = _apply(state, a, b)
-    return merges
+        c, a, b = ranked[0]
+        out.append((a, b, -c))
+        new = {}
+        for syms, f in state.items():
+            key = tuple(merged(list(syms), a, b, a + b))
+            new[key] = new.get(key, 0) + f
+        state = new
+    return out
 
 
-def batched(state, n, min_freq, limit):
-    vocab = {s for syms in state for s in syms}
-    merges = []
-    while len(merges) < n:
-        r = _rank(_pairs(state))[:limit]
-        batch = _pick_batch(r, vocab, n - len(merges), min_freq, limit)
-        if not batch:
+def in_rounds(words, n, min_freq, size):
+    """Rounds over the ``size`` most frequent pairs, as the Spark job runs them."""
+    tokens = sorted({s for syms in words for s in syms})
+    known = {t: i for i, t in enumerate(tokens)}
+    state = {tuple(known[s] for s in syms): f for syms, f in words.items()}
+    out, rounds = [], 0
+    while len(out) < n:
+        top = sorted(pair_table(state).items(), key=lambda x: -x[1])
+        if not top or top[0][1] < min_freq:
             break
-        for a, b, c in batch:
-            merges.append((a, b, c))
-            vocab.add(a + b)
-            state = _apply(state, a, b)
-    return merges
+        bar = max(top[size][1] if len(top) > size else 0, min_freq - 1)
+        pairs = {p for p, c in top if c > bar}
+        alone = not pairs
+        if alone:
+            pairs = {min((p for p, c in top if c == top[0][1]), key=lambda p: (tokens[p[0]], tokens[p[1]]))}
+        pieces = []
+        for syms, f in state.items():
+            start = 0
+            for i in range(1, len(syms) + 1):
+                if i == len(syms) or (syms[i - 1], syms[i]) not in pairs:
+                    if i - start > 1:
+                        pieces.append((list(syms[start:i]), f))
+                    start = i
+        batch, repeats = merge_chains(pieces, tokens, known, bar, 1 << 30, n - len(out), force=alone)
+        assert batch and (repeats or len({c for *_, c in batch}) == len(batch))
+        for a, b, c, new in batch:
+            out.append((tokens[a], tokens[b], c))
+            fresh = {}
+            for syms, f in state.items():
+                key = tuple(merged(list(syms), a, b, new))
+                fresh[key] = fresh.get(key, 0) + f
+            state = fresh
+        rounds += 1
+    return out, rounds
 
 
 def test_rule_random_corpora():
     rng = random.Random(7)
+    merges = rounds = 0
     for trial in range(1500):
         alpha = "abcde"[: rng.randint(2, 5)]
         words = {}
         for _ in range(rng.randint(1, 12)):
             w = tuple(rng.choice(alpha) for _ in range(rng.randint(1, 9)))
             words[w] = words.get(w, 0) + rng.randint(1, 6)
-        n = rng.randint(1, 25)
-        mf = rng.choice([1, 2, 3])
-        limit = rng.choice([2, 3, 5, 50])
-        assert batched(dict(words), n, mf, limit) == sequential(dict(words), n, mf), (trial, words, n, mf, limit)
+        n, min_freq, size = rng.randint(1, 25), rng.choice([1, 2, 3]), rng.choice([1, 2, 3, 5, 50])
+        got, k = in_rounds(words, n, min_freq, size)
+        assert got == one_by_one(words, n, min_freq), (trial, words, n, min_freq, size)
+        merges, rounds = merges + len(got), rounds + k
+    assert merges > 1.5 * rounds

@@ -5,6 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from talewright.operators import bpe
 from talewright.operators import tokenizer as tok
 from talewright.operators import blocks, metrics, ordering, packing, scores, sweeps
 from talewright.sources import stories
@@ -220,8 +221,8 @@ def test_chat_pairs_with_gaps(spark):
 
 def test_bpe_encode_keeps_empty_texts(spark):
     df = spark.createDataFrame([(1, "a"), (2, ""), (3, None)], "k long, story string")
-    vocab, merges = tok.bpe_train(spark.createDataFrame([("a", 5)], "word string, freq long"), vocab_size=8)
-    got = {r.k: r.ids for r in tok.bpe_encode(df, vocab, merges, ["k"]).collect()}
+    vocab, merges = bpe.bpe_train(spark.createDataFrame([("a", 5)], "word string, freq long"), vocab_size=8)
+    got = {r.k: r.ids for r in bpe.bpe_encode(df, vocab, merges, ["k"]).collect()}
     assert got == {1: [tok.BOS_ID, 4, tok.EOS_ID], 2: [tok.BOS_ID, tok.EOS_ID], 3: [tok.BOS_ID, tok.EOS_ID]}
 
 
@@ -233,18 +234,52 @@ def test_pretokenize_unicode_white_space(spark):
 def test_unknown_characters_keep_an_id(spark):
     vocab = spark.createDataFrame([(0, "a"), (1, "b")], "id int, token string")
     df = spark.createDataFrame([(1, "axb")], "k long, story string")
-    enc = tok.char_encode(df, vocab, "story", on_oov="unk", key_cols=["k"])
+    enc = tok.char_encode(df, vocab, "story", on_oov="unk")
     assert enc.first().ids == [0, 2, 1]
-    assert tok.char_decode(enc, vocab, "ids", key_cols=["k"]).first().text == "a\ufffdb"
-
-
-def test_score_table_is_complete(spark):
+    assert tok.char_decode(enc, vocab, "ids").first().text == "a\ufffdb"
+
+
+def test_sparse_scores_equal_dense(spark):
+    """Loss, arg max, top-k and the full rows of sparse tables, with ties, full
+    and empty contexts, and floors above seen scores, against a dense table."""
+    import random
+
+    from talewright.operators.sparse_scores import SparseScores
+
+    rng, V = random.Random(6), 7
+    seen, floors, dense = [], [], {}
+    for c in range(40):
+        ids = rng.sample(range(V), rng.choice([0, 1, 3, V - 1, V]))
+        floor = rng.choice([-2.0, -1.0, -0.5])
+        row = {t: rng.choice([-3.0, -2.0, -1.0, -0.5, -0.25]) for t in ids}
+        seen += [(c, t, x) for t, x in row.items()]
+        floors.append((c, floor, V - len(ids)))
+        dense[c] = [row.get(t, floor) for t in range(V)]
+    s = SparseScores(spark.createDataFrame(seen, "ctx_id int, token_id int, logit double"),
+                     spark.createDataFrame(floors, "ctx_id int, floor double, rest int"), V)
+    for r in s.argmax().collect():
+        assert r.pred == dense[r.ctx_id].index(max(dense[r.ctx_id]))
+    for k in (1, 3, V, V + 5):
+        got = {r.ctx_id: r.cut for r in s.cuts(k).collect()}
+        assert got == {c: sorted(x, reverse=True)[min(k, V) - 1] for c, x in dense.items()}
+    targets = spark.createDataFrame([(c, t) for c in dense for t in range(V)] + [(99, 0), (0, V)], "ctx_id int, target int")
+    rows = {(r.ctx_id, r.target): r.nll for r in s.token_nll(targets).collect()}
+    assert rows.pop((99, 0)) is None and rows.pop((0, V)) is None
+    for (c, t), nll in rows.items():
+        assert abs(nll - (math.log(sum(map(math.exp, dense[c]))) - dense[c][t])) < 1e-12
+    ctx = spark.createDataFrame([("p", 3), ("q", 3), ("r", 39)], "name string, last int")
+    got = {(r.name, r.token_id): r.logit for r in s.of_contexts(ctx, "name", "last").collect()}
+    assert got == {(n, t): dense[c][t] for n, c in (("p", 3), ("q", 3), ("r", 39)) for t in range(V)}
+
+
+def test_sparse_scores_of_counts_sum_to_one(spark):
     from talewright.operators import ngram
+    from talewright.operators.sparse_scores import SparseScores
 
     pairs = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (2, 0)], "token int, next_token int")
-    table = ngram.score_table(ngram.ngram_fit(pairs, 4, 1.0), 4, 1.0)
-    sums = {r.ctx_id: r.p for r in table.groupBy("ctx_id").agg(F.sum(F.exp("logit")).alias("p")).collect()}
-    assert table.count() == 16 and all(abs(p - 1) < 1e-12 for p in sums.values()) and len(sums) == 4
+    s = SparseScores.of_counts(ngram.ngram_fit(pairs, 4, 1.0), 4, 1.0)
+    assert s.seen.count() == 3 and s.floors.count() == 4
+    assert all(abs(r.lse) < 1e-12 for r in s.log_sums().collect())
 
 
 def test_json_line_with_more_than_one_value(spark, tmp_path):

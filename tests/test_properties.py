@@ -7,7 +7,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from talewright.operators import ordering, packing
+from talewright.operators import bpe, ordering, packing
 from talewright.operators import tokenizer as tok
 from talewright.plans import catalog
 
@@ -24,8 +24,8 @@ def test_bpe_round_trip(spark, sf001):
     vocab, merges = catalog.bpe_tokenizer(spark, sf001)
     # train text only: every byte of it is in the alphabet (val bytes may map to [UNK])
     s = catalog.split_docs(spark, sf001).filter(F.col("split") == "train")
-    enc = tok.bpe_encode(s, vocab, merges, ["doc_id", "pos"], "story")
-    dec = tok.bpe_decode(enc, vocab, "ids").join(s, ["doc_id", "pos"])
+    enc = bpe.bpe_encode(s, vocab, merges, ["doc_id", "pos"], "story")
+    dec = bpe.bpe_decode(enc, vocab, "ids").join(s, ["doc_id", "pos"])
     assert dec.filter(F.col("text") != F.col("story")).count() == 0
     assert enc.filter(F.element_at("ids", 1) != tok.BOS_ID).count() == 0
 
@@ -95,35 +95,77 @@ def _bpe_brute(words, n_merges, min_freq=2):
     return merges
 
 
-@pytest.mark.parametrize("list_limit,incremental", [(4, False), (64, False), (16, True), (64, True)])
-def test_bpe_batched_equals_sequential(spark, sf001, list_limit, incremental):
-    words = catalog.train_words(spark, sf001)
+@pytest.mark.parametrize("first,most,limit", [(1, 1, 20_000), (2, 8, 20_000), (16, 8192, 40), (16, 8192, 20_000)])
+def test_bpe_rounds_equal_sequential(spark, sf001, first, most, limit):
+    """Many merges a round, few pairs a round, rounds halved by the chain limit:
+    always the merges of one-by-one training."""
+    words = catalog.train_words(spark, sf001).filter(F.length("word") < 9).cache()
     rows = [(r.word, r.freq) for r in words.collect()]
-    want = _bpe_brute(rows, 40)
-    _, merges = tok.bpe_train(words, num_merges=40, list_limit=list_limit, checkpoint_every=3, incremental=incremental)
+    n = 25 if most == 1 else 200
+    want = _bpe_brute(rows, n)
+    vocab, merges = bpe.bpe_train(words, num_merges=n, first_pairs=first, most_pairs=most, chain_limit=limit)
     got = [(r.left_tok, r.right_tok, r["count"]) for r in merges.orderBy("rank").collect()]
     assert got == want
+    made = {a + b for a, b, _ in want}
+    tokens = [r.token for r in vocab.orderBy("id").collect()]
+    assert tokens[:4] == tok.SPECIALS and len(set(tokens)) == len(tokens) and made <= set(tokens)
+
+
+def test_bpe_train_stops(spark):
+    words = spark.createDataFrame([("aaaa", 3), ("ab", 2), ("", 9), ("é", 1)], "word string, freq long")
+    vocab, merges = bpe.bpe_train(words, vocab_size=9)
+    # a, b and the two bytes of é; one token more fits
+    assert [tuple(r) for r in merges.collect()] == [(0, "61", "61", 9)] and vocab.count() == 9
+    vocab, merges = bpe.bpe_train(words, vocab_size=100)
+    assert [(r.left_tok, r.right_tok, r["count"]) for r in merges.orderBy("rank").collect()] == [("61", "61", 9), ("6161", "6161", 3), ("61", "62", 2)]
+    none, merges = bpe.bpe_train(words.limit(0), vocab_size=100)
+    assert none.count() == 4 and merges.count() == 0
+
+
+def _lowest_rank_first(word, ranks):
+    syms = [f"{b:02X}" for b in word.encode()]
+    while True:
+        ranked = [(ranks[p], p) for p in zip(syms, syms[1:]) if p in ranks]
+        if not ranked:
+            return syms
+        a, b = min(ranked)[1]
+        out, i = [], 0
+        while i < len(syms):
+            if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
+                out.append(a + b)
+                i += 2
+            else:
+                out.append(syms[i])
+                i += 1
+        syms = out
 
 
 def test_bpe_encode_brute(spark, sf001):
-    vocab, merges = catalog.bpe_tokenizer(spark, sf001, num_merges=30)
-    ms = [(r.left_tok, r.right_tok) for r in merges.orderBy("rank").collect()]
+    words = catalog.train_words(spark, sf001)
+    vocab, merges = bpe.bpe_train(words, num_merges=300)
+    ranks = {(r.left_tok, r.right_tok): r["rank"] for r in merges.collect()}
     v = {r.token: r.id for r in vocab.collect()}
-    words = catalog.train_words(spark, sf001).limit(500)
-    enc = tok.encode_words(words, vocab, merges, "word", "ids").collect()
-    for r in enc:
-        syms = [f"{b:02X}" for b in r.word.encode()]
-        for a, b in ms:
-            out, i = [], 0
-            while i < len(syms):
-                if i + 1 < len(syms) and syms[i] == a and syms[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(syms[i])
-                    i += 1
-            syms = out
-        assert r.ids == [v.get(s, tok.UNK_ID) for s in syms]
+    odd = spark.createDataFrame([("",), ("x" * 3000,), ("\u0000\u0085 \U0001F600",), ("the" * 400,)], "word string")
+    some = words.select("word").limit(800).union(odd)
+    for r in bpe.encode_words(some, vocab, merges, "word", "ids").collect():
+        assert r.ids == [v.get(s, tok.UNK_ID) for s in _lowest_rank_first(r.word, ranks)], r.word
+
+
+def test_bpe_cost_does_not_follow_the_merge_list(spark, sf001):
+    """Encoding with 15 times as many merges takes about the same time."""
+    import time
+    words = catalog.train_words(spark, sf001).select("word").cache()
+    vocab, merges = bpe.bpe_train(catalog.train_words(spark, sf001), num_merges=1500)
+
+    def seconds(n):
+        enc = bpe.encode_words(words, vocab, merges.filter(F.col("rank") < n), "word", "ids")
+        enc.write.format("noop").mode("overwrite").save()
+        t = time.time()
+        enc.write.format("noop").mode("overwrite").save()
+        return time.time() - t
+
+    seconds(100)
+    assert min(seconds(1500) for _ in range(3)) < 3 * min(seconds(100) for _ in range(3)) + 0.5
 
 
 def _stream_fixture(spark):
@@ -224,14 +266,6 @@ def test_triplets_and_log_round_trip(spark, tmp_path):
     assert distinct.collect()[0].distinct_texts == 1
 
 
-def test_bpe_encode_rounds_equal_fold(spark, sf001):
-    vocab, merges = catalog.bpe_tokenizer(spark, sf001, num_merges=60)
-    words = catalog.train_words(spark, sf001).select("word")
-    fold = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=1000).collect()}
-    rounds = {r.word: r.ids for r in tok.encode_words(words, vocab, merges, "word", "ids", fold_limit=0).collect()}
-    assert fold == rounds and len(fold) > 100
-
-
 @pytest.mark.parametrize("agg", ["sum", "min", "max"])
 def test_running_agg_levels_brute(spark, agg):
     import random
@@ -255,22 +289,22 @@ def test_running_agg_levels_brute(spark, agg):
             assert got[(g, k)] == want
 
 
-def test_large_vocabulary_join_path(spark, sf001, monkeypatch):
-    """Above the inline limit the lookup is a broadcast join + ordered
-    regroup; results equal the map-literal path."""
-    val = catalog.split_docs(spark, sf001).filter(F.col("split") == "val")
-    vocab = catalog.char_tokenizer(spark, sf001)
-    small = {(r.doc_id, r.pos): (r.ids, r.n_oov) for r in
-             tok.char_encode(val, vocab, "story", on_oov="flag", key_cols=["doc_id", "pos"]).collect()}
-    bv, bm = catalog.bpe_tokenizer(spark, sf001)
-    words = catalog.train_words(spark, sf001).select("word")
-    wsmall = {r.word: r.ids for r in tok.encode_words(words, bv, bm).collect()}
-    monkeypatch.setattr(tok, "MAX_MAP_LITERAL", 10)
-    big = {(r.doc_id, r.pos): (r.ids, r.n_oov) for r in
-           tok.char_encode(val, vocab, "story", on_oov="flag", key_cols=["doc_id", "pos"]).collect()}
-    wbig = {r.word: r.ids for r in tok.encode_words(words, bv, bm).collect()}
-    assert small == big and len(small) > 10
-    assert wsmall == wbig
-    dec = tok.char_decode(tok.char_encode(val, vocab, "story", on_oov="drop", key_cols=["doc_id", "pos"]), vocab, "ids",
-                          key_cols=["doc_id", "pos"])
-    assert dec.filter(F.length("text") > F.length("story")).count() == 0
+def test_lookups_at_any_size(spark):
+    """Characters of all planes and a vocabulary of 100,000 entries, by the one
+    path: equal to a dictionary."""
+    import random
+    rng = random.Random(4)
+    points = [p for p in rng.sample(range(1, 0x110000), 60_000) if not 0xD800 <= p < 0xE000] + list(range(1, 300))
+    tokens = sorted({chr(p) for p in points})
+    vocab = spark.createDataFrame(list(enumerate(tokens)), "id int, token string")
+    known = {t: i for i, t in enumerate(tokens)}
+    texts = ["".join(rng.choice(tokens) for _ in range(rng.randint(0, 60))) for _ in range(200)] + ["", chr(0x10FFFF) * 2]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, story string")
+    got = {r.k: (r.ids, r.n_oov) for r in tok.char_encode(df, vocab, on_oov="flag").collect()}
+    for k, t in enumerate(texts):
+        assert got[k] == ([known[c] for c in t if c in known], sum(c not in known for c in t))
+    enc = tok.char_encode(df, vocab, on_oov="unk")
+    back = {r.k: r.text for r in tok.char_decode(enc, vocab).collect()}
+    assert back == {k: "".join(c if c in known else tok.REPLACEMENT for c in t) for k, t in enumerate(texts)}
+    with pytest.raises(Exception, match="not in vocabulary"):
+        tok.char_encode(df, vocab.filter("id > 5000")).collect()

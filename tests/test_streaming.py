@@ -29,15 +29,14 @@ def _write_files(d, n_files=3):
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     src, out, ck = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck")
     files = _write_files(src)
-    q = inc.build_records_incrementally(spark, src, out, checkpoint=ck)
+    inc.build_records_incrementally(spark, src, out, checkpoint=ck)
     got = sorted((r.prompt, r.response) for r in spark.read.parquet(out).collect())
     rows = [(f"f{i}", j, t) for i, lines in enumerate(files) for j, t in enumerate(lines)]
     lines_df = spark.createDataFrame(rows, "src string, line_no long, text string")
     b = blocks.assign_blocks(lines_df, "src", ["line_no"], ordering.bucket_of("line_no", 4))
     want = sorted((r.prompt, r.response) for r in blocks.assemble_records(b, ["src", "block"], "line_no").collect())
     assert got == want and len(got) == 6
-    totals = inc.observed_totals(q)
-    assert totals["written"] == 6 and totals["skipped"] == 0
+    assert tuple(inc.progress_totals(spark, out).first()) == (6, 6, 0)
     # a second run over the same files adds nothing
     inc.build_records_incrementally(spark, src, out, checkpoint=ck)
     assert spark.read.parquet(out).count() == 6
@@ -45,6 +44,19 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     shutil.copy(os.path.join(src, "part-0.txt"), os.path.join(src, "part-9.txt"))
     inc.build_records_incrementally(spark, src, out, checkpoint=ck)
     assert spark.read.parquet(out).count() == 8
+    assert tuple(inc.progress_totals(spark, out).first()) == (8, 8, 0)
+
+
+def test_counters_of_many_batches(spark, tmp_path):
+    """More micro-batches than a query's progress reports reach back (100)."""
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    for i in range(130):
+        (src / f"{i}.txt").write_text(f"Story: {LONG} {i}\n<|endoftext|>\nStory: short")
+    q = inc.build_records_incrementally(spark, str(src), out, checkpoint=str(tmp_path / "ck"), max_files=1)
+    assert len(q.recentProgress) < 130
+    assert tuple(inc.progress_totals(spark, out).first()) == (130, 130, 0)
+    assert spark.read.parquet(out).count() == 130
 
 
 def test_live_best_equals_batch(spark, sf001, tmp_path):
