@@ -14,8 +14,8 @@ the smallest class is paired with each other one, pairs that miss each other
 under another order are dropped, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
-in blocks of bounded size: size, then every other order's prefixes, then the
-full sets of what is left. No link between different texts is lost; how well
+in blocks of bounded size: size, then the number of tokens that the prefixes
+must share under each other order, then the full sets of what is left. No link between different texts is lost; how well
 the counts separate rare from frequent tokens only changes the number of
 candidates.
 """
@@ -174,6 +174,7 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 
 
 _BLOCK = ["key", "i", "j"]
+_MEMBER = [*_BLOCK, "blk", "rep", "n", "component"]
 
 
 def _partners(run: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -187,23 +188,32 @@ def _partners(run: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
         yield u, v[100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])]
 
 
-def _block_members(percent: int, orders: int) -> Callable:
-    """The rows of each run that have a partner under every order."""
+def common_prefix_tokens(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that the prefixes of linked sets of sizes n and m share at least.
+    The overlap is at least o = percent (n + m) / (100 + percent); the first c
+    common tokens have o - c common ones behind them, so they stand among the
+    first n - o + c and m - o + c tokens, which the prefixes hold."""
+    overlap = -(-percent * (n + m) // (100 + percent))
+    return overlap + np.minimum(prefix_size(n, percent) - n, prefix_size(m, percent) - m)
+
+
+def _block_members(percent: int, order: str | None) -> Callable:
+    """The rows of each run that have a partner by size and component, and
+    whose prefixes share enough tokens under the order, if one is given."""
     def survivors(run: pa.Table) -> np.ndarray:
-        lists = []
-        for o in range(1, orders):
-            column = run[f"p{o}"].combine_chunks()
-            lists.append((column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()))
         used = np.zeros(run.num_rows, bool)
+        n = run["n"].to_numpy()
+        if order:
+            column = run[order].combine_chunks()
+            flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
         for u, v in _partners(run, percent):
-            for flat, ends in lists:
-                if not len(v):
-                    break
+            if order and len(v):
                 own = np.sort(flat[ends[u]:ends[u + 1]])
                 size = ends[v + 1] - ends[v]
                 at = np.arange(size.sum()) + np.repeat(ends[v] - np.r_[0, np.cumsum(size)[:-1]], size)
                 hit = own[np.minimum(np.searchsorted(own, flat[at]), len(own) - 1)] == flat[at]
-                v = v[np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v)) > 0]
+                shared = np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v))
+                v = v[shared >= common_prefix_tokens(n[u], n[v], percent)]
             if len(v):
                 used[u] = True
                 used[v] = True
@@ -213,7 +223,7 @@ def _block_members(percent: int, orders: int) -> Callable:
         for table in _runs(batches, _BLOCK):
             used = survivors(table)
             if used.any():
-                yield from table.filter(pa.array(used)).drop_columns([f"p{o}" for o in range(1, orders)]).to_batches()
+                yield from table.filter(pa.array(used)).select(_MEMBER).to_batches()
     return run
 
 
@@ -299,19 +309,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                                     F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"))
     torn = torn.where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
     torn = land(named.join(torn.select("key", "size"), "key").join(sizes, "rep"))
-    sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
     blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
     torn = torn.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    torn = torn.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
-    columns = [*_BLOCK, "blk", "rep", "n", "component"]
-    if others:
-        torn = torn.join(other_prefixes(sets), "rep").select(*columns, *others)
-        torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
-        kind = "key long, i int, j int, blk int, rep long, n long, component long"
-        torn = land(torn.mapInArrow(_block_members(percent, orders), kind))
-    torn = torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*columns, "elements")
-    torn = torn.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+    torn = torn.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other")).select(*_MEMBER)
+
+    def runs(rows: DataFrame) -> DataFrame:
+        return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+
+    kind = "key long, i int, j int, blk int, rep long, n long, component long"
+    torn = land(runs(torn).mapInArrow(_block_members(percent, None), kind))
+    sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
+    lists = land(other_prefixes(sets)) if others else None
+    for order in others:
+        listed = torn.join(lists.select("rep", order), "rep").select(*_MEMBER, order)
+        torn = land(runs(listed).mapInArrow(_block_members(percent, order), kind))
+    torn = runs(torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*_MEMBER, "elements"))
     last = land(torn.mapInArrow(_block_links(percent), "a long, b long"))
     # one id over several texts joins the classes of those texts
     apart = members.where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b"))
