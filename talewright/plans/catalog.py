@@ -5,10 +5,11 @@ built from the given tables. Keys match SURVEY §2 and the DuckDB twins in
 from __future__ import annotations
 
 import os
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import coalesce_key, ids_to_string
@@ -423,6 +424,34 @@ def q_ngram_eval(spark, sf_dir):
     return rep.select("split", "n_tokens", *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc", "top1_accuracy")])
 
 
+def bpe_stream(spark, sf_dir):
+    """BPE token stream blocks per split: one ``[BOS]``, the stories with two
+    newline tokens between, one ``[EOS]``; landed once per session."""
+    def build():
+        vocab, _ = bpe_tokenizer(spark, sf_dir)
+        row = vocab.filter(F.col("token") == "0A").select("id").collect()
+        nl = row[0]["id"] if row else tok.UNK_ID
+        vocab, merges = bpe_tokenizer(spark, sf_dir)
+        enc = bpe.bpe_encode(split_docs(spark, sf_dir), vocab, merges, ["doc_id", "pos", "split"], "story", specials=False)
+        return packing.pack_stream(land_table(enc), ["doc_id", "pos"], doc_bucket(), [nl, nl], BLOCK, bos_eos=True)
+    return landed(spark, sf_dir, "bpe_stream", build)
+
+
+@query("pack_bpe_stream")
+def q_pack_bpe_stream(spark, sf_dir):
+    b = bpe_stream(spark, sf_dir)
+    return b.select("split", "block_id", F.size("ids").cast("bigint").alias("n_tokens"), ids_to_string("ids").alias("ids"))
+
+
+@query("bpe_stream_eval")
+def q_bpe_stream_eval(spark, sf_dir):
+    """Fit on the train stream of BPE ids, score every position of both streams."""
+    pairs = packing.next_token_pairs(bpe_stream(spark, sf_dir), block_size=BLOCK)
+    V = bpe_tokenizer(spark, sf_dir)[0].count()
+    rep = ngram.ngram_eval(pairs.filter(F.col("split") == "train"), pairs, V, ALPHA)
+    return rep.select("split", "n_tokens", *[r6(c).alias(c) for c in ("loss", "perplexity", "bpc", "top1_accuracy")])
+
+
 # -- window-sampled evaluation over a seed sweep (the benchmark suite)
 
 
@@ -442,11 +471,40 @@ def eval_windows(spark, sf_dir, runs=None):
 def eval_positions(spark, sf_dir):
     """Every (x_i, y_i) of every window, scored by the count model; landed once
     for all reports of the sweep."""
-    return landed(spark, sf_dir, "eval_positions", lambda: _eval_positions(spark, sf_dir))
+    train, val = (timed_eval(spark, sf_dir)[split][0] for split in ("train", "val"))
+    return train.unionByName(val)
 
 
-def _eval_positions(spark, sf_dir):
-    w = eval_windows(spark, sf_dir)
+def timed_eval(spark, sf_dir):
+    """{split: (scored positions, tokens, seconds)}: the evaluation of each split
+    is one job, which counts its tokens and is timed as it lands its rows."""
+    def build():
+        out = {}
+        for split in ("train", "val"):
+            counted = Observation()
+            began = time.perf_counter()
+            rows = land_table(_eval_positions(spark, sf_dir, split).observe(counted, F.count(F.lit(1)).alias("tokens")))
+            out[split] = rows, int(counted.get["tokens"]), time.perf_counter() - began
+        return out
+    return landed(spark, sf_dir, "timed_eval", build, cut=False)
+
+
+def eval_speed(spark, sf_dir):
+    """AGG9 over the measured evaluation: (split, tokens, seconds, tokens_per_sec)."""
+    rows = [(split, tokens, seconds) for split, (_, tokens, seconds) in timed_eval(spark, sf_dir).items()]
+    return metrics.throughput(spark.createDataFrame(rows, "split string, tokens bigint, seconds double"), ["split"])
+
+
+@query("eval_throughput")
+def q_eval_throughput(spark, sf_dir):
+    """Tokens that the timed evaluation scored; the time itself is only known
+    to be above zero."""
+    d = eval_speed(spark, sf_dir)
+    return d.select("split", "tokens", ((F.col("seconds") > 0) & (F.col("tokens_per_sec") > 0)).alias("timed"))
+
+
+def _eval_positions(spark, sf_dir, split):
+    w = eval_windows(spark, sf_dir).filter(F.col("split") == split)
     z = w.select("seed", "split", "batch", "draw", F.posexplode(F.arrays_zip(F.col("x").alias("token"), F.col("y").alias("next_token"))).alias("i", "p"))
     pairs = z.select("seed", "split", "batch", "draw", "i", "p.token", "p.next_token")
     model = char_model(spark, sf_dir)
@@ -679,10 +737,13 @@ def sft_records(spark, sf_dir):
 def _encode_sft(spark, sf_dir):
     vocab, merges = bpe_tokenizer(spark, sf_dir)
     recs = blocks.full_text(sft_records(spark, sf_dir))
-    keys = ["conv_id", "turn"]
-    full = bpe.bpe_encode(recs, vocab, merges, keys, "full_text", out="full_ids")
-    prompt = bpe.bpe_encode(recs, vocab, merges, keys, "prompt_text", out="prompt_ids")
-    return recs.select(*keys, "split").join(full, keys).join(prompt, keys)
+    keys = ["conv_id", "turn", "split"]
+    # full text and prompt as two rows: their words are encoded in one pass
+    texts = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"{k}_text").alias("text")) for k in ("full", "prompt")])
+    both = recs.select(*keys, F.inline(texts))
+    enc = bpe.bpe_encode(both, vocab, merges, [*keys, "kind"], "text")
+    ids = lambda k: F.first(F.when(F.col("kind") == k, F.col("ids")), ignorenulls=True).alias(f"{k}_ids")
+    return enc.groupBy(*keys).agg(ids("full"), ids("prompt"))
 
 
 def sft_encoded(spark, sf_dir):
@@ -707,6 +768,14 @@ def q_sft_triplets(spark, sf_dir):
                     _mask_str("mask").alias("mask"))
 
 
+@query("special_pair")
+def q_special_pair(spark, sf_dir):
+    """TOK9, pair template: prompt and full text as one sample."""
+    inner = lambda c: F.slice(c, 2, F.size(c) - 2)  # noqa: E731  (without their own [BOS] and [EOS])
+    e = sft_encoded(spark, sf_dir)
+    return e.select("conv_id", "turn", ids_to_string(tok.add_specials_pair(inner("prompt_ids"), inner("full_ids"))).alias("ids"))
+
+
 @query("truncate_pad")
 def q_truncate_pad(spark, sf_dir):
     e = sft_encoded(spark, sf_dir)
@@ -815,12 +884,13 @@ def benchmark_runs(spark, sf_dir):
     params = char_model(spark, sf_dir).count()
     samples = run_samples(spark, sf_dir).groupBy("seed").agg(
         F.array_sort(F.collect_list(F.struct("i", "prompt", "text"))).alias("_s"))
+    speed = {r["split"]: F.lit(r["tokens_per_sec"]) for r in eval_speed(spark, sf_dir).collect()}      # two rows
     runs = sweep_runs(spark).join(wide, "seed").join(samples, "seed", "left")
     return runs.select(
         F.lit("count-model").alias("checkpoint"), "seed", F.lit(params).cast("bigint").alias("params"),
         *[F.col(c) for c in ("d_model", "context_length", "eval_iters", "batch_size")],
         *[F.col(f"{s}_{m}") for s in ("train", "val") for m in ("loss", "perplexity", "bpc", "top1_accuracy")],
-        F.lit(None).cast("double").alias("train_tokens_per_sec"), F.lit(None).cast("double").alias("val_tokens_per_sec"),
+        speed["train"].alias("train_tokens_per_sec"), speed["val"].alias("val_tokens_per_sec"),
         F.transform("_s", lambda x: F.struct(x["prompt"].alias("prompt"), x["text"].alias("text"))).alias("samples"),
     )
 
@@ -840,7 +910,8 @@ def q_benchmark_log(spark, sf_dir):
     read back as one row per run with flattened metrics."""
     runs = landed_log(spark, sf_dir)
     cols = [f"{s}_{m}" for s in ("train", "val") for m in ("loss", "perplexity", "bpc", "top1_accuracy")]
-    return runs.select("seed", "params", *[r6(c).alias(c) for c in cols])
+    timed = (F.col("train_tokens_per_sec") > 0) & (F.col("val_tokens_per_sec") > 0)
+    return runs.select("seed", "params", *[r6(c).alias(c) for c in cols], timed.alias("timed"))
 
 
 @query("sample_text")
@@ -968,5 +1039,4 @@ def q_stream_progress(spark, sf_dir):
     """STR2: the counters written with every micro-batch, beside the rows the
     sink holds (one row each)."""
     records_out, totals = _streamed_records(spark, sf_dir)
-    stored = records_out.agg(F.count(F.lit(1)).alias("stored"))
-    return totals.join(stored)
+    return totals.withColumn("stored", F.lit(records_out.count()).cast("bigint"))

@@ -572,7 +572,7 @@ SELECT t.seed, (SELECT CAST(count(*) AS BIGINT) FROM model) AS params,
   round(t.loss, 6) AS train_loss, round(exp(t.loss), 6) AS train_perplexity, round(t.loss / ln(2), 6) AS train_bpc,
   round(t.top1_accuracy, 6) AS train_top1_accuracy,
   round(v.loss, 6) AS val_loss, round(exp(v.loss), 6) AS val_perplexity, round(v.loss / ln(2), 6) AS val_bpc,
-  round(v.top1_accuracy, 6) AS val_top1_accuracy
+  round(v.top1_accuracy, 6) AS val_top1_accuracy, TRUE AS timed
 FROM report t JOIN report v ON t.seed = v.seed AND t.split = 'train' AND v.split = 'val'"""
 
 _PROMPT_CTES = _PROMPTS[len(_STREAM):]
@@ -614,6 +614,45 @@ SELECT conv_id, turn, split, array_to_string(tokens, ',') AS tokens, array_to_st
   array_to_string(mask, ',') AS mask
 FROM trip"""
 
+ORACLE["special_pair"] = _SFT + """,
+prompt_ids AS (
+  SELECT t.conv_id, t.turn, list(w.id ORDER BY t.tpos, w.si) AS a FROM sp_tok t JOIN word_ids2 w ON w.word = t.word GROUP BY t.conv_id, t.turn
+)
+SELECT conv_id, turn, array_to_string(list_concat(list_concat([2], a), list_concat([3], f[2:])), ',') AS ids
+FROM prompt_ids JOIN full_ids USING (conv_id, turn)"""
+
+_BPE_STREAM = _BPE_ENC + """,
+last_one AS (SELECT split, max(doc_id * 1000000 + pos) AS place FROM stories GROUP BY split),
+bpe_parts AS (
+  SELECT t.split, t.doc_id, t.pos, t.tpos, w.si, w.id FROM tokens t JOIN word_ids2 w ON w.word = t.word
+  UNION ALL SELECT s.split, s.doc_id, s.pos, 1000000000 + j.j, 0, (SELECT id FROM bpe_vocab WHERE token = '0A')
+  FROM stories s JOIN last_one l USING (split), (VALUES (1), (2)) j(j) WHERE s.doc_id * 1000000 + s.pos < l.place
+  UNION ALL SELECT split, -1, 0, 0, 0, 2 FROM last_one
+  UNION ALL SELECT split, 9223372036854775807, 0, 0, 0, 3 FROM last_one
+),
+bpe_positions AS (
+  SELECT split, CAST(row_number() OVER (PARTITION BY split ORDER BY doc_id, pos, tpos, si) - 1 AS BIGINT) AS gpos, id AS token FROM bpe_parts
+)"""
+
+ORACLE["pack_bpe_stream"] = _BPE_STREAM + """
+SELECT split, gpos // 4096 AS block_id, CAST(count(*) AS BIGINT) AS n_tokens, string_agg(CAST(token AS VARCHAR), ',' ORDER BY gpos) AS ids
+FROM bpe_positions GROUP BY ALL"""
+
+ORACLE["bpe_stream_eval"] = _BPE_STREAM + """,
+bp AS (SELECT * FROM (SELECT split, token, lead(token) OVER (PARTITION BY split ORDER BY gpos) AS nxt FROM bpe_positions) WHERE nxt IS NOT NULL),
+bc AS (SELECT token, nxt, count(*) AS c FROM bp WHERE split = 'train' GROUP BY ALL),
+bx AS (SELECT token, sum(c) AS tot, arg_min(nxt, (-c, nxt)) AS pred FROM bc GROUP BY token),
+bs AS (
+  SELECT split, -ln((coalesce(c, 0) + 1.0) / (coalesce(tot, 0) + (SELECT count(*) FROM bpe_vocab))) AS nll, CAST(coalesce(pred, 0) = bp.nxt AS INTEGER) AS hit
+  FROM bp LEFT JOIN bc ON bc.token = bp.token AND bc.nxt = bp.nxt LEFT JOIN bx ON bx.token = bp.token
+)
+SELECT split, CAST(count(*) AS BIGINT) AS n_tokens, round(avg(nll), 6) AS loss, round(exp(avg(nll)), 6) AS perplexity,
+  round(avg(nll) / ln(2), 6) AS bpc, round(avg(hit), 6) AS top1_accuracy
+FROM bs GROUP BY split"""
+
+ORACLE["eval_throughput"] = _EVAL + """
+SELECT split, CAST(count(*) AS BIGINT) AS tokens, TRUE AS timed FROM win_pairs GROUP BY split"""
+
 # ---------------------------------------------------------------- streaming forms
 ORACLE["stream_best"] = _LOG + """
 SELECT run, val_loss AS best_loss, step AS best_step FROM (
