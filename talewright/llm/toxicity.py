@@ -170,9 +170,10 @@ def bounded_sample(labels: DataFrame, label: str, per_class: int) -> DataFrame:
     one = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
     one = one.groupBy("doc_id").agg(F.max(F.col(label).cast("int")).alias("label"))
     one = one.withColumn("hash", F.xxhash64("doc_id"))
+    # one row per label: the ids stay where they are until a share of them is left
     counts = one.groupBy("label").agg(F.count("*").alias("n"))
     share = (2.0 * per_class + 200.0) / F.col("n")
-    some = one.join(counts, "label").where(F.pmod("hash", F.lit(1 << 20)) < share * (1 << 20))
+    some = one.join(F.broadcast(counts), "label").where(F.pmod("hash", F.lit(1 << 20)) < share * (1 << 20))
     order = Window.partitionBy("label").orderBy(F.pmod("hash", F.lit(1 << 20)), "hash", "doc_id")
     return some.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).select("doc_id", "label")
 
