@@ -15,7 +15,8 @@ under another order are dropped, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
 in blocks of bounded size: size, then the number of tokens that the prefixes
-must share under each other order, then the full sets of what is left. No link between different texts is lost; how well
+must share under each other order; pairs that span the candidates of a block
+are confirmed first, and the full sets of what is left apart are compared. No link between different texts is lost; how well
 the counts separate rare from frequent tokens only changes the number of
 candidates.
 """
@@ -139,14 +140,38 @@ def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _confirm(percent: int) -> Callable:
+    """Links of rows (a, salt, b, elements) in the order of a and salt, the sets
+    of a itself (b null) before those of its partners."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, own = None, []
         for batch in batches:
-            ok = [_linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), percent)
-                  for x, y in zip(batch.column(2), batch.column(3), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
+            found = []
+            for a, salt, b, blob in zip(*(batch.column(c).to_pylist() for c in range(3)), batch.column(3), strict=True):
+                if at != (a, salt):
+                    at, own = (a, salt), []
+                elements = np.frombuffer(blob.as_buffer(), np.uint64)
+                if b is None:
+                    own.append(elements.copy())
+                elif any(_linked(x, elements, percent) for x in own):
+                    found.append((a, b))
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["a", "b"])
     return run
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets reach the similarity. Each partner's set goes
+    to its ``a`` once; a class of many partners is dealt over several tasks."""
+    salts = F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int")
+    ends = pairs.groupBy("a").agg(salts.alias("salts"))
+    salt = F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")
+    partners = pairs.join(ends, "a").select("a", salt.alias("salt"), "b").join(sets.withColumnRenamed("id", "b"), "b")
+    own = ends.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(sets.withColumnRenamed("id", "a"), "a")
+    rows = partners.select("a", "salt", "b", "elements").union(
+        own.select("a", "salt", F.lit(None).cast("long").alias("b"), "elements"))
+    rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    return land(rows.mapInArrow(_confirm(percent), "a long, b long").distinct())
+
+
 def _on_ends(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (a, b) with the columns of both classes' rows, as a_<name>, b_<name>."""
     for end in ("a", "b"):
@@ -197,33 +222,66 @@ def common_prefix_tokens(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarr
     return overlap + np.minimum(prefix_size(n, percent) - n, prefix_size(m, percent) - m)
 
 
+def _candidates(run: pa.Table, percent: int, order: str | None) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, partners by size and component whose prefixes share enough
+    tokens under the order, if one is given)."""
+    n = run["n"].to_numpy()
+    if order:
+        column = run[order].combine_chunks()
+        flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    for u, v in _partners(run, percent):
+        if order and len(v):
+            own = np.sort(flat[ends[u]:ends[u + 1]])
+            size = ends[v + 1] - ends[v]
+            at = np.arange(size.sum()) + np.repeat(ends[v] - np.r_[0, np.cumsum(size)[:-1]], size)
+            hit = own[np.minimum(np.searchsorted(own, flat[at]), len(own) - 1)] == flat[at]
+            shared = np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v))
+            v = v[shared >= common_prefix_tokens(n[u], n[v], percent)]
+        if len(v):
+            yield u, v
+
+
 def _block_members(percent: int, order: str | None) -> Callable:
-    """The rows of each run that have a partner by size and component, and
-    whose prefixes share enough tokens under the order, if one is given."""
-    def survivors(run: pa.Table) -> np.ndarray:
-        used = np.zeros(run.num_rows, bool)
-        n = run["n"].to_numpy()
-        if order:
-            column = run[order].combine_chunks()
-            flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
-        for u, v in _partners(run, percent):
-            if order and len(v):
-                own = np.sort(flat[ends[u]:ends[u + 1]])
-                size = ends[v + 1] - ends[v]
-                at = np.arange(size.sum()) + np.repeat(ends[v] - np.r_[0, np.cumsum(size)[:-1]], size)
-                hit = own[np.minimum(np.searchsorted(own, flat[at]), len(own) - 1)] == flat[at]
-                shared = np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v))
-                v = v[shared >= common_prefix_tokens(n[u], n[v], percent)]
-            if len(v):
+    """The rows of each run that are in a candidate pair."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _runs(batches, _BLOCK):
+            used = np.zeros(table.num_rows, bool)
+            for u, v in _candidates(table, percent, order):
                 used[u] = True
                 used[v] = True
-        return used
+            if used.any():
+                yield from table.filter(pa.array(used)).select(_MEMBER).to_batches()
+    return run
+
+
+class _Forest:
+    """Union-find over ids."""
 
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def join(self, x: int, y: int) -> bool:
+        """Whether x and y were apart until now."""
+        x, y = self.root(x), self.root(y)
+        self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+    def root(self, x: int) -> int:
+        while (p := self.parent.setdefault(x, x)) != x:
+            self.parent[x] = x = self.parent[p]
+        return x
+
+
+def _block_forest(percent: int, order: str | None) -> Callable:
+    """Candidate pairs of each run that span what its candidates connect: fewer
+    than it has members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, _BLOCK):
-            used = survivors(table)
-            if used.any():
-                yield from table.filter(pa.array(used)).select(_MEMBER).to_batches()
+            rep, comp = table["rep"].to_pylist(), table["component"].to_pylist()
+            forest, found = _Forest(), []
+            for u, partners in _candidates(table, percent, order):
+                found += [(min(rep[u], rep[v]), max(rep[u], rep[v])) for v in partners.tolist() if forest.join(comp[u], comp[v])]
+            yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["a", "b"])
     return run
 
 
@@ -233,19 +291,12 @@ def _block_links(percent: int) -> Callable:
     def links(run: pa.Table) -> list[tuple[int, int]]:
         rep, comp = run["rep"].to_pylist(), run["component"].to_pylist()
         sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in run["elements"]]
-        parent: dict[int, int] = {}
-
-        def find(x: int) -> int:
-            while (p := parent.setdefault(x, x)) != x:
-                parent[x] = x = parent[p]
-            return x
-
+        forest = _Forest()
         found = []
         for u, partners in _partners(run, percent):
             for v in partners.tolist():
-                a, b = find(comp[u]), find(comp[v])
-                if a != b and _linked(sets[u], sets[v], percent):
-                    parent[max(a, b)] = min(a, b)
+                if forest.root(comp[u]) != forest.root(comp[v]) and _linked(sets[u], sets[v], percent):
+                    forest.join(comp[u], comp[v])
                     found.append((min(rep[u], rep[v]), max(rep[u], rep[v])))
         return found
 
@@ -297,8 +348,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         pairs = _on_ends(pairs, other_prefixes(sets), others)
         for p in others:
             pairs = pairs.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
-    full = _on_ends(pairs.select("a", "b"), sets.withColumnRenamed("id", "rep"), ["elements"])
-    links = land(full.select("a", "b", "a_elements", "b_elements").mapInArrow(_confirm(percent), "a long, b long"))
+    links = _confirmed(land(pairs.select("a", "b").distinct()), sets, percent)
     label = land(components(links, "a", "b"))
 
     # the other pairs of each bucket, where the links found so far leave several
@@ -321,9 +371,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     torn = land(runs(torn).mapInArrow(_block_members(percent, None), kind))
     sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
     lists = land(other_prefixes(sets)) if others else None
+    def listed(rows: DataFrame, order: str | None) -> DataFrame:
+        return runs(rows.join(lists.select("rep", order), "rep").select(*_MEMBER, order) if order else rows)
+
     for order in others:
-        listed = torn.join(lists.select("rep", order), "rep").select(*_MEMBER, order)
-        torn = land(runs(listed).mapInArrow(_block_members(percent, order), kind))
+        torn = land(listed(torn, order).mapInArrow(_block_members(percent, order), kind))
+    # most candidates left are links: what spans them joins nearly all, and the
+    # rows whose components are one by then go
+    order = others[-1] if others else None
+    span = land(listed(torn, order).mapInArrow(_block_forest(percent, order), "a long, b long").distinct())
+    forest = label.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    label = land(components(forest.union(_confirmed(span, sets, percent)), "a", "b"))
+    torn = torn.drop("component").join(label.withColumnRenamed("node", "rep"), "rep", "left")
+    torn = torn.withColumn("component", F.coalesce("component", "rep")).select(*_MEMBER)
+    torn = land(listed(torn, order).mapInArrow(_block_members(percent, order), kind))
     torn = runs(torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*_MEMBER, "elements"))
     last = land(torn.mapInArrow(_block_links(percent), "a long, b long"))
     # one id over several texts joins the classes of those texts
