@@ -16,9 +16,9 @@ joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
 in blocks of bounded size: size, then the number of tokens that the prefixes
 must share under each other order; pairs that span the candidates of a block
-are confirmed first, and the full sets of what is left apart are compared. No link between different texts is lost; how well
-the counts separate rare from frequent tokens only changes the number of
-candidates.
+are confirmed first, and the full sets of what is left apart are compared. No
+link between different texts is lost; how well the counts separate rare from
+frequent tokens only changes the number of candidates.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textbytes as tb
-from .minhash import _linked, _sets_of, shingle_sets
+from .minhash import FILTER_BITS, _linked, _set_rows, shingle_sets
 from .shared import components, land
 
 ORDERS = 3
@@ -172,6 +172,18 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return land(rows.mapInArrow(_confirm(percent), "a long, b long").distinct())
 
 
+def _sets_of(ids: DataFrame, docs: DataFrame, k: int, word: np.ndarray) -> DataFrame:
+    """(id, elements) of the given ids. Texts whose id's bit is not set in a map
+    of 2**24 bits (the only thing broadcast) are not shuffled; inner joins, as a
+    semi join would be pushed below the map. Repeated rows give repeated sets."""
+    bit = F.pmod(F.xxhash64("id"), F.lit(1 << FILTER_BITS))
+    own = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    words = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(F.bit_or(own).alias("mask"))
+    near = docs.withColumn("bit", bit).withColumn("w", F.shiftright("bit", 6)).join(F.broadcast(words), "w")
+    near = near.where(F.col("mask").bitwiseAND(own) != 0).select("id", "text")
+    return near.join(ids.distinct().hint("merge"), "id").mapInArrow(_set_rows(k, word), "id long, elements binary")
+
+
 def _on_ends(pairs: DataFrame, rows: DataFrame, columns: list[str]) -> DataFrame:
     """Pairs (a, b) with the columns of both classes' rows, as a_<name>, b_<name>."""
     for end in ("a", "b"):
@@ -343,7 +355,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     sizes = land(known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n")).alias("r")).select(F.col("r.id").alias("rep"), "r.n").distinct())
     fits = f"100 * least(a_n, b_n) >= {int(percent)} * greatest(a_n, b_n)"
     pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), docs, words, word)
+    sets = land(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words, word))
     if others:
         pairs = _on_ends(pairs, other_prefixes(sets), others)
         for p in others:
@@ -369,8 +381,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     kind = "key long, i int, j int, blk int, rep long, n long, component long"
     torn = land(runs(torn).mapInArrow(_block_members(percent, None), kind))
-    sets = _sets_of(torn.select(F.col("rep").alias("id")).distinct(), docs, words, word)
-    lists = land(other_prefixes(sets)) if others else None
+    members_of = lambda rows: _sets_of(rows.select(F.col("rep").alias("id")), docs, words, word)
+    lists = land(other_prefixes(members_of(torn))) if others else None
     def listed(rows: DataFrame, order: str | None) -> DataFrame:
         return runs(rows.join(lists.select("rep", order), "rep").select(*_MEMBER, order) if order else rows)
 
@@ -379,6 +391,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # most candidates left are links: what spans them joins nearly all, and the
     # rows whose components are one by then go
     order = others[-1] if others else None
+    sets = land(members_of(torn))
     span = land(listed(torn, order).mapInArrow(_block_forest(percent, order), "a long, b long").distinct())
     forest = label.select(F.col("component").alias("a"), F.col("node").alias("b"))
     label = land(components(forest.union(_confirmed(span, sets, percent)), "a", "b"))
