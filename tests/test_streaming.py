@@ -51,12 +51,12 @@ def test_counters_of_many_batches(spark, tmp_path):
     """More micro-batches than a query's progress reports reach back (100)."""
     src, out = tmp_path / "in", str(tmp_path / "out")
     src.mkdir()
-    for i in range(130):
+    for i in range(110):
         (src / f"{i}.txt").write_text(f"Story: {LONG} {i}\n<|endoftext|>\nStory: short")
     q = inc.build_records_incrementally(spark, str(src), out, checkpoint=str(tmp_path / "ck"), max_files=1)
-    assert len(q.recentProgress) < 130
-    assert tuple(inc.progress_totals(spark, out).first()) == (130, 130, 0)
-    assert spark.read.parquet(out).count() == 130
+    assert len(q.recentProgress) < 110
+    assert tuple(inc.progress_totals(spark, out).first()) == (110, 110, 0)
+    assert spark.read.parquet(out).count() == 110
 
 
 def test_live_best_equals_batch(spark, sf001, tmp_path):
