@@ -15,8 +15,9 @@ under another order are dropped, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
 in blocks of bounded size: size, then the number of tokens that the prefixes
-must share under each other order; pairs that span the candidates of a block
-are confirmed first, and the full sets of what is left apart are compared. No
+must share under each order, every pair in the bucket of its first common token
+alone; pairs that span the candidates of a block are confirmed first, and the
+full sets of what is left apart are compared. No
 link between different texts is lost; how well the counts separate rare from
 frequent tokens only changes the number of candidates.
 """
@@ -108,8 +109,9 @@ def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray) -
     return run
 
 
-def _prefix_rows(percent: int, classes: np.ndarray, orders: int) -> Callable:
-    """Prefixes of full sets under the other orders, 32 bits of each token."""
+def _prefix_rows(percent: int, classes: np.ndarray, orders: range) -> Callable:
+    """Prefixes of full sets under the orders: whole places of the first order
+    (0), which tell which of two tokens comes first, 32 bits of the others'."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column(1)]
@@ -117,9 +119,9 @@ def _prefix_rows(percent: int, classes: np.ndarray, orders: int) -> Callable:
             size = np.diff(first)
             ends = np.r_[0, np.cumsum(np.where(size > 0, prefix_size(size, percent), 0))]
             sets = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
-            lists = [tb.list_column(p.astype(np.uint32).view(np.int32), ends, pa.int32())
-                     for p in prefixes(sets, first, classes, percent, range(1, orders))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["rep", *[f"p{o}" for o in range(1, orders)]])
+            lists = [tb.list_column(p.astype(np.uint32).view(np.int32), ends, pa.int32()) if o else tb.list_column(tb.signed(p), ends, pa.int64())
+                     for o, p in zip(orders, prefixes(sets, first, classes, percent, orders), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], ["rep", *[f"p{o}" for o in orders]])
     return run
 
 
@@ -234,31 +236,42 @@ def common_prefix_tokens(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarr
     return overlap + np.minimum(prefix_size(n, percent) - n, prefix_size(m, percent) - m)
 
 
-def _candidates(run: pa.Table, percent: int, order: str | None) -> Iterator[tuple[int, np.ndarray]]:
+def _lists(run: pa.Table, order: str) -> tuple[np.ndarray, np.ndarray]:
+    column = run[order].combine_chunks()
+    return column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+
+
+def _candidates(run: pa.Table, percent: int, orders: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """(member, partners by size and component whose prefixes share enough
-    tokens under the order, if one is given)."""
-    n = run["n"].to_numpy()
-    if order:
-        column = run[order].combine_chunks()
-        flat, ends = column.flatten().to_numpy(), column.offsets.to_numpy() - column.offsets[0].as_py()
+    tokens under each of the orders). A pair with a common token before the
+    bucket's (under the first order, ``p0``) belongs to an earlier bucket: to
+    that of its first common token, or to one of the same members before it; if
+    one of the pair was paired there with all others, it was confirmed then."""
+    n, key = run["n"].to_numpy(), run["key"][0].as_py()
+    lists = [_lists(run, o) for o in orders]
     for u, v in _partners(run, percent):
-        if order and len(v):
+        for order, (flat, ends) in zip(orders, lists, strict=True):
+            if not len(v):
+                break
             own = np.sort(flat[ends[u]:ends[u + 1]])
             size = ends[v + 1] - ends[v]
             at = np.arange(size.sum()) + np.repeat(ends[v] - np.r_[0, np.cumsum(size)[:-1]], size)
-            hit = own[np.minimum(np.searchsorted(own, flat[at]), len(own) - 1)] == flat[at]
-            shared = np.bincount(np.repeat(np.arange(len(v)), size), hit, len(v))
-            v = v[shared >= common_prefix_tokens(n[u], n[v], percent)]
+            token, row = flat[at], np.repeat(np.arange(len(v)), size)
+            hit = own[np.minimum(np.searchsorted(own, token), len(own) - 1)] == token
+            fits = np.bincount(row, hit, len(v)) >= common_prefix_tokens(n[u], n[v], percent)
+            if order == "p0":
+                fits &= np.bincount(row, hit & (token < key), len(v)) == 0
+            v = v[fits]
         if len(v):
             yield u, v
 
 
-def _block_members(percent: int, order: str | None) -> Callable:
+def _block_members(percent: int, orders: list[str]) -> Callable:
     """The rows of each run that are in a candidate pair."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, _BLOCK):
             used = np.zeros(table.num_rows, bool)
-            for u, v in _candidates(table, percent, order):
+            for u, v in _candidates(table, percent, orders):
                 used[u] = True
                 used[v] = True
             if used.any():
@@ -284,14 +297,14 @@ class _Forest:
         return x
 
 
-def _block_forest(percent: int, order: str | None) -> Callable:
+def _block_forest(percent: int, orders: list[str]) -> Callable:
     """Candidate pairs of each run that span what its candidates connect: fewer
     than it has members."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _runs(batches, _BLOCK):
             rep, comp = table["rep"].to_pylist(), table["component"].to_pylist()
             forest, found = _Forest(), []
-            for u, partners in _candidates(table, percent, order):
+            for u, partners in _candidates(table, percent, orders):
                 found += [(min(rep[u], rep[v]), max(rep[u], rep[v])) for v in partners.tolist() if forest.join(comp[u], comp[v])]
             yield pa.RecordBatch.from_arrays([pa.array([f[c] for f in found], pa.int64()) for c in (0, 1)], ["a", "b"])
     return run
@@ -343,10 +356,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = known.select("id", "d1", "d2").join(same, ["d1", "d2"])
     reps = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "prefix")).alias("r")).select(F.col("r.id").alias("rep"), "r.prefix")
     others = [f"p{o}" for o in range(1, orders)]
+    every = ["p0", *others]
 
-    def other_prefixes(sets: DataFrame) -> DataFrame:
-        kind = ", ".join(["rep long", *[f"{p} array<int>" for p in others]])
-        return sets.mapInArrow(_prefix_rows(percent, classes, orders), kind)
+    def prefixes_of(sets: DataFrame, names: list[str]) -> DataFrame:
+        kind = ", ".join(["rep long", *[f"{p} array<{'int' if p in others else 'long'}>" for p in names]])
+        return sets.mapInArrow(_prefix_rows(percent, classes, range(orders - len(names), orders)), kind)
 
     # the smallest class of each bucket against the others
     rows = reps.select(F.explode("prefix").alias("key"), "rep").repartition("key").sortWithinPartitions("key", "rep")
@@ -357,7 +371,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
     sets = land(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words, word))
     if others:
-        pairs = _on_ends(pairs, other_prefixes(sets), others)
+        pairs = _on_ends(pairs, prefixes_of(sets, others), others)
         for p in others:
             pairs = pairs.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
     links = _confirmed(land(pairs.select("a", "b").distinct()), sets, percent)
@@ -380,24 +394,25 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
 
     kind = "key long, i int, j int, blk int, rep long, n long, component long"
-    torn = land(runs(torn).mapInArrow(_block_members(percent, None), kind))
+    torn = land(runs(torn).mapInArrow(_block_members(percent, []), kind))
     members_of = lambda rows: _sets_of(rows.select(F.col("rep").alias("id")), docs, words, word)
-    lists = land(other_prefixes(members_of(torn))) if others else None
-    def listed(rows: DataFrame, order: str | None) -> DataFrame:
-        return runs(rows.join(lists.select("rep", order), "rep").select(*_MEMBER, order) if order else rows)
+    lists = land(prefixes_of(members_of(torn), every))
 
-    for order in others:
-        torn = land(listed(torn, order).mapInArrow(_block_members(percent, order), kind))
+    def listed(rows: DataFrame, names: list[str]) -> DataFrame:
+        return runs(rows.join(lists.select("rep", *names), "rep").select(*_MEMBER, *names))
+
+    torn = land(listed(torn, ["p0"]).mapInArrow(_block_members(percent, ["p0"]), kind))
+    if others:
+        torn = land(listed(torn, every).mapInArrow(_block_members(percent, every), kind))
     # most candidates left are links: what spans them joins nearly all, and the
     # rows whose components are one by then go
-    order = others[-1] if others else None
     sets = land(members_of(torn))
-    span = land(listed(torn, order).mapInArrow(_block_forest(percent, order), "a long, b long").distinct())
+    span = land(listed(torn, every).mapInArrow(_block_forest(percent, every), "a long, b long").distinct())
     forest = label.select(F.col("component").alias("a"), F.col("node").alias("b"))
     label = land(components(forest.union(_confirmed(span, sets, percent)), "a", "b"))
     torn = torn.drop("component").join(label.withColumnRenamed("node", "rep"), "rep", "left")
     torn = torn.withColumn("component", F.coalesce("component", "rep")).select(*_MEMBER)
-    torn = land(listed(torn, order).mapInArrow(_block_members(percent, order), kind))
+    torn = land(listed(torn, every).mapInArrow(_block_members(percent, every), kind))
     torn = runs(torn.join(sets.withColumnRenamed("id", "rep"), "rep").select(*_MEMBER, "elements"))
     last = land(torn.mapInArrow(_block_links(percent), "a long, b long"))
     # one id over several texts joins the classes of those texts

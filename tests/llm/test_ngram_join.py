@@ -1,8 +1,9 @@
 """The n-gram Jaccard join against brute force, and the odd cases."""
 
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from test_minhash import GROUPS, brute, corpus, shingles
 
@@ -47,6 +48,25 @@ def test_linked_pairs_meet_under_every_order():
             assert np.intersect1d(place[:a], place[a:]).size >= least >= 1
 
 
+def test_a_pair_is_compared_in_one_bucket_alone():
+    rng = np.random.default_rng(5)
+    classes = rng.integers(0, 3, nj.CELLS).astype(np.uint8)
+    base = rng.integers(0, 2**63, 80, dtype=np.uint64) * np.uint64(2)
+    sets = [np.unique(np.r_[rng.permutation(base)[:rng.integers(60, 80)], rng.integers(0, 2**63, 6, dtype=np.uint64)]) for _ in range(25)]
+    first = np.r_[0, np.cumsum([len(s) for s in sets])]
+    place, = nj.prefixes(np.concatenate(sets), first, classes, 60, range(1))
+    ends = np.r_[0, np.cumsum(nj.prefix_size(np.diff(first), 60))]
+    lists = [tuple(place[a:b].astype(np.int64).tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    seen = Counter()
+    for key in {k for one in lists for k in one}:
+        rep = [i for i, one in enumerate(lists) if key in one]
+        run = pa.table({"key": [key] * len(rep), "i": [0] * len(rep), "j": [0] * len(rep), "blk": [0] * len(rep), "rep": rep,
+                        "component": rep, "n": [len(sets[i]) for i in rep], "p0": pa.array([list(lists[i]) for i in rep], pa.list_(pa.int64()))})
+        seen.update((rep[u], rep[v]) for u, partners in nj._candidates(run, 60, ["p0"]) for v in partners.tolist())
+    linked = {(i, j) for i in range(25) for j in range(i + 1, 25) if nj._linked(sets[i], sets[j], 60)}
+    assert len(linked) > 50 and linked <= seen.keys() and set(seen.values()) == {1}
+
+
 def test_orders_put_frequent_tokens_last(spark, make_docs):
     docs = make_docs([(i, f"alpha beta gamma delta only{i} a{i} b{i} c{i}") for i in range(50)]).select("text")
     classes = nj.count_classes(docs, 4, nj.tb.NOT_SPACE)
