@@ -14,8 +14,8 @@ the smallest class is paired with each other one, pairs that miss each other
 under another order are dropped, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
-in blocks of bounded size: size, then the number of tokens that the prefixes
-must share under each order, every pair in the bucket of its first common token
+in blocks of bounded size, texts of about one size together: size and place of
+the token, then the number of tokens that the prefixes must share under each order, every pair in the bucket of its first common token
 alone; pairs that span the candidates of a block are confirmed first, and the
 full sets of what is left apart are compared. No
 link between different texts is lost; how well the counts separate rare from
@@ -24,6 +24,7 @@ frequent tokens only changes the number of candidates.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,6 +38,7 @@ from .shared import components, land
 
 ORDERS = 3
 CELLS = 1 << 18            # cells of the count table; a class of counts is one byte
+SIZE_BAND = 4              # a band of sizes is this many times as wide (in logarithms) as a link's sizes may differ
 BLOCK_MEMBERS = 256        # members of a torn bucket compared at once with those of another block
 
 _SALT = [0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89]
@@ -126,8 +128,8 @@ def _prefix_rows(percent: int, classes: np.ndarray, orders: range) -> Callable:
 
 
 def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, rep, pivot) of rows (key, rep) in order: every row but the first of
-    its key, with that first row's class."""
+    """(key, rep, pos, pivot) of rows (key, rep, pos) in order: every row but the
+    first of its key, with that first row's class."""
     last, held = None, 0
     for batch in batches:
         if not batch.num_rows:
@@ -138,7 +140,8 @@ def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pivot = np.where(at < 0, held, rep[at])
         last, held = key[-1], pivot[-1]
         more = ~fresh
-        yield pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (key, rep, pivot)], ["key", "rep", "pivot"])
+        pos = batch.column(2).to_numpy()
+        yield pa.RecordBatch.from_arrays([pa.array(c[more]) for c in (key, rep, pos, pivot)], ["key", "rep", "pos", "pivot"])
 
 
 def _confirm(percent: int) -> Callable:
@@ -212,28 +215,35 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
-_BLOCK = ["key", "i", "j"]
-_MEMBER = [*_BLOCK, "blk", "rep", "n", "component"]
+_BLOCK = ["key", "band", "i", "j"]
+_MEMBER = [*_BLOCK, "blk", "rep", "home", "pos", "n", "component"]
 
 
-def _partners(run: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(member, members of the other block, of another component and of a size
-    that allows a link)."""
-    rep, comp, n, blk = (run[c].to_numpy() for c in ("rep", "component", "n", "blk"))
-    i, j = run["i"][0].as_py(), run["j"][0].as_py()
-    right = np.flatnonzero(blk == j)
-    for u in np.flatnonzero(blk == i).tolist():
-        v = right[(comp[right] != comp[u]) & ((rep[right] > rep[u]) | (i != j))]
-        yield u, v[100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])]
+def common_tokens(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that linked sets of sizes n and m share at least."""
+    return -(-percent * (n + m) // (100 + percent))
 
 
 def common_prefix_tokens(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
     """Tokens that the prefixes of linked sets of sizes n and m share at least.
-    The overlap is at least o = percent (n + m) / (100 + percent); the first c
-    common tokens have o - c common ones behind them, so they stand among the
-    first n - o + c and m - o + c tokens, which the prefixes hold."""
-    overlap = -(-percent * (n + m) // (100 + percent))
-    return overlap + np.minimum(prefix_size(n, percent) - n, prefix_size(m, percent) - m)
+    They share o tokens; the first c common tokens have o - c common ones behind
+    them, so they stand among the first n - o + c and m - o + c tokens, which the
+    prefixes hold."""
+    return common_tokens(n, m, percent) + np.minimum(prefix_size(n, percent) - n, prefix_size(m, percent) - m)
+
+
+def _partners(run: pa.Table, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(member, members of the other block, of another component, of a size that
+    allows a link, and with enough tokens left from the bucket's token on).
+    Two visitors of a band of sizes meet in the band that is their home."""
+    rep, comp, n, blk, home, pos = (run[c].to_numpy() for c in ("rep", "component", "n", "blk", "home", "pos"))
+    i, j, band = (run[c][0].as_py() for c in ("i", "j", "band"))
+    left = n - pos
+    right = np.flatnonzero(blk == j)
+    for u in np.flatnonzero(blk == i).tolist():
+        v = right[(comp[right] != comp[u]) & ((rep[right] > rep[u]) | (i != j)) & ((home[right] == band) | (home[u] == band))]
+        fits = 100 * np.minimum(n[v], n[u]) >= percent * np.maximum(n[v], n[u])
+        yield u, v[fits & (np.minimum(left[v], left[u]) >= common_tokens(n[u], n[v], percent))]
 
 
 def _lists(run: pa.Table, order: str) -> tuple[np.ndarray, np.ndarray]:
@@ -363,10 +373,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         return sets.mapInArrow(_prefix_rows(percent, classes, range(orders - len(names), orders)), kind)
 
     # the smallest class of each bucket against the others
-    rows = reps.select(F.explode("prefix").alias("key"), "rep").repartition("key").sortWithinPartitions("key", "rep")
-    shared = land(rows.mapInArrow(_with_pivots, "key long, rep long, pivot long"))
+    rows = reps.select(F.posexplode("prefix").alias("pos", "key"), "rep").select("key", "rep", "pos")
+    rows = rows.repartition("key").sortWithinPartitions("key", "rep")
+    shared = land(rows.mapInArrow(_with_pivots, "key long, rep long, pos int, pivot long"))
     pairs = shared.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    sizes = land(known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n")).alias("r")).select(F.col("r.id").alias("rep"), "r.n").distinct())
+    sizes = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n")).alias("r")).select(F.col("r.id").alias("rep"), "r.n")
+    sizes = land(sizes.groupBy("rep", "n").agg(F.count("*").alias("texts")))
     fits = f"100 * least(a_n, b_n) >= {int(percent)} * greatest(a_n, b_n)"
     pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
     sets = land(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words, word))
@@ -380,11 +392,21 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # the other pairs of each bucket, where the links found so far leave several
     # components; buckets of the same members count once
     named = shared.join(label.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.select("key", "rep", F.coalesce("component", "rep").alias("component"))
+    named = named.select("key", "rep", "pos", F.coalesce("component", "rep").alias("component"))
     torn = named.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("size"),
                                     F.bit_xor(F.xxhash64("rep")).alias("s1"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("s2"))
     torn = torn.where("lo < hi").groupBy("size", "s1", "s2").agg(F.min("key").alias("key"))
-    torn = land(named.join(torn.select("key", "size"), "key").join(sizes, "rep"))
+    # where one id has several texts, a token's place may be that of another text: it counts as the first
+    many = sizes.groupBy("rep").agg(F.sum("texts").alias("texts")).where("texts > 1")
+    torn = named.join(torn.select("key"), "key").join(sizes.select("rep", "n"), "rep").join(many, "rep", "left")
+    slack = math.log(100 / percent) + 1e-9
+    width = max(SIZE_BAND * slack, 0.01)
+    torn = torn.select("key", "rep", "component", F.when(F.col("texts").isNull(), F.col("pos")).otherwise(0).alias("pos"), "n",
+                       F.floor(F.log("n") / width).cast("int").alias("home"), F.floor((F.log("n") + slack) / width).cast("int").alias("last"))
+    torn = land(torn.withColumn("band", F.explode(F.sequence("home", "last"))).drop("last"))
+    bands = torn.groupBy("key", "band").agg(F.count("*").alias("size"), F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                            F.max("home").alias("top"))
+    torn = torn.join(bands.where("lo < hi and top = band").select("key", "band", "size"), ["key", "band"])
     blocks = F.ceil(F.col("size") / BLOCK_MEMBERS).cast("int")
     torn = torn.withColumn("blk", F.pmod(F.xxhash64("rep"), blocks).cast("int")).withColumn(
         "other", F.explode(F.sequence(F.lit(0), blocks - 1)))
@@ -393,7 +415,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     def runs(rows: DataFrame) -> DataFrame:
         return rows.repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
 
-    kind = "key long, i int, j int, blk int, rep long, n long, component long"
+    kind = "key long, band int, i int, j int, blk int, rep long, home int, pos int, n long, component long"
     torn = land(runs(torn).mapInArrow(_block_members(percent, []), kind))
     members_of = lambda rows: _sets_of(rows.select(F.col("rep").alias("id")), docs, words, word)
     lists = land(prefixes_of(members_of(torn), every))

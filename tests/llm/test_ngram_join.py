@@ -19,10 +19,12 @@ def test_components_equal_brute_force(spark, make_docs, k, percent):
     assert all(r.n_shingles == len(shingles(dict(pairs)[i], k)) for i, r in got.items())
 
 
-@pytest.mark.parametrize("orders", [1, 3])
-def test_torn_buckets_lose_no_link(spark, make_docs, monkeypatch, orders):
+@pytest.mark.parametrize("orders,band", [(1, 4), (3, 4), (3, 1.1)])
+def test_torn_buckets_lose_no_link(spark, make_docs, monkeypatch, orders, band):
     monkeypatch.setattr(nj, "BLOCK_MEMBERS", 5)
+    monkeypatch.setattr(nj, "SIZE_BAND", band)
     pairs = corpus(11, [(60, 120, 0.04), (40, 90, 0.04), (30, 60, 0.03)])
+    pairs += [(2000 + i, " ".join(f"q{j}" for j in range(60 + i))) for i in range(40)]     # linked to those of about the same length
     shared = " ".join(f"p{i}" for i in range(40))      # a passage that unlike documents share
     pairs += [(1000 + i, f"{shared} " + " ".join(f"u{i}-{j}" for j in range(15 + i % 7))) for i in range(40)]
     got = {r.doc_id: r.component_id for r in jaccard_components(make_docs(pairs), words=4, percent=85, orders=orders,
@@ -60,8 +62,8 @@ def test_a_pair_is_compared_in_one_bucket_alone():
     seen = Counter()
     for key in {k for one in lists for k in one}:
         rep = [i for i, one in enumerate(lists) if key in one]
-        run = pa.table({"key": [key] * len(rep), "i": [0] * len(rep), "j": [0] * len(rep), "blk": [0] * len(rep), "rep": rep,
-                        "component": rep, "n": [len(sets[i]) for i in rep], "p0": pa.array([list(lists[i]) for i in rep], pa.list_(pa.int64()))})
+        run = pa.table({"key": [key] * len(rep), **{c: [0] * len(rep) for c in ("band", "i", "j", "blk", "home")}, "rep": rep,
+                        "pos": [lists[i].index(key) for i in rep], "component": rep, "n": [len(sets[i]) for i in rep], "p0": pa.array([list(lists[i]) for i in rep], pa.list_(pa.int64()))})
         seen.update((rep[u], rep[v]) for u, partners in nj._candidates(run, 60, ["p0"]) for v in partners.tolist())
     linked = {(i, j) for i in range(25) for j in range(i + 1, 25) if nj._linked(sets[i], sets[j], 60)}
     assert len(linked) > 50 and linked <= seen.keys() and set(seen.values()) == {1}
