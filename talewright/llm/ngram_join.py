@@ -15,7 +15,8 @@ under another order are dropped, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
 in blocks of bounded size, texts of about one size together: size and place of
-the token, then the number of tokens that the prefixes must share under each order, every pair in the bucket of its first common token
+the token, then the number of tokens that the prefixes must share, first bounded
+by bit maps of them, under each order, every pair in the bucket of its first common token
 alone; pairs that span the candidates of a block are confirmed first, and the
 full sets of what is left apart are compared. No
 link between different texts is lost; how well the counts separate rare from
@@ -38,6 +39,7 @@ from .shared import components, land
 
 ORDERS = 3
 CELLS = 1 << 18            # cells of the count table; a class of counts is one byte
+MAP_BITS = 1024            # bits of a prefix's bit map
 SIZE_BAND = 4              # a band of sizes is this many times as wide (in logarithms) as a link's sizes may differ
 BLOCK_MEMBERS = 256        # members of a torn bucket compared at once with those of another block
 
@@ -127,6 +129,31 @@ def _prefix_rows(percent: int, classes: np.ndarray, orders: range) -> Callable:
     return run
 
 
+def _bit_maps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, bits) of rows (id, prefix): the set bits of the prefix's tokens."""
+    for batch in batches:
+        flat, first = batch.column(1).flatten().to_numpy(), batch.column(1).offsets.to_numpy()
+        bits = np.zeros((batch.num_rows, MAP_BITS), bool)
+        at = tb.mix(flat.view(np.uint64)) >> np.uint64(65 - MAP_BITS.bit_length())
+        bits[np.repeat(np.arange(batch.num_rows), np.diff(first)), at.astype(np.int64)] = True
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in np.packbits(bits, axis=1)], pa.binary())], ["rep", "bits"])
+
+
+def _meeting(percent: int, orders: list[str]) -> Callable:
+    """The pairs (a, b) of rows with both ends' sizes and prefixes whose
+    prefixes share enough tokens under each order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_n, b_n = (batch.column(f"{e}_n").to_numpy() for e in "ab")
+            least = common_prefix_tokens(a_n, b_n, percent)
+            keep = np.ones(batch.num_rows, bool)
+            for o in orders:
+                for i, (x, y) in enumerate(zip(batch.column(f"a_{o}"), batch.column(f"b_{o}"), strict=True)):
+                    keep[i] = keep[i] and np.isin(x.values.to_numpy(), y.values.to_numpy()).sum() >= least[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
 def _with_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(key, rep, pos, pivot) of rows (key, rep, pos) in order: every row but the
     first of its key, with that first row's class."""
@@ -253,14 +280,21 @@ def _lists(run: pa.Table, order: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _candidates(run: pa.Table, percent: int, orders: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """(member, partners by size and component whose prefixes share enough
-    tokens under each of the orders). A pair with a common token before the
+    tokens under each of the orders, or may do so by their bit maps if the only
+    order is ``bits``). A pair with a common token before the
     bucket's (under the first order, ``p0``) belongs to an earlier bucket: to
     that of its first common token, or to one of the same members before it; if
     one of the pair was paired there with all others, it was confirmed then."""
     n, key = run["n"].to_numpy(), run["key"][0].as_py()
-    lists = [_lists(run, o) for o in orders]
+    if by_map := orders == ["bits"]:
+        bits = np.frombuffer(b"".join(run["bits"].to_pylist()), np.uint64).reshape(len(n), -1)
+        size = prefix_size(n, percent)
+    lists = [] if by_map else [_lists(run, o) for o in orders]
     for u, v in _partners(run, percent):
-        for order, (flat, ends) in zip(orders, lists, strict=True):
+        if by_map and len(v):   # a bit that one of them has alone stands for a token that is not shared
+            alone = [np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((bits[u], bits[v]), (bits[v], bits[u]))]
+            v = v[np.minimum(size[u] - alone[0], size[v] - alone[1]) >= common_prefix_tokens(n[u], n[v], percent)]
+        for order, (flat, ends) in zip(orders, lists, strict=False):
             if not len(v):
                 break
             own = np.sort(flat[ends[u]:ends[u + 1]])
@@ -383,9 +417,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
     sets = land(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words, word))
     if others:
-        pairs = _on_ends(pairs, prefixes_of(sets, others), others)
-        for p in others:
-            pairs = pairs.where(F.arrays_overlap(f"a_{p}", f"b_{p}"))
+        pairs = _on_ends(_on_ends(pairs, sizes, ["n"]), prefixes_of(sets, others), others)
+        pairs = pairs.select("a", "b", "a_n", "b_n", *[f"{e}_{p}" for p in others for e in "ab"])
+        pairs = pairs.mapInArrow(_meeting(percent, others), "a long, b long")
     links = _confirmed(land(pairs.select("a", "b").distinct()), sets, percent)
     label = land(components(links, "a", "b"))
 
@@ -417,6 +451,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     kind = "key long, band int, i int, j int, blk int, rep long, home int, pos int, n long, component long"
     torn = land(runs(torn).mapInArrow(_block_members(percent, []), kind))
+    maps = known.select(F.col("id").alias("rep"), "prefix").mapInArrow(_bit_maps, "rep long, bits binary").distinct()
+    torn = runs(torn.join(maps, "rep").select(*_MEMBER, "bits"))
+    torn = land(torn.mapInArrow(_block_members(percent, ["bits"]), kind))
     members_of = lambda rows: _sets_of(rows.select(F.col("rep").alias("id")), docs, words, word)
     lists = land(prefixes_of(members_of(torn), every))
 

@@ -64,7 +64,11 @@ def test_a_pair_is_compared_in_one_bucket_alone():
         rep = [i for i, one in enumerate(lists) if key in one]
         run = pa.table({"key": [key] * len(rep), **{c: [0] * len(rep) for c in ("band", "i", "j", "blk", "home")}, "rep": rep,
                         "pos": [lists[i].index(key) for i in rep], "component": rep, "n": [len(sets[i]) for i in rep], "p0": pa.array([list(lists[i]) for i in rep], pa.list_(pa.int64()))})
-        seen.update((rep[u], rep[v]) for u, partners in nj._candidates(run, 60, ["p0"]) for v in partners.tolist())
+        pairs = {(rep[u], rep[v]) for u, partners in nj._candidates(run, 60, ["p0"]) for v in partners.tolist()}
+        bits, = nj._bit_maps([pa.RecordBatch.from_arrays([run["rep"].combine_chunks(), run["p0"].combine_chunks()], ["id", "prefix"])])
+        run = run.append_column("bits", bits["bits"])
+        assert pairs <= {(rep[u], rep[v]) for u, partners in nj._candidates(run, 60, ["bits"]) for v in partners.tolist()}
+        seen.update(pairs)
     linked = {(i, j) for i in range(25) for j in range(i + 1, 25) if nj._linked(sets[i], sets[j], 60)}
     assert len(linked) > 50 and linked <= seen.keys() and set(seen.values()) == {1}
 
