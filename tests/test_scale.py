@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from talewright.functions.text import chars_of
-from talewright.operators import ordering, packing
+from talewright.operators import bpe, ordering, packing
+from talewright.operators import tokenizer as tok
 from talewright.plans import catalog
 
 
@@ -79,3 +80,52 @@ def test_window_batch_shuffles_only_windows(spark):
     for r in rows:
         assert r.x == list(range(r.start, r.start + r.context_length)) and r.y == [x + 1 for x in r.x]
     assert not any("ids#" in s for s in _exchanges(w))
+
+
+def test_bpe_encode_sends_rare_words_only(spark):
+    """Common words are coded where the text is read: the same ids, and only
+    the other words travel. A key that repeats keeps its tokens in order."""
+    rows = [(1, "the cat the éléphant|? the"), (2, "the the"), (3, ""), (4, None), (5, " \n\n the"), (6, "the owl"), (6, "a dog 狗")]
+    df = spark.createDataFrame(rows, "k long, t string")
+    words = tok.word_counts(tok.pretokenize(df.filter("t is not null"), "t"))
+    vocab, merges = bpe.bpe_train(words, num_merges=12, min_frequency=1)
+    every = [r.word for r in words.collect()]
+    want = {r.k: r.ids for r in bpe.bpe_encode(df, vocab, merges, ["k"], "t").collect()}
+    assert want[3] == want[4] == [2, 3] and len(want) == 6
+    for common in ([" the", "the", "?"], every):
+        assert {r.k: r.ids for r in bpe.bpe_encode(df, vocab, merges, ["k"], "t", common=common).collect()} == want
+    many = spark.range(3000).select(F.col("id").alias("k"), F.concat(F.repeat(F.lit("the "), 30), F.lit("x")).alias("t"))
+    lines = bpe.bpe_encode(many, vocab, merges, ["k"], "t", common=["the", " the", " "])
+    sent = []
+    listen = lines._jdf.queryExecution()
+    lines.collect()
+    todo = [listen.executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        if name == "Exchange":
+            sent.append(node.metrics().apply("shuffleRecordsWritten").value())
+        kids = node.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    assert max(sent) <= 2 * 3000      # a line and a rare word for each text, not 31 tokens
+
+
+def test_common_words_are_bounded(spark):
+    words = spark.createDataFrame([("a", 400_000), ("b", 7), ("c", 1), ("d" * 100, 900_000)], "word string, freq long")
+    assert bpe.common_words(words) == ["a", "b"]
+    assert bpe.common_words(words, limit=1) == ["a"]
+
+
+def test_token_stats_of_counts(spark):
+    df = spark.createDataFrame([("x", [1, 2]), ("x", [3]), ("y", [])], "tokenizer string, ids array<int>")
+    assert sorted(tok.token_stats(df).collect()) == sorted(
+        tok.token_stats(df.select("tokenizer", F.size("ids").alias("n")), n_col="n").collect())
+
+
+def test_stream_files_grow_with_the_input(spark):
+    assert catalog.stream_files(spark.range(10)) == 4
+    assert catalog.stream_files(spark.range(10 * catalog.STREAM_DOCS + 1)) == 44
