@@ -57,6 +57,17 @@ def test_char_stream_caches_nothing(spark, sf001, monkeypatch):
     assert plans and not any("InMemoryTableScan" in p for p in plans)
 
 
+def test_char_stream_sorts_text_not_ids(spark, sf001, monkeypatch):
+    """The write by split sorted the ids of a task, which are several times their
+    text, and spilled them: rows that come in that order are written as they are."""
+    landed = []
+    monkeypatch.setattr(catalog, "land_table", lambda df, *a: landed.append(df) or df)
+    monkeypatch.setattr(catalog, "landed", lambda spark, sf_dir, name, build, cut=True: build())
+    catalog.char_stream(spark, sf001)
+    order = landed[-1]._jdf.queryExecution().optimizedPlan().outputOrdering()
+    assert order.size() == 1 and order.apply(0).child().sql() == "split"
+
+
 def test_next_token_pairs_shuffle_no_blocks(spark):
     blocks = spark.createDataFrame([("train", 0, [1, 2, 3]), ("train", 1, [4, 5, 6]), ("train", 2, [7]), ("val", 0, [8])],
                                    "split string, block_id long, ids array<int>")
