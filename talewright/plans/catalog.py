@@ -994,12 +994,13 @@ def q_stream_best(spark, sf_dir):
 @query("stream_word_counts")
 def q_stream_word_counts(spark, sf_dir):
     """STR4: pre-token counts of the corpus, landed as several files and read
-    a quarter of them per micro-batch; every batch appends its own counts."""
+    a quarter of them, ``STREAM_BATCH`` at most, per micro-batch; every batch
+    appends its own counts."""
     src, name = _landing_dir(spark, f"documents-{uuid.uuid4().hex[:12]}"), f"stream_word_counts-{uuid.uuid4().hex[:12]}"
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     n = stream_files(docs)
     docs.repartition(n, "doc_id").write.parquet(src)
-    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", n // STREAM_PARTS).parquet(src)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", batch_files(n, STREAM_PARTS)).parquet(src)
     path = _landing_dir(spark, name)
     inc.append_word_counts(stories.split_stories(stream, "text", sep="\n"), path, inc.checkpoint_location(spark, name))
     return inc.summed_word_counts(spark, path)
@@ -1007,6 +1008,7 @@ def q_stream_word_counts(spark, sf_dir):
 
 STREAM_PARTS = 4         # the streaming queries land their input in so many files for each STREAM_DOCS documents
 STREAM_DOCS = 16384
+STREAM_BATCH = 32        # files of a micro-batch at most: a larger input has more of them, not larger ones
 
 
 def stream_files(docs):
@@ -1014,9 +1016,15 @@ def stream_files(docs):
     return STREAM_PARTS * max(1, -(-docs.count() // STREAM_DOCS))
 
 
+def batch_files(n, parts):
+    """Files of each micro-batch, of ``n`` in all."""
+    return min(n // parts, STREAM_BATCH)
+
+
 def _streamed_records(spark, sf_dir):
     """The instruction stream landed as several files, built into records by a
-    file stream of half of them per micro-batch (``availableNow``, checkpointed)."""
+    file stream of half of them, ``STREAM_BATCH`` at most, per micro-batch
+    (``availableNow``, checkpointed)."""
     docs = read(spark, sf_dir, "documents")
     lines = F.concat(
         F.array(F.concat(F.lit("Features: "), F.col("source")), F.concat(F.lit("Words: "), F.col("lang")),
@@ -1026,7 +1034,7 @@ def _streamed_records(spark, sf_dir):
     src, out = _landing_dir(spark, f"{name}-in"), _landing_dir(spark, f"{name}-out")
     n = stream_files(docs)
     docs.repartition(n, "doc_id").select(F.array_join(lines, "\n").alias("value")).write.text(src)
-    inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name), max_files=n // 2)
+    inc.build_records_incrementally(spark, src, out, checkpoint=inc.checkpoint_location(spark, name), max_files=batch_files(n, 2))
     return spark.read.parquet(out).select("prompt", "response"), inc.progress_totals(spark, out)
 
 

@@ -102,3 +102,20 @@ def test_token_stats_of_counts(spark):
 def test_stream_files_grow_with_the_input(spark):
     assert catalog.stream_files(spark.range(10)) == 4
     assert catalog.stream_files(spark.range(10 * catalog.STREAM_DOCS + 1)) == 44
+
+
+def test_micro_batches_do_not_grow_with_the_input(spark):
+    assert [catalog.batch_files(n, 2) for n in (4, 16, 128, 768)] == [2, 8, 32, 32]
+    assert catalog.batch_files(4, catalog.STREAM_PARTS) == 1
+
+
+def test_streamed_records_of_many_batches(spark, sf001, monkeypatch):
+    """Four files, one per micro-batch: the records and counters of all."""
+    whole, totals = catalog._streamed_records(spark, sf001)
+    seen = []
+    build = catalog.inc.build_records_incrementally
+    monkeypatch.setattr(catalog.inc, "build_records_incrementally", lambda *a, **kw: seen.append(kw["max_files"]) or build(*a, **kw))
+    monkeypatch.setattr(catalog, "STREAM_BATCH", 1)
+    parts, again = catalog._streamed_records(spark, sf001)
+    assert seen == [1] and again.collect() == totals.collect()
+    assert sorted(parts.collect()) == sorted(whole.collect())
