@@ -10,13 +10,15 @@ about the same count stand in another random sequence in each of them.
 Plan: (1) token counts of the corpus; (2) one pass over the texts gives set
 size, set digest and the prefixes; equal sets collapse to one class; (3) the
 classes meet in the buckets of their first order's prefix tokens. In a bucket
-the smallest class is paired with each other one, pairs that miss each other
-under another order are dropped, the rest is confirmed on the full sets and
+the smallest class is paired with each other one; pairs whose parity maps (a few
+bits for each token of the set) differ in more places than linked sets may
+differ in tokens are dropped, then those that miss each other
+under another order, the rest is confirmed on the full sets and
 joined to components. (4) Buckets whose other members are of several components
 still (buckets of the same members count once) are compared across components
 in blocks of bounded size, texts of about one size together: size and place of
-the token, then the number of tokens that the prefixes must share, first bounded
-by bit maps of them, under each order, every pair in the bucket of its first common token
+the token, the parity maps of the sets, then the number of tokens that the prefixes
+must share, first bounded by bit maps of them, under each order, every pair in the bucket of its first common token
 alone; pairs that span the candidates of a block are confirmed first, and the
 full sets of what is left apart are compared. No
 link between different texts is lost; how well the counts separate rare from
@@ -97,6 +99,49 @@ def prefixes(sets: np.ndarray, first: np.ndarray, classes: np.ndarray, percent:
     return out
 
 
+def parity_maps(sets: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, row ends) of a map of each set: a bit tells whether an odd number
+    of its tokens falls there, so maps of two sets differ in no more bits than
+    the sets in tokens. Two to four bits a token, a power of two and 64 at least:
+    the two halves of a map, one xor the other, are the map of half the width."""
+    size = np.diff(first)
+    width = np.where(size > 0, np.maximum(64, 1 << (1 + np.ceil(np.log2(np.maximum(size, 1))).astype(np.int64))), 0)
+    ends = np.r_[0, np.cumsum(width)]
+    row = np.repeat(np.arange(len(size)), size)
+    at = (tb.mix(sets ^ np.uint64(_SALT[3])) & (width[row] - 1).astype(np.uint64)).astype(np.int64)
+    odd = np.zeros(ends[-1], bool)
+    token, n = np.unique(ends[row] + at, return_counts=True)
+    odd[token[n % 2 == 1]] = True
+    return np.packbits(odd, bitorder="little"), ends // 8
+
+
+def _folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """The maps (rows of 64-bit words) at a smaller width."""
+    while (half := maps.shape[-1] // 2) >= words:
+        maps = maps[..., :half] ^ maps[..., half:]
+    return maps
+
+
+def most_apart(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Tokens that only one of two linked sets of sizes n and m has, at most."""
+    return n + m - 2 * common_tokens(n, m, percent)
+
+
+def _near(percent: int) -> Callable:
+    """The pairs (a, b) of rows with both ends' sizes and maps whose maps allow
+    a link."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            most = most_apart(*(batch.column(f"{e}_n").to_numpy() for e in "ab"), percent)
+            keep = np.zeros(batch.num_rows, bool)
+            for i, ends in enumerate(zip(batch.column("a_map"), batch.column("b_map"), strict=True)):
+                x, y = (np.frombuffer(e.as_buffer(), np.uint64) for e in ends)
+                words = min(len(x), len(y))
+                keep[i] = np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum(dtype=np.int64) <= most[i]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+    return run
+
+
 def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, buf, offs in tb.blocks(batches):
@@ -106,10 +151,12 @@ def _profile_rows(k: int, percent: int, word: np.ndarray, classes: np.ndarray) -
             digests = [np.add.reduceat(np.r_[tb.mix(sets ^ np.uint64(s)), np.uint64(0)], first[:-1]) for s in (0, _SALT[3])]
             ends = np.r_[0, np.cumsum(np.where(some, prefix_size(size, percent), 0))]
             place, = prefixes(sets, first, classes, percent, range(1))
+            maps, map_ends = parity_maps(sets, first)
+            blob = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(map_ends.astype(np.int32).tobytes()), pa.py_buffer(maps.tobytes())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(size, pa.int64()),
                  *[pa.array(tb.signed(d), pa.int64(), mask=~some) for d in digests],
-                 tb.list_column(tb.signed(place), ends, pa.int64())], ["id", "n", "d1", "d2", "prefix"])
+                 tb.list_column(tb.signed(place), ends, pa.int64()), blob], ["id", "n", "d1", "d2", "prefix", "map"])
     return run
 
 
@@ -192,14 +239,14 @@ def _confirm(percent: int) -> Callable:
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets reach the similarity. Each partner's set goes
-    to its ``a`` once; a class of many partners is dealt over several tasks."""
+    to its ``a`` once; a class of many partners is dealt over several tasks. The
+    sets meet all rows that need them in one join."""
     salts = F.ceil(F.count("*") / BLOCK_MEMBERS).cast("int")
     ends = pairs.groupBy("a").agg(salts.alias("salts"))
     salt = F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")
-    partners = pairs.join(ends, "a").select("a", salt.alias("salt"), "b").join(sets.withColumnRenamed("id", "b"), "b")
-    own = ends.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")).join(sets.withColumnRenamed("id", "a"), "a")
-    rows = partners.select("a", "salt", "b", "elements").union(
-        own.select("a", "salt", F.lit(None).cast("long").alias("b"), "elements"))
+    partners = pairs.join(ends, "a").select(F.col("b").alias("id"), "a", salt.alias("salt"), "b")
+    own = ends.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
+    rows = partners.union(own).join(sets, "id").select("a", "salt", "b", "elements")
     rows = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return land(rows.mapInArrow(_confirm(percent), "a long, b long").distinct())
 
@@ -280,21 +327,35 @@ def _lists(run: pa.Table, order: str) -> tuple[np.ndarray, np.ndarray]:
 
 def _candidates(run: pa.Table, percent: int, orders: list[str]) -> Iterator[tuple[int, np.ndarray]]:
     """(member, partners by size and component whose prefixes share enough
-    tokens under each of the orders, or may do so by their bit maps if the only
-    order is ``bits``). A pair with a common token before the
+    tokens under each of the orders, or may do so by their bit maps if one of the
+    orders is ``bits``, or whose sets' maps allow a link if one is ``map``). A pair with a common token before the
     bucket's (under the first order, ``p0``) belongs to an earlier bucket: to
     that of its first common token, or to one of the same members before it; if
     one of the pair was paired there with all others, it was confirmed then."""
     n, key = run["n"].to_numpy(), run["key"][0].as_py()
-    if by_map := orders == ["bits"]:
+    if by_parity := "map" in orders:
+        maps = [np.frombuffer(x.as_buffer(), np.uint64) for x in run["map"]]
+        words = np.array([len(x) for x in maps])
+        wide = {w: np.flatnonzero(words >= w) for w in np.unique(words).tolist()}
+        folded = {w: np.stack([_folded(maps[r], w) for r in rows]) for w, rows in wide.items()}
+    if by_map := "bits" in orders:
         bits = np.frombuffer(b"".join(run["bits"].to_pylist()), np.uint64).reshape(len(n), -1)
         size = prefix_size(n, percent)
-    lists = [] if by_map else [_lists(run, o) for o in orders]
+    orders = [o for o in orders if o not in ("map", "bits")]
+    lists = [_lists(run, o) for o in orders]
     for u, v in _partners(run, percent):
+        if by_parity and len(v):
+            common = np.minimum(words[v], words[u])
+            apart = np.zeros(len(v), np.int64)
+            for w in np.unique(common).tolist():
+                at = np.flatnonzero(common == w)
+                x, y = (folded[w][np.searchsorted(wide[w], rows)] for rows in (u, v[at]))
+                apart[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            v = v[apart <= most_apart(n[u], n[v], percent)]
         if by_map and len(v):   # a bit that one of them has alone stands for a token that is not shared
             alone = [np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64) for x, y in ((bits[u], bits[v]), (bits[v], bits[u]))]
             v = v[np.minimum(size[u] - alone[0], size[v] - alone[1]) >= common_prefix_tokens(n[u], n[v], percent)]
-        for order, (flat, ends) in zip(orders, lists, strict=False):
+        for order, (flat, ends) in zip(orders, lists, strict=True):
             if not len(v):
                 break
             own = np.sort(flat[ends[u]:ends[u + 1]])
@@ -394,7 +455,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         raise ValueError("percent is 1 to 100, there are 1 to 4 orders, cells is a power of two")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     classes = count_classes(docs, words, word, cells)
-    sig = land(docs.mapInArrow(_profile_rows(words, percent, word, classes), "id long, n long, d1 long, d2 long, prefix array<long>"))
+    sig = land(docs.mapInArrow(_profile_rows(words, percent, word, classes), "id long, n long, d1 long, d2 long, prefix array<long>, map binary"))
     known = sig.where("id is not null and n > 0")
     same = land(known.groupBy("d1", "d2").agg(F.min("id").alias("rep")))
     members = known.select("id", "d1", "d2").join(same, ["d1", "d2"])
@@ -411,10 +472,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     rows = rows.repartition("key").sortWithinPartitions("key", "rep")
     shared = land(rows.mapInArrow(_with_pivots, "key long, rep long, pos int, pivot long"))
     pairs = shared.select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
-    sizes = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n")).alias("r")).select(F.col("r.id").alias("rep"), "r.n")
-    sizes = land(sizes.groupBy("rep", "n").agg(F.count("*").alias("texts")))
+    maps = known.groupBy("d1", "d2").agg(F.min(F.struct("id", "n", "map")).alias("r")).select(F.col("r.id").alias("rep"), "r.n", "r.map")
+    maps = land(maps)
+    sizes = land(maps.groupBy("rep", "n").agg(F.count("*").alias("texts")))
     fits = f"100 * least(a_n, b_n) >= {int(percent)} * greatest(a_n, b_n)"
-    pairs = land(_on_ends(pairs, sizes, ["n"]).where(fits).select("a", "b"))
+    pairs = _on_ends(_on_ends(pairs, sizes, ["n"]).where(fits), maps, ["map"])
+    pairs = land(pairs.mapInArrow(_near(percent), "a long, b long"))
     sets = land(_sets_of(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs, words, word))
     if others:
         pairs = _on_ends(_on_ends(pairs, sizes, ["n"]), prefixes_of(sets, others), others)
@@ -451,15 +514,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     kind = "key long, band int, i int, j int, blk int, rep long, home int, pos int, n long, component long"
     torn = land(runs(torn).mapInArrow(_block_members(percent, []), kind))
-    maps = known.select(F.col("id").alias("rep"), "prefix").mapInArrow(_bit_maps, "rep long, bits binary").distinct()
-    torn = runs(torn.join(maps, "rep").select(*_MEMBER, "bits"))
-    torn = land(torn.mapInArrow(_block_members(percent, ["bits"]), kind))
+    torn = runs(torn.join(maps, ["rep", "n"]).select(*_MEMBER, "map"))
+    torn = land(torn.mapInArrow(_block_members(percent, ["map"]), kind))
     members_of = lambda rows: _sets_of(rows.select(F.col("rep").alias("id")), docs, words, word)
     lists = land(prefixes_of(members_of(torn), every))
 
     def listed(rows: DataFrame, names: list[str]) -> DataFrame:
         return runs(rows.join(lists.select("rep", *names), "rep").select(*_MEMBER, *names))
 
+    bits = lists.select("rep", "p0").mapInArrow(_bit_maps, "rep long, bits binary").distinct()
+    torn = runs(torn.join(bits, "rep").select(*_MEMBER, "bits"))
+    torn = land(torn.mapInArrow(_block_members(percent, ["bits"]), kind))
     torn = land(listed(torn, ["p0"]).mapInArrow(_block_members(percent, ["p0"]), kind))
     if others:
         torn = land(listed(torn, every).mapInArrow(_block_members(percent, every), kind))

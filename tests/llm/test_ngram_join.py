@@ -73,6 +73,50 @@ def test_a_pair_is_compared_in_one_bucket_alone():
     assert len(linked) > 50 and linked <= seen.keys() and set(seen.values()) == {1}
 
 
+def test_parity_maps_keep_links_and_drop_unlike_pairs():
+    rng = np.random.default_rng(7)
+    draw = lambda n: rng.integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2)
+    sets, bases = [], 0
+    for size in (3, 40, 500, 520, 2000):     # 500 and 520 have maps of different widths
+        base = draw(size)
+        sets += [np.unique(np.r_[base[:size - cut], draw(more)]) for cut, more in ((0, 0), (0, size // 8), (size // 20, size // 20), (size // 2, size // 2))]
+        bases += 1
+    first = np.r_[0, np.cumsum([len(s) for s in sets])]
+    flat, ends = nj.parity_maps(np.concatenate(sets), first)
+    maps = [flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    widths = {len(m) * 8 for m in maps}
+    assert min(widths) == 64 and all(2 * len(s) <= len(m) * 8 or len(m) == 8 for s, m in zip(sets, maps, strict=True))
+    rep = list(range(len(sets)))
+    run = pa.table({**{c: [0] * len(rep) for c in ("key", "band", "i", "j", "blk", "home", "pos")}, "rep": rep, "component": rep,
+                    "n": [len(s) for s in sets], "map": maps})
+    got = {(u, v) for u, partners in nj._candidates(run, 85, ["map"]) for v in partners.tolist()}
+    linked = {(i, j) for i in rep for j in rep[i + 1:] if nj._linked(sets[i], sets[j], 85)}
+    assert len(linked) >= bases and linked <= got
+    assert all(i // 4 == j // 4 and (i % 4 < 3 and j % 4 < 3 or i < 4) for i, j in got)
+    pairs = [(i, j) for i in rep for j in rep[i + 1:]]
+    near, = nj._near(85)([pa.RecordBatch.from_pydict({
+        "a": [i for i, _ in pairs], "b": [j for _, j in pairs], "a_n": [len(sets[i]) for i, _ in pairs], "b_n": [len(sets[j]) for _, j in pairs],
+        "a_map": [maps[i] for i, _ in pairs], "b_map": [maps[j] for _, j in pairs]})])
+    near = set(zip(near["a"].to_pylist(), near["b"].to_pylist(), strict=True))
+    assert linked <= near and {p for p in near if 100 * len(sets[p[0]]) >= 85 * len(sets[p[1]])} - got == set()
+
+
+def test_unlike_texts_of_a_bucket_are_not_read_again(spark, make_docs, monkeypatch):
+    shared = " ".join(f"p{i}" for i in range(40))
+    pairs = [(i, f"{shared} " + " ".join(f"u{i}-{j}" for j in range(40))) for i in range(60)]
+    pairs += [(100, pairs[0][1] + " end")]
+    read = []
+
+    def sets_of(ids, *rest, real=nj._sets_of):
+        read.append({r.id for r in ids.distinct().collect()})
+        return real(ids, *rest)
+
+    monkeypatch.setattr(nj, "_sets_of", sets_of)
+    got = {r.doc_id: r.component_id for r in jaccard_components(make_docs(pairs), words=4, percent=85, cells=16).collect()}
+    assert got == brute(pairs, 4, 85) and got[100] == 0
+    assert set().union(*read) == {0, 100}
+
+
 def test_orders_put_frequent_tokens_last(spark, make_docs):
     docs = make_docs([(i, f"alpha beta gamma delta only{i} a{i} b{i} c{i}") for i in range(50)]).select("text")
     classes = nj.count_classes(docs, 4, nj.tb.NOT_SPACE)
