@@ -28,6 +28,24 @@ def _exchanges(df):
     return found
 
 
+def _bytes_shuffled(df):
+    """What the exchanges of a plan wrote, once each."""
+    df.collect()
+    total, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        elif name != "ReusedExchange":
+            total += node.metrics().apply("dataSize").value() if name == "Exchange" else 0
+            kids = node.children()
+            todo += [kids.apply(i) for i in range(kids.size())]
+    return total
+
+
 def test_chars_are_code_points(spark):
     df = spark.createDataFrame([(1, "aé\U0001f600\n "), (2, ""), (3, None)], "k int, t string")
     got = {r.k: r.c for r in df.select("k", chars_of("t").alias("c")).collect()}
@@ -47,6 +65,34 @@ def test_text_stream_equals_id_stream(spark):
         packing.pack_stream(text, *args, "\n\n", ids_col="story", bos_eos=True)
 
 
+def test_text_stream_with_ends_equals_id_stream(spark):
+    rows = [(k, "train" if k % 3 else "val", "".join(chr(97 + (k * j) % 7) for j in range(k % 5))) for k in range(40)]
+    text = spark.createDataFrame(rows, "k long, split string, story string")
+    ids = text.withColumn("ids", F.transform(chars_of("story"), lambda c: F.ascii(c))).drop("story")
+    args = (["k"], ordering.bucket_of("k", 4))
+    want = {(r.split, r.block_id): r.ids for r in packing.pack_stream(ids, *args, [10, 10], block_size=4, bos_eos=True).collect()}
+    packed = packing.pack_stream(text, *args, "\n\n", block_size=4, ids_col="story", bos_eos=True, ends=("\x02", "\x03"))
+    assert {(r.split, r.block_id): [ord(c) for c in r.story] for r in packed.collect()} == want
+
+
+def test_stream_text_is_shuffled_once(spark):
+    """The texts went to their buckets, and again, cut into pieces, to their blocks.
+    Now only the blocks at the ends of a bucket go on."""
+    text = spark.createDataFrame([(k, "train", f"{k:08d}" * 250) for k in range(400)], "k long, split string, story string")
+    packed = packing.pack_stream(text, ["k"], ordering.bucket_of("k", 100), "\n\n", block_size=1000, ids_col="story")
+    alone = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in alone.items():     # as with texts that no task could hold alone
+        spark.conf.set(k, v)
+    try:
+        sent = _bytes_shuffled(packed)
+    finally:
+        for k in alone:
+            spark.conf.unset(k)
+    assert 800_000 < sent < 1_200_000
+    whole = "\n\n".join(f"{k:08d}" * 250 for k in range(400))
+    assert "".join(r.story for r in packed.orderBy("block_id").collect()) == whole
+
+
 def test_char_stream_caches_nothing(spark, sf001, monkeypatch):
     """The ids of the whole corpus stood in the executors' memory while the
     stream was built."""
