@@ -3,7 +3,7 @@ a time on many random corpora (no Spark: the rule itself)."""
 
 import random
 
-from talewright.operators.bpe import merge_chains
+from talewright.operators.bpe import merge_chains, merge_passes
 
 
 def pair_table(state):
@@ -93,3 +93,29 @@ def test_rule_random_corpora():
         assert got == one_by_one(words, n, min_freq), (trial, words, n, min_freq, size)
         merges, rounds = merges + len(got), rounds + k
     assert merges > 1.5 * rounds
+
+
+def test_passes_equal_lowest_rank_first():
+    """Merges as passes over a text, also if several make one token."""
+    rnd = random.Random(3)
+    repeated = 0
+    for _ in range(3000):
+        known, merges, pairs = {"a": 0, "b": 1}, [], set()
+        for _ in range(rnd.randint(1, 12)):
+            x, y = rnd.choice(list(known)), rnd.choice(list(known))
+            if len(x + y) > 7 or (x, y) in pairs:
+                continue
+            pairs.add((x, y))
+            repeated += x + y in known
+            known.setdefault(x + y, len(known))
+            merges.append((known[x], known[y], known[x + y]))
+        rank = {(a, b): (r, c) for r, (a, b, c) in enumerate(merges)}
+        want = got = [rnd.randrange(2) for _ in range(rnd.randint(0, 20))]
+        while found := [(rank[p], p) for p in zip(want, want[1:]) if p in rank]:
+            (_, c), p = min(found)
+            want = merged(want, *p, c)
+        for a, b, c in merge_passes(merges):
+            got = merged(got, a, b, c)
+        assert got == want
+    assert repeated > 100
+    assert merge_passes([(0, 1, 2), (2, 0, 3)], most=1) is None

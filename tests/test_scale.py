@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from talewright.functions.text import chars_of
-from talewright.operators import ordering, packing
+from talewright.operators import bpe, ordering, packing
 from talewright.operators import tokenizer as tok
 from talewright.plans import catalog
 
@@ -165,3 +165,43 @@ def test_streamed_records_of_many_batches(spark, sf001, monkeypatch):
     parts, again = catalog._streamed_records(spark, sf001)
     assert seen == [1] and again.collect() == totals.collect()
     assert sorted(parts.collect()) == sorted(whole.collect())
+
+
+@pytest.mark.parametrize("name", ["bpe_encode", "token_stats", "tokenizer_files"])
+def test_words_of_texts_do_not_travel(spark, sf001, name):
+    """Every word of every text was shuffled to its ids, and back to its text."""
+    sent = " ".join(_exchanges(catalog.QUERIES[name](spark, sf001)))
+    assert not any(f"{c}#" in sent for c in ("word", "wids", "buf", "_parts"))
+
+
+def test_encoding_of_repeated_keys(spark):
+    """Rows of one key are one text whose tokens go by place, then by ids."""
+    vocab, merges = bpe.bpe_train(spark.createDataFrame([("ab", 5), (" ab", 5), ("c", 1)], "word string, freq long"), vocab_size=9)
+    df = spark.createDataFrame([(1, "ab c"), (1, "c ab"), (2, "ab"), (None, "c"), (None, "c"), (1, None)], "k long, story string")
+    ids = {r.token: r.id for r in vocab.collect()}
+    a, b, c, sp, ab = (ids[x] for x in ("61", "62", "63", "20", "6162"))
+    first, second = sorted([[ab], [c]]), sorted([[sp, c], [sp, ab]])
+    got = {r.k: r.ids for r in bpe.bpe_encode(df, vocab, merges, ["k"]).collect()}
+    assert got == {1: [2, *sum(first + second, []), 3], 2: [2, ab, 3], None: [2, c, c, 3]}
+
+
+def test_long_merge_lists_encode_the_same(spark, sf001, monkeypatch):
+    vocab, merges = bpe.bpe_train(catalog.train_words(spark, sf001), num_merges=60)
+    s = catalog.split_docs(spark, sf001).filter("doc_id < 20")
+    more = spark.createDataFrame([(-1, 0, "a\uffffb \uffff \u4e00\U0001f600"), (-2, 0, "")], "doc_id long, pos long, story string")
+    s = s.select("doc_id", "pos", "story").union(more)
+    want = sorted(bpe.bpe_encode(s, vocab, merges, ["doc_id", "pos"]).collect())
+    monkeypatch.setattr(bpe, "merge_passes", lambda merges: None)
+    assert sorted(bpe.bpe_encode(s, vocab, merges, ["doc_id", "pos"]).collect()) == want
+
+
+def test_training_leaves_no_tables(spark, sf001):
+    """The state of every round stayed in the shared folder."""
+    import os
+
+    from talewright.session import ensure_checkpoint_dir
+    top = os.path.join(ensure_checkpoint_dir(spark), "landed").removeprefix("file:")
+    words = catalog.train_words(spark, sf001)
+    before = set(os.listdir(top)) if os.path.isdir(top) else set()
+    bpe.bpe_train(words, num_merges=40)
+    assert set(os.listdir(top)) == before
