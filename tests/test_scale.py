@@ -174,6 +174,14 @@ def test_words_of_texts_do_not_travel(spark, sf001, name):
     assert not any(f"{c}#" in sent for c in ("word", "wids", "buf", "_parts"))
 
 
+def test_words_of_the_bpe_stream_do_not_travel(spark, sf001, monkeypatch):
+    plans = []
+    monkeypatch.setattr(catalog, "land_table", lambda df, *a: plans.extend(_exchanges(df)) or df)
+    monkeypatch.setattr(catalog, "landed", lambda spark, sf_dir, name, build, cut=True: build() if name == "bpe_stream" else catalog.train_words(spark, sf_dir))
+    catalog.bpe_stream(spark, sf001)
+    assert not any(f"{c}#" in " ".join(plans) for c in ("word", "wids"))
+
+
 def test_encoding_of_repeated_keys(spark):
     """Rows of one key are one text whose tokens go by place, then by ids."""
     vocab, merges = bpe.bpe_train(spark.createDataFrame([("ab", 5), (" ab", 5), ("c", 1)], "word string, freq long"), vocab_size=9)
