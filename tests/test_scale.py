@@ -203,6 +203,14 @@ def test_long_merge_lists_encode_the_same(spark, sf001, monkeypatch):
     assert sorted(bpe.bpe_encode(s, vocab, merges, ["doc_id", "pos"]).collect()) == want
 
 
+def test_a_filter_on_ids_does_not_encode_again(spark):
+    vocab, merges = bpe.bpe_train(spark.createDataFrame([("ab", 5)], "word string, freq long"), vocab_size=7)
+    df = spark.createDataFrame([(1, "ab c"), (2, "ab")], "k long, story string")
+    known = bpe.bpe_encode(df, vocab, merges, ["k"]).filter(~F.array_contains("ids", tok.UNK_ID))
+    plan = known._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("aggregate(") == 1 and [r.k for r in known.collect()] == [2]
+
+
 def test_training_leaves_no_tables(spark, sf001):
     """The state of every round stayed in the shared folder."""
     import os
